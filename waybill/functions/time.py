@@ -5,43 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted ISO-8601 shapes and the epoch bounds of years 1..9999.
-ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([Tt _]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?([Zz]|[+-]\d{2}:?\d{2})?)?\z"
-ISO_ZONE = r"([+-])(\d{2}):?(\d{2})\z"
-NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+# Accepted text shapes, the number above which Unix time counts
+# milliseconds, and the epoch seconds of the years 1 to 9999.
+PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?\z"
+OTHER_ISO = r"^\d{4}-\d{2}-\d{2}[Tt _]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?([Zz]|[+-]\d{2}:?\d{2})?\z"
 MILLISECONDS_ABOVE = 2e10
-EPOCH_MIN_SECONDS = -62135596800
-EPOCH_MAX_SECONDS = 253402300799
+EPOCH_SECONDS = (-62135596800, 253402300799)
 
 
 def iso_to_timestamp(text: Column) -> Column:
     """ISO-8601 text as a zone-less UTC timestamp, NULL if it has another shape.
 
-    A direct cast ignores a zone suffix, so the offset is taken off by hand.
-    Partial dates and bare times, which a cast would complete, stay NULL.
+    A direct cast ignores a zone suffix and completes partial dates and bare
+    times, so it is used for the plain shape only. Other shapes get a zone and
+    seconds if they lack them, and go through their instant.
     """
     plain = F.translate(text, "t_,z", "T .Z")
-    clock = F.substring(plain, 12, 64)
-    offset = clock.contains("+") | clock.contains("-")
-    zulu = clock.endswith("Z")
-    wall = (F.when(offset, F.regexp_replace(plain, ISO_ZONE, ""))
-            .when(zulu, F.rtrim(plain, F.lit("Z")))
-            .otherwise(plain)).try_cast("timestamp_ntz")
-    sign = F.when(F.regexp_extract(clock, ISO_ZONE, 1) == "-", -1).otherwise(1)
-    shift = F.make_dt_interval(
-        F.lit(0),
-        sign * F.regexp_extract(clock, ISO_ZONE, 2).cast("int"),
-        sign * F.regexp_extract(clock, ISO_ZONE, 3).cast("int"),
-    )
-    return F.when(text.rlike(ISO_SHAPE), F.when(offset, wall - shift).otherwise(wall))
+    zoned = F.regexp_replace(plain, r"^(.{11}[^Z+-]+)\z", "$1Z")
+    full = F.regexp_replace(zoned, r"^(.{16})([Z+-].*)\z", "$1:00$2")
+    return (F.when(text.rlike(PLAIN_ISO), text.try_cast("timestamp_ntz"))
+            .when(text.rlike(OTHER_ISO), _from_micros(F.unix_micros(full.try_cast("timestamp")))))
 
 
 def epoch_to_timestamp(number: Column) -> Column:
     """Unix time as a zone-less UTC timestamp; large values count milliseconds."""
     seconds = F.when(F.abs(number) > MILLISECONDS_ABOVE, number / 1000).otherwise(number)
-    span = F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.when(seconds.between(EPOCH_MIN_SECONDS, EPOCH_MAX_SECONDS), epoch + span)
+    return F.when(seconds.between(*EPOCH_SECONDS), _from_micros(F.round(seconds * 1e6).cast("bigint")))
+
+
+def _from_micros(micros: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def micros_between(start: Column, end: Column) -> Column:

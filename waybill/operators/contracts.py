@@ -15,16 +15,14 @@ from pyspark.sql import functions as F
 
 from waybill import schemas
 from waybill.functions.text import or_default
-from waybill.functions.time import NUMBER_SHAPE, epoch_to_timestamp, iso_to_timestamp
+from waybill.functions.time import epoch_to_timestamp, iso_to_timestamp
 
 MALFORMED = "malformed_json"
 
-# Texts that count as a truth value or as a special number.
+# Texts that count as a truth value or as a number.
 TRUE_TEXTS = ("1", "on", "t", "true", "y", "yes")
 FALSE_TEXTS = ("0", "off", "f", "false", "n", "no")
-SPECIAL_NUMBERS = r"(?i)^[+-]?(inf|infinity|nan)\z"
-
-SPARK_TYPES = {"string": "string", "timestamp": "timestamp_ntz", "double": "double", "boolean": "boolean"}
+NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\z"
 
 
 @dataclass(frozen=True)
@@ -77,28 +75,24 @@ def validate(df: DataFrame, contract: Contract, value: str = "value",
              counts: Observation | None = None) -> DataFrame:
     """Add the contract's typed columns, `reject_key` and `reasons` to `df`.
 
-    The counters are collected where the records are parsed. They also keep
-    the optimizer from moving a later filter on `reasons` below the parsing,
-    which would parse every payload twice.
+    `reasons` lists the broken rules in field order, separated by commas, and
+    is empty for an accepted record. The counters are collected where the
+    records are parsed. They also keep the optimizer from moving a later filter
+    on `reasons` below the parsing, which would parse every payload twice.
     """
     others = [name for name in df.columns if name not in contract.names]
-    raw = [_get(field.name, "variant").alias(f"_{field.name}") for field in contract.fields]
-    text = _get(contract.key, "string")
-    parsed = (
+    names = contract.names
+    kinds = [F.schema_of_variant(f"_{name}").alias(f"_{name}_kind") for name in names]
+    texts = [F.try_variant_get(f"_{name}", "$", "string").alias(f"_{name}_text") for name in names]
+    numbers = [_number(field).alias(f"_{field.name}_number") for field in contract.fields]
+    checked = (
         df.select(*others, _parse(F.col(value)).alias("_doc"))
-        .select(*others, _is_record(F.col(value)).alias("_ok"), text.alias("_key"), *raw)
-        .select(*others, "_ok", "_key", *[F.col(f"_{name}") for name in contract.names],
-                *[F.schema_of_variant(f"_{name}").alias(f"_{name}_kind") for name in contract.names],
-                *[_typed(field).alias(field.name) for field in contract.fields])
-    )
-    reasons = F.when(~F.col("_ok"), F.array(F.lit(MALFORMED))).otherwise(
-        F.array_compact(F.array(*[_reason(field) for field in contract.fields])))
-    checked = parsed.select(
-        *others,
-        *[_filled(field).alias(field.name) for field in contract.fields],
-        F.when(F.col("_ok"), or_default(F.col("_key"), schemas.UNKNOWN_KEY))
-        .otherwise(schemas.UNKNOWN_KEY).alias("reject_key"),
-        reasons.alias("reasons"),
+        .select(*others, _is_record(F.col(value)).alias("_ok"),
+                *[F.try_variant_get("_doc", f"$[0].{name}", "variant").alias(f"_{name}") for name in names])
+        .select(*others, "_ok", *kinds, *texts)
+        .select("*", *numbers)
+        .select("*", *[_typed(field).alias(field.name) for field in contract.fields])
+        .select(*others, *names, _reject_key(contract).alias("reject_key"), _reasons(contract).alias("reasons"))
     )
     return observe_counts(checked, counts)
 
@@ -108,29 +102,33 @@ def observe_counts(checked: DataFrame, counts: Observation | None = None) -> Dat
     return checked.observe(
         counts or Observation(),
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.size("reasons") == 0).alias("valid"),
+        F.count_if(is_accepted()).alias("valid"),
     )
 
 
+def is_accepted() -> Column:
+    return F.col("reasons") == ""
+
+
 def accepted(checked: DataFrame, contract: Contract, *keep: str) -> DataFrame:
-    return checked.filter(F.size("reasons") == 0).select(*keep, *contract.names)
+    return checked.filter(is_accepted()).select(*keep, *contract.names)
 
 
 def rejected(checked: DataFrame, contract: Contract, *keep: str, value: str = "value") -> DataFrame:
     """Rejected payloads with the key they name, the first reason and all reasons."""
-    return checked.filter(F.size("reasons") > 0).select(
+    return checked.filter(~is_accepted()).select(
         *keep,
         F.col("reject_key").alias(contract.key),
-        F.element_at("reasons", 1).alias("reason"),
-        "reasons",
+        F.substring_index("reasons", ",", 1).alias("reason"),
+        F.split("reasons", ",").alias("reasons"),
         F.col(value).alias("payload"),
     )
 
 
 def webhook_status(checked: DataFrame, *keep: str) -> DataFrame:
     """Outcome code and message of every checked webhook payload."""
-    malformed = F.array_contains("reasons", MALFORMED)
-    invalid = F.size("reasons") > 0
+    malformed = F.col("reasons") == MALFORMED
+    invalid = ~is_accepted()
     return checked.select(
         *keep,
         F.when(malformed, 500).when(invalid, 400).otherwise(200).alias("status_code"),
@@ -154,54 +152,61 @@ def _is_record(value: Column) -> Column:
     return whole & F.coalesce(F.ltrim(value, F.lit(" \t\r\n")).startswith("{"), F.lit(False))
 
 
-def _get(name: str, kind: str) -> Column:
-    return F.try_variant_get("_doc", f"$[0].{name}", kind)
+def _number(field: Field) -> Column:
+    """The field as a number, whether JSON number or text. No other JSON value
+    has a text of that shape."""
+    if field.type == "string":
+        return F.lit(None).cast("double")
+    text = F.trim(F.col(f"_{field.name}_text"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def _typed(field: Field) -> Column:
-    """The field as its type, NULL if its JSON value is of another type."""
-    raw, kind = F.col(f"_{field.name}"), F.schema_of_variant(f"_{field.name}")
-    is_text = kind == "STRING"
-    is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    text = F.try_variant_get(raw, "$", "string")
-    number = F.try_variant_get(raw, "$", "double")
-    trimmed = F.trim(text)
-    text_number = F.when(trimmed.rlike(NUMBER_SHAPE) | trimmed.rlike(SPECIAL_NUMBERS),
-                         trimmed.try_cast("double"))
+    """The field as its type; an absent one takes its default."""
+    if field.default is None:
+        return _coerced(field)
+    return F.when(F.col(f"_{field.name}_kind").isNull(), F.lit(field.default)).otherwise(_coerced(field))
+
+
+def _coerced(field: Field) -> Column:
+    """The field as its type, NULL if its JSON value does not count as one."""
+    kind, text = F.col(f"_{field.name}_kind"), F.col(f"_{field.name}_text")
+    number = F.col(f"_{field.name}_number")
     if field.type == "string":
-        return F.when(is_text, text)
+        return F.when(kind == "STRING", text)
     if field.type == "double":
-        return F.when(is_number, number).when(is_text, text_number)
+        return number
     if field.type == "timestamp":
-        return (F.when(is_text, F.coalesce(iso_to_timestamp(text), epoch_to_timestamp(text_number)))
-                .when(is_number, epoch_to_timestamp(number)))
+        return F.coalesce(iso_to_timestamp(text), epoch_to_timestamp(number))
     if field.type == "boolean":
-        word = F.when(is_text, F.lower(text)).when(is_number, number.cast("bigint").cast("string"))
-        whole = ~is_number | number.isin(0.0, 1.0)
-        return (F.when(kind == "BOOLEAN", F.try_variant_get(raw, "$", "boolean"))
-                .when(whole & word.isin(*TRUE_TEXTS), True)
-                .when(whole & word.isin(*FALSE_TEXTS), False))
+        word = (F.when(kind.isin("STRING", "BOOLEAN"), F.lower(text))
+                .when(number == 1, "1").when(number == 0, "0"))
+        return F.when(word.isin(*TRUE_TEXTS), True).when(word.isin(*FALSE_TEXTS), False)
     raise ValueError(f"unknown field type {field.type}")
 
 
+def _reject_key(contract: Contract) -> Column:
+    """The key as the payload gives it, of whatever type."""
+    return or_default(F.when(F.col("_ok"), F.col(f"_{contract.key}_text")), schemas.UNKNOWN_KEY)
+
+
+def _reasons(contract: Contract) -> Column:
+    return F.when(F.col("_ok"), F.concat_ws(",", *[_reason(field) for field in contract.fields])).otherwise(MALFORMED)
+
+
 def _reason(field: Field) -> Column:
     """The first rule the field breaks, NULL if none."""
-    kind = F.col(f"_{field.name}_kind")
-    absent, null = kind.isNull(), kind == "VOID"
-    value = F.col(field.name)
-    reason = F.when(absent | (null & F.lit(field.required)),
-                    F.lit(f"missing:{field.name}") if field.required else F.lit(None).cast("string"))
-    if field.nullable:
-        reason = reason.when(null, F.lit(None).cast("string"))
+    kind, value = F.col(f"_{field.name}_kind"), F.col(field.name)
+    none = F.lit(None).cast("string")
+    if field.required:
+        reason = F.when(kind.isNull() | (kind == "VOID"), f"missing:{field.name}")
+    elif field.nullable:
+        reason = F.when(kind.isNull() | (kind == "VOID"), none)
+    else:
+        reason = F.when(kind.isNull(), none)
     reason = reason.when(value.isNull(), f"type:{field.name}")
     if field.allowed is not None:
         reason = reason.when(~value.isin(*field.allowed), f"pattern:{field.name}")
     if field.pattern is not None:
         reason = reason.when(~value.rlike(rf"^(?:{field.pattern})\z"), f"pattern:{field.name}")
     return reason
-
-
-def _filled(field: Field) -> Column:
-    if field.default is None:
-        return F.col(field.name)
-    return F.when(F.col(f"_{field.name}_kind").isNull(), F.lit(field.default)).otherwise(F.col(field.name))

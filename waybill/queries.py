@@ -9,7 +9,7 @@ from waybill import schemas
 from waybill.functions.text import batch_label, telemetry_json
 from waybill.operators import contracts, latest, milestones, quality, rolling, status
 from waybill.plans import gold, medallion
-from waybill.session import scratch_path
+from waybill.session import scratch_path, spread
 from waybill.sinks.files import write_bronze, write_silver
 from waybill.sinks.tables import ensure_database, write_table
 from waybill.sinks.webhooks import current_events, upsert_events
@@ -141,11 +141,12 @@ def gate_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Contracts.
 
 def _checked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contracts.validate(telemetry_messages(read_events(spark, sf_dir)), contracts.TELEMETRY)
+    return contracts.validate(telemetry_messages(spread(read_events(spark, sf_dir))), contracts.TELEMETRY)
 
 
 def _checked_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contracts.validate(read_webhooks(webhook_requests(read_events(spark, sf_dir))), contracts.WEBHOOK)
+    requests = webhook_requests(spread(read_events(spark, sf_dir)))
+    return contracts.validate(read_webhooks(requests), contracts.WEBHOOK)
 
 
 def contract_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +161,7 @@ def contract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (_checked_messages(spark, sf_dir).groupBy(F.expr("event_id div 100").alias("batch_id"))
             .agg(batch_label(F.min("sent_at")).alias("batch_label"), F.count(F.lit(1)).alias("rows"),
-                 F.count_if(F.size("reasons") == 0).alias("valid")))
+                 F.count_if(contracts.is_accepted()).alias("valid")))
 
 
 def webhook_status(spark: SparkSession, sf_dir: str) -> DataFrame:

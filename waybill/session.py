@@ -53,6 +53,13 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of an unaggregated source out to all cores if it comes in
+    fewer partitions, as a topic or a handful of large files does."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of `df`, without running a job."""
     return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
-from waybill import schemas
 from waybill.functions.time import iso_text
 
 
@@ -30,9 +29,5 @@ def write_silver(silver: DataFrame, path: str) -> None:
     silver.write.mode("overwrite").parquet(path)
 
 
-def _own_partition(df: DataFrame):
+def _own_partition(df: DataFrame) -> DataFrameWriter:
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-
-
-REJECT_COLUMNS = ("tracking_number", "reason", "reasons", "payload")
-BRONZE_COLUMNS = tuple(schemas.TELEMETRY.fieldNames())

@@ -7,7 +7,7 @@ is repeated after a failure adds equal rows, which the reader resolves too.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions.text import event_key
@@ -20,8 +20,7 @@ COLUMNS = ("event_key", "event_id", "tracking_number", "scan_type", "timestamp",
 def upsert_events(events: DataFrame, path: str) -> None:
     """Store accepted events; `arrival` says which of two under one key is later."""
     keyed = events.withColumn("event_key", event_key(F.col("tracking_number"), F.col("timestamp")))
-    (keyed.select(*COLUMNS, F.to_date("timestamp").alias("event_date"))
-     .write.mode("append").partitionBy("event_date").parquet(path))
+    _by_date(keyed.select(*COLUMNS)).mode("append").parquet(path)
 
 
 def current_events(spark: SparkSession, path: str, dates: Column | None = None) -> DataFrame:
@@ -35,6 +34,11 @@ def current_events(spark: SparkSession, path: str, dates: Column | None = None)
 
 def compact(spark: SparkSession, path: str, target: str) -> None:
     """Write the resolved store to a new path, for readers to switch to."""
-    events = current_events(spark, path)
-    (events.withColumn("event_date", F.to_date("timestamp"))
-     .write.mode("overwrite").partitionBy("event_date").parquet(target))
+    _by_date(current_events(spark, path)).mode("overwrite").parquet(target)
+
+
+def _by_date(events: DataFrame) -> DataFrameWriter:
+    """Gather each date before writing, or every task would open a file for
+    every date. Rebalancing splits a crowded date and merges the small ones."""
+    dated = events.withColumn("event_date", F.to_date("timestamp"))
+    return dated.hint("rebalance", "event_date").write.partitionBy("event_date")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery
 
 from waybill.operators.contracts import TELEMETRY, WEBHOOK, accepted, rejected, validate
+from waybill.session import spread
 from waybill.sinks.files import write_bronze, write_rejects
 from waybill.sinks.webhooks import upsert_events
 from waybill.sources.webhook import read_webhooks
@@ -24,7 +25,7 @@ def bronze_sink(bronze: str, rejects: str, on_counts: Callable[[int, dict], None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = Observation()
-        checked = validate(batch, TELEMETRY, counts=counts).persist()
+        checked = validate(spread(batch), TELEMETRY, counts=counts).persist()
         try:
             write_bronze(accepted(checked, TELEMETRY), batch_id, bronze)
             write_rejects(rejected(checked, TELEMETRY), batch_id, rejects)
@@ -40,7 +41,7 @@ def webhook_sink(path: str, rejects: str) -> BatchSink:
     """Store the accepted webhook events of a batch, keep the others aside."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = validate(read_webhooks(batch), WEBHOOK).persist()
+        checked = validate(read_webhooks(spread(batch)), WEBHOOK).persist()
         try:
             upsert_events(accepted(checked, WEBHOOK, "arrival"), path)
             write_rejects(rejected(checked, WEBHOOK), batch_id, rejects)
