@@ -4,11 +4,14 @@ from datetime import datetime
 
 import pytest
 
-from waybill.operators.quality import QualityGateError
+from waybill.operators.contracts import WEBHOOK, accepted, validate
+from waybill.operators.quality import QualityGateError, run_gate
 from waybill.operators.status import status_summary
 from waybill.plans import gold, medallion
+from waybill.sinks.webhooks import current_events
 from waybill.sources.bronze import read_bronze
-from waybill.streaming.ingest import bronze_sink, drain
+from waybill.sources.webhook import read_webhooks
+from waybill.streaming.ingest import bronze_sink, drain, webhook_sink
 
 
 def message(key, scan, when, latency=1.0):
@@ -21,13 +24,17 @@ GOOD = [message("TRK-1", "PICKUP", "2024-01-01T00:00:00"), message("TRK-1", "DEL
 
 @pytest.fixture
 def topic(tmp_path):
-    """A folder of message files, read as a stream of one file per batch."""
+    """A folder of message files, read as a stream of one file per batch. A
+    file stream goes by modification time, so each file gets its own."""
     folder = tmp_path / "topic"
     folder.mkdir()
 
     class Topic:
         def send(self, *lines):
-            (folder / f"{len(os.listdir(folder)):04d}.txt").write_text("\n".join(lines) + "\n")
+            number = len(os.listdir(folder))
+            file = folder / f"{number:04d}.txt"
+            file.write_text("\n".join(lines) + "\n")
+            os.utime(file, (1.7e9 + number, 1.7e9 + number))
 
         def stream(self, spark):
             return spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder))
@@ -89,7 +96,6 @@ def test_one_summary_gives_what_the_single_steps_give(spark, topic, lake):
     def rows(df):
         return sorted(map(str, df.select(*sorted(df.columns)).collect()))
 
-    from waybill.operators.quality import run_gate
     assert rows(medallion.gate_of(parcels)) == rows(run_gate(bronze))
     assert rows(medallion.silver_of(parcels)) == rows(status_summary(bronze))
     assert rows(medallion.gold_of(parcels)) == rows(gold.gold_sla(bronze))
@@ -109,3 +115,28 @@ def test_an_empty_topic_is_skipped(spark, topic, lake):
     assert medallion.run(spark, topic.stream(spark), lake) is None
     topic.send("{bad")
     assert medallion.run(spark, topic.stream(spark), lake) is None
+
+
+def test_contracts_work_on_a_stream_and_report_counts(spark, topic, tmp_path):
+    hook = json.dumps({"event_id": "E1", "tracking_number": "TRK-1", "scan_type": "PICKUP",
+                       "timestamp": "2024-01-01T00:00:00"})
+    topic.send(hook, "{bad")
+    bodies = topic.stream(spark).withColumnRenamed("value", "body")
+    valid = accepted(validate(read_webhooks(bodies), WEBHOOK), WEBHOOK)
+    query = (valid.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/checkpoint")
+             .option("path", f"{tmp_path}/out").trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+    counts = [progress.observedMetrics["record_counts"] for progress in query.recentProgress
+              if "record_counts" in progress.observedMetrics]
+    assert [(row["rows"], row["valid"]) for row in counts] == [(2, 1)]
+
+
+def test_a_replayed_webhook_batch_changes_nothing(spark, tmp_path):
+    hook = {"event_id": "E1", "tracking_number": "TRK-1", "scan_type": "PICKUP", "timestamp": "2024-01-01T00:00:00"}
+    batch = spark.createDataFrame([(json.dumps(hook), 1), (json.dumps({**hook, "event_id": "E2"}), 2), ("{bad", 3)],
+                                  "body string, arrival bigint")
+    for _ in range(2):
+        webhook_sink(f"{tmp_path}/events", f"{tmp_path}/rejects", all_cores=True)(batch, 0)
+        assert [row["event_id"] for row in current_events(spark, f"{tmp_path}/events").collect()] == ["E2"]
+        assert spark.read.parquet(f"{tmp_path}/rejects").count() == 1

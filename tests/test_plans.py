@@ -3,14 +3,13 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
-
 from tests.conftest import TESTDATA
 from waybill import queries, schemas
-from waybill.operators import contracts, milestones, ordering, quality, status
+from waybill.operators import contracts, latest, milestones, ordering, quality, status
 from waybill.operators.rolling import rolling_days, rolling_rows
 from waybill.plans import gold, medallion
 from waybill.session import estimated_bytes, scratch_path, spread
+from waybill.sinks.webhooks import upsert_events
 from waybill.sources.telemetry import read_events, telemetry, telemetry_messages
 
 SMALL = f"{TESTDATA}/sf0.001"
@@ -78,6 +77,49 @@ def test_large_inputs_never_meet_in_one_task(spark):
             assert any("HashAggregate(keys=[_range" in line for line in below), below
 
 
+@pytest.fixture
+def tiny_skew(spark):
+    """Thresholds at which a few hundred kilobytes count as skewed, and no broadcast joins."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_crowded_keys_are_split_where_rows_are_joined_back(spark, tiny_skew):
+    copies = spark.range(300000, numPartitions=16).selectExpr("IF(id % 3 = 0, -1, id) AS key", "id AS place")
+    flagged = latest.duplicate_flag(copies, "key", "place")
+    assert len(flagged.filter("NOT is_duplicate").collect()) == 200001
+    deliveries = spark.range(300000, numPartitions=16).selectExpr(
+        "id AS micros", "IF(id % 3 = 0, timestamp_ntz'2024-01-03 00:00:00',"
+        " timestampadd(SECOND, id, timestamp_ntz'2024-01-01 00:00:00')) AS at")
+    rolled = rolling_days(deliveries, "micros", "at", "avg", scaled=True)
+    flagged.collect()
+    assert len(rolled.collect()) == 300000
+    for df in (flagged, rolled):
+        assert "SortMergeJoin(skew=true)" in plan(df)
+
+
+def test_dates_are_gathered_before_they_are_written(spark):
+    path = scratch_path(spark, "dates")
+    events = spark.range(2000, numPartitions=16).selectExpr(
+        "concat('E', id) AS event_id", "concat('T', id) AS tracking_number", "'PICKUP' AS scan_type",
+        "timestampadd(HOUR, id, timestamp_ntz'2024-01-01 00:00:00') AS timestamp",
+        "CAST(NULL AS STRING) AS facility_code", "false AS is_duplicate", "id AS arrival")
+    upsert_events(events, path)
+    stored = spark.read.parquet(path)
+    dates = stored.select("event_date").distinct().count()
+    assert stored.count() == 2000
+    assert len(stored.inputFiles()) == dates
+
+
 def test_size_decides_the_plan(spark):
     events = read_events(spark, SMALL)
     parcels = milestones.transit(milestones.milestones(telemetry(events)))

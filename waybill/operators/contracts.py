@@ -98,9 +98,10 @@ def validate(df: DataFrame, contract: Contract, value: str = "value",
 
 
 def observe_counts(checked: DataFrame, counts: Observation | None = None) -> DataFrame:
-    """Count checked and valid rows while another job runs over them."""
+    """Count checked and valid rows while another job runs over them. A stream
+    reports the counts of each batch in its progress, under `record_counts`."""
     return checked.observe(
-        counts or Observation(),
+        counts or ("record_counts" if checked.isStreaming else Observation()),
         F.count(F.lit(1)).alias("rows"),
         F.count_if(is_accepted()).alias("valid"),
     )

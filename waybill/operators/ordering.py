@@ -45,16 +45,18 @@ def before_range(ordered: DataFrame, **totals: Column) -> DataFrame:
     return sums.select("_range", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in totals])
 
 
-def running_totals(df: DataFrame, order: str, *values: str, scaled: bool | None = None) -> DataFrame:
-    """Replace each of `values` by its running total along `order`, which must be unique."""
+def running_totals(df: DataFrame, order: str, *values: str, keep: tuple[str, ...] = (),
+                   scaled: bool | None = None) -> DataFrame:
+    """Replace each of `values` by its running total along `order`, which must
+    be unique; `keep` names columns to leave as they are."""
     if scaled is None:
         scaled = not fits_one_task(df)
     if not scaled:
         window = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(order, *[F.sum(name).over(window).alias(name) for name in values])
-    ordered = in_order(df.select(order, *values), order, label="running")
+        return df.select(order, *keep, *[F.sum(name).over(window).alias(name) for name in values])
+    ordered = in_order(df.select(order, *keep, *values), order, label="running")
     # As many rows as there are ranges, which is at most the shuffle partitions.
     before = F.broadcast(before_range(ordered, **{f"_before_{name}": F.sum(name) for name in values}))
     window = Window.partitionBy("_range").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
     return ordered.join(before, "_range").select(
-        order, *[(F.col(f"_before_{name}") + F.sum(name).over(window)).alias(name) for name in values])
+        order, *keep, *[(F.col(f"_before_{name}") + F.sum(name).over(window)).alias(name) for name in values])

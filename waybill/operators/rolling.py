@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from waybill import schemas
 from waybill.operators.ordering import before_range, fits_one_task, in_order, running_totals
+from waybill.session import store
 
 BLOCK_ROWS = 250_000
 
@@ -64,6 +65,10 @@ def rolling_days(df: DataFrame, value: str, time: str, output: Column | str,
     is the sum over the frame. Steps are added up per instant first: a crowded
     instant is one row afterwards. Integer sums are exact, whatever the order.
     """
+    if scaled is None:
+        scaled = not fits_one_task(df)
+    if scaled:
+        df = store(df, "rolling-days")  # read twice: for the steps and for the rows
     instant = F.col(time)
     known = F.col(value).isNotNull().cast("bigint")
     amount = F.coalesce(F.col(value), F.lit(0)).cast("decimal(19,0)")
@@ -74,12 +79,10 @@ def rolling_days(df: DataFrame, value: str, time: str, output: Column | str,
     )))
     per_instant = steps.groupBy("_time").agg(
         F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"), F.sum("_rows").alias("_rows"))
-    if scaled is None:
-        scaled = not fits_one_task(df)
-    totals = running_totals(per_instant, "_time", "_sum", "_count", scaled=scaled)
+    totals = running_totals(per_instant, "_time", "_sum", "_count", keep=("_rows",), scaled=scaled)
     average = F.when(F.col("_count") > 0, F.col("_sum").cast("double") / F.col("_count"))
     return (
-        df.join(totals, instant == F.col("_time"), "left")
+        df.join(totals.filter(F.col("_rows") > 0), instant == F.col("_time"), "left")
         .withColumn(output, average)
         .select(*df.columns, output)
     )

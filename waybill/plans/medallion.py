@@ -95,11 +95,11 @@ def refresh(spark: SparkSession, lake: Lake) -> DataFrame | None:
     parcels = store(parcel_summary(bronze), "parcels")
     enforce(gate_of(parcels))
     write_silver(silver_of(parcels), lake.silver)
-    ensure_database(spark, lake.database)
+    ensure_database(spark, lake.database, f"{lake.root}/database")
     return write_table(gold_of(parcels), lake.gold, lake.gold_path)
 
 
-def run(spark: SparkSession, messages: DataFrame, lake: Lake) -> DataFrame | None:
+def run(spark: SparkSession, messages: DataFrame, lake: Lake, all_cores: bool = False) -> DataFrame | None:
     """Drain the messages into bronze, then refresh. Returns the gold table."""
-    drain(messages, bronze_sink(lake.bronze, lake.rejects), lake.checkpoint)
+    drain(messages, bronze_sink(lake.bronze, lake.rejects, all_cores=all_cores), lake.checkpoint)
     return refresh(spark, lake)

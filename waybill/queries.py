@@ -100,7 +100,7 @@ def rolling_7_days_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart through staging views and a catalog table."""
     staged = register("stg_scans", _milestone_scans(spark, sf_dir))
-    ensure_database(spark, "waybill")
+    ensure_database(spark, "waybill", scratch_path(spark, "database"))
     return _mart(write_table(gold.gold_sla(staged), "waybill.sla_mart_by_query", scratch_path(spark, "gold")))
 
 
@@ -203,7 +203,7 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _drained(spark: SparkSession, sf_dir: str) -> medallion.Lake:
     lake = medallion.Lake(scratch_path(spark, "stream"))
     stream = telemetry_messages(stream_events(spark, sf_dir))
-    drain(stream, bronze_sink(lake.bronze, lake.rejects), lake.checkpoint)
+    drain(stream, bronze_sink(lake.bronze, lake.rejects, all_cores=True), lake.checkpoint)
     return lake
 
 
@@ -219,14 +219,14 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "webhook-stream")
     drain(webhook_requests(stream_events(spark, sf_dir)),
-          webhook_sink(f"{root}/events", f"{root}/rejects"), f"{root}/checkpoint")
+          webhook_sink(f"{root}/events", f"{root}/rejects", all_cores=True), f"{root}/checkpoint")
     return current_events(spark, f"{root}/events")
 
 
 def _medallion(spark: SparkSession, sf_dir: str) -> tuple[medallion.Lake, DataFrame]:
     lake = medallion.Lake(scratch_path(spark, "lake"))
     messages = telemetry(stream_events(spark, sf_dir)).select(telemetry_json().alias("value"))
-    return lake, medallion.run(spark, messages, lake)
+    return lake, medallion.run(spark, messages, lake, all_cores=True)
 
 
 def medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,16 +16,20 @@ from waybill.sources.webhook import read_webhooks
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def bronze_sink(bronze: str, rejects: str, on_counts: Callable[[int, dict], None] | None = None) -> BatchSink:
+def bronze_sink(bronze: str, rejects: str, on_counts: Callable[[int, dict], None] | None = None,
+                all_cores: bool = False) -> BatchSink:
     """Validate a batch once and write what passes and what does not.
 
     Both outputs are keyed by the batch id, so a batch that is replayed after
-    a failure replaces what it wrote before.
+    a failure replaces what it wrote before. `all_cores` deals out batches that
+    come in fewer partitions than there are cores; it pays for large batches
+    only, as small ones end up in many small files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = Observation()
-        checked = validate(spread(batch), TELEMETRY, counts=counts).persist()
+        rows = spread(batch) if all_cores else batch
+        checked = validate(rows, TELEMETRY, counts=counts).persist()
         try:
             write_bronze(accepted(checked, TELEMETRY), batch_id, bronze)
             write_rejects(rejected(checked, TELEMETRY), batch_id, rejects)
@@ -37,11 +41,12 @@ def bronze_sink(bronze: str, rejects: str, on_counts: Callable[[int, dict], None
     return write
 
 
-def webhook_sink(path: str, rejects: str) -> BatchSink:
+def webhook_sink(path: str, rejects: str, all_cores: bool = False) -> BatchSink:
     """Store the accepted webhook events of a batch, keep the others aside."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = validate(read_webhooks(spread(batch)), WEBHOOK).persist()
+        rows = spread(batch) if all_cores else batch
+        checked = validate(read_webhooks(rows), WEBHOOK).persist()
         try:
             upsert_events(accepted(checked, WEBHOOK, "arrival"), path)
             write_rejects(rejected(checked, WEBHOOK), batch_id, rejects)
