@@ -127,10 +127,9 @@ SELECT arrival, event_id, scan_type, facility_code, is_duplicate FROM stored""",
     "webhook_upsert": WEBHOOK_STORE,
     "duplicate_flag": f"""WITH {SCANS},
 sent AS (
-  SELECT event_id, "timestamp", 1 AS arrival FROM scans
-  UNION ALL SELECT event_id, "timestamp", 2 FROM scans WHERE scan_type = 'UNKNOWN_ERROR')
-SELECT event_id, arrival,
-       row_number() OVER (PARTITION BY event_id ORDER BY "timestamp", arrival) > 1 AS is_duplicate
+  SELECT event_id, "timestamp" AS arrival FROM scans
+  UNION ALL SELECT event_id, "timestamp" + INTERVAL 1 HOUR FROM scans WHERE scan_type = 'UNKNOWN_ERROR')
+SELECT event_id, arrival, row_number() OVER (PARTITION BY event_id ORDER BY arrival) > 1 AS is_duplicate
 FROM sent""",
     "json_encode": f"""WITH {SCANS}
 SELECT event_id, json_object('tracking_number', tracking_number, 'scan_type', scan_type,

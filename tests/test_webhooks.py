@@ -50,10 +50,18 @@ def test_nulls_may_win(spark):
 
 
 def test_only_the_first_of_a_key_is_no_duplicate(spark):
-    df = spark.createDataFrame([("a", 2), ("a", 1), ("a", 3), ("b", 1), (None, 5), (None, 4)], "id string, place int")
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("a", 3), ("b", 1), (None, 5), (None, 4), ("c", None)],
+                               "id string, place int")
     got = {(row["id"], row["place"]): row["is_duplicate"] for row in duplicate_flag(df, "id", "place").collect()}
     assert got == {("a", 1): False, ("a", 2): True, ("a", 3): True, ("b", 1): False,
-                   (None, 4): False, (None, 5): True}
+                   (None, 4): False, (None, 5): True, ("c", None): False}
+
+
+def test_several_columns_may_give_the_order(spark):
+    df = spark.createDataFrame([("a", 1, 2), ("a", 1, 1), ("a", 2, 0)], "id string, part int, offset int")
+    got = {(row["part"], row["offset"]): row["is_duplicate"]
+           for row in duplicate_flag(df, "id", "part", "offset").collect()}
+    assert got == {(1, 1): False, (1, 2): True, (2, 0): True}
 
 
 def test_a_crowded_key_is_flagged_whole(spark):

@@ -22,14 +22,17 @@ def last_write_wins(df: DataFrame, key: str, arrival: str) -> DataFrame:
 def duplicate_flag(df: DataFrame, key: str, *order: str, output: str = "is_duplicate") -> DataFrame:
     """Flag every row that is not the first of its key.
 
-    `order` must tell the copies of a key apart, as arrival positions do. The
-    firsts are joined back, one row per key, instead of collecting the copies
-    of a key in a window.
+    `order` must tell the copies of a key apart, as arrival times or positions
+    do. Only keys that occur twice are joined back, one row per key, instead of
+    collecting the copies of each key in a window. A single order column of
+    fixed width keeps the aggregate hashed.
     """
-    place = F.struct(*order)
-    firsts = df.groupBy(key).agg(F.min(place).alias("_first"))
-    return (df.join(firsts, df[key].eqNullSafe(firsts[key])).drop(firsts[key])
-            .withColumn(output, place > F.col("_first")).drop("_first"))
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    repeated = (df.groupBy(F.col(key).alias("_key"))
+                .agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+                .filter(F.col("_copies") > 1))
+    return (df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
+            .select(*df.columns, F.coalesce(place > F.col("_first"), F.lit(False)).alias(output)))
 
 
 def drop_duplicates_stream(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:

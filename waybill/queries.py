@@ -180,12 +180,11 @@ def webhook_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events once, and the error scans once more as if they had been resent."""
-    scans = _scans(spark, sf_dir).select("event_id", "scan_type", "timestamp")
-    sent = scans.withColumn("arrival", F.lit(1))
-    resent = scans.filter(F.col("scan_type") == "UNKNOWN_ERROR").withColumn("arrival", F.lit(2))
-    flagged = latest.duplicate_flag(sent.unionAll(resent), "event_id", "timestamp", "arrival")
-    return flagged.select("event_id", "arrival", "is_duplicate")
+    """All events once, and the error scans once more as if resent an hour later."""
+    sent = _scans(spark, sf_dir).select("event_id", "scan_type", F.col("timestamp").alias("arrival"))
+    resent = sent.filter(F.col("scan_type") == "UNKNOWN_ERROR").withColumn(
+        "arrival", F.col("arrival") + F.expr("INTERVAL '1' HOUR"))
+    return latest.duplicate_flag(sent.unionAll(resent).drop("scan_type"), "event_id", "arrival")
 
 
 # Bronze and streams.
