@@ -76,19 +76,25 @@ def validate(df: DataFrame, contract: Contract, value: str = "value",
     """Add the contract's typed columns, `reject_key` and `reasons` to `df`.
 
     `reasons` lists the broken rules in field order, separated by commas, and
-    is empty for an accepted record. The counters are collected where the
-    records are parsed. They also keep the optimizer from moving a later filter
-    on `reasons` below the parsing, which would parse every payload twice.
+    is empty for an accepted record.
+
+    Counters are collected after parsing and after checking. They are borders
+    as well: the optimizer does not move a later filter on `reasons` below the
+    parsing, which would parse every payload again for each rule, and either
+    side is compiled on its own, as the JVM runs very long methods slowly.
     """
     others = [name for name in df.columns if name not in contract.names]
     names = contract.names
+    parsed = (
+        df.select(*others, _parse(F.col(value)).alias("_doc"))
+        .select(*others, _is_record(F.col(value)).alias("_ok"),
+                *[F.try_variant_get("_doc", f"$[0].{name}", "variant").alias(f"_{name}") for name in names])
+    )
     kinds = [F.schema_of_variant(f"_{name}").alias(f"_{name}_kind") for name in names]
     texts = [F.try_variant_get(f"_{name}", "$", "string").alias(f"_{name}_text") for name in names]
     numbers = [_number(field).alias(f"_{field.name}_number") for field in contract.fields]
     checked = (
-        df.select(*others, _parse(F.col(value)).alias("_doc"))
-        .select(*others, _is_record(F.col(value)).alias("_ok"),
-                *[F.try_variant_get("_doc", f"$[0].{name}", "variant").alias(f"_{name}") for name in names])
+        observe_payloads(parsed)
         .select(*others, "_ok", *kinds, *texts)
         .select("*", *numbers)
         .select("*", *[_typed(field).alias(field.name) for field in contract.fields])
@@ -97,16 +103,29 @@ def validate(df: DataFrame, contract: Contract, value: str = "value",
     return observe_counts(checked, counts)
 
 
+def observe_payloads(parsed: DataFrame) -> DataFrame:
+    """Count payloads and those that are no JSON object while a job runs over them."""
+    return parsed.observe(
+        _observer(parsed, "payload_counts"),
+        F.count(F.lit(1)).alias("payloads"),
+        F.count_if(~F.col("_ok")).alias("malformed"),
+    )
+
+
 def observe_counts(checked: DataFrame, counts: Observation | None = None) -> DataFrame:
     """Count checked and valid rows while another job runs over them. A stream
     reports the counts of each batch in its progress, under `record_counts`."""
     return checked.observe(
-        counts or ("record_counts" if checked.isStreaming else Observation()),
+        counts or _observer(checked, "record_counts"),
         F.count(F.lit(1)).alias("rows"),
         F.count_if(is_accepted()).alias("valid"),
     )
 
 
+def _observer(df: DataFrame, name: str) -> Observation | str:
+    return name if df.isStreaming else Observation()
+
+
 def is_accepted() -> Column:
     return F.col("reasons") == ""
 

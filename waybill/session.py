@@ -13,6 +13,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
 }
