@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from waybill.operators.latest import drop_duplicates_stream, duplicate_flag, last_write_wins
@@ -71,18 +72,26 @@ def test_a_crowded_key_is_flagged_whole(spark):
     assert flagged.count() == 30000
 
 
-def test_stream_drops_repeats_within_the_delay(spark, tmp_path):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_stream_drops_repeats_within_the_delay(spark, tmp_path, salts):
     source = f"{tmp_path}/in"
-    spark.createDataFrame([("E1", NOON), ("E2", NOON)], "event_id string, at timestamp").write.parquet(source)
-    stream = spark.readStream.schema("event_id string, at timestamp").parquet(source)
-    unique = drop_duplicates_stream(stream, "event_id", "at", "1 hour")
+    schema = "event_id string, at timestamp"
+
+    def send(*ids):
+        rows = spark.createDataFrame([(event_id, NOON) for event_id in ids], schema)
+        rows.repartition(4).write.mode("append").parquet(source)
 
     def run():
+        stream = spark.readStream.schema(schema).parquet(source)
+        unique = drop_duplicates_stream(stream, "event_id", "at", "1 hour", salts)
         query = (unique.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/checkpoint")
                  .option("path", f"{tmp_path}/out").trigger(availableNow=True).start())
         query.awaitTermination()
 
+    send("E1", "E2", *["hot"] * 300)
     run()
-    spark.createDataFrame([("E1", NOON), ("E3", NOON)], "event_id string, at timestamp").write.mode("append").parquet(source)
+    send("E1", "E3", *["hot"] * 300)
     run()
-    assert sorted(row["event_id"] for row in spark.read.parquet(f"{tmp_path}/out").collect()) == ["E1", "E2", "E3"]
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(row["event_id"] for row in out.collect()) == ["E1", "E2", "E3", "hot"]
+    assert out.columns == ["event_id", "at"]

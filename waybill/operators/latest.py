@@ -35,6 +35,15 @@ def duplicate_flag(df: DataFrame, key: str, *order: str, output: str = "is_dupli
             .select(*df.columns, F.coalesce(place > F.col("_first"), F.lit(False)).alias(output)))
 
 
-def drop_duplicates_stream(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
-    """Pass on the first event of each key; a key is remembered for `delay`."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+def drop_duplicates_stream(stream: DataFrame, key: str, time: str, delay: str, salts: int = 16) -> DataFrame:
+    """Pass on the first event of each key; a key is remembered for at least `delay`.
+
+    State is kept per key, so all copies of a crowded key would meet in one
+    task. They are first reduced per key and salt, the salt being the task they
+    were read in, and then per key. `salts=1` does without the first step.
+    """
+    watched = stream.withWatermark(time, delay)
+    if salts > 1:
+        watched = (watched.withColumn("_salt", F.spark_partition_id() % salts)
+                   .dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt"))
+    return watched.dropDuplicatesWithinWatermark([key])
