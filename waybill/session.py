@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
