@@ -4,8 +4,9 @@ from datetime import datetime
 import pytest
 
 from waybill import schemas
-from waybill.sinks.files import write_bronze, write_silver
-from waybill.sources.bronze import is_empty, read_bronze
+from waybill.operators.contracts import TELEMETRY, validate
+from waybill.sinks.files import ACCEPTED, REJECTED, outcome_path, write_batch, write_bronze, write_silver
+from waybill.sources.bronze import is_empty, read_bronze, read_rejects
 from waybill.sources.topic import messages, topic_options
 
 RECORDS = [
@@ -89,3 +90,21 @@ def test_topic_options():
 def test_messages_are_decoded_and_other_columns_stay(spark):
     raw = spark.createDataFrame([(bytearray(b"TRK-1"), bytearray(b"{}"), 7)], "key binary, value binary, offset long")
     assert tuple(messages(raw).first()) == ("TRK-1", "{}", 7)
+
+
+def test_one_write_keeps_both_outcomes_readable(spark, tmp_path):
+    good = {"tracking_number": "TRK-1\n\"x\"", "scan_type": "PICKUP", "timestamp": "2024-01-02", "ping_latency_ms": "nan"}
+    payloads = [json.dumps(good), json.dumps({**good, "ping_latency_ms": "-inf"}), "{bad\nline", None]
+    checked = validate(spark.createDataFrame([(p,) for p in payloads], "value string"), TELEMETRY)
+    for _ in range(2):
+        write_batch(checked, 5, str(tmp_path))
+        latencies = [row["ping_latency_ms"] for row in read_bronze(spark, outcome_path(str(tmp_path), ACCEPTED)).collect()]
+        assert sorted(map(str, latencies)) == ["-inf", "nan"]
+        rejects = read_rejects(spark, outcome_path(str(tmp_path), REJECTED)).collect()
+        assert {(row["payload"], row["batch_id"]) for row in rejects} == {("{bad\nline", 5), (None, 5)}
+    keys = {row["tracking_number"] for row in read_bronze(spark, outcome_path(str(tmp_path), ACCEPTED)).collect()}
+    assert keys == {"TRK-1\n\"x\""}
+
+
+def test_rejects_of_nothing_are_no_rows(spark, tmp_path):
+    assert is_empty(read_rejects(spark, f"{tmp_path}/absent"))

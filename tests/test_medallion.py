@@ -9,7 +9,7 @@ from waybill.operators.quality import QualityGateError, run_gate
 from waybill.operators.status import status_summary
 from waybill.plans import gold, medallion
 from waybill.sinks.webhooks import current_events
-from waybill.sources.bronze import read_bronze
+from waybill.sources.bronze import read_bronze, read_rejects
 from waybill.sources.webhook import read_webhooks
 from waybill.streaming.ingest import bronze_sink, drain, webhook_sink
 
@@ -51,13 +51,16 @@ def test_batches_land_with_their_rejects_and_counts(spark, topic, lake):
     topic.send(*GOOD[:2], "{bad")
     topic.send(*GOOD[2:], message("TRK-9", "LOST", "2024-01-01T00:00:00"))
     seen = {}
-    sink = bronze_sink(lake.bronze, lake.rejects, lambda batch, counts: seen.update({batch: counts}))
+    sink = bronze_sink(lake.messages, lambda batch, counts: seen.update({batch: counts}))
     drain(topic.stream(spark), sink, lake.checkpoint)
     assert seen == {0: {"rows": 3, "valid": 2}, 1: {"rows": 3, "valid": 2}}
     assert read_bronze(spark, lake.bronze).count() == 4
-    rejects = spark.read.parquet(lake.rejects)
-    assert sorted((row["batch_id"], row["tracking_number"], row["reason"]) for row in rejects.collect()) == [
-        (0, "Unknown", "malformed_json"), (1, "TRK-9", "pattern:scan_type")]
+    rejects = read_rejects(spark, lake.rejects)
+    lost = message("TRK-9", "LOST", "2024-01-01T00:00:00")
+    assert sorted((row["batch_id"], row["tracking_number"], row["reason"], row["reasons"], row["payload"])
+                  for row in rejects.collect()) == [
+        (0, "Unknown", "malformed_json", ["malformed_json"], "{bad"),
+        (1, "TRK-9", "pattern:scan_type", ["pattern:scan_type"], lost)]
     drain(topic.stream(spark), sink, lake.checkpoint)
     assert seen.keys() == {0, 1}
     topic.send(GOOD[0])
@@ -66,12 +69,12 @@ def test_batches_land_with_their_rejects_and_counts(spark, topic, lake):
 
 
 def test_a_replayed_batch_changes_nothing(spark, topic, lake):
-    sink = bronze_sink(lake.bronze, lake.rejects)
+    sink = bronze_sink(lake.messages)
     batch = spark.createDataFrame([(line,) for line in [*GOOD, "{bad"]], "value string")
     for _ in range(2):
         sink(batch, 7)
         assert read_bronze(spark, lake.bronze).count() == 4
-        assert spark.read.parquet(lake.rejects).count() == 1
+        assert read_rejects(spark, lake.rejects).count() == 1
 
 
 def test_from_topic_to_gold(spark, topic, lake):
@@ -89,7 +92,7 @@ def test_from_topic_to_gold(spark, topic, lake):
 def test_one_summary_gives_what_the_single_steps_give(spark, topic, lake):
     topic.send(*GOOD, *[message(f"TRK-{i % 40}", scan, f"2024-02-{1 + i % 28:02d}T00:00:{i % 60:02d}", i % 9 - 0.5)
                         for i in range(400) for scan in ("PICKUP", "DELIVERED", "UNKNOWN_ERROR")])
-    drain(topic.stream(spark), bronze_sink(lake.bronze, lake.rejects), lake.checkpoint)
+    drain(topic.stream(spark), bronze_sink(lake.messages), lake.checkpoint)
     bronze = read_bronze(spark, lake.bronze)
     parcels = medallion.parcel_summary(bronze)
 
@@ -139,4 +142,4 @@ def test_a_replayed_webhook_batch_changes_nothing(spark, tmp_path):
     for _ in range(2):
         webhook_sink(f"{tmp_path}/events", f"{tmp_path}/rejects", all_cores=True)(batch, 0)
         assert [row["event_id"] for row in current_events(spark, f"{tmp_path}/events").collect()] == ["E2"]
-        assert spark.read.parquet(f"{tmp_path}/rejects").count() == 1
+        assert read_rejects(spark, f"{tmp_path}/rejects").count() == 1

@@ -130,6 +130,14 @@ def is_accepted() -> Column:
     return F.col("reasons") == ""
 
 
+def first_reason() -> Column:
+    return F.substring_index("reasons", ",", 1)
+
+
+def reason_list() -> Column:
+    return F.split("reasons", ",")
+
+
 def accepted(checked: DataFrame, contract: Contract, *keep: str) -> DataFrame:
     return checked.filter(is_accepted()).select(*keep, *contract.names)
 
@@ -139,8 +147,8 @@ def rejected(checked: DataFrame, contract: Contract, *keep: str, value: str = "v
     return checked.filter(~is_accepted()).select(
         *keep,
         F.col("reject_key").alias(contract.key),
-        F.substring_index("reasons", ",", 1).alias("reason"),
-        F.split("reasons", ",").alias("reasons"),
+        first_reason().alias("reason"),
+        reason_list().alias("reasons"),
         F.col(value).alias("payload"),
     )
 

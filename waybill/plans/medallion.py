@@ -18,7 +18,7 @@ from waybill.operators.quality import bronze_suite, enforce, expectation_counts,
 from waybill.operators.status import rank_status, status_rank
 from waybill.plans.gold import sla_mart
 from waybill.session import store
-from waybill.sinks.files import write_silver
+from waybill.sinks.files import ACCEPTED, REJECTED, outcome_path, write_silver
 from waybill.sinks.tables import ensure_database, write_table
 from waybill.sources.bronze import is_empty, read_bronze
 from waybill.streaming.ingest import bronze_sink, drain
@@ -33,17 +33,21 @@ class Lake:
     root: str
     database: str = "waybill"
 
+    @property
+    def messages(self) -> str:
+        return f"{self.root}/messages"
+
     @property
     def bronze(self) -> str:
-        return f"{self.root}/bronze"
+        return outcome_path(self.messages, ACCEPTED)
 
     @property
     def rejects(self) -> str:
-        return f"{self.root}/rejects"
+        return outcome_path(self.messages, REJECTED)
 
     @property
     def checkpoint(self) -> str:
-        return f"{self.root}/bronze_checkpoint"
+        return f"{self.root}/messages_checkpoint"
 
     @property
     def silver(self) -> str:
@@ -101,5 +105,5 @@ def refresh(spark: SparkSession, lake: Lake) -> DataFrame | None:
 
 def run(spark: SparkSession, messages: DataFrame, lake: Lake, all_cores: bool = False) -> DataFrame | None:
     """Drain the messages into bronze, then refresh. Returns the gold table."""
-    drain(messages, bronze_sink(lake.bronze, lake.rejects, all_cores=all_cores), lake.checkpoint)
+    drain(messages, bronze_sink(lake.messages, all_cores=all_cores), lake.checkpoint)
     return refresh(spark, lake)

@@ -13,7 +13,7 @@ from waybill.session import scratch_path, spread
 from waybill.sinks.files import write_bronze, write_silver
 from waybill.sinks.tables import ensure_database, write_table
 from waybill.sinks.webhooks import current_events, upsert_events
-from waybill.sources.bronze import read_bronze
+from waybill.sources.bronze import read_bronze, read_rejects
 from waybill.sources.samples import register, staged_scans
 from waybill.sources.telemetry import (
     read_events,
@@ -202,7 +202,7 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _drained(spark: SparkSession, sf_dir: str) -> medallion.Lake:
     lake = medallion.Lake(scratch_path(spark, "stream"))
     stream = telemetry_messages(stream_events(spark, sf_dir))
-    drain(stream, bronze_sink(lake.bronze, lake.rejects, all_cores=True), lake.checkpoint)
+    drain(stream, bronze_sink(lake.messages, all_cores=True), lake.checkpoint)
     return lake
 
 
@@ -211,7 +211,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejects = spark.read.parquet(_drained(spark, sf_dir).rejects)
+    rejects = read_rejects(spark, _drained(spark, sf_dir).rejects)
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -36,6 +36,14 @@ BRONZE = T.StructType([
     T.StructField("ping_latency_ms", T.DoubleType()),
 ])
 
+# A rejected payload inside a JSON file.
+REJECT = T.StructType([
+    T.StructField("tracking_number", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("reasons", T.ArrayType(T.StringType())),
+    T.StructField("payload", T.StringType()),
+])
+
 SCAN_EVENT = T.StructType([
     T.StructField("event_id", T.StringType()),
     T.StructField("tracking_number", T.StringType()),

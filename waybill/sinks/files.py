@@ -1,11 +1,41 @@
-"""File sinks. A batch owns one partition, so that a replay replaces its own rows."""
+"""File sinks. A batch owns its partitions, so that a replay replaces its own rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
+from waybill.functions.text import record_json, telemetry_json
 from waybill.functions.time import iso_text
+from waybill.operators.contracts import first_reason, is_accepted, reason_list
+
+ACCEPTED = "accepted"
+REJECTED = "rejected"
+
+
+def outcome_path(path: str, outcome: str) -> str:
+    """Where `write_batch` puts the records of one outcome."""
+    return f"{path}/outcome={outcome}"
+
+
+def write_batch(checked: DataFrame, batch_id: int, path: str, value: str = "value") -> None:
+    """Accepted and rejected records of one checked batch, in one pass.
+
+    Both become JSON lines, told apart by the partition they are written to, so
+    nothing has to be kept or parsed again for the second output.
+    """
+    reject = record_json(
+        tracking_number=F.col("reject_key"),
+        reason=first_reason(),
+        reasons=reason_list(),
+        payload=F.col(value),
+    )
+    lines = checked.select(
+        F.when(is_accepted(), telemetry_json()).otherwise(reject).alias("line"),
+        F.when(is_accepted(), ACCEPTED).otherwise(REJECTED).alias("outcome"),
+        F.lit(batch_id).alias("batch_id"),
+    )
+    _replacing(lines, "outcome", "batch_id").text(path)
 
 
 def write_bronze(valid: DataFrame, batch_id: int, path: str) -> None:
@@ -17,17 +47,18 @@ def write_bronze(valid: DataFrame, batch_id: int, path: str) -> None:
         "ping_latency_ms",
         F.lit(batch_id).alias("batch_id"),
     )
-    _own_partition(records).option("ignoreNullFields", "false").json(path)
+    _replacing(records, "batch_id").option("ignoreNullFields", "false").json(path)
 
 
 def write_rejects(rejects: DataFrame, batch_id: int, path: str) -> None:
-    """Rejected payloads of one batch with their reasons."""
-    _own_partition(rejects.withColumn("batch_id", F.lit(batch_id))).parquet(path)
+    """Rejected payloads of one batch with their reasons, as JSON lines."""
+    numbered = rejects.withColumn("batch_id", F.lit(batch_id))
+    _replacing(numbered, "batch_id").option("ignoreNullFields", "false").json(path)
 
 
 def write_silver(silver: DataFrame, path: str) -> None:
     silver.write.mode("overwrite").parquet(path)
 
 
-def _own_partition(df: DataFrame) -> DataFrameWriter:
-    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+def _replacing(df: DataFrame, *partitions: str) -> DataFrameWriter:
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)

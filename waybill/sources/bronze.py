@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from waybill import schemas
 from waybill.functions.time import iso_to_timestamp
 
+# `StructType.add` would change the shared schema, so this is a new one.
+REJECTS = StructType([*schemas.REJECT, StructField("batch_id", IntegerType())])
+
 
 def read_bronze(spark: SparkSession, path: str, infer: bool = False, multi_line: bool = False) -> DataFrame:
     """All records under `path`; an absent or empty path gives no rows.
@@ -17,17 +21,26 @@ def read_bronze(spark: SparkSession, path: str, infer: bool = False, multi_line:
     files. `multi_line` is for arrays spread over several lines, one task per
     file. A damaged file fails the read, as bronze holds only checked records.
     """
+    found = _read_json(spark, path, None if infer else schemas.BRONZE, multi_line)
+    if found is None:
+        return spark.createDataFrame([], schemas.TELEMETRY)
+    return found.select(*[_as_telemetry(found, field) for field in schemas.TELEMETRY])
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """All rejected payloads under `path` with the batch each came in."""
+    found = _read_json(spark, path, REJECTS)
+    return found if found is not None else spark.createDataFrame([], REJECTS)
+
+
+def _read_json(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool = False) -> DataFrame | None:
     reader = spark.read.option("mode", "FAILFAST").option("multiLine", multi_line)
     try:
-        if infer:
-            found = reader.json(path)
-        else:
-            found = reader.schema(schemas.BRONZE).json(path)
+        return reader.json(path) if schema is None else reader.schema(schema).json(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], schemas.TELEMETRY)
-    return found.select(*[_as_telemetry(found, field) for field in schemas.TELEMETRY])
+        return None
 
 
 def _as_telemetry(found: DataFrame, field):

@@ -9,16 +9,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from waybill.operators.contracts import TELEMETRY, WEBHOOK, accepted, rejected, validate
 from waybill.session import spread
-from waybill.sinks.files import write_bronze, write_rejects
+from waybill.sinks.files import write_batch, write_rejects
 from waybill.sinks.webhooks import upsert_events
 from waybill.sources.webhook import read_webhooks
 
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def bronze_sink(bronze: str, rejects: str, on_counts: Callable[[int, dict], None] | None = None,
+def bronze_sink(path: str, on_counts: Callable[[int, dict], None] | None = None,
                 all_cores: bool = False) -> BatchSink:
-    """Validate a batch once and write what passes and what does not.
+    """Validate a batch and write what passes and what does not, in one job.
 
     Both outputs are keyed by the batch id, so a batch that is replayed after
     a failure replaces what it wrote before. `all_cores` deals out batches that
@@ -29,14 +29,9 @@ def bronze_sink(bronze: str, rejects: str, on_counts: Callable[[int, dict], None
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = Observation()
         rows = spread(batch) if all_cores else batch
-        checked = validate(rows, TELEMETRY, counts=counts).persist()
-        try:
-            write_bronze(accepted(checked, TELEMETRY), batch_id, bronze)
-            write_rejects(rejected(checked, TELEMETRY), batch_id, rejects)
-            if on_counts is not None:
-                on_counts(batch_id, counts.get)
-        finally:
-            checked.unpersist()
+        write_batch(validate(rows, TELEMETRY, counts=counts), batch_id, path)
+        if on_counts is not None:
+            on_counts(batch_id, counts.get)
 
     return write
 
