@@ -10,8 +10,10 @@ from waybill.sources.bronze import is_empty, read_bronze, read_rejects
 from waybill.sources.topic import messages, topic_options
 
 RECORDS = [
-    {"tracking_number": "TRK-1", "scan_type": "PICKUP", "timestamp": "2024-01-02 03:04:05.123456", "ping_latency_ms": 1.5},
-    {"tracking_number": "TRK-2", "scan_type": "DELIVERED", "timestamp": "2024-01-02 03:04:05+02:00", "ping_latency_ms": None},
+    {"tracking_number": "TRK-1", "scan_type": "PICKUP",
+     "timestamp": "2024-01-02 03:04:05.123456", "ping_latency_ms": 1.5},
+    {"tracking_number": "TRK-2", "scan_type": "DELIVERED",
+     "timestamp": "2024-01-02 03:04:05+02:00", "ping_latency_ms": None},
 ]
 ROWS = [("TRK-1", "PICKUP", datetime(2024, 1, 2, 3, 4, 5, 123456), 1.5),
         ("TRK-2", "DELIVERED", datetime(2024, 1, 2, 1, 4, 5), None)]

@@ -7,7 +7,7 @@ plans below give the same rows with the work spread out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill import schemas
@@ -56,7 +56,7 @@ def _rolling_rows_in_blocks(df: DataFrame, value: str, order: tuple[str, ...], o
     )
 
 
-def rolling_days(df: DataFrame, value: str, time: str, output: Column | str,
+def rolling_days(df: DataFrame, value: str, time: str, output: str,
                  days: int = schemas.ROLLING_DAYS, scaled: bool | None = None) -> DataFrame:
     """Average of the integer column `value` over the `days` days up to `time`.
 

@@ -43,10 +43,3 @@ REJECT = T.StructType([
     T.StructField("reasons", T.ArrayType(T.StringType())),
     T.StructField("payload", T.StringType()),
 ])
-
-SCAN_EVENT = T.StructType([
-    T.StructField("event_id", T.StringType()),
-    T.StructField("tracking_number", T.StringType()),
-    T.StructField("scan_type", T.StringType()),
-    T.StructField("timestamp", T.TimestampNTZType()),
-])
