@@ -31,6 +31,22 @@ SELECT sets.doc_id, len(shingles)::BIGINT AS n_shingles,
 FROM sets LEFT JOIN least USING (doc_id)
 """
 
+OP9 = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vector
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vector, c.vector)::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored
+QUALIFY rank <= 5
+"""
+
 ORACLES = {
     "op4_near_dedup": OP4,
+    "op9_topk_search": OP9,
 }

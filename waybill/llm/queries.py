@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import near_dedup
+from waybill.llm import bpe, near_dedup, secrets, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,22 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.read_vocabulary(spark, public_tokenizers.path("word_bpe_49k.json"))
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 QUERIES = {
     "op4_near_dedup": op4_near_dedup,
+    "op6_bpe": op6_bpe,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_topk_search": op9_topk_search,
 }

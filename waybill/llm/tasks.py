@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 _shipped: set[str] = set()
 
 
-def _ship(context: SparkContext) -> None:
+def ship(context: SparkContext) -> None:
     """Give the executors this package once per application, as `--py-files` would."""
     if context.applicationId in _shipped:
         return
@@ -31,5 +31,5 @@ def _ship(context: SparkContext) -> None:
 
 def over_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """`mapInArrow` with this package at hand in the tasks."""
-    _ship(df.sparkSession.sparkContext)
+    ship(df.sparkSession.sparkContext)
     return df.mapInArrow(function, schema)
