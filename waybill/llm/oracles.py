@@ -46,7 +46,35 @@ FROM scored
 QUALIFY rank <= 5
 """
 
+OP10 = """
+WITH RECURSIVE sizes AS (
+    SELECT source, count(*) AS documents, pow(count(*)::DOUBLE, 0.5) AS weight FROM documents GROUP BY source
+), rates AS (
+    SELECT source, sum(documents) OVER () * weight / (sum(weight) OVER () * documents) AS rate FROM sizes
+), parts AS (
+    SELECT source, greatest(ceil(rate / 16), 1)::INTEGER AS parts, rate / greatest(ceil(rate / 16), 1) AS mean FROM rates
+), terms AS (
+    SELECT source, mean, 0 AS k, exp(-mean) AS term, exp(-mean) AS reached FROM parts
+    UNION ALL
+    SELECT source, mean, k + 1, term * mean / (k + 1), reached + term * mean / (k + 1) FROM terms WHERE k < 120
+), chances AS (
+    SELECT doc_id, text, lang, d.source, n_chars, part,
+           (('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, 'null') || '|' || part), 1, 12))::BIGINT + 0.5::DOUBLE)
+           / pow(2, 48) AS chance
+    FROM documents d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, parts + 1)) AS numbers(part)
+), drawn AS (
+    SELECT c.doc_id, c.part, count(reached) AS copies
+    FROM chances c LEFT JOIN terms t ON c.source IS NOT DISTINCT FROM t.source AND reached < chance
+    GROUP BY c.doc_id, c.part
+), counted AS (
+    SELECT doc_id, sum(copies)::INTEGER AS copies FROM drawn GROUP BY doc_id
+)
+SELECT d.*, copy::INTEGER AS copy
+FROM documents d JOIN counted USING (doc_id), unnest(range(0, copies)) AS numbers(copy)
+"""
+
 ORACLES = {
     "op4_near_dedup": OP4,
     "op9_topk_search": OP9,
+    "op10_source_mixing": OP10,
 }

@@ -5,7 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import bpe, near_dedup, secrets, topk
+from waybill.llm import bpe, mixing, near_dedup, pseudonyms, secrets, topk
+
+
+# A deployment passes a key of its own that it keeps secret.
+PSEUDONYM_KEY = "pseudonyms of the test tables"
+MIXING_SEED = 17
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +27,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymize(_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(_table(spark, sf_dir, "documents")))
 
@@ -30,9 +39,15 @@ def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.replicate(_table(spark, sf_dir, "documents"), seed=MIXING_SEED)
+
+
 QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op6_bpe": op6_bpe,
+    "op7_pii": op7_pii,
     "op8_secret_scan": op8_secret_scan,
     "op9_topk_search": op9_topk_search,
+    "op10_source_mixing": op10_source_mixing,
 }

@@ -220,12 +220,16 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     return over_batches(needed, find, ", ".join([*kept, f"secrets {SCHEMA}"]))
 
 
+def _of_kind(kind: str):
+    return lambda one: one["kind"] == kind
+
+
 def digests(found: DataFrame) -> DataFrame:
     """Counts and digest of the finds that stand in the text itself, and the spans of all."""
     base = F.filter("secrets", lambda one: one["depth"] == 0)
     listed = lambda finds: F.array_join(
         F.transform(finds, lambda one: F.concat_ws(":", one["kind"], one["start"], one["end"])), ",")
-    counts = [F.size(F.filter(base, lambda one, kind=kind: one["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    counts = [F.size(F.filter(base, _of_kind(kind))).cast("bigint").alias(f"n_{kind}")
               for kind in KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"),
                         listed(F.col("secrets")).alias("spans"))
