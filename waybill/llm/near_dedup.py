@@ -9,11 +9,13 @@ and pairs above `MATCHES` are confirmed on the full sets. A pair at similarity
 0.75 shares no prefix list with a chance of 0.25**16 (2e-10) and stays below the
 match threshold with a chance of about 1e-6; both fall steeply above 0.75.
 
-No list emits all its pairs. First each list ties its members to the one that
-agrees best with the others, which is the original in a group of copies. Then
-only pairs of nodes that are still in different components are compared. Lists
-of over `BLOCK` members are worked on in blocks, in the second step in pairs
-of blocks, so that no task holds a whole crowded list and no pair is left out.
+No list emits all its pairs. Each ties its members to the one that agrees best
+with the others, which is the original in a group of copies; what hangs together
+by such ties is a family. Pairs within a family are compared where its sets lie
+together, and only links that join what was apart are passed on. What is left
+are pairs of different families in one list. Large families and lists are worked
+on in pairs of blocks, so no task holds more than two blocks and no pair is left
+out.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ COORDINATES = 128
 PREFIX = 16
 MATCHES = 72
 SIMILARITY_PERCENT = 75
-BLOCK = 4096
+BLOCK = 2048
+BLOCK_SHINGLES = 1 << 20
 # Keys of candidate texts are broadcast up to this number (8 bytes each), beyond it texts are shuffled.
 BROADCAST_KEYS = 2_000_000
 
@@ -142,27 +145,68 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _pairs(left, right)
 
 
+def _similar(own: np.ndarray, flat: np.ndarray, borders: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Those of `others` whose sets are similar enough to the set `own`; set i is flat[borders[i]:borders[i + 1]]."""
+    sizes = borders[others + 1] - borders[others]
+    ends = np.cumsum(sizes)
+    places = np.arange(ends[-1]) + np.repeat(borders[others] - (ends - sizes), sizes)
+    values = flat[places]
+    found = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+    common = np.add.reduceat(found, ends - sizes, dtype=np.int64)
+    return others[(100 + SIMILARITY_PERCENT) * common >= SIMILARITY_PERCENT * (len(own) + sizes)]
+
+
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each family or pair of its blocks, links that connect all that is linked there."""
+    for table, borders in whole_groups(batches, ["family", "low", "high"], rows=2000):
+        left, right = [], []
+        for low, high in zip(borders[:-1], borders[1:]):
+            signatures, sizes = _members(table, low, high)
+            part = table.slice(low, high - low)
+            nodes, block = part.column("node").to_pylist(), part.column("block").to_numpy()
+            lists = part.column("shingles").combine_chunks()
+            cuts = lists.offsets.to_numpy().astype(np.int64)
+            flat = lists.flatten().to_numpy().view(np.uint64)
+            cuts = cuts - cuts[0]
+            first, last = part.column("low")[0].as_py(), part.column("high")[0].as_py()
+            root = np.arange(high - low)
+            typical = int((signatures == _consensus(signatures)).sum(axis=1).argmax())
+            order = [typical, *range(typical), *range(typical + 1, high - low)]
+            done = np.zeros(high - low, bool)
+            for i in order:
+                done[i] = True
+                others = ~done & (root != root[i]) & _may_be_alike(sizes[i], sizes)
+                if first != last:
+                    others &= block != block[i]
+                others = np.flatnonzero(others)
+                if len(others):
+                    others = others[(signatures[others] == signatures[i]).sum(axis=1) >= MATCHES]
+                if not len(others):
+                    continue
+                for j in _similar(flat[cuts[i]:cuts[i + 1]], flat, cuts, others):
+                    if root[j] != root[i]:
+                        root[root == root[j]] = root[i]
+                        left.append(nodes[i])
+                        right.append(nodes[j])
+        if left:
+            yield _pairs(left, right)
+
+
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each list or pair of blocks, the pairs that collide often enough and
-    lie in different components."""
+    lie in different families."""
     for table, borders in whole_groups(batches, ["token", "low", "high"]):
         left, right = [], []
         for low, high in zip(borders[:-1], borders[1:]):
             signatures, sizes = _members(table, low, high)
             part = table.slice(low, high - low)
-            nodes = part.column("node").to_pylist()
-            numbers: dict[bytes, int] = {}
-            labels = np.array([numbers.setdefault(x, len(numbers)) for x in part.column("label").to_pylist()])
-            block = part.column("block").to_numpy()
+            nodes, block = part.column("node").to_pylist(), part.column("block").to_numpy()
+            family = part.column("family").to_numpy()
             same = part.column("low")[0].as_py() == part.column("high")[0].as_py()
             for i in range(high - low):
-                others = labels != labels[i]
-                others &= _may_be_alike(sizes[i], sizes)
-                if same:
-                    others[:i + 1] = False
-                elif block[i] != part.column("low")[0].as_py():
-                    continue
-                else:
+                others = (family != family[i]) & _may_be_alike(sizes[i], sizes)
+                others[:i + 1] = False
+                if not same:
                     others &= block != block[i]
                 others = np.flatnonzero(others)
                 if len(others):
@@ -184,6 +228,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(alike).select("a", "b")
 
 
+def _in_block_pairs(members: DataFrame, *group: str) -> DataFrame:
+    """Rows with `block` and `blocks`, once for each pair `low`, `high` of blocks that the row's block is in."""
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    paired = (members.withColumn("_other", other).withColumn("low", F.least("block", "_other"))
+              .withColumn("high", F.greatest("block", "_other")).drop("_other", "blocks"))
+    keys = (*group, "low", "high")
+    return paired.repartition(*keys).sortWithinPartitions(*keys)
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
     """The full shingle sets of the nodes `wanted`, each from one of its texts."""
     keyed = docs.filter("text IS NOT NULL").select("text", F.xxhash64("text").alias("_key"))
@@ -224,27 +277,25 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None) -> DataFram
                 F.pmod(F.xxhash64("node"), blocks).alias("block")), "postings")
 
     listed = postings.repartition("token", "block").sortWithinPartitions("token", "block")
-    first = scratch.store(over_batches(listed, _stars, _PAIRS).distinct(), "pairs")
-    sets_first = _sets_of(docs, _keys(first, nodes), scratch)
-    links = scratch.store(_confirmed(first, sets_first), "links")
-    labels = connected(links, scratch)
-
-    labelled = postings.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = (labelled.groupBy("token").agg(F.min("label").alias("_least"), F.max("label").alias("_most"))
+    ties = scratch.store(over_batches(listed, _stars, _PAIRS).distinct(), "ties")
+    families = connected(ties, scratch).select("node", F.xxhash64("label").alias("family"))
+    sets = _sets_of(docs, _keys(ties, nodes), scratch)
+    extent = families.join(nodes.select("node", "n_shingles"), "node").groupBy("family").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("bigint").alias("blocks"))
+    member = (families.join(extent, "family").join(described, "node").join(sets, "node")
+              .withColumn("block", F.pmod(F.xxhash64("node"), "blocks")))
+    inner = scratch.store(over_batches(_in_block_pairs(member, "family"), _within, _PAIRS), "links")
+
+    # A node without a tie is a family of its own.
+    placed = postings.join(families, "node", "left").withColumn("family", F.coalesce("family", F.xxhash64("node")))
+    mixed = (placed.groupBy("token").agg(F.min("family").alias("_least"), F.max("family").alias("_most"))
              .filter("_least != _most").select("token"))
-    spread = (labelled.join(mixed, "token")
-              .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-              .withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
-              .select("token", "low", "high", "block", "node", "label", "n_shingles", "signature"))
-    listed = spread.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
-    crossing = over_batches(listed, _crossing, _PAIRS).distinct()
-    second = scratch.store(crossing.join(first, ["a", "b"], "left_anti"), "pairs")
-    sets_second = _sets_of(docs, _keys(second, nodes), scratch)
-    more = scratch.store(_confirmed(second, sets_second), "links")
-    # The components so far are stars around their labels, so they stand for the first links.
-    final = scratch.store(
-        connected(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(more), scratch), "labels")
-    scratch.drop(nodes, postings, first, sets_first, links, second, sets_second, more)
+    crossing = over_batches(_in_block_pairs(placed.join(mixed, "token"), "token"), _crossing, _PAIRS)
+    pairs = scratch.store(crossing.distinct(), "pairs")
+    outer_sets = _sets_of(docs, _keys(pairs, nodes), scratch)
+    outer = scratch.store(_confirmed(pairs, outer_sets), "links")
+    final = scratch.store(connected(inner.unionAll(outer), scratch), "labels")
+    scratch.drop(nodes, postings, ties, sets, inner, pairs, outer_sets, outer)
 
     rows = (signed.select("doc_id", "text_key", "n_shingles", "node").join(final, "node", "left")
             .withColumn("class", F.coalesce("label", "node")))
