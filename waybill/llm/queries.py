@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waybill.llm import bpe, mixing, near_dedup, pseudonyms, secrets, topk
+from waybill.llm import bpe, language, mixing, near_dedup, pseudonyms, scoring, secrets, sketch, topk
 
 
 # A deployment passes a key of its own that it keeps secret.
@@ -17,11 +18,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(modulus: int) -> Column:
+    """crc32 of the id as text, modulo `modulus`."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from folds 0, 1 and 3 of four; fold 3 also sets the limits of rejection."""
+    docs, fold = _table(spark, sf_dir, "documents"), _fold(4)
+    identifier = language.learn(docs, F.when(fold.isin(0, 1), 0).when(fold == 3, 1))
+    held_out = F.coalesce(fold == 2, F.lit(False))
+    return language.identify(docs, identifier).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = _fold(7)
+    return scoring.score(_table(spark, sf_dir, "documents"), fold != 2).select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(spark, public_tokenizers.path("word_bpe_49k.json"))
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
@@ -44,7 +70,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_document_fingerprints": op2_document_fingerprints,
+    "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_bpe": op6_bpe,
     "op7_pii": op7_pii,
     "op8_secret_scan": op8_secret_scan,

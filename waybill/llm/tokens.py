@@ -73,10 +73,20 @@ def _hash_window(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * _power_table(_INVERSE, len(data) + 1)[starts])
 
 
+def raw_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of given ranges of bytes, ascending and apart, as they are."""
+    return _hash_window(data, starts, ends)
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, and where each text's words begin and end."""
     data = LOWER[data]
     starts, ends = word_borders(data, offsets)
+    return hashes_at(data, starts, ends), np.searchsorted(starts, offsets)
+
+
+def hashes_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of words at given places of lower-cased bytes."""
     hashes = np.empty(len(starts), np.uint64)
     low = 0
     while low < len(starts):
@@ -91,7 +101,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     for i in np.flatnonzero(ends - starts > LONG_WORD):
         digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
         hashes[i] = int.from_bytes(digest, "little")
-    return hashes, np.searchsorted(starts, offsets)
+    return hashes
 
 
 def shingle_hashes(words: np.ndarray) -> np.ndarray:
