@@ -26,7 +26,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 from waybill.llm.arrow import text_slices
-from waybill.llm.tasks import over_batches
+from waybill.llm.columns import with_text
+from waybill.llm.tasks import over_batches, with_made
 
 CACHED_WORDS = 250_000
 
@@ -173,12 +174,14 @@ def round_trip(docs: DataFrame, vocabulary: Broadcast, keep: tuple[str, ...] = (
                with_ids: bool = True) -> DataFrame:
     """Encode every text and decode it again.
 
-    Gives the columns `keep` (not named like one of the new columns), `ids` if
-    asked for, `n_tokens`, `ids_sha256` of the ids in decimal and `decoded_sha256`
-    of the decoded text. A null text counts as empty and has no ids. Rows may
+    Gives the columns `keep`, `ids` if asked for, `n_tokens`, `ids_sha256` of
+    the ids in decimal and `decoded_sha256` of the decoded text; a new name that
+    is taken gets underscores appended. A null text counts as empty and has no ids. Rows may
     repeat and come back as often; an empty table gives an empty result.
     """
-    made = (["ids array<int>"] if with_ids else []) + ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"]
+    made = "ids array<int>, " * with_ids + "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    schema = with_made(docs, keep, made)
+    names = schema.names
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary.value)
@@ -195,8 +198,6 @@ def round_trip(docs: DataFrame, vocabulary: Broadcast, keep: tuple[str, ...] = (
             columns = [part.column(name) for name in keep]
             columns += [pa.array(lists, pa.list_(pa.int32()))] if with_ids else []
             columns += [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, *(column.split(" ")[0] for column in made)])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    kept = [f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in keep]
-    needed = docs.select(*keep, *([] if "text" in keep else ["text"]))
-    return over_batches(needed, encode, ", ".join(kept + made))
+    return over_batches(with_text(docs, keep), encode, schema)

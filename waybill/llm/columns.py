@@ -14,6 +14,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold any character, for expressions."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def with_text(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The columns `keep`, and `text` if it is not among them."""
+    return df.select(*[quoted(name) for name in keep], *([] if "text" in keep else ["text"]))
+
+
 def hash60(*parts: Column | str) -> Column:
     """A keyed 60-bit number from the text of `parts`."""
     return F.conv(F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 15), 16, 10).cast("bigint")

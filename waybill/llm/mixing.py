@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.columns import free_name
+from waybill.llm.columns import free_name, quoted
 from waybill.llm.scratch import Scratch
 
 # A rate is split into equal parts of at most this mean, whose draws add up to a Poisson draw again.
@@ -94,5 +94,5 @@ def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, t
                .withColumn(number, copies).filter(F.col(number) > 0))
     exploded = counted.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(number) - 1)))
     shuffled = exploded.withColumn(order, F.md5(F.concat_ws("|", F.lit(f"order {seed}"), name, F.col(copy))))
-    return (shuffled.select(*docs.columns, copy, order).repartition(order)
+    return (shuffled.select(*[quoted(column) for column in docs.columns], copy, order).repartition(order)
             .sortWithinPartitions(order, copy).drop(order))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from waybill.llm.arrow import binary, text_slices, utf8, whole_groups
 from waybill.llm.components import connected
+from waybill.llm.columns import free_name, quoted
 from waybill.llm.scratch import Scratch
 from waybill.llm.tasks import over_batches
 from waybill.llm.tokens import mix, shingle_set, word_hashes
@@ -318,11 +319,13 @@ def survivors(docs: DataFrame) -> DataFrame:
     the smallest id, a single one if rows repeat. Rows without words all stay,
     repeated ones included."""
     found = near_duplicates(docs).filter("kept").select("doc_id", "text_key", "n_shingles", "class")
+    name, key, hash_, once, place = (free_name(docs, one) for one in ("_id", "_key", "_text_key", "_once", "_place"))
     one = found.filter("n_shingles > 0").groupBy("doc_id", "class").agg(F.min("text_key").alias("text_key"))
-    alone = found.filter("n_shingles = 0").select("doc_id", "text_key", F.lit(False).alias("_once")).distinct()
-    chosen = (one.select("doc_id", "text_key", F.lit(True).alias("_once")).unionAll(alone)
-              .withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    order = Window.partitionBy("_id", "_key").orderBy("_key")
-    return (docs.withColumn("_text_key", F.xxhash64("text")).join(chosen, same)
-            .withColumn("_place", F.row_number().over(order)).filter("NOT _once OR _place = 1").select(*docs.columns))
+    alone = found.filter("n_shingles = 0").select("doc_id", "text_key", F.lit(False).alias(once)).distinct()
+    chosen = (one.select("doc_id", "text_key", F.lit(True).alias(once)).unionAll(alone)
+              .withColumnsRenamed({"doc_id": name, "text_key": key}))
+    same = F.col("doc_id").eqNullSafe(F.col(name)) & (F.col(hash_) == F.col(key))
+    order = Window.partitionBy(name, key).orderBy(key)
+    return (docs.withColumn(hash_, F.xxhash64("text")).join(chosen, same)
+            .withColumn(place, F.row_number().over(order)).filter(~F.col(once) | (F.col(place) == 1))
+            .select(*[quoted(column) for column in docs.columns]))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.columns import free_name, hash60
+from waybill.llm.columns import free_name, hash60, quoted
 
 ROUNDS = 8
 KINDS = ("mail", "date", "card", "social", "address", "phone")
@@ -214,6 +214,6 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     text = F.when(F.size(cut) > 0, joined).otherwise(F.col("text"))
     marked = docs.withColumn(cut, found)
     return marked.select(
-        *[text.alias(name) if name == "text" else F.col(f"`{name}`") for name in docs.columns],
+        *[text.alias(name) if name == "text" else F.col(quoted(name)) for name in docs.columns],
         *[F.coalesce(F.size(F.filter(cut, _of_kind(kind))), F.lit(0)).alias(name)
           for kind, name in zip(KINDS, counts)])

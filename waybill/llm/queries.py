@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, language, mixing, near_dedup, pseudonyms, scoring, secrets, sketch, topk
+from waybill.llm import bpe, language, mixing, near_dedup, pseudonyms, quality, scoring, secrets, sketch, topk
 
 
 # A deployment passes a key of its own that it keeps secret.
 PSEUDONYM_KEY = "pseudonyms of the test tables"
 MIXING_SEED = 17
+QUALITY_LIMIT = 0.3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,14 @@ def _fold(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = _table(spark, sf_dir, "documents"), _fold(5)
+    network = quality.learn(docs, _table(spark, sf_dir, "labels"), fold != 0)
+    predicted = F.when(F.col("score") >= QUALITY_LIMIT, 1).otherwise(0)
+    return quality.rate(docs, network).select(
+        "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +79,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.arrow import text_slices
-from waybill.llm.tasks import over_batches
+from waybill.llm.columns import with_text
+from waybill.llm.tasks import over_batches, with_made
 
 # The kinds in the order in which equal starts are listed.
 KINDS = ("assign", "access", "hex")
@@ -200,11 +201,15 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int, str]]:
 
 
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `keep` and `secrets`, the finds of the whole text.
+    """The columns `keep` and `secrets` (with underscores appended if that name
+    is taken), the finds of the whole text.
 
     A null or empty text has none. Rows may repeat; an empty table gives an
     empty result. Positions are code points, ends are exclusive.
     """
+    schema = with_made(docs, keep, f"secrets {SCHEMA}")
+    columns = schema.names
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                    ("depth", pa.int32()), ("value", pa.string())]))
@@ -212,12 +217,9 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         for part in text_slices(batches):
             finds = [[dict(zip(names, one)) for one in find_secrets(text or "")]
                      for text in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(part.column(name) for name in keep), pa.array(finds, kind)],
-                                             [*keep, "secrets"])
+            yield pa.RecordBatch.from_arrays([*(part.column(name) for name in keep), pa.array(finds, kind)], columns)
 
-    kept = [f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in keep]
-    needed = docs.select(*keep, *([] if "text" in keep else ["text"]))
-    return over_batches(needed, find, ", ".join([*kept, f"secrets {SCHEMA}"]))
+    return over_batches(with_text(docs, keep), find, schema)
 
 
 def _of_kind(kind: str):

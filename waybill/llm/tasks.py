@@ -9,6 +9,9 @@ from collections.abc import Callable
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructField, StructType
+
+from waybill.llm.columns import free_name, quoted
 
 _shipped: set[str] = set()
 
@@ -29,7 +32,15 @@ def ship(context: SparkContext) -> None:
     _shipped.add(context.applicationId)
 
 
-def over_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def with_made(df: DataFrame, keep: tuple[str, ...], made: str) -> StructType:
+    """The columns `keep` of `df` and new ones, given as DDL; a new name that
+    is taken by a kept column, in either case, gets underscores appended."""
+    kept = df.select(*[quoted(name) for name in keep])
+    new = [StructField(free_name(kept, field.name), field.dataType) for field in StructType.fromDDL(made)]
+    return StructType([*kept.schema.fields, *new])
+
+
+def over_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """`mapInArrow` with this package at hand in the tasks."""
     ship(df.sparkSession.sparkContext)
     return df.mapInArrow(function, schema)
