@@ -1,0 +1,100 @@
+import random
+from itertools import combinations
+
+from waybill.llm import near_dedup
+from waybill.llm.near_dedup import near_duplicates, survivors
+
+
+def shingles(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in lowered).split(" ") if w]
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+
+def brute(rows):
+    sets = {i: shingles(text) for i, text in rows}
+    label = {i: i for i in sets}
+    for a, b in combinations(sorted(sets), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            low, high = sorted((label[a], label[b]))
+            label = {i: low if one == high else one for i, one in label.items()}
+    return sorted((i, len(sets[i]), label[i], label[i] == i) for i in sets)
+
+
+def results(docs):
+    return sorted(tuple(row) for row in near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept").collect())
+
+
+def text_of(rng, n):
+    return " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta"]) + str(rng.randrange(30))
+                    for _ in range(n))
+
+
+def variants(rng, text, changes):
+    words = text.split(" ")
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_against_brute_force(documents):
+    rng = random.Random(3)
+    rows = []
+    for base in range(12):
+        text = text_of(rng, rng.choice([3, 8, 40, 120]))
+        rows.append(text)
+        rows += [variants(rng, text, rng.choice([0, 1, 2, 3, 5])) for _ in range(rng.choice([0, 1, 4, 9]))]
+    rows += [text_of(rng, 4).upper(), "", "  \t\n", None, "é à", "É à"]
+    rng.shuffle(rows)
+    numbered = list(enumerate(rows))
+    assert results(documents(numbered)) == brute(numbered)
+
+
+def test_large_family_in_blocks(documents, monkeypatch):
+    """A family of copies of copies, with blocks far smaller than the family."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = random.Random(5)
+    text = text_of(rng, 60)
+    rows = [text]
+    for _ in range(70):
+        rows.append(variants(rng, rng.choice(rows), 1))
+    numbered = list(enumerate(rows))
+    assert results(documents(numbered)) == brute(numbered)
+
+
+def test_threshold_is_exact(documents):
+    """Sets of sizes 20 and 15 with 15 in common lie on the border; with one less in common they are apart."""
+    words = [f"w{i}" for i in range(24)]
+    other = [f"v{i}" for i in range(24)]
+    rows = [(1, words), (2, words[:19]), (3, other), (4, other[:18]), *((10 + n, [f"u{n}"] * n) for n in range(7))]
+    rows = [(i, " ".join(words)) for i, words in rows]
+    found = results(documents(rows))
+    assert [row[2] for row in found[:4]] == [1, 1, 3, 4]
+    assert found == brute(rows)
+
+
+def test_edge_rows(spark, documents):
+    rows = [(1, None), (2, ""), (3, " "), (4, "one two"), (4, "one two"), (7, "ONE  two"), (None, "one two"), (9, "a")]
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(documents(rows)).collect()),
+                   key=str)
+    assert found == sorted([(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (4, 1, 4, True),
+                            (7, 1, 4, False), (None, 1, 4, False), (9, 1, 9, True)], key=str)
+    assert results(documents([])) == []
+
+
+def test_long_text(documents):
+    text = "word " * 30_000 + "x" * 5_000 + " " + " ".join(map(str, range(50_000)))
+    found = results(documents([(1, text), (2, text + " end"), (3, "x" * 5_000)]))
+    assert [row[2] for row in found] == [1, 1, 3]
+
+
+def test_survivors(documents, clashing):
+    rows = [(3, "one two three"), (1, "one two  three"), (1, "one two  three"), (2, ""), (2, ""), (5, None)]
+    docs = clashing(documents(rows), "_id", "_key", "node", "class", "kept", "a b")
+    left = survivors(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text, r._id) for r in left.collect() if r.text is not None) == [
+        (1, "one two  three", "own _id"), (2, "", "own _id"), (2, "", "own _id")]
+    assert left.filter("text IS NULL").count() == 1
