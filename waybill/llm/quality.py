@@ -27,7 +27,7 @@ from waybill.llm.tasks import over_batches, with_made
 
 SAMPLE_ROWS = 3000
 SAMPLE_BYTES = 24 << 20
-WIDTH, STRIDE = 8, 4
+WIDTH, STRIDE = 8, 4  # bytes; a window is two strides
 FILTERS, HIDDEN = 24, 24
 HALF = 16  # windows in half a chunk
 HALF_BYTES = HALF * STRIDE
@@ -55,13 +55,15 @@ FEATURES = byte_features()
 
 
 def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts one after the other, each filled up to whole halves of chunks,
-    of which each text has at least two, and the borders of the halves."""
+    """The texts one after the other, each after `STRIDE` zeros and filled up
+    with zeros to whole halves of chunks, of which each text has at least two,
+    and the borders of the halves. No window reaches into a second text, and no
+    byte can be an echo of one."""
     sizes = np.diff(offsets)
     halves = np.maximum(-(-(sizes + ECHO) // HALF_BYTES), 2)
     borders = np.concatenate([[0], np.cumsum(halves)])
-    out = np.zeros(borders[-1] * HALF_BYTES + WIDTH, np.uint8)
-    out[np.arange(len(data)) + np.repeat(borders[:-1] * HALF_BYTES - offsets[:-1], sizes)] = data
+    out = np.zeros(borders[-1] * HALF_BYTES + STRIDE, np.uint8)
+    out[np.arange(len(data)) + np.repeat(borders[:-1] * HALF_BYTES + STRIDE - offsets[:-1], sizes)] = data
     return out, borders
 
 
@@ -97,12 +99,10 @@ class Network:
 
     def _forward(self, out: np.ndarray, borders: np.ndarray) -> dict:
         filters, bias, hidden, hidden_bias, last, last_bias = self.parameters
-        windows = borders[-1] * HALF
-        seen = channels(out)
-        inputs = np.lib.stride_tricks.as_strided(
-            seen, (windows, WIDTH * seen.shape[1]), (STRIDE * seen.strides[0], seen.strides[1]))
-        inputs = np.ascontiguousarray(inputs)
-        active = inputs @ filters
+        # A window is a block of `STRIDE` bytes and the next one, so each block is multiplied once by both halves.
+        blocks = channels(out).reshape(-1, filters.shape[0] // 2)
+        both = blocks @ np.concatenate(np.split(filters, 2), axis=1)
+        active = both[:-1, :FILTERS] + both[1:, FILTERS:]
         active += bias
         np.maximum(active, 0, out=active)
         grouped = active.reshape(-1, HALF, FILTERS)
@@ -115,7 +115,7 @@ class Network:
         summary = np.concatenate([mean, spread], axis=1)
         response = np.maximum(summary @ hidden + hidden_bias, 0)
         strongest = np.maximum.reduceat(response, chunk_borders[:-1], axis=0)
-        return {"inputs": inputs, "active": active, "firsts": firsts, "chunks": chunk_borders, "mean": mean,
+        return {"blocks": blocks, "active": active, "firsts": firsts, "chunks": chunk_borders, "mean": mean,
                 "spread": spread, "summary": summary, "response": response, "strongest": strongest,
                 "logit": strongest @ last + last_bias[0]}
 
@@ -150,7 +150,8 @@ class Network:
         active = seen["active"].reshape(-1, HALF, FILTERS)
         below = (halves_constant[:, None, :] + halves_factor[:, None, :] * active) * (active > 0)
         below = below.reshape(-1, FILTERS)
-        return [seen["inputs"].T @ below, below.sum(axis=0), seen["summary"].T @ back, back.sum(axis=0),
+        blocks = seen["blocks"]
+        return [np.concatenate([blocks[:-1].T @ below, blocks[1:].T @ below]), below.sum(axis=0), seen["summary"].T @ back, back.sum(axis=0),
                 error @ seen["strongest"], np.array([error.sum()], np.float32)]
 
 
