@@ -57,11 +57,12 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
             "_name string, _weight double")
         weighed = (sizes.join(given, F.col("source").cast("string").eqNullSafe(F.col("_name")), "left")
                    .withColumn("_weight", F.coalesce("_weight", F.lit(0.0))).drop("_name"))
-    # One row over the sources, not over the documents.
-    total = weighed.agg(F.sum("documents").alias("_all"), F.sum("_weight").alias("_weights"))
-    rate = F.lit(float(epochs)) * F.col("_all") * F.col("_weight") / (F.col("_weights") * F.col("documents"))
-    return (weighed.join(F.broadcast(total))
-            .select("source", "documents", F.when(F.col("_weights") > 0, rate).otherwise(F.lit(0.0)).alias("rate")))
+    # Two numbers over the sources, not over the documents.
+    everything, weight = weighed.agg(F.sum("documents"), F.sum("_weight")).first()
+    if not weight:
+        return weighed.select("source", "documents", F.lit(0.0).alias("rate"))
+    rate = F.lit(float(epochs)) * F.lit(everything) * F.col("_weight") / (F.lit(weight) * F.col("documents"))
+    return weighed.select("source", "documents", rate.alias("rate"))
 
 
 def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, tempering: float = 0.5,
