@@ -12,61 +12,164 @@ scans AS (
          CASE WHEN event_id % 10 = 0 THEN -99.0 ELSE value END AS ping_latency_ms
   FROM events)"""
 
-PARCELS = SCANS + """,
+
+
+def parcels(source: str) -> str:
+    """Milestones and transit hours from a relation of scans."""
+    return f"""
 parcels AS (
   SELECT tracking_number,
          min("timestamp") FILTER (WHERE scan_type = 'PICKUP') AS pickup_time,
          max("timestamp") FILTER (WHERE scan_type = 'DELIVERED') AS delivery_time
-  FROM scans GROUP BY tracking_number
+  FROM {source} GROUP BY tracking_number
   HAVING count(*) FILTER (WHERE scan_type = 'DELIVERED') > 0),
 hours AS (
   SELECT *, (epoch_us(delivery_time) - epoch_us(pickup_time)) / 3.6e9 AS h FROM parcels)"""
 
+
 ROLLING_ROWS = ("round(avg(h) OVER (ORDER BY delivery_time, tracking_number ROWS 6 PRECEDING), 6)"
                 " AS rolling_7_delivery_avg_hours")
 ROLLING_DAYS = ("round(avg(h) OVER (ORDER BY delivery_time RANGE BETWEEN INTERVAL 7 DAY PRECEDING"
                 " AND CURRENT ROW), 6) AS rolling_7_day_avg_hours")
-MART = f"""WITH {PARCELS}
+MART_ROWS = f"""
 SELECT tracking_number, pickup_time, delivery_time, round(h, 6) AS transit_hours, {ROLLING_ROWS},
        coalesce(h > 48, false) AS is_sla_breached
 FROM hours"""
-ROLLING_ROWS_ONLY = f"WITH {PARCELS} SELECT tracking_number, {ROLLING_ROWS} FROM hours"
-ROLLING_DAYS_ONLY = f"WITH {PARCELS} SELECT tracking_number, {ROLLING_DAYS} FROM hours"
+PARCELS = f"{SCANS},{parcels('scans')}"
+MART = f"WITH {PARCELS}{MART_ROWS}"
 
-SILVER = f"""WITH {SCANS}
+
+def silver(source: str) -> str:
+    return f"""
 SELECT tracking_number, max(scan_type) AS latest_status, round(avg(ping_latency_ms), 6) AS avg_latency
-FROM scans WHERE ping_latency_ms > 0 GROUP BY tracking_number"""
+FROM {source} WHERE ping_latency_ms > 0 GROUP BY tracking_number"""
+
 
-# What the rule that builds each class of message makes of it.
-CHECKED = SCANS + """,
+SILVER = f"WITH {SCANS}{silver('scans')}"
+
+
+def judged(*rules: tuple[str, str]) -> str:
+    """What a JSON text is: whether it is one object, the kind and text of each
+    field, and the broken rules, from DuckDB's own JSON functions."""
+    fields = ", ".join(f"json_type(doc, '$.{name}') AS {name}_kind, json_extract_string(doc, '$.{name}') AS {name}_text"
+                       for name, _ in rules)
+    reasons = ", ".join(f"CASE {rule} END" for _, rule in rules)
+    return f"""
+docs AS (
+  SELECT *, CASE WHEN json_valid(value) THEN CASE WHEN json_type(value) = 'OBJECT' THEN value::JSON END END AS doc
+  FROM messages),
+fields AS (SELECT *, {fields} FROM docs),
 checked AS (
-  SELECT *, event_id % 20 AS class,
-         CASE event_id % 20 WHEN 0 THEN 'malformed_json' WHEN 8 THEN 'malformed_json'
-              WHEN 17 THEN 'malformed_json' WHEN 1 THEN 'type:tracking_number'
-              WHEN 2 THEN 'pattern:scan_type' WHEN 3 THEN 'missing:timestamp'
-              WHEN 4 THEN 'type:timestamp' END AS reason
-  FROM scans),
+  SELECT *, CASE WHEN doc IS NULL THEN 'malformed_json' ELSE concat_ws(',', {reasons}) END AS reasons
+  FROM fields)"""
+
+
+def required(name: str, rest: str = "") -> tuple[str, str]:
+    return name, (f"WHEN coalesce({name}_kind, 'NULL') = 'NULL' THEN 'missing:{name}'"
+                  f" WHEN {name}_kind <> 'VARCHAR' THEN 'type:{name}' {rest}")
+
+
+def listed(*scans: str) -> str:
+    return f"WHEN scan_type_text NOT IN {scans} THEN 'pattern:scan_type'"
+
+
+# Text with or without an offset of whole hours, in UTC.
+TIME = r"""(try_cast(regexp_replace(timestamp_text, '[+-]\d\d:00$', '') AS TIMESTAMP)
+            - coalesce(try_cast(regexp_extract(timestamp_text, '([+-]\d\d):00$', 1) AS INTEGER), 0) * INTERVAL 1 HOUR)"""
+BAD_TIME = f"WHEN {TIME} IS NULL THEN 'type:timestamp'"
+
+# The message texts, built by SQL, and what their contract makes of them.
+CHECKED = f"""{SCANS},
+messages AS (
+  SELECT event_id, "timestamp" AS sent_at, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS iso,
+         json_object('tracking_number', tracking_number, 'scan_type', scan_type, 'timestamp', iso,
+                     'ping_latency_ms', 1.5::DOUBLE)::VARCHAR AS good,
+         CASE event_id % 20
+           WHEN 0 THEN '{{bad'
+           WHEN 1 THEN json_object('tracking_number', event_id, 'scan_type', scan_type, 'timestamp', iso,
+                                   'ping_latency_ms', 1.5::DOUBLE)::VARCHAR
+           WHEN 2 THEN json_object('tracking_number', tracking_number, 'scan_type', 'LOST', 'timestamp', iso,
+                                   'ping_latency_ms', 1.5::DOUBLE)::VARCHAR
+           WHEN 3 THEN json_object('tracking_number', tracking_number, 'scan_type', scan_type,
+                                   'ping_latency_ms', 1.5::DOUBLE)::VARCHAR
+           WHEN 4 THEN json_object('tracking_number', tracking_number, 'scan_type', scan_type, 'timestamp', 'nope',
+                                   'ping_latency_ms', 1.5::DOUBLE)::VARCHAR
+           WHEN 5 THEN json_object('tracking_number', tracking_number, 'scan_type', scan_type, 'timestamp', iso,
+                                   'ping_latency_ms', NULL)::VARCHAR
+           WHEN 6 THEN json_object('tracking_number', tracking_number, 'scan_type', scan_type, 'timestamp', iso,
+                                   'ping_latency_ms', 1.5::DOUBLE, 'extra', 'x')::VARCHAR
+           WHEN 7 THEN json_object('tracking_number', tracking_number, 'scan_type', scan_type, 'timestamp', iso,
+                                   'ping_latency_ms', '12.5')::VARCHAR
+           WHEN 8 THEN '[1]'
+           WHEN 9 THEN json_object('tracking_number', tracking_number, 'scan_type', 'LOST',
+                                   'ping_latency_ms', 1.5::DOUBLE)::VARCHAR
+           WHEN 10 THEN json_object('tracking_number', event_id, 'scan_type', scan_type, 'timestamp', 'nope',
+                                    'ping_latency_ms', 1.5::DOUBLE)::VARCHAR
+           WHEN 17 THEN good || ' ' || good
+           WHEN 18 THEN json_object('tracking_number', tracking_number, 'scan_type', scan_type,
+                                    'timestamp', iso || '+02:00', 'ping_latency_ms', 1.5::DOUBLE)::VARCHAR
+           ELSE good END AS value
+  FROM scans),{judged(
+    required("tracking_number"),
+    required("scan_type", listed("PICKUP", "TRANSIT", "DELIVERED", "UNKNOWN_ERROR")),
+    required("timestamp", BAD_TIME),
+    ("ping_latency_ms", "WHEN coalesce(ping_latency_ms_kind, 'NULL') = 'NULL' THEN NULL"
+                        " WHEN ping_latency_ms_kind IN ('BOOLEAN', 'ARRAY', 'OBJECT')"
+                        " OR try_cast(ping_latency_ms_text AS DOUBLE) IS NULL THEN 'type:ping_latency_ms'"))},
 valid AS (
-  SELECT "timestamp" AS sent_at, tracking_number, scan_type,
-         CASE class WHEN 18 THEN "timestamp" - INTERVAL 2 HOUR ELSE "timestamp" END AS "timestamp",
-         CASE class WHEN 5 THEN NULL WHEN 7 THEN 12.5 ELSE 1.5 END::DOUBLE AS ping_latency_ms
-  FROM checked WHERE reason IS NULL)"""
+  SELECT sent_at, tracking_number_text AS tracking_number, scan_type_text AS scan_type,
+         {TIME} AS "timestamp", ping_latency_ms_text::DOUBLE AS ping_latency_ms
+  FROM checked WHERE reasons = '')"""
+REJECT = """CASE WHEN doc IS NULL THEN 'Unknown' ELSE coalesce(tracking_number_text, 'Unknown') END"""
+REASON = "split_part(reasons, ',', 1) AS reason, len(string_split(reasons, ','))::INTEGER AS reason_count"
 
-WEBHOOKS = SCANS + """,
+WEBHOOKS = f"""{SCANS},
+messages AS (
+  SELECT event_id AS arrival, 'EVT-' || event_id AS id, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS iso,
+         strftime("timestamp", '%Y-%m-%dT00:00:00.000000') AS midnight,
+         coalesce(CASE event_id % 20
+           WHEN 0 THEN '{{bad'
+           WHEN 1 THEN NULL
+           WHEN 2 THEN json_object('event_id', id, 'tracking_number', event_id, 'scan_type', scan_type,
+                                   'timestamp', iso)::VARCHAR
+           WHEN 3 THEN json_object('event_id', NULL, 'tracking_number', tracking_number, 'scan_type', scan_type,
+                                   'timestamp', iso)::VARCHAR
+           WHEN 4 THEN json_object('event_id', id, 'tracking_number', tracking_number, 'scan_type', scan_type,
+                                   'timestamp', 'nope')::VARCHAR
+           WHEN 5 THEN json_object('event_id', id, 'tracking_number', tracking_number, 'scan_type', scan_type,
+                                   'timestamp', iso, 'facility_code', 'FAC-1')::VARCHAR
+           WHEN 6 THEN json_object('event_id', id, 'tracking_number', tracking_number, 'scan_type', scan_type,
+                                   'timestamp', iso, 'facility_code', 1)::VARCHAR
+           WHEN 7 THEN json_object('event_id', id, 'tracking_number', tracking_number, 'scan_type', scan_type,
+                                   'timestamp', iso, 'is_duplicate', true)::VARCHAR
+           WHEN 8 THEN json_object('event_id', id, 'tracking_number', tracking_number, 'scan_type', scan_type,
+                                   'timestamp', iso, 'is_duplicate', 'yes')::VARCHAR
+           WHEN 9 THEN json_object('event_id', id, 'tracking_number', tracking_number, 'scan_type', scan_type,
+                                   'timestamp', iso, 'is_duplicate', NULL)::VARCHAR
+           WHEN 10 THEN json_object('event_id', id, 'tracking_number', tracking_number,
+                                    'scan_type', 'OUT_FOR_DELIVERY', 'timestamp', iso)::VARCHAR
+           WHEN 11 THEN '[1]'
+           ELSE json_object('event_id', id, 'tracking_number', tracking_number, 'scan_type', scan_type, 'timestamp',
+                            CASE WHEN event_id % 20 IN (12, 13) THEN midnight ELSE iso END)::VARCHAR
+         END, '{{}}') AS value
+  FROM scans),{judged(
+    required("event_id"),
+    required("tracking_number"),
+    required("scan_type", listed("PICKUP", "TRANSIT", "OUT_FOR_DELIVERY", "DELIVERED")),
+    required("timestamp", BAD_TIME),
+    ("facility_code", "WHEN coalesce(facility_code_kind, 'NULL') NOT IN ('NULL', 'VARCHAR') THEN 'type:facility_code'"),
+    ("is_duplicate", "WHEN is_duplicate_kind = 'NULL' OR (is_duplicate_kind IS NOT NULL AND lower(is_duplicate_text)"
+                     " NOT IN ('1', 'on', 't', 'true', 'y', 'yes', '0', 'off', 'f', 'false', 'n', 'no'))"
+                     " THEN 'type:is_duplicate'"))},
 requests AS (
-  SELECT event_id AS arrival, 'EVT-' || event_id AS event_id, tracking_number,
-         CASE event_id % 20 WHEN 10 THEN 'OUT_FOR_DELIVERY' ELSE scan_type END AS scan_type,
-         CASE WHEN event_id % 20 IN (12, 13) THEN date_trunc('day', "timestamp") ELSE "timestamp" END AS "timestamp",
-         CASE event_id % 20 WHEN 5 THEN 'FAC-1' END AS facility_code,
-         event_id % 20 IN (7, 8) AS is_duplicate,
-         CASE WHEN event_id % 20 IN (0, 11) THEN 500
-              WHEN event_id % 20 IN (1, 2, 3, 4, 6, 9) THEN 400
-              WHEN event_id % 20 <> 10 AND scan_type = 'UNKNOWN_ERROR' THEN 400 ELSE 200 END AS status_code
-  FROM scans),
+  SELECT arrival, CASE WHEN doc IS NULL THEN 500 WHEN reasons <> '' THEN 400 ELSE 200 END AS status_code FROM checked),
+events_in AS (
+  SELECT event_id_text AS event_id, tracking_number_text AS tracking_number, scan_type_text AS scan_type,
+         {TIME} AS "timestamp", facility_code_text AS facility_code,
+         coalesce(lower(is_duplicate_text) IN ('1', 'on', 't', 'true', 'y', 'yes'), false) AS is_duplicate, arrival
+  FROM checked WHERE reasons = ''),
 stored AS (
-  SELECT tracking_number || '_' || strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS event_key,
-         event_id, tracking_number, scan_type, "timestamp", facility_code, is_duplicate, arrival
-  FROM requests WHERE status_code = 200)"""
+  SELECT tracking_number || '_' || strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS event_key, * FROM events_in)"""
 WEBHOOK_STORE = f"""WITH {WEBHOOKS}
 SELECT * FROM stored QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY arrival DESC) = 1"""
 
@@ -77,16 +180,15 @@ ORACLES = {
     "milestones": f"WITH {PARCELS} SELECT * FROM parcels",
     "transit_hours": f"WITH {PARCELS} SELECT tracking_number, round(h, 6) AS transit_hours FROM hours",
     "sla_flag": f"WITH {PARCELS} SELECT tracking_number, coalesce(h > 48, false) AS is_sla_breached FROM hours",
-    "rolling_7_rows": ROLLING_ROWS_ONLY,
-    "rolling_7_rows_scaled": ROLLING_ROWS_ONLY,
-    "rolling_7_days": ROLLING_DAYS_ONLY,
-    "rolling_7_days_scaled": ROLLING_DAYS_ONLY,
+    "rolling_7_rows": f"WITH {PARCELS} SELECT tracking_number, {ROLLING_ROWS} FROM hours",
+    "rolling_7_days": f"WITH {PARCELS} SELECT tracking_number, {ROLLING_DAYS} FROM hours",
     "gold_table": MART,
     "staging_events": f"""WITH {SCANS}
-SELECT 'EVT-' || event_id AS event_id, tracking_number, 'PICKUP' AS scan_type, "timestamp"
-FROM scans WHERE scan_type = 'PICKUP'
+SELECT 'EVT-' || event_id AS event_id, tracking_number, scan_type, "timestamp" FROM scans""",
+    "staging_union": f"""WITH {WEBHOOKS}
+SELECT 'EVT-' || event_id AS event_id, tracking_number, scan_type, "timestamp" FROM scans
 UNION ALL
-SELECT 'EVT-' || event_id, tracking_number, 'DELIVERED', "timestamp" FROM scans WHERE scan_type = 'DELIVERED'""",
+SELECT event_id, tracking_number, scan_type, "timestamp" FROM events_in""",
     "silver_clean_events": f"WITH {SCANS} SELECT * FROM scans WHERE ping_latency_ms > 0",
     "silver_status": SILVER,
     "silver_latest_scan": f"""WITH {SCANS}
@@ -106,16 +208,23 @@ UNION ALL
 SELECT 'ping_latency_ms between 0 and 10000', m, outside, m = 0 OR (m - outside) / m >= 0.85 FROM counts""",
     "gate_violations": f"""WITH {SCANS}
 SELECT event_id, tracking_number, ping_latency_ms FROM scans WHERE ping_latency_ms NOT BETWEEN 0 AND 10000""",
+    "gate_halt": f"""WITH {SCANS},
+counts AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE tracking_number IS NULL) AS no_key, count(ping_latency_ms) AS m,
+         count(*) FILTER (WHERE ping_latency_ms NOT BETWEEN 0 AND 50) AS outside
+  FROM scans),
+report AS (
+  SELECT 'tracking_number is not null' AS expectation, n AS evaluated, no_key AS unexpected, no_key = 0 AS success
+  FROM counts
+  UNION ALL
+  SELECT 'ping_latency_ms between 0 and 50', m, outside, m = 0 OR (m - outside) / m >= 0.85 FROM counts)
+SELECT *, (SELECT NOT bool_and(success) FROM report) AS halted FROM report""",
     "contract_valid": f"WITH {CHECKED} SELECT * FROM valid",
     "contract_rejects": f"""WITH {CHECKED}
-SELECT event_id,
-       CASE WHEN class IN (0, 8, 17) THEN 'Unknown' WHEN class = 1 THEN event_id::VARCHAR
-            ELSE tracking_number END AS tracking_number,
-       reason, 1 AS reason_count
-FROM checked WHERE reason IS NOT NULL""",
+SELECT event_id, {REJECT} AS tracking_number, {REASON} FROM checked WHERE reasons <> ''""",
     "batch_counts": f"""WITH {CHECKED}
-SELECT event_id // 100 AS batch_id, 'batch_' || strftime(min("timestamp"), '%Y%m%d%H%M%S') AS batch_label,
-       count(*) AS "rows", count(*) FILTER (WHERE reason IS NULL) AS valid
+SELECT event_id // 100 AS batch_id, 'batch_' || strftime(min(sent_at), '%Y%m%d%H%M%S') AS batch_label,
+       count(*) AS "rows", count(*) FILTER (WHERE reasons = '') AS valid
 FROM checked GROUP BY 1""",
     "webhook_status": f"""WITH {WEBHOOKS}
 SELECT arrival, status_code,
@@ -123,14 +232,17 @@ SELECT arrival, status_code,
             ELSE 'Event Validated and Ingested' END AS message
 FROM requests""",
     "webhook_defaults": f"""WITH {WEBHOOKS}
-SELECT arrival, event_id, scan_type, facility_code, is_duplicate FROM stored""",
+SELECT arrival, event_id, scan_type, facility_code, is_duplicate FROM events_in""",
     "webhook_upsert": WEBHOOK_STORE,
     "duplicate_flag": f"""WITH {SCANS},
 sent AS (
   SELECT event_id, "timestamp" AS arrival FROM scans
-  UNION ALL SELECT event_id, "timestamp" + INTERVAL 1 HOUR FROM scans WHERE scan_type = 'UNKNOWN_ERROR')
-SELECT event_id, arrival, row_number() OVER (PARTITION BY event_id ORDER BY arrival) > 1 AS is_duplicate
-FROM sent""",
+  UNION ALL
+  SELECT event_id, CASE event_id % 2 WHEN 0 THEN "timestamp" ELSE "timestamp" + INTERVAL 1 HOUR END
+  FROM scans WHERE scan_type = 'UNKNOWN_ERROR'),
+known AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN arrival END AS arrival FROM sent)
+SELECT event_id, arrival, row_number() OVER (PARTITION BY event_id ORDER BY arrival NULLS LAST) > 1 AS is_duplicate
+FROM known""",
     "json_encode": f"""WITH {SCANS}
 SELECT event_id, json_object('tracking_number', tracking_number, 'scan_type', scan_type,
          'timestamp', strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f'),
@@ -139,8 +251,11 @@ FROM scans""",
     "bronze_roundtrip": f"WITH {SCANS} SELECT {TELEMETRY_COLUMNS} FROM scans",
     "stream_bronze": f"WITH {CHECKED} SELECT {TELEMETRY_COLUMNS} FROM valid",
     "stream_rejects": f"""WITH {CHECKED}
-SELECT reason, count(*) AS "rows" FROM checked WHERE reason IS NOT NULL GROUP BY reason""",
+SELECT {REJECT} AS reject_key, {REASON}, value AS payload FROM checked WHERE reasons <> ''""",
+    "stream_counts": f"""WITH {CHECKED}
+SELECT 4::BIGINT AS batches, count(*) AS "rows", count(*) FILTER (WHERE reasons = '') AS valid FROM checked""",
+    "stream_duplicates": "SELECT event_id FROM events",
     "stream_webhooks": WEBHOOK_STORE,
-    "medallion_gold": MART,
-    "medallion_silver": SILVER,
+    "medallion_gold": f"WITH {CHECKED},{parcels('valid')}{MART_ROWS}",
+    "medallion_silver": f"WITH {CHECKED}{silver('valid')}",
 }

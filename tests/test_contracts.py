@@ -95,9 +95,16 @@ def test_rejects_keep_key_reasons_and_payload(spark):
     }
 
 
-def test_duplicate_keys_take_the_last_value(spark):
+@pytest.mark.parametrize("setting", ["true", "false"])
+def test_duplicate_keys_take_the_last_value_in_any_session(spark, setting):
     payload = text()[:-1] + ', "tracking_number": "TRK-2"}'
-    assert check(spark, TELEMETRY, [payload])[0]["tracking_number"] == "TRK-2"
+    key = "spark.sql.variant.allowDuplicateKeys"
+    spark.conf.set(key, setting)
+    try:
+        assert check(spark, TELEMETRY, [payload])[0]["tracking_number"] == "TRK-2"
+        assert spark.conf.get(key) == setting
+    finally:
+        spark.conf.unset(key)
 
 
 @pytest.mark.parametrize("changes, flag, code", [

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from waybill.operators.milestones import milestones
 from waybill.plans.gold import gold_sla
-from waybill.sources.samples import register, sample_events, staged_scans
+from waybill.sources.samples import register, sample_events, stacked, staged_scans
 
 SCANS = "tracking_number string, scan_type string, timestamp timestamp_ntz"
 START = datetime(2024, 1, 1)
@@ -29,8 +29,9 @@ def test_sample_parcel(spark):
 
 def test_stacking_goes_by_position_and_keeps_copies(spark):
     events = sample_events(spark).withColumn("event_id", F.lit(1))
-    stacked = staged_scans(events, "PICKUP", "PICKUP", "DELIVERED").collect()
-    assert [row["scan_type"] for row in stacked] == ["PICKUP", "PICKUP", "DELIVERED"]
+    other = staged_scans(events).toDF("a", "b", "c", "d")
+    rows = stacked(staged_scans(events), other, other).collect()
+    assert len(rows) == 6 and sorted({row["scan_type"] for row in rows}) == ["DELIVERED", "PICKUP"]
 
 
 def test_limit_is_exclusive_and_unknown_transit_is_no_breach(spark):

@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracles import ORACLES
 from tests.conftest import TESTDATA
+from waybill.queries import QUERIES
 
 SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
                  "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
@@ -14,21 +16,21 @@ def in_order(rows):
 
 
 def test_every_query_has_an_oracle():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
 @pytest.mark.parametrize("scale", ["0.001", "0.01"])
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, duck, name, scale):
-    result = queries()[name](spark, f"{TESTDATA}/sf{scale}")
-    oracle = duck(scale).sql(oracle_sql()[name])
+    result = QUERIES[name](spark, f"{TESTDATA}/sf{scale}")
+    oracle = duck(scale).sql(ORACLES[name])
     names = sorted(result.columns)
     assert names == sorted(oracle.columns)
     types = dict(zip(oracle.columns, [str(kind) for kind in oracle.types]))
     assert {field.name: SPARK_TO_DUCK[field.dataType.simpleString()] for field in result.schema} == types
     got = in_order(tuple(row[column] for column in names) for row in result.collect())
     quoted = ", ".join(f'"{column}"' for column in names)
-    want = in_order(duck(scale).sql(f"SELECT {quoted} FROM ({oracle_sql()[name]})").fetchall())
+    want = in_order(duck(scale).sql(f"SELECT {quoted} FROM ({ORACLES[name]})").fetchall())
     assert len(got) > 0
     assert got == want
 

@@ -5,12 +5,13 @@ import re
 import pytest
 from tests.conftest import TESTDATA
 from waybill import queries, schemas
-from waybill.operators import contracts, latest, milestones, ordering, quality, status
-from waybill.operators.rolling import rolling_days, rolling_rows
-from waybill.plans import gold, medallion
-from waybill.session import estimated_bytes, scratch_path, spread
-from waybill.sinks.webhooks import upsert_events
-from waybill.sources.telemetry import read_events, telemetry, telemetry_messages
+from waybill.operators import contracts, latest, milestones, quality, status
+from waybill.operators.rolling import rolling_days
+from waybill.plans import medallion
+from waybill.query_data import read_events, telemetry, telemetry_messages
+from waybill.session import clear_scratch, scratch_path
+from waybill.sinks.files import ACCEPTED, outcome_path
+from waybill.sinks.webhooks import current_events, upsert_events
 
 SMALL = f"{TESTDATA}/sf0.001"
 
@@ -65,16 +66,24 @@ def test_payloads_are_parsed_once(spark):
     assert plan(contracts.accepted(checked, contracts.TELEMETRY)).count("parseJson") == 1
 
 
-def test_large_inputs_never_meet_in_one_task(spark):
-    """Apart from one row per range, nothing is gathered in a single partition."""
-    parcels = milestones.transit_micros(milestones.transit(
-        milestones.milestones(telemetry(read_events(spark, SMALL)))))
-    for df in (rolling_rows(parcels, "transit_hours", gold.DELIVERY_ORDER, "avg", scaled=True),
-               rolling_days(parcels, "transit_micros", "delivery_time", "avg", scaled=True)):
-        text = plan(df)
-        for position in [match.start() for match in re.finditer("Exchange SinglePartition", text)]:
-            below = text[position:].split("\n")[1:4]
-            assert any("HashAggregate(keys=[_range" in line for line in below), below
+@pytest.mark.parametrize("name", [name for name in queries.QUERIES if "gate" not in name and "counts" not in name])
+def test_registered_queries_never_gather_rows_in_one_task(spark, name):
+    """Apart from one row per range, nothing meets in a single partition."""
+    text = plan(queries.QUERIES[name](spark, SMALL))
+    for position in [match.start() for match in re.finditer("Exchange SinglePartition", text)]:
+        below = text[position:].split("\n")[1:4]
+        assert any("HashAggregate(keys=[_range" in line for line in below), below
+
+
+def test_the_webhook_store_is_resolved_by_hashing(spark):
+    path = scratch_path(spark, "hashed")
+    events = spark.range(100).selectExpr(
+        "concat('E', id) AS event_id", "concat('T', id % 9) AS tracking_number", "'PICKUP' AS scan_type",
+        "timestamp_ntz'2024-01-01 00:00:00' AS timestamp", "CAST(NULL AS STRING) AS facility_code",
+        "false AS is_duplicate", "id AS arrival")
+    upsert_events(events, path, 0)
+    found = current_events(spark, path)
+    assert "SortAggregate" not in plan(found) and found.count() == 9
 
 
 @pytest.fixture
@@ -100,7 +109,7 @@ def test_crowded_keys_are_split_where_rows_are_joined_back(spark, tiny_skew):
     deliveries = spark.range(300000, numPartitions=16).selectExpr(
         "id AS micros", "IF(id % 3 = 0, timestamp_ntz'2024-01-03 00:00:00',"
         " timestampadd(SECOND, id, timestamp_ntz'2024-01-01 00:00:00')) AS at")
-    rolled = rolling_days(deliveries, "micros", "at", "avg", scaled=True)
+    rolled = rolling_days(deliveries, "micros", "at", "avg")
     flagged.collect()
     assert len(rolled.collect()) == 300000
     for df in (flagged, rolled):
@@ -113,31 +122,23 @@ def test_dates_are_gathered_before_they_are_written(spark):
         "concat('E', id) AS event_id", "concat('T', id) AS tracking_number", "'PICKUP' AS scan_type",
         "timestampadd(HOUR, id, timestamp_ntz'2024-01-01 00:00:00') AS timestamp",
         "CAST(NULL AS STRING) AS facility_code", "false AS is_duplicate", "id AS arrival")
-    upsert_events(events, path)
-    stored = spark.read.parquet(path)
+    upsert_events(events, path, 0)
+    stored = spark.read.parquet(outcome_path(path, ACCEPTED))
     dates = stored.select("event_date").distinct().count()
     assert stored.count() == 2000
     assert len(stored.inputFiles()) == dates
 
 
-def test_size_decides_the_plan(spark):
-    events = read_events(spark, SMALL)
-    parcels = milestones.transit(milestones.milestones(telemetry(events)))
-    assert ordering.fits_one_task(parcels)
-    assert not ordering.fits_one_task(parcels, limit=estimated_bytes(parcels) - 1)
-    assert not ordering.fits_one_task(events.crossJoin(spark.range(10**6)))
-    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "n int")
-    assert not ordering.fits_one_task(unknown)
-
-
-def test_sources_with_few_partitions_are_spread(spark):
-    events = read_events(spark, SMALL)
-    assert events.rdd.getNumPartitions() == 1
-    assert spread(events).rdd.getNumPartitions() == 8
-    wide = spark.range(100, numPartitions=16)
-    assert spread(wide) is wide
-
-
 def test_scratch_goes_where_the_cluster_says(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_scratch_of_the_application_can_be_removed(spark):
+    path = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(path)
+    other = scratch_path(spark, "other").rsplit("/", 1)[0]
+    assert path.startswith(other + "/") and spark.sparkContext.applicationId in other
+    clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

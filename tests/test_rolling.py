@@ -56,36 +56,33 @@ def result(df, column):
 @pytest.mark.parametrize("block_rows", [6, 7, 50])
 def test_row_frames_in_blocks(spark, size, block_rows):
     df, rows = parcels(spark, size, seed=size)
-    rolled = rolling.rolling_rows(df, "hours", DELIVERY_ORDER, "avg", scaled=True, block_rows=block_rows)
+    rolled = rolling.rolling_rows(df, "hours", DELIVERY_ORDER, "avg", block_rows=block_rows)
     same(result(rolled, "avg"), expected_rows(rows))
 
 
 def test_row_frames_with_a_third_of_all_rows_at_one_instant(spark):
     df, rows = parcels(spark, 2000, seed=3, hot_share=0.4)
-    plain = rolling.rolling_rows(df, "hours", DELIVERY_ORDER, "avg", scaled=False)
-    blocks = rolling.rolling_rows(df, "hours", DELIVERY_ORDER, "avg", scaled=True, block_rows=100)
-    assert result(plain, "avg") == result(blocks, "avg")
+    blocks = rolling.rolling_rows(df, "hours", DELIVERY_ORDER, "avg", block_rows=100)
     same(result(blocks, "avg"), expected_rows(rows))
 
 
 def test_a_block_must_hold_a_frame(spark):
     df, _ = parcels(spark, 10)
     with pytest.raises(ValueError):
-        rolling.rolling_rows(df, "hours", DELIVERY_ORDER, "avg", scaled=True, block_rows=5)
+        rolling.rolling_rows(df, "hours", DELIVERY_ORDER, "avg", block_rows=5)
 
 
 def test_other_frame_lengths(spark):
     df, rows = parcels(spark, 100, seed=5)
     for frame in (1, 3):
-        rolled = rolling.rolling_rows(df, "hours", DELIVERY_ORDER, "avg", rows=frame, scaled=True, block_rows=4)
+        rolled = rolling.rolling_rows(df, "hours", DELIVERY_ORDER, "avg", rows=frame, block_rows=4)
         same(result(rolled, "avg"), expected_rows(rows, frame))
 
 
-@pytest.mark.parametrize("scaled", [False, True])
 @pytest.mark.parametrize("size, hot_share", [(0, 0), (1, 0), (400, 0), (600, 0.4)])
-def test_day_frames(spark, scaled, size, hot_share):
+def test_day_frames(spark, size, hot_share):
     df, rows = parcels(spark, size, seed=size, hot_share=hot_share)
-    rolled = rolling.rolling_days(df, "micros", "delivery_time", "avg", scaled=scaled)
+    rolled = rolling.rolling_days(df, "micros", "delivery_time", "avg")
     same(result(rolled, "avg"), expected_days(rows))
 
 
@@ -96,14 +93,12 @@ def test_day_frame_includes_its_edge(spark):
     assert result(rolled, "avg") == {"a": 10.0, "b": 15.0, "c": 25.0}
 
 
-def test_running_totals_do_not_depend_on_the_plan(spark):
+def test_running_totals(spark):
     df = spark.range(1000).select(F.col("id").alias("at"), (F.col("id") % 7).alias("n"))
-    for scaled in (False, True):
-        totals = ordering.running_totals(df, "at", "n", scaled=scaled)
-        total = 0
-        for row in totals.orderBy("at").collect():
-            total += row["at"] % 7
-            assert row["n"] == total
+    total = 0
+    for row in ordering.running_totals(df, "at", "n").orderBy("at").collect():
+        total += row["at"] % 7
+        assert row["n"] == total
 
 
 def test_ranges_split_a_crowded_instant(spark):

@@ -36,4 +36,6 @@ def test_a_status_outside_a_closed_set_is_an_error(spark, query):
 
 
 def test_any_status_works_without_a_closed_set(spark):
-    assert status_summary(events(spark, ("a", "LOST", 1, 1.0))).first()["latest_status"] == "LOST"
+    df = events(spark, ("a", "LOST", 1, 1.0), ("a", "FOUND", 2, 1.0), ("a", "EARLY", 2, 1.0))
+    assert status_summary(df).first()["latest_status"] == "LOST"
+    assert latest_scan(df, None).first()["latest_status"] == "FOUND"

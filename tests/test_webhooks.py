@@ -1,10 +1,17 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from waybill.operators import latest
 from waybill.operators.latest import drop_duplicates_stream, duplicate_flag, last_write_wins
+from waybill.sinks.files import REJECTED, outcome_path
+from waybill.sinks.versions import Versions
 from waybill.sinks.webhooks import compact, current_events, upsert_events
+from waybill.sources.bronze import read_rejects
+from waybill.sources.webhook import read_webhooks
+from waybill.streaming.ingest import webhook_sink
 
 SCHEMA = ("event_id string, tracking_number string, scan_type string, timestamp timestamp_ntz,"
           " facility_code string, is_duplicate boolean, arrival bigint")
@@ -26,19 +33,59 @@ def test_a_repeated_key_replaces_the_event(spark, tmp_path):
                                     event("E6", when=datetime(2024, 1, 3), arrival=6)], SCHEMA)
     want = {"TRK-1_2024-01-02T12:00:00.000000": "E4", "TRK-2_2024-01-02T12:00:00.000000": "E2",
             "TRK-1_2024-01-03T00:00:00.000000": "E6"}
-    upsert_events(first, path)
-    upsert_events(second, path)
+    upsert_events(first, path, 0)
+    upsert_events(second, path, 1)
     assert stored(current_events(spark, path)) == want
-    upsert_events(second, path)
+    upsert_events(second, path, 1)
     assert stored(current_events(spark, path)) == want
-    compact(spark, path, f"{tmp_path}/compacted")
-    assert stored(current_events(spark, f"{tmp_path}/compacted")) == want
-    assert spark.read.parquet(f"{tmp_path}/compacted").count() == 3
+    upsert_events(first, path, 0, source="another stream")
+    assert stored(current_events(spark, path)) == want
+
+
+def test_merged_dates_are_read_instead_of_their_batches(spark, tmp_path):
+    path = f"{tmp_path}/events"
+    compact(spark, path)
+    far = datetime(9999, 1, 1)
+    upsert_events(spark.createDataFrame([event("E1", arrival=1), event("E2", arrival=2), event("F1", when=far, arrival=1),
+                                         event("G1", when=datetime(2024, 5, 1))], SCHEMA), path, 0)
+    compact(spark, path)
+    first = Versions(spark, path).current()
+    assert sorted(first["dates"]) == ["2024-01-02", "2024-05-01", "none"] and first["batches"] == {"batch": 0}
+    assert sum(spark.read.parquet(folder).count() for folder in first["folders"]) == 3
+    upsert_events(spark.createDataFrame([event("E3", arrival=3), event("F0", when=far, arrival=0)], SCHEMA), path, 1)
+    want = {"TRK-1_2024-01-02T12:00:00.000000": "E3", "TRK-1_9999-01-01T00:00:00.000000": "F1",
+            "TRK-1_2024-05-01T00:00:00.000000": "G1"}
+    assert stored(current_events(spark, path)) == want
+    compact(spark, path)
+    second = Versions(spark, path).current()
+    assert second["dates"]["2024-05-01"] == first["dates"]["2024-05-01"] != second["dates"]["2024-01-02"]
+    assert stored(current_events(spark, path)) == want
+    assert stored(current_events(spark, path, F.col("event_date").isNull())) == {"TRK-1_9999-01-01T00:00:00.000000": "F1"}
+
+
+def test_a_store_without_events_can_be_read(spark, tmp_path):
+    assert current_events(spark, f"{tmp_path}/absent").count() == 0
+    rejected = spark.createDataFrame([("{bad", 3)], "body string, arrival bigint")
+    webhook_sink(f"{tmp_path}/store")(rejected, 0)
+    assert current_events(spark, f"{tmp_path}/store").count() == 0
+    row = read_rejects(spark, outcome_path(f"{tmp_path}/store", REJECTED)).first()
+    assert (row["reason"], row["payload"], row["arrival"], row["batch_id"]) == ("malformed_json", "{bad", 3, 0)
+
+
+def test_arrival_comes_from_the_request_or_its_source(spark):
+    def arrival(columns, *values):
+        rows = spark.createDataFrame([("{}", *values)], f"body string{columns}")
+        return read_webhooks(rows).first()["arrival"]
+
+    assert arrival(", arrival int, offset bigint", 4, 9) == 4
+    assert arrival(", offset bigint, timestamp timestamp", 9, NOON) == 9
+    assert arrival(", timestamp timestamp_ntz", NOON) == 1704196800000000
+    assert arrival("") > 1704196800000000
 
 
 def test_dates_limit_the_partitions_read(spark, tmp_path):
     path = f"{tmp_path}/events"
-    upsert_events(spark.createDataFrame([event("E1"), event("E2", when=datetime(2024, 1, 3))], SCHEMA), path)
+    upsert_events(spark.createDataFrame([event("E1"), event("E2", when=datetime(2024, 1, 3))], SCHEMA), path, 0)
     one_day = current_events(spark, path, F.col("event_date") == "2024-01-03")
     assert list(stored(one_day).values()) == ["E2"]
     plan = one_day._jdf.queryExecution().executedPlan().toString()
@@ -50,6 +97,32 @@ def test_nulls_may_win(spark):
     assert [tuple(row) for row in last_write_wins(df, "key", "arrival").collect()] == [("k", 2, None)]
 
 
+def test_of_rows_at_one_moment_one_wins(spark):
+    rows = [("k", 2, "x"), ("k", 2, "y"), ("k", 2, "y"), ("k", 1, "z"), ("k", None, "w"), (None, 5, "a"), (None, 5, "a"),
+            ("n", None, "b")]
+    df = spark.createDataFrame(rows, "key string, arrival int, note string")
+    won = {row["key"]: row["note"] for row in last_write_wins(df, "key", "arrival").collect()}
+    assert won.keys() == {"k", None, "n"} and won["k"] in "xy" and (won[None], won["n"]) == ("a", "b")
+    assert last_write_wins(df, "key", "arrival").count() == 3
+
+
+def test_equal_rows_are_told_apart_as_duplicates(spark):
+    rows = [("a", 1, "x")] * 3 + [("a", 1, "y"), ("b", None, "x"), ("b", None, "x"), ("b", 4, "x"), ("c", 1, "x"),
+                                 (None, 1, "x"), (None, 1, "x")]
+    flagged = duplicate_flag(spark.createDataFrame(rows, "id string, place int, note string"), "id", "place")
+    assert sorted(map(str, flagged.select("id", "place", "note", "is_duplicate").collect())) == sorted(map(str, [
+        Row(id=i, place=p, note=n, is_duplicate=d) for i, p, n, d in [
+            ("a", 1, "x", False), ("a", 1, "x", True), ("a", 1, "x", True), ("a", 1, "y", True), ("b", 4, "x", False),
+            ("b", None, "x", True), ("b", None, "x", True), ("c", 1, "x", False), (None, 1, "x", False),
+            (None, 1, "x", True)]]))
+
+
+def test_very_many_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(latest, "COPIES", 7)
+    flagged = duplicate_flag(spark.range(50).selectExpr("1 AS id", "2 AS place"), "id", "place")
+    assert [flagged.count(), flagged.filter("NOT is_duplicate").count()] == [50, 1]
+
+
 def test_only_the_first_of_a_key_is_no_duplicate(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("a", 3), ("b", 1), (None, 5), (None, 4), ("c", None)],
                                "id string, place int")

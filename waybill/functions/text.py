@@ -13,6 +13,17 @@ def utf8_text(raw: Column) -> Column:
     return F.try_validate_utf8(raw.cast("string"))
 
 
+def bytes_if_no_text(raw: Column) -> Column:
+    """Base64 of bytes that are not valid UTF-8; NULL for text, which needs none."""
+    return F.when(utf8_text(raw).isNull(), F.base64(raw))
+
+
+def quoted_text(text: str) -> str:
+    """A text literal for SQL statements."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def or_default(column: Column, default) -> Column:
     return F.coalesce(column, F.lit(default))
 

@@ -8,9 +8,10 @@ all its reasons.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from waybill import schemas
@@ -40,8 +41,11 @@ class Field:
 
 @dataclass(frozen=True)
 class Contract:
+    """`name` tells the counters of several contracts in one query apart."""
+
     fields: tuple[Field, ...]
     key: str
+    name: str = "record"
 
     @property
     def names(self) -> list[str]:
@@ -49,6 +53,7 @@ class Contract:
 
 
 TELEMETRY = Contract(
+    name="telemetry",
     key="tracking_number",
     fields=(
         Field("tracking_number", required=True),
@@ -59,6 +64,7 @@ TELEMETRY = Contract(
 )
 
 WEBHOOK = Contract(
+    name="webhook",
     key="tracking_number",
     fields=(
         Field("event_id", required=True),
@@ -85,38 +91,53 @@ def validate(df: DataFrame, contract: Contract, value: str = "value",
     """
     others = [name for name in df.columns if name not in contract.names]
     names = contract.names
+    with _last_key_counts(df.sparkSession):
+        documents = df.select(*others, _parse(F.col(value)).alias("_doc"))
     parsed = (
-        df.select(*others, _parse(F.col(value)).alias("_doc"))
-        .select(*others, _is_record(F.col(value)).alias("_ok"),
+        documents.select(*others, _is_record(F.col(value)).alias("_ok"),
                 *[F.try_variant_get("_doc", f"$[0].{name}", "variant").alias(f"_{name}") for name in names])
     )
     kinds = [F.schema_of_variant(f"_{name}").alias(f"_{name}_kind") for name in names]
     texts = [F.try_variant_get(f"_{name}", "$", "string").alias(f"_{name}_text") for name in names]
     numbers = [_number(field).alias(f"_{field.name}_number") for field in contract.fields]
     checked = (
-        observe_payloads(parsed)
+        observe_payloads(parsed, contract.name)
         .select(*others, "_ok", *kinds, *texts)
         .select("*", *numbers)
         .select("*", *[_typed(field).alias(field.name) for field in contract.fields])
         .select(*others, *names, _reject_key(contract).alias("reject_key"), _reasons(contract).alias("reasons"))
     )
-    return observe_counts(checked, counts)
+    return observe_counts(checked, counts, contract.name)
+
+
+@contextmanager
+def _last_key_counts(spark: SparkSession):
+    """Of a repeated JSON key the last one counts, whatever the session says;
+    the setting is read when an expression is analysed."""
+    key = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
-def observe_payloads(parsed: DataFrame) -> DataFrame:
+def observe_payloads(parsed: DataFrame, name: str = "record") -> DataFrame:
     """Count payloads and those that are no JSON object while a job runs over them."""
     return parsed.observe(
-        _observer(parsed, "payload_counts"),
+        _observer(parsed, f"{name}_payloads"),
         F.count(F.lit(1)).alias("payloads"),
         F.count_if(~F.col("_ok")).alias("malformed"),
     )
 
 
-def observe_counts(checked: DataFrame, counts: Observation | None = None) -> DataFrame:
+def observe_counts(checked: DataFrame, counts: Observation | None = None, name: str = "record") -> DataFrame:
     """Count checked and valid rows while another job runs over them. A stream
-    reports the counts of each batch in its progress, under `record_counts`."""
+    reports the counts of each batch in its progress, under the contract's name
+    and `_counts`."""
     return checked.observe(
-        counts or _observer(checked, "record_counts"),
+        counts or _observer(checked, f"{name}_counts"),
         F.count(F.lit(1)).alias("rows"),
         F.count_if(is_accepted()).alias("valid"),
     )

@@ -1,7 +1,8 @@
 """Repeated events: last write wins, and the duplicate flag.
 
-Both reduce copies with a partial aggregate before the shuffle, so a key with
-very many copies sends one row per task.
+Aggregates use fixed-width buffers and combine before the shuffle, so a key with
+very many copies sends one row per task. What is joined back per key is split by
+adaptive skew handling where a key is crowded.
 """
 
 from __future__ import annotations
@@ -9,30 +10,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Copies of one row that are written out together.
+COPIES = 100_000
+
 
 def last_write_wins(df: DataFrame, key: str, arrival: str) -> DataFrame:
-    """The row that arrived last under each key. Of rows that arrived at the
-    same moment the greatest by its columns counts."""
-    others = [name for name in df.columns if name not in (key, arrival)]
-    row = F.struct(arrival, *others)
-    return (df.groupBy(key).agg(F.max(row).alias("_row"))
-            .select(*[F.col(key) if name == key else F.col(f"_row.{name}") for name in df.columns]))
+    """The row that arrived last under each key. Of different rows that arrived
+    at the same moment the one with the greatest hash counts; a NULL arrival is
+    before all others."""
+    latest = df.groupBy(F.col(key).alias("_key")).agg(F.max(arrival).alias("_latest"))
+    same_key = F.col(key).eqNullSafe(F.col("_key"))
+    last = (df.join(latest, same_key & F.col(arrival).eqNullSafe(F.col("_latest")), "left_semi")
+            .withColumn("_hash", F.xxhash64(*[F.col(name) for name in df.columns])).distinct())
+    chosen = last.groupBy(F.col(key).alias("_key")).agg(F.max("_hash").alias("_chosen"))
+    return last.join(chosen, same_key & (F.col("_hash") == F.col("_chosen")), "left_semi").select(*df.columns)
 
 
 def duplicate_flag(df: DataFrame, key: str, *order: str, output: str = "is_duplicate") -> DataFrame:
     """Flag every row that is not the first of its key.
 
-    `order` must tell the copies of a key apart, as arrival times or positions
-    do. Only keys that occur twice are joined back, one row per key, instead of
-    collecting the copies of each key in a window. A single order column of
-    fixed width keeps the aggregate hashed.
+    The first is the least by `order`, NULLs last, then by the other columns; of
+    equal rows one is the first. Rows whose key occurs once are passed on as they
+    are. Of the others, equal rows are counted before the shuffle and written
+    out again, one of them as the first.
     """
-    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    repeated = (df.groupBy(F.col(key).alias("_key"))
-                .agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-                .filter(F.col("_copies") > 1))
-    return (df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
-            .select(*df.columns, F.coalesce(place > F.col("_first"), F.lit(False)).alias(output)))
+    columns = list(df.columns)
+    repeated = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    single = df.join(repeated, same, "left_anti").withColumn(output, F.lit(False))
+    several = (df.join(repeated, same, "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")))
+    others = [name for name in columns if name != key and name not in order]
+    place = F.struct(*[part for name in (*order, *others) for part in (F.col(name).isNull(), F.col(name))])
+    first = several.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first"))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / COPIES)))
+    within = F.explode(F.sequence(F.col("_part") * COPIES,
+                                  F.least((F.col("_part") + 1) * COPIES, F.col("_copies")) - 1))
+    written = (several.join(first, same).withColumn("_part", copies).withColumn("_copy", within)
+               .select(*columns, ((place > F.col("_first")) | (F.col("_copy") > 0)).alias(output)))
+    return single.unionAll(written)
 
 
 def drop_duplicates_stream(stream: DataFrame, key: str, time: str, delay: str, salts: int = 16) -> DataFrame:

@@ -11,18 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.session import estimated_bytes, store
-
-# Below this estimate one task sorts and scans everything.
-SINGLE_TASK_BYTES = 32 * 1024 * 1024
+from waybill.session import store
 
 _POSITION_BITS = 33
 
 
-def fits_one_task(df: DataFrame, limit: int = SINGLE_TASK_BYTES) -> bool:
-    return estimated_bytes(df) <= limit
-
-
 def in_order(df: DataFrame, *order: str, label: str) -> DataFrame:
     """Rows with `_range` and, within it, `_position`, both in the given order.
 
@@ -45,15 +38,9 @@ def before_range(ordered: DataFrame, **totals: Column) -> DataFrame:
     return sums.select("_range", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in totals])
 
 
-def running_totals(df: DataFrame, order: str, *values: str, keep: tuple[str, ...] = (),
-                   scaled: bool | None = None) -> DataFrame:
+def running_totals(df: DataFrame, order: str, *values: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Replace each of `values` by its running total along `order`, which must
     be unique; `keep` names columns to leave as they are."""
-    if scaled is None:
-        scaled = not fits_one_task(df)
-    if not scaled:
-        window = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(order, *keep, *[F.sum(name).over(window).alias(name) for name in values])
     ordered = in_order(df.select(order, *keep, *values), order, label="running")
     # As many rows as there are ranges, which is at most the shuffle partitions.
     before = F.broadcast(before_range(ordered, **{f"_before_{name}": F.sum(name) for name in values}))

@@ -1,8 +1,8 @@
 """Rolling averages along the delivery order.
 
-Both have no partition key. A plain window would pull every row into one task,
-so that plan is used only for inputs whose estimated size fits one; the other
-plans below give the same rows with the work spread out.
+Both have no partition key, and a plain window would pull every row into one
+task. Positions in the whole order are written to scratch first, so building
+these results runs jobs; `clear_scratch` removes what they leave.
 """
 
 from __future__ import annotations
@@ -11,32 +11,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill import schemas
-from waybill.operators.ordering import before_range, fits_one_task, in_order, running_totals
+from waybill.operators.ordering import before_range, in_order, running_totals
 from waybill.session import store
 
 BLOCK_ROWS = 250_000
 
 
 def rolling_rows(df: DataFrame, value: str, order: tuple[str, ...], output: str,
-                 rows: int = schemas.ROLLING_DELIVERIES, scaled: bool | None = None,
-                 block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 rows: int = schemas.ROLLING_DELIVERIES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Average of `value` over the current and the `rows - 1` rows before it.
 
     Rows with a NULL value take a place in the frame and do not count in the
-    average. `order` should be unique, or the frames are not determined.
+    average. `order` should be unique, or the frames are not determined. The
+    order is cut into blocks of equal size; the last rows of each block are also
+    sent to the next one, where they only fill frames.
     """
-    if scaled is None:
-        scaled = not fits_one_task(df)
-    if scaled:
-        return _rolling_rows_in_blocks(df, value, order, output, rows - 1, block_rows)
-    frame = Window.orderBy(*order).rowsBetween(1 - rows, 0)
-    return df.withColumn(output, F.avg(value).over(frame))
-
-
-def _rolling_rows_in_blocks(df: DataFrame, value: str, order: tuple[str, ...], output: str,
-                            halo: int, block_rows: int) -> DataFrame:
-    """Cut the global order into blocks of equal size; the last rows of each
-    block are also sent to the next one, where they only fill frames."""
+    halo = rows - 1
     if block_rows < max(halo, 1):
         raise ValueError("a block must hold at least one whole frame")
     ordered = in_order(df, *order, label="rolling")
@@ -57,7 +47,7 @@ def _rolling_rows_in_blocks(df: DataFrame, value: str, order: tuple[str, ...], o
 
 
 def rolling_days(df: DataFrame, value: str, time: str, output: str,
-                 days: int = schemas.ROLLING_DAYS, scaled: bool | None = None) -> DataFrame:
+                 days: int = schemas.ROLLING_DAYS) -> DataFrame:
     """Average of the integer column `value` over the `days` days up to `time`.
 
     A row adds its value at its own time and takes it back one microsecond
@@ -65,10 +55,7 @@ def rolling_days(df: DataFrame, value: str, time: str, output: str,
     is the sum over the frame. Steps are added up per instant first: a crowded
     instant is one row afterwards. Integer sums are exact, whatever the order.
     """
-    if scaled is None:
-        scaled = not fits_one_task(df)
-    if scaled:
-        df = store(df, "rolling-days")  # read twice: for the steps and for the rows
+    df = store(df, "rolling-days")  # read twice: for the steps and for the rows
     instant = F.col(time)
     known = F.col(value).isNotNull().cast("bigint")
     amount = F.coalesce(F.col(value), F.lit(0)).cast("decimal(19,0)")
@@ -79,7 +66,7 @@ def rolling_days(df: DataFrame, value: str, time: str, output: str,
     )))
     per_instant = steps.groupBy("_time").agg(
         F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"), F.sum("_rows").alias("_rows"))
-    totals = running_totals(per_instant, "_time", "_sum", "_count", keep=("_rows",), scaled=scaled)
+    totals = running_totals(per_instant, "_time", "_sum", "_count", keep=("_rows",))
     average = F.when(F.col("_count") > 0, F.col("_sum").cast("double") / F.col("_count"))
     return (
         df.join(totals.filter(F.col("_rows") > 0), instant == F.col("_time"), "left")

@@ -44,12 +44,17 @@ def status_summary(events: DataFrame, statuses: Sequence[str] | None = None) ->
     return ranked.select("tracking_number", rank_status(F.col("_rank"), statuses).alias("latest_status"), "avg_latency")
 
 
-def latest_scan(events: DataFrame, statuses: Sequence[str] = schemas.TELEMETRY_SCANS) -> DataFrame:
+def latest_scan(events: DataFrame, statuses: Sequence[str] | None = schemas.TELEMETRY_SCANS) -> DataFrame:
     """Status of the last clean scan by event time, per parcel.
 
     Keeps the last time of every status and compares those; of several scans
-    at the same time the alphabetically last one counts.
+    at the same time the alphabetically last one counts. Without `statuses` any
+    text is a status.
     """
+    if statuses is None:
+        last = clean_events(events).groupBy("tracking_number").agg(F.max(F.struct("timestamp", "scan_type")).alias("_last"))
+        return last.select("tracking_number", F.col("_last.scan_type").alias("latest_status"),
+                           F.col("_last.timestamp").alias("latest_time"))
     ordered = sorted(statuses, reverse=True)
     known = F.col("scan_type").isin(*ordered) | F.col("scan_type").isNull()
     checked = F.when(known, F.col("scan_type")).otherwise(

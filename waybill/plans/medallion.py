@@ -1,37 +1,48 @@
 """Topic to gold: ingest, gate, silver, gold, each step after the one before.
 
-Bronze is read once. Gate, silver and gold all group by tracking number or not
-at all, so one aggregate per parcel holds what the three need, and its result
-is stored: gate counters add up over parcels, silver and gold are projections.
+Gate, silver and gold all group by tracking number or not at all, so one summary
+per parcel holds what the three need, and its counters add up: a refresh reads
+only the batches that are new, adds their summary to the stored one, and makes
+gate, silver and gold from the result. All of them are written to a new version,
+which is published as a whole; until then the last one stays.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from waybill import schemas
 from waybill.operators.milestones import delivered, first_time, last_time
 from waybill.operators.quality import bronze_suite, enforce, expectation_counts, report
 from waybill.operators.status import rank_status, status_rank
 from waybill.plans.gold import sla_mart
-from waybill.session import store
-from waybill.sinks.files import ACCEPTED, REJECTED, outcome_path, write_silver
-from waybill.sinks.tables import ensure_database, write_table
-from waybill.sources.bronze import is_empty, read_bronze
+from waybill.session import remove
+from waybill.sinks.files import ACCEPTED, REJECTED, outcome_path
+from waybill.sinks.tables import ensure_database, point_table
+from waybill.sinks.versions import Versions
+from waybill.sources.bronze import read_accepted
 from waybill.streaming.ingest import bronze_sink, drain
 
 STATUSES = schemas.TELEMETRY_SCANS
+BRONZE = StructType([*schemas.TELEMETRY]).add("source", StringType()).add("batch_id", IntegerType())
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the layers live. `root` must be shared storage on a cluster."""
+    """Where the layers live. `root` must be shared storage on a cluster. Without
+    a name the database has one of its own for each root."""
 
     root: str
-    database: str = "waybill"
+    name: str | None = None
+
+    @property
+    def database(self) -> str:
+        return self.name or f"waybill_{hashlib.sha1(self.root.rstrip('/').encode()).hexdigest()[:12]}"
 
     @property
     def messages(self) -> str:
@@ -50,17 +61,13 @@ class Lake:
         return f"{self.root}/messages_checkpoint"
 
     @property
-    def silver(self) -> str:
-        return f"{self.root}/silver"
+    def marts(self) -> str:
+        return f"{self.root}/marts"
 
     @property
     def gold(self) -> str:
         return f"{self.database}.sla_mart"
 
-    @property
-    def gold_path(self) -> str:
-        return f"{self.root}/gold"
-
 
 def parcel_summary(events: DataFrame) -> DataFrame:
     """One row per tracking number with all that gate, silver and gold need."""
@@ -69,12 +76,19 @@ def parcel_summary(events: DataFrame) -> DataFrame:
         *expectation_counts(bronze_suite()),
         F.count_if(clean).alias("clean_rows"),
         F.max(F.when(clean, status_rank(STATUSES))).alias("status_rank"),
-        F.avg(F.when(clean, F.col("ping_latency_ms"))).alias("avg_latency"),
+        F.coalesce(F.sum(F.when(clean, F.col("ping_latency_ms"))), F.lit(0.0)).alias("latency_sum"),
         first_time(schemas.PICKUP).alias("pickup_time"),
         last_time(schemas.DELIVERED).alias("delivery_time"),
     )
 
 
+def add_summaries(summaries: DataFrame) -> DataFrame:
+    """Several summaries, stacked, as one."""
+    how = {"status_rank": F.max, "pickup_time": F.min, "delivery_time": F.max}
+    return summaries.groupBy("tracking_number").agg(
+        *[how.get(name, F.sum)(name).alias(name) for name in summaries.columns if name != "tracking_number"])
+
+
 def gate_of(parcels: DataFrame) -> DataFrame:
     suite = bronze_suite()
     names = [f"{kind}_{i}" for i in range(len(suite)) for kind in ("evaluated", "unexpected")]
@@ -83,27 +97,71 @@ def gate_of(parcels: DataFrame) -> DataFrame:
 
 def silver_of(parcels: DataFrame) -> DataFrame:
     return parcels.filter(F.col("clean_rows") > 0).select(
-        "tracking_number", rank_status(F.col("status_rank"), STATUSES).alias("latest_status"), "avg_latency")
+        "tracking_number", rank_status(F.col("status_rank"), STATUSES).alias("latest_status"),
+        (F.col("latency_sum") / F.col("clean_rows")).alias("avg_latency"))
 
 
-def gold_of(parcels: DataFrame, scaled: bool | None = None) -> DataFrame:
-    return sla_mart(delivered(parcels).select("tracking_number", "pickup_time", "delivery_time"), scaled)
+def gold_of(parcels: DataFrame) -> DataFrame:
+    return sla_mart(delivered(parcels).select("tracking_number", "pickup_time", "delivery_time"))
+
+
+def new_events(spark: SparkSession, lake: Lake, done: dict[str, int]) -> DataFrame:
+    """Bronze of the batches after those in `done`, the last batch per query.
+    Only the partitions of new batches are read."""
+    found = read_accepted(spark, lake.bronze, BRONZE)
+    for source, last in done.items():
+        found = found.filter((F.col("source") != source) | (F.col("batch_id") > last))
+    return found
 
 
 def refresh(spark: SparkSession, lake: Lake) -> DataFrame | None:
-    """Rebuild silver and gold from bronze. Nothing happens without bronze, and
-    a gate that fails raises before either is written."""
-    bronze = read_bronze(spark, lake.bronze)
-    if is_empty(bronze):
-        return None
-    parcels = store(parcel_summary(bronze), "parcels")
-    enforce(gate_of(parcels))
-    write_silver(silver_of(parcels), lake.silver)
+    """Bring silver and gold up to date with bronze and return gold.
+
+    Nothing happens without bronze. A gate that fails raises, and like any other
+    failure leaves the published silver and gold as they are. Records whose
+    status is none of the contract's, which only a foreign writer can have put
+    there, are left out and counted in the version's facts.
+    """
+    versions = Versions(spark, lake.marts)
+    before = versions.current()
+    done = before["batches"] if before else {}
+    new = new_events(spark, lake, done)
+    known = F.col("scan_type").isNull() | F.col("scan_type").isin(*STATUSES)
+    batches = new.groupBy("source").agg(F.max("batch_id"), F.count_if(~known)).collect()  # one row per query
+    if not batches:
+        return read_gold(spark, lake) if before else None
+    folder = versions.fresh()
+    try:
+        summary = parcel_summary(new.filter(known))
+        if before:
+            summary = add_summaries(spark.read.parquet(f"{before['folders'][0]}/parcels").unionByName(summary))
+        summary.write.parquet(f"{folder}/parcels")
+        parcels = spark.read.parquet(f"{folder}/parcels")
+        enforce(gate_of(parcels))
+        silver_of(parcels).write.parquet(f"{folder}/silver")
+        gold_of(parcels).write.parquet(f"{folder}/gold")
+    except BaseException:
+        remove(spark, folder)
+        raise
+    left_out = (before["left_out"] if before else 0) + sum(row[2] for row in batches)
+    versions.publish([folder], batches={**done, **{row[0]: row[1] for row in batches}}, left_out=left_out)
     ensure_database(spark, lake.database, f"{lake.root}/database")
-    return write_table(gold_of(parcels), lake.gold, lake.gold_path)
+    gold = read_gold(spark, lake)
+    point_table(spark, lake.gold, f"{folder}/gold", gold.schema.toDDL())
+    return gold
+
+
+def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Silver of the published version."""
+    return spark.read.parquet(f"{Versions(spark, lake.marts).current()['folders'][0]}/silver")
+
+
+def read_gold(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Gold of the published version."""
+    return spark.read.parquet(f"{Versions(spark, lake.marts).current()['folders'][0]}/gold")
 
 
-def run(spark: SparkSession, messages: DataFrame, lake: Lake, all_cores: bool = False) -> DataFrame | None:
-    """Drain the messages into bronze, then refresh. Returns the gold table."""
-    drain(messages, bronze_sink(lake.messages, all_cores=all_cores), lake.checkpoint)
+def run(spark: SparkSession, messages: DataFrame, lake: Lake) -> DataFrame | None:
+    """Drain the messages into bronze, then refresh. Returns gold."""
+    drain(messages, bronze_sink(lake.messages), lake.checkpoint)
     return refresh(spark, lake)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,21 +11,15 @@ from waybill import schemas
 from waybill.functions.text import batch_label, telemetry_json
 from waybill.operators import contracts, latest, milestones, quality, rolling, status
 from waybill.plans import gold, medallion
-from waybill.session import scratch_path, spread
-from waybill.sinks.files import write_bronze, write_silver
+from waybill.query_data import read_events, stream_events, telemetry, telemetry_messages, webhook_requests
+from waybill.session import scratch_path
+from waybill.sinks.files import write_bronze
 from waybill.sinks.tables import ensure_database, write_table
-from waybill.sinks.webhooks import current_events, upsert_events
-from waybill.sources.bronze import read_bronze, read_rejects
-from waybill.sources.samples import register, staged_scans
-from waybill.sources.telemetry import (
-    read_events,
-    stream_events,
-    telemetry,
-    telemetry_messages,
-    webhook_requests,
-)
+from waybill.sinks.webhooks import compact, current_events, upsert_events
+from waybill.sources.bronze import read_accepted, read_bronze, read_rejects
+from waybill.sources.samples import register, stacked, staged_scans
 from waybill.sources.webhook import read_webhooks
-from waybill.streaming.ingest import bronze_sink, drain, webhook_sink
+from waybill.streaming.ingest import BatchSink, bronze_sink, drain, webhook_sink
 
 # Doubles are compared after rounding: the last bits depend on summation order.
 DIGITS = 6
@@ -69,32 +65,15 @@ def sla_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select("tracking_number", "is_sla_breached")
 
 
-def _rolling_rows(spark: SparkSession, sf_dir: str, scaled: bool | None) -> DataFrame:
+def rolling_7_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     parcels = milestones.transit(_parcels(spark, sf_dir))
-    rolled = rolling.rolling_rows(parcels, "transit_hours", gold.DELIVERY_ORDER, "rolling_7_delivery_avg_hours",
-                                  scaled=scaled)
+    rolled = rolling.rolling_rows(parcels, "transit_hours", gold.DELIVERY_ORDER, "rolling_7_delivery_avg_hours")
     return _rounded(rolled, "rolling_7_delivery_avg_hours").select("tracking_number", "rolling_7_delivery_avg_hours")
 
 
-def rolling_7_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rolling_rows(spark, sf_dir, None)
-
-
-def rolling_7_rows_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rolling_rows(spark, sf_dir, True)
-
-
-def _rolling_days(spark: SparkSession, sf_dir: str, scaled: bool | None) -> DataFrame:
-    rolled = gold.rolling_week(_parcels(spark, sf_dir), scaled)
-    return _rounded(rolled, "rolling_7_day_avg_hours").select("tracking_number", "rolling_7_day_avg_hours")
-
-
 def rolling_7_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rolling_days(spark, sf_dir, None)
-
-
-def rolling_7_days_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rolling_days(spark, sf_dir, True)
+    rolled = gold.rolling_week(_parcels(spark, sf_dir))
+    return _rounded(rolled, "rolling_7_day_avg_hours").select("tracking_number", "rolling_7_day_avg_hours")
 
 
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +84,13 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return register("stg_milestones", staged_scans(_milestone_scans(spark, sf_dir), *milestones.MILESTONE_SCANS))
+    return register("stg_scans_all", staged_scans(_scans(spark, sf_dir)))
+
+
+def staging_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scans of the topic and events of the webhook under each other."""
+    hooks = contracts.accepted(_checked_webhooks(spark, sf_dir), contracts.WEBHOOK)
+    return stacked(staged_scans(_scans(spark, sf_dir)), hooks.select("event_id", "tracking_number", "scan_type", "timestamp"))
 
 
 # Silver.
@@ -124,7 +109,7 @@ def silver_latest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "silver")
-    write_silver(status.status_summary(_scans(spark, sf_dir), schemas.TELEMETRY_SCANS), path)
+    status.status_summary(_scans(spark, sf_dir), schemas.TELEMETRY_SCANS).write.parquet(path)
     return _rounded(spark.read.parquet(path), "avg_latency")
 
 
@@ -138,14 +123,26 @@ def gate_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.violations(_scans(spark, sf_dir)).select("event_id", "tracking_number", "ping_latency_ms")
 
 
+def gate_halt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gate with a tighter limit, and whether it lets later steps run."""
+    found = quality.run_gate(_scans(spark, sf_dir), (quality.not_null("tracking_number"),
+                                                     quality.between("ping_latency_ms", 0, 50, schemas.LATENCY_MOSTLY)))
+    try:
+        quality.enforce(found)
+        halted = False
+    except quality.QualityGateError:
+        halted = True
+    return found.withColumn("halted", F.lit(halted))
+
+
 # Contracts.
 
 def _checked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contracts.validate(telemetry_messages(spread(read_events(spark, sf_dir))), contracts.TELEMETRY)
+    return contracts.validate(telemetry_messages(read_events(spark, sf_dir)), contracts.TELEMETRY)
 
 
 def _checked_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = webhook_requests(spread(read_events(spark, sf_dir)))
+    requests = webhook_requests(read_events(spark, sf_dir))
     return contracts.validate(read_webhooks(requests), contracts.WEBHOOK)
 
 
@@ -174,17 +171,25 @@ def webhook_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def webhook_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, merged, a third one after that, and the first once more."""
     path = scratch_path(spark, "webhooks")
-    upsert_events(contracts.accepted(_checked_webhooks(spark, sf_dir), contracts.WEBHOOK, "arrival"), path)
+    events = contracts.accepted(_checked_webhooks(spark, sf_dir), contracts.WEBHOOK, "arrival")
+    for batch in (0, 1, 2, 0):
+        upsert_events(events.filter(F.col("arrival") % 3 == batch), path, batch)
+        if batch == 1:
+            compact(spark, path)
     return current_events(spark, path)
 
 
 def duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events once, and the error scans once more as if resent an hour later."""
+    """All events once, and the error scans once more, half of them at the same
+    moment and half an hour later; some moments are not known."""
     sent = _scans(spark, sf_dir).select("event_id", "scan_type", F.col("timestamp").alias("arrival"))
-    resent = sent.filter(F.col("scan_type") == "UNKNOWN_ERROR").withColumn(
-        "arrival", F.col("arrival") + F.expr("INTERVAL '1' HOUR"))
-    return latest.duplicate_flag(sent.unionAll(resent).drop("scan_type"), "event_id", "arrival")
+    later = F.when(F.col("event_id") % 2 == 0, F.col("arrival")).otherwise(F.col("arrival") + F.expr("INTERVAL '1' HOUR"))
+    resent = sent.filter(F.col("scan_type") == "UNKNOWN_ERROR").withColumn("arrival", later)
+    known = F.when(F.col("event_id") % 7 != 0, F.col("arrival"))
+    both = sent.unionAll(resent).withColumn("arrival", known).drop("scan_type")
+    return latest.duplicate_flag(both, "event_id", "arrival")
 
 
 # Bronze and streams.
@@ -199,43 +204,84 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, path)
 
 
-def _drained(spark: SparkSession, sf_dir: str) -> medallion.Lake:
+BATCHES = 4
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
+    """The events in several files, one per batch."""
+    folder = scratch_path(spark, "events")
+    for _ in range(copies):
+        read_events(spark, sf_dir).repartitionByRange(BATCHES, "event_id").write.mode("append").parquet(folder)
+    return stream_events(spark, folder)
+
+
+def _with_a_replay(sink: BatchSink) -> BatchSink:
+    """The second batch comes twice, as after a failure."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2 if batch_id == 1 else 1):
+            sink(batch, batch_id)
+
+    return write
+
+
+def _drained(spark: SparkSession, sf_dir: str, on_counts: Callable[[int, dict], None] | None = None) -> medallion.Lake:
     lake = medallion.Lake(scratch_path(spark, "stream"))
-    stream = telemetry_messages(stream_events(spark, sf_dir))
-    drain(stream, bronze_sink(lake.messages, all_cores=True), lake.checkpoint)
+    stream = telemetry_messages(_event_stream(spark, sf_dir))
+    drain(stream, _with_a_replay(bronze_sink(lake.messages, on_counts)), lake.checkpoint)
     return lake
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_bronze(spark, _drained(spark, sf_dir).bronze)
+    return read_accepted(spark, _drained(spark, sf_dir).bronze, schemas.TELEMETRY)
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejects = read_rejects(spark, _drained(spark, sf_dir).rejects)
-    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    return rejects.select("reject_key", "reason", F.size("reasons").alias("reason_count"), "payload")
 
 
-def stream_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "webhook-stream")
-    drain(webhook_requests(stream_events(spark, sf_dir)),
-          webhook_sink(f"{root}/events", f"{root}/rejects", all_cores=True), f"{root}/checkpoint")
-    return current_events(spark, f"{root}/events")
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts observed while the batches were written."""
+    seen: dict[int, dict] = {}
+    _drained(spark, sf_dir, lambda batch, counts: seen.update({batch: counts}))
+    observed = spark.createDataFrame([(one["rows"], one["valid"]) for one in seen.values()], "rows bigint, valid bigint")
+    return observed.agg(F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("rows"), F.sum("valid").alias("valid"))
 
 
-def _medallion(spark: SparkSession, sf_dir: str) -> tuple[medallion.Lake, DataFrame]:
-    lake = medallion.Lake(scratch_path(spark, "lake"))
-    messages = telemetry(stream_events(spark, sf_dir)).select(telemetry_json().alias("value"))
-    return lake, medallion.run(spark, messages, lake, all_cores=True)
+def stream_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "webhook-stream")
+    sink = _with_a_replay(webhook_sink(f"{root}/store"))
+    drain(webhook_requests(_event_stream(spark, sf_dir)), sink, f"{root}/checkpoint")
+    compact(spark, f"{root}/store")
+    return current_events(spark, f"{root}/store")
+
+
+def stream_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event comes twice and is passed on once."""
+    root = scratch_path(spark, "duplicates")
+    events = _event_stream(spark, sf_dir, copies=2).select("event_id", F.col("ts").cast("timestamp").alias("at"))
+    unique = latest.drop_duplicates_stream(events, "event_id", "at", "400 days")
+    query = (unique.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+             .option("path", f"{root}/out").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema("event_id bigint").parquet(f"{root}/out")
+
+
+def _medallion(spark: SparkSession, sf_dir: str) -> medallion.Lake:
+    """Three runs, each with the messages that came since the last one, broken ones among them."""
+    lake, folder = medallion.Lake(scratch_path(spark, "lake")), scratch_path(spark, "messages")
+    for part in range(3):
+        read_events(spark, sf_dir).filter(F.col("event_id") % 3 == part).write.mode("append").parquet(folder)
+        medallion.run(spark, telemetry_messages(stream_events(spark, folder)), lake)
+    return lake
 
 
 def medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, mart = _medallion(spark, sf_dir)
-    return _mart(mart)
+    return _mart(spark.table(_medallion(spark, sf_dir).gold))
 
 
 def medallion_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake, _ = _medallion(spark, sf_dir)
-    return _rounded(spark.read.parquet(lake.silver), "avg_latency")
+    return _rounded(medallion.read_silver(spark, _medallion(spark, sf_dir)), "avg_latency")
 
 
 QUERIES = {
@@ -244,17 +290,17 @@ QUERIES = {
     "transit_hours": transit_hours,
     "sla_flag": sla_flag,
     "rolling_7_rows": rolling_7_rows,
-    "rolling_7_rows_scaled": rolling_7_rows_scaled,
     "rolling_7_days": rolling_7_days,
-    "rolling_7_days_scaled": rolling_7_days_scaled,
     "gold_table": gold_table,
     "staging_events": staging_events,
+    "staging_union": staging_union,
     "silver_clean_events": silver_clean_events,
     "silver_status": silver_status,
     "silver_latest_scan": silver_latest_scan,
     "silver_roundtrip": silver_roundtrip,
     "gate_report": gate_report,
     "gate_violations": gate_violations,
+    "gate_halt": gate_halt,
     "contract_valid": contract_valid,
     "contract_rejects": contract_rejects,
     "batch_counts": batch_counts,
@@ -266,6 +312,8 @@ QUERIES = {
     "bronze_roundtrip": bronze_roundtrip,
     "stream_bronze": stream_bronze,
     "stream_rejects": stream_rejects,
+    "stream_counts": stream_counts,
+    "stream_duplicates": stream_duplicates,
     "stream_webhooks": stream_webhooks,
     "medallion_gold": medallion_gold,
     "medallion_silver": medallion_silver,

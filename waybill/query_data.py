@@ -1,4 +1,5 @@
-"""Scan events derived from the `events` test table.
+"""The data of the registered queries: scan events, messages and webhook requests
+derived from the `events` test table.
 
 One parcel per user and week; the event type gives the scan type, and every
 tenth event carries the sensor's error value as its latency.
@@ -22,11 +23,9 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str, bytes_per_batch: int = 1 << 40) -> DataFrame:
-    """The events table as a stream. The braces make the path a glob, which a
-    file stream needs if the table is one file rather than a folder."""
-    return (spark.readStream.schema(EVENTS).option("maxBytesPerTrigger", bytes_per_batch)
-            .parquet(f"{sf_dir}/{{events}}.parquet"))
+def stream_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of a folder of events as a stream, one file a batch."""
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def telemetry(events: DataFrame, scans: tuple[str, ...] | None = None) -> DataFrame:
@@ -71,8 +70,9 @@ def telemetry_messages(events: DataFrame) -> DataFrame:
 
     Class 0 is cut off, 1 has a number as tracking number, 2 an unlisted scan
     type, 3 no timestamp, 4 a bad timestamp, 5 a null latency, 6 an extra
-    field, 7 the latency as text, 8 is an array, 17 has two documents in one
-    payload, 18 an offset on the timestamp.
+    field, 7 the latency as text, 8 is an array, 9 an unlisted scan type and no
+    timestamp, 10 a number as tracking number and a bad timestamp, 17 has two
+    documents in one payload, 18 an offset on the timestamp.
     """
     good = dict(
         tracking_number=F.col("tracking_number"),
@@ -92,6 +92,8 @@ def telemetry_messages(events: DataFrame) -> DataFrame:
         6: record_json(**good, extra=F.lit("x")),
         7: record_json(**{**good, "ping_latency_ms": F.lit("12.5")}),
         8: F.lit("[1]"),
+        9: record_json(**{**without_time, "scan_type": F.lit("LOST")}),
+        10: record_json(**{**good, "tracking_number": F.col("event_id"), "timestamp": F.lit("nope")}),
         17: F.concat(record_json(**good), F.lit(" "), record_json(**good)),
         18: record_json(**{**good, "timestamp": offset_time}),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -14,7 +15,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
@@ -31,18 +31,39 @@ def build_session(app: str = "waybill", master: str | None = None, **conf: str)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder that the cluster names for checkpoints.
+    """A fresh path in this application's folder below the one that the cluster
+    names for checkpoints.
 
     Only a local session may fall back to a temporary folder: on a cluster it
     would be machine-local, and lost together with its executor.
     """
+    return f"{_run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch of this application. Results that were not written
+    elsewhere are gone afterwards."""
+    remove(spark, _run_folder(spark))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path and all below it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _run_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="waybill-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/waybill/{label}-{uuid.uuid4().hex}"
+        base = _local_scratch()
+    return f"{base.rstrip('/')}/waybill/{spark.sparkContext.applicationId}"
+
+
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="waybill-")
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -54,15 +75,3 @@ def store(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of an unaggregated source out to all cores if it comes in
-    fewer partitions, as a topic or a handful of large files does."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of `df`, without running a job."""
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()

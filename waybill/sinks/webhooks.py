@@ -1,44 +1,91 @@
 """The webhook store: an event is kept under its key, a repeat replaces it.
 
-Writing appends, partitioned by event date, and costs only the new events.
-Reading resolves repeats, and `compact` writes them out resolved. A write that
-is repeated after a failure adds equal rows, which the reader resolves too.
+A batch writes its accepted events by event date and its rejects next to them,
+in one job; a batch that is repeated after a failure replaces its own rows.
+Reading resolves repeats. `compact` resolves the dates that new batches touched
+and publishes them as a version, from which reading then goes on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waybill import schemas
 from waybill.functions.text import event_key
 from waybill.operators.latest import last_write_wins
+from waybill.sinks.files import ACCEPTED, outcome_path, write_batch
+from waybill.sinks.versions import Versions
+from waybill.sources.bronze import read_accepted
 
-COLUMNS = ("event_key", "event_id", "tracking_number", "scan_type", "timestamp", "facility_code",
-           "is_duplicate", "arrival")
+COLUMNS = tuple(name for name in schemas.WEBHOOK_EVENT.names if name not in ("event_date", "source", "batch_id"))
+# Event times are the sender's. Dates outside this span share one partition, so their number has a bound.
+FIRST_DATE, LAST_DATE = "2000-01-01", "2099-12-31"
+NO_DATE = "none"
 
 
-def upsert_events(events: DataFrame, path: str) -> None:
+def write_webhooks(checked: DataFrame, batch_id: int, path: str, source: str = "batch") -> None:
+    """Store accepted and rejected requests of one checked batch."""
+    keyed = checked.withColumn("event_key", event_key(F.col("tracking_number"), F.col("timestamp")))
+    write_batch(keyed, list(COLUMNS), batch_id, path, source, event_date=_event_date())
+
+
+def upsert_events(events: DataFrame, path: str, batch_id: int, source: str = "batch") -> None:
     """Store accepted events; `arrival` says which of two under one key is later."""
-    keyed = events.withColumn("event_key", event_key(F.col("tracking_number"), F.col("timestamp")))
-    _by_date(keyed.select(*COLUMNS)).mode("append").parquet(path)
+    write_webhooks(events.withColumns({"reasons": F.lit(""), "reject_key": F.lit(None).cast("string"),
+                                       "value": F.lit(None).cast("string")}), batch_id, path, source)
+
+
+def _event_date() -> Column:
+    date = F.to_date("timestamp")
+    return F.when(date.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), date)
 
 
 def current_events(spark: SparkSession, path: str, dates: Column | None = None) -> DataFrame:
     """The stored events, one per key. `dates`, a condition on `event_date`,
-    limits the read to those partitions; a key never leaves its date."""
-    stored = spark.read.parquet(path)
+    limits the read to those partitions; a key never leaves its date. A store
+    without events has no rows."""
+    published = Versions(spark, path).current() or {"batches": {}, "dates": {}}
+    parts = [_new_events(spark, path, published)]
+    for folder in sorted(set(published["dates"].values())):
+        names = [date for date, own in published["dates"].items() if own == folder]
+        merged = read_accepted(spark, folder, schemas.WEBHOOK_EVENT)
+        parts.append(merged.filter(_among(names)))
+    stored = parts[0]
+    for part in parts[1:]:
+        stored = stored.unionByName(part)
     if dates is not None:
         stored = stored.filter(dates)
     return last_write_wins(stored.select(*COLUMNS), "event_key", "arrival")
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Write the resolved store to a new path, for readers to switch to."""
-    _by_date(current_events(spark, path)).mode("overwrite").parquet(target)
+def _new_events(spark: SparkSession, path: str, published: dict) -> DataFrame:
+    """Events of batches that no version has merged yet."""
+    found = read_accepted(spark, outcome_path(path, ACCEPTED), schemas.WEBHOOK_EVENT)
+    for source, last in published["batches"].items():
+        found = found.filter((F.col("source") != source) | (F.col("batch_id") > last))
+    return found
+
+
+def _among(names: list[str]) -> Column:
+    dated = F.col("event_date").isin(*[F.lit(name).cast("date") for name in names if name != NO_DATE])
+    return F.coalesce(dated, F.lit(False)) | F.col("event_date").isNull() if NO_DATE in names else dated
 
 
-def _by_date(events: DataFrame) -> DataFrameWriter:
-    """Gather each date before writing, or every task would open a file for
-    every date. Rebalancing splits a crowded date and merges the small ones."""
-    dated = events.withColumn("event_date", F.to_date("timestamp"))
-    return dated.hint("rebalance", "event_date").write.partitionBy("event_date")
+def compact(spark: SparkSession, path: str) -> None:
+    """Merge the dates that new batches touched into a new version and publish it; other dates stay where they are."""
+    versions = Versions(spark, path)
+    published = versions.current() or {"batches": {}, "dates": {}}
+    new = _new_events(spark, path, published)
+    batches = new.groupBy("source").agg(F.max("batch_id")).collect()  # one row per source
+    if not batches:
+        return
+    # One row per date of a bounded span.
+    touched = [NO_DATE if row[0] is None else str(row[0]) for row in new.select("event_date").distinct().collect()]
+    folder = versions.fresh()
+    merged = current_events(spark, path, _among(touched)).withColumns(
+        {"event_date": _event_date(), "source": F.lit("merged"), "batch_id": F.lit(0)})
+    merged.hint("rebalance", "event_date").write.partitionBy("event_date").parquet(folder)
+    dates = {**published["dates"], **dict.fromkeys(touched, folder)}
+    versions.publish(sorted(set(dates.values())), dates=dates,
+                     batches={**published["batches"], **{row[0]: row[1] for row in batches}})

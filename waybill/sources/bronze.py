@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from waybill import schemas
 from waybill.functions.time import iso_to_timestamp
 
-# `StructType.add` would change the shared schema, so this is a new one.
-REJECTS = StructType([*schemas.REJECT, StructField("batch_id", IntegerType())])
-
-
 def read_bronze(spark: SparkSession, path: str, infer: bool = False, multi_line: bool = False) -> DataFrame:
     """All records under `path`; an absent or empty path gives no rows.
 
@@ -22,25 +18,34 @@ def read_bronze(spark: SparkSession, path: str, infer: bool = False, multi_line:
     file. A damaged file fails the read, as bronze holds only checked records.
     """
     found = _read_json(spark, path, None if infer else schemas.BRONZE, multi_line)
-    if found is None:
-        return spark.createDataFrame([], schemas.TELEMETRY)
     return found.select(*[_as_telemetry(found, field) for field in schemas.TELEMETRY])
 
 
+def read_accepted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Accepted records of all batches under `path`, with the columns of
+    `schema`, among which may be `source` and `batch_id`; an absent path gives
+    no rows."""
+    return _found(lambda: spark.read.schema(schema).parquet(path), spark, schema).select(*schema.names)
+
+
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """All rejected payloads under `path` with the batch each came in."""
-    found = _read_json(spark, path, REJECTS)
-    return found if found is not None else spark.createDataFrame([], REJECTS)
+    return read_accepted(spark, path, schemas.REJECTS)
 
 
-def _read_json(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool = False) -> DataFrame | None:
-    reader = spark.read.option("mode", "FAILFAST").option("multiLine", multi_line)
+def _found(read, spark: SparkSession, schema: StructType) -> DataFrame:
     try:
-        return reader.json(path) if schema is None else reader.schema(schema).json(path)
+        return read()
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return None
+        return spark.createDataFrame([], schema)
+
+
+def _read_json(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool) -> DataFrame:
+    reader = spark.read.option("mode", "FAILFAST").option("multiLine", multi_line)
+    return _found(lambda: reader.json(path) if schema is None else reader.schema(schema).json(path), spark,
+                  schemas.BRONZE)
 
 
 def _as_telemetry(found: DataFrame, field):

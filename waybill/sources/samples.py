@@ -18,21 +18,17 @@ def sample_events(spark: SparkSession) -> DataFrame:
                        F.col("ts").try_cast("timestamp_ntz").alias("timestamp"))
 
 
-def staged_scans(events: DataFrame, *scan_types: str) -> DataFrame:
-    """One relation per scan type, its type a literal, stacked by position."""
-    parts = [
-        events.filter(F.col("scan_type") == scan).select(
-            F.concat(F.lit("EVT-"), F.col("event_id")).alias("event_id"),
-            "tracking_number",
-            F.lit(scan).alias("scan_type"),
-            "timestamp",
-        )
-        for scan in scan_types
-    ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionAll(part)
-    return stacked
+def staged_scans(events: DataFrame) -> DataFrame:
+    """The staging columns of scan events, of whatever type."""
+    return events.select(F.concat(F.lit("EVT-"), F.col("event_id")).alias("event_id"), "tracking_number", "scan_type",
+                         "timestamp")
+
+
+def stacked(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Relations of different sources under each other, by position; copies stay."""
+    for other in others:
+        first = first.unionAll(other)
+    return first
 
 
 def register(name: str, df: DataFrame) -> DataFrame:

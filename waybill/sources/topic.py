@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.functions.text import utf8_text
+from waybill.functions.text import bytes_if_no_text, utf8_text
 
 
-def topic_options(servers: str, topic: str, max_per_batch: int | None = None) -> dict[str, str]:
-    """Options of the Kafka source: from the earliest offset, so many messages per batch."""
+def topic_options(servers: str, topic: str, max_per_batch: int | None = None,
+                  min_partitions: int | None = None) -> dict[str, str]:
+    """Options of the Kafka source: from the earliest offset, so many messages
+    per batch, read by at least so many tasks however few partitions the topic has."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -17,6 +19,8 @@ def topic_options(servers: str, topic: str, max_per_batch: int | None = None) ->
     }
     if max_per_batch is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_batch)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
@@ -27,6 +31,7 @@ def read_events_stream(spark: SparkSession, options: dict[str, str]) -> DataFram
 
 
 def messages(raw: DataFrame) -> DataFrame:
-    """Decode `value`, and `key` if there is one; other columns pass through."""
+    """Decode `value`, and `key` if there is one; other columns pass through.
+    A value that is no text keeps its bytes in `payload_base64`."""
     decoded = {name: utf8_text(F.col(name)) for name in ("key", "value") if name in raw.columns}
-    return raw.withColumns(decoded)
+    return raw.withColumn("payload_base64", bytes_if_no_text(F.col("value"))).withColumns(decoded)

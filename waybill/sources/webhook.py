@@ -9,5 +9,19 @@ from waybill.functions.text import or_default
 
 
 def read_webhooks(requests: DataFrame) -> DataFrame:
-    """Request bodies as `value`; an absent body counts as an empty object."""
-    return requests.withColumn("value", or_default(F.col("body"), "{}")).drop("body")
+    """Request bodies as `value`; an absent body counts as an empty object.
+
+    `arrival` orders requests. Without such a column it is the offset of the
+    request's message, or the microsecond it was taken in (`timestamp`), or the
+    microsecond this is run.
+    """
+    if "arrival" in requests.columns:
+        arrival = F.col("arrival")
+    elif "offset" in requests.columns:
+        arrival = F.col("offset")
+    elif "timestamp" in requests.columns:
+        arrival = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    else:
+        arrival = F.unix_micros(F.current_timestamp())
+    return (requests.withColumn("value", or_default(F.col("body"), "{}")).withColumn("arrival", arrival.cast("bigint"))
+            .drop("body"))

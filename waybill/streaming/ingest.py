@@ -7,46 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery
 
-from waybill.operators.contracts import TELEMETRY, WEBHOOK, accepted, rejected, validate
-from waybill.session import spread
-from waybill.sinks.files import write_batch, write_rejects
-from waybill.sinks.webhooks import upsert_events
+from waybill.operators.contracts import TELEMETRY, WEBHOOK, validate
+from waybill.sinks.files import write_batch
+from waybill.sinks.webhooks import write_webhooks
 from waybill.sources.webhook import read_webhooks
 
 BatchSink = Callable[[DataFrame, int], None]
+OnCounts = Callable[[int, dict], None]
 
 
-def bronze_sink(path: str, on_counts: Callable[[int, dict], None] | None = None,
-                all_cores: bool = False) -> BatchSink:
+def query_of(batch: DataFrame) -> str:
+    """The id of the streaming query a batch belongs to, which its checkpoint keeps across restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def bronze_sink(path: str, on_counts: OnCounts | None = None) -> BatchSink:
     """Validate a batch and write what passes and what does not, in one job.
 
-    Both outputs are keyed by the batch id, so a batch that is replayed after
-    a failure replaces what it wrote before. `all_cores` deals out batches that
-    come in fewer partitions than there are cores; it pays for large batches
-    only, as small ones end up in many small files.
+    Both outputs are keyed by the query and the batch id, so a batch that is
+    replayed after a failure replaces what it wrote before and nothing else.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = Observation()
-        rows = spread(batch) if all_cores else batch
-        write_batch(validate(rows, TELEMETRY, counts=counts), batch_id, path)
+        write_batch(validate(batch, TELEMETRY, counts=counts), TELEMETRY.names, batch_id, path, query_of(batch))
         if on_counts is not None:
             on_counts(batch_id, counts.get)
 
     return write
 
 
-def webhook_sink(path: str, rejects: str, all_cores: bool = False) -> BatchSink:
-    """Store the accepted webhook events of a batch, keep the others aside."""
+def webhook_sink(path: str, on_counts: OnCounts | None = None) -> BatchSink:
+    """Store the accepted webhook events of a batch and keep the others aside, in one job."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = spread(batch) if all_cores else batch
-        checked = validate(read_webhooks(rows), WEBHOOK).persist()
-        try:
-            upsert_events(accepted(checked, WEBHOOK, "arrival"), path)
-            write_rejects(rejected(checked, WEBHOOK), batch_id, rejects)
-        finally:
-            checked.unpersist()
+        counts = Observation()
+        write_webhooks(validate(read_webhooks(batch), WEBHOOK, counts=counts), batch_id, path, query_of(batch))
+        if on_counts is not None:
+            on_counts(batch_id, counts.get)
 
     return write
 
@@ -56,8 +54,6 @@ def drain(stream: DataFrame, sink: BatchSink, checkpoint: str) -> StreamingQuery
 
     How much one batch holds is set on the source: `max_per_batch` of
     `topic_options`, or `maxFilesPerTrigger` / `maxBytesPerTrigger` for files.
-    The checkpoint belongs to the sink's paths: with a fresh one the batch ids
-    start again and would replace earlier batches.
     """
     query = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
