@@ -32,7 +32,7 @@ def test_like_the_library(own, library, text):
     assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=150, deadline=None, derandomize=True)
 @given(text=st.text(alphabet=st.characters(codec="utf-8", max_codepoint=0x2FFF), max_size=60))
 def test_random_texts(own, library, text):
     # Characters that no library version has yet assigned alike are left out by the alphabet.

@@ -8,8 +8,9 @@ WITH RECURSIVE listed AS (
 ), sets AS (
     SELECT doc_id, CASE
         WHEN len(words) = 0 THEN []
-        WHEN len(words) < 5 THEN [words]
-        ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: list_slice(words, i, i + 4))) END AS shingles
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 3),
+                                          lambda i: array_to_string(list_slice(words, i, i + 4), ' '))) END AS shingles
     FROM listed
 ), posted AS (
     SELECT doc_id, len(shingles) AS size, unnest(shingles) AS shingle FROM sets
