@@ -29,7 +29,7 @@ from waybill.llm.arrow import text_slices
 from waybill.llm.columns import with_text
 from waybill.llm.tasks import over_batches, with_made
 
-CACHED_WORDS = 250_000
+CACHED_WORDS = 120_000
 
 # Fixed values of the format: contractions, letters, single digits, other marks.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
@@ -43,4 +45,19 @@ def with_made(df: DataFrame, keep: tuple[str, ...], made: str) -> StructType:
 def over_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """`mapInArrow` with this package at hand in the tasks."""
     ship(df.sparkSession.sparkContext)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return what a task no longer uses to the system; Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
