@@ -7,8 +7,8 @@ many digests fell into it, their exclusive or, and that of a check value.
 
 Sketches of two versions subtract cell by cell; what they have in common
 vanishes, and cells with one digest left are peeled until the differing digests
-are recovered. A comparison begins with sketches folded to few cells; if peeling
-gets stuck it is retried with twice the cells. Cell numbers are remainders by a
+are recovered. A comparison begins with sketches folded to about the cells that
+the difference needs; if peeling gets stuck it is retried with twice the cells. Cell numbers are remainders by a
 power of two, so folding needs the sketch alone. A sketch is made so large that
 it can be peeled by itself; a comparison that needs more cells can thus take its
 digests out and put them into that many.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -62,8 +63,10 @@ def _width_for(items: int) -> int:
 
 @dataclass
 class Sketch:
-    """`counts`, exclusive ors of digests and of checks per cell, and the number of digests."""
+    """`width` cells in each third: `counts`, exclusive ors of digests and of
+    checks per cell; and the number of digests."""
 
+    width: int
     items: int
     counts: list[int]
     keys: list[int]
@@ -71,59 +74,70 @@ class Sketch:
 
     @classmethod
     def empty(cls, width: int) -> Sketch:
-        return cls(0, [0] * (HASHES * width), [0] * (HASHES * width), [0] * (HASHES * width))
+        return cls(width, 0, [0] * (HASHES * width), [0] * (HASHES * width), [0] * (HASHES * width))
 
     @classmethod
     def of(cls, digests: list[int], width: int) -> Sketch:
         sketch = cls.empty(width)
+        counts, keys, checks = sketch.counts, sketch.keys, sketch.checks
         for digest in digests:
-            sketch.put(digest)
+            check = _check(digest)
+            for cell in _cells(digest, width):
+                counts[cell] += 1
+                keys[cell] ^= digest
+                checks[cell] ^= check
+        sketch.items = len(digests)
         return sketch
 
-    @property
-    def width(self) -> int:
-        return len(self.counts) // HASHES
-
-    def put(self, digest: int, sign: int = 1) -> None:
-        check, counts, keys, checks = _check(digest), self.counts, self.keys, self.checks
-        for cell in _cells(digest, self.width):
-            counts[cell] += sign
-            keys[cell] ^= digest
-            checks[cell] ^= check
-        self.items += sign
-
     def folded(self, width: int) -> Sketch:
         """The sketch of the same digests in fewer cells."""
         if width == self.width:
             return self
         result = Sketch.empty(width)
         result.items = self.items
-        for cell, count in enumerate(self.counts):
-            at = cell // self.width * width + cell % self.width % width
-            result.counts[at] += count
-            result.keys[at] ^= self.keys[cell]
-            result.checks[at] ^= self.checks[cell]
+        for third in range(HASHES):
+            low, to = third * self.width, third * width
+            for start in range(low, low + self.width, width):
+                for at in range(width):
+                    result.counts[to + at] += self.counts[start + at]
+                    result.keys[to + at] ^= self.keys[start + at]
+                    result.checks[to + at] ^= self.checks[start + at]
         return result
 
     def minus(self, other: Sketch) -> Sketch:
-        return Sketch(self.items - other.items, [a - b for a, b in zip(self.counts, other.counts)],
+        return Sketch(self.width, self.items - other.items, [a - b for a, b in zip(self.counts, other.counts)],
                       [a ^ b for a, b in zip(self.keys, other.keys)],
                       [a ^ b for a, b in zip(self.checks, other.checks)])
 
     def peeled(self) -> tuple[list[int], list[int]] | None:
         """The digests with a positive and those with a negative count; None if peeling gets stuck."""
-        rest = Sketch(self.items, list(self.counts), list(self.keys), list(self.checks))
-        more, less = [], []
-        work = [cell for cell, count in enumerate(rest.counts) if count in (1, -1)]
+        counts, keys, checks, width = list(self.counts), list(self.keys), list(self.checks), self.width
+        more: list[int] = []
+        less: list[int] = []
+        work = [cell for cell, count in enumerate(counts) if count == 1 or count == -1]
         while work:
             cell = work.pop()
-            sign, digest = rest.counts[cell], rest.keys[cell]
-            if sign not in (1, -1) or rest.checks[cell] != _check(digest) or cell not in _cells(digest, rest.width):
+            sign, digest = counts[cell], keys[cell]
+            if sign != 1 and sign != -1:
+                continue
+            check = _check(digest)
+            cells = _cells(digest, width)
+            if checks[cell] != check or cell not in cells:
                 continue
             (more if sign == 1 else less).append(digest)
-            rest.put(digest, -sign)
-            work += [at for at in _cells(digest, rest.width) if rest.counts[at] in (1, -1)]
-        return None if any(rest.counts) or any(rest.keys) else (more, less)
+            for at in cells:
+                count = counts[at] = counts[at] - sign
+                keys[at] ^= digest
+                checks[at] ^= check
+                if count == 1 or count == -1:
+                    work.append(at)
+        return None if any(counts) or any(keys) else (more, less)
+
+    def guess(self) -> float:
+        """About how many digests a difference of sketches holds, by its share of empty cells."""
+        empty = sum(not (count or key) for count, key in zip(self.counts, self.keys))
+        cells = HASHES * self.width
+        return self.width * math.log(cells / empty) if empty else 2.0 * cells
 
     def to_text(self) -> str:
         head = np.array([self.items, len(self.counts)], "<u4").tobytes()
@@ -135,7 +149,7 @@ class Sketch:
     def from_text(cls, text: str) -> Sketch:
         raw = base64.b64decode(text)
         items, size = np.frombuffer(raw, "<u4", 2).tolist()
-        return cls(items, np.frombuffer(raw, "<i4", size, 8).tolist(),
+        return cls(size // HASHES, items, np.frombuffer(raw, "<i4", size, 8).tolist(),
                    np.frombuffer(raw, "<u8", size, 8 + 4 * size).tolist(),
                    np.frombuffer(raw, "<u4", size, 8 + 12 * size).tolist())
 
@@ -151,14 +165,21 @@ def build(digests: list[int]) -> Sketch:
 
 
 def difference(one: Sketch, other: Sketch) -> tuple[list[int], list[int]]:
-    """The digests that only `one` and that only `other` holds."""
-    most = max(one.width, other.width)
-    # The numbers of digests differ by no more than the digests do.
-    width = min(_width_for(abs(one.items - other.items)), most)
+    """The digests that only `one` and that only `other` holds.
+
+    The first try has as many cells as the difference seems to need.
+    """
+    least, most = sorted((one.width, other.width))
+    first = one.folded(least).minus(other.folded(least))
+    width = min(_width_for(max(first.guess(), abs(first.items))), most)
     while width <= most:
-        pair = [sketch.folded(width) if width <= sketch.width else Sketch.of(sketch.peeled()[0], width)
-                for sketch in (one, other)]
-        found = pair[0].minus(pair[1]).peeled()
+        if width <= least:
+            apart = first.folded(width)
+        else:
+            pair = [sketch.folded(width) if width <= sketch.width else Sketch.of(sketch.peeled()[0], width)
+                    for sketch in (one, other)]
+            apart = pair[0].minus(pair[1])
+        found = apart.peeled()
         if found is not None:
             return found
         width *= 2
