@@ -275,14 +275,16 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None) -> DataFram
     postings = scratch.store(
         posted.join(lists, "token").join(described, "node")
         .select("token", "node", "n_shingles", "signature", blocks.alias("blocks"),
-                F.pmod(F.xxhash64("node"), blocks).alias("block")), "postings")
+                # Another division in every list, so that its parts are tied together through the other lists.
+                F.pmod(F.xxhash64("node", "token"), blocks).alias("block")), "postings")
 
     listed = postings.repartition("token", "block").sortWithinPartitions("token", "block")
     ties = scratch.store(over_batches(listed, _stars, _PAIRS).distinct(), "ties")
     families = connected(ties, scratch).select("node", F.xxhash64("label").alias("family"))
     sets = _sets_of(docs, _keys(ties, nodes), scratch)
     extent = families.join(nodes.select("node", "n_shingles"), "node").groupBy("family").agg(
-        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("bigint").alias("blocks"))
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("bigint")
+        .alias("blocks"))
     member = (families.join(extent, "family").join(described, "node").join(sets, "node")
               .withColumn("block", F.pmod(F.xxhash64("node"), "blocks")))
     inner = scratch.store(over_batches(_in_block_pairs(member, "family"), _within, _PAIRS), "links")

@@ -39,7 +39,7 @@ SLICE = 1 << 19
 
 
 def byte_features() -> np.ndarray:
-    """What the filters see of a byte: its kinds, and a few fixed random numbers to tell bytes apart. Byte 0 is padding."""
+    """What the filters see of a byte: its kinds, and fixed random numbers to tell bytes apart. Byte 0 is padding."""
     byte = np.arange(256)
     upper, lower = (byte >= 65) & (byte <= 90), (byte >= 97) & (byte <= 122)
     kinds = [upper, lower, (byte >= 48) & (byte <= 57), (byte == 32) | (byte == 9), byte == 10, byte >= 128,
@@ -151,8 +151,8 @@ class Network:
         below = (halves_constant[:, None, :] + halves_factor[:, None, :] * active) * (active > 0)
         below = below.reshape(-1, FILTERS)
         blocks = seen["blocks"]
-        return [np.concatenate([blocks[:-1].T @ below, blocks[1:].T @ below]), below.sum(axis=0), seen["summary"].T @ back, back.sum(axis=0),
-                error @ seen["strongest"], np.array([error.sum()], np.float32)]
+        return [np.concatenate([blocks[:-1].T @ below, blocks[1:].T @ below]), below.sum(axis=0),
+                seen["summary"].T @ back, back.sum(axis=0), error @ seen["strongest"], np.array([error.sum()], np.float32)]
 
 
 def train(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS) -> Network:
