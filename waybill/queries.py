@@ -12,7 +12,7 @@ from waybill.functions.text import batch_label, telemetry_json
 from waybill.operators import contracts, latest, milestones, quality, rolling, status
 from waybill.plans import gold, medallion
 from waybill.query_data import read_events, stream_events, telemetry, telemetry_messages, webhook_requests
-from waybill.session import scratch_path
+from waybill.session import scratch_path, store
 from waybill.sinks.files import write_bronze
 from waybill.sinks.tables import ensure_database, write_table
 from waybill.sinks.webhooks import compact, current_events, upsert_events
@@ -173,7 +173,7 @@ def webhook_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 def webhook_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, merged, a third one after that, and the first once more."""
     path = scratch_path(spark, "webhooks")
-    events = contracts.accepted(_checked_webhooks(spark, sf_dir), contracts.WEBHOOK, "arrival")
+    events = store(contracts.accepted(_checked_webhooks(spark, sf_dir), contracts.WEBHOOK, "arrival"), "events")
     for batch in (0, 1, 2, 0):
         upsert_events(events.filter(F.col("arrival") % 3 == batch), path, batch)
         if batch == 1:
