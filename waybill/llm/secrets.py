@@ -187,17 +187,21 @@ def _from_base64(layer: Layer) -> Iterator[Layer | None]:
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int, int, str]]:
-    """Kind, start, end, depth and value of every secret, by start, kind and
-    end. A find at the span of one from a lesser depth is not listed again."""
-    found: dict[tuple[int, int, int], tuple[int, str]] = {}
+    """Kind, start, end, depth and value of every secret, by start, kind, end and
+    depth. All that a compressed layer holds has one span, so different values
+    at one span are different secrets; a value found there at a lesser depth is
+    not listed again."""
+    found: dict[tuple[int, int, int, str], int] = {}
     work = [Layer(text, range(0), range(0))]
     for layer in work:  # grows meanwhile; lesser depths come first
         for kind, low, high in plain_finds(layer.text):
             start, end = layer.span(low, high)
-            found.setdefault((start, KINDS.index(kind), end), (layer.depth, layer.text[low:high]))
+            found.setdefault((start, KINDS.index(kind), end, layer.text[low:high]), layer.depth)
         for unwrap in (_from_url, _from_escapes, _from_base64):
             work += [inner for inner in unwrap(layer) if inner is not None]
-    return [(KINDS[kind], start, end, *rest) for (start, kind, end), rest in sorted(found.items())]
+    # Equal depths stay in the order of their layers.
+    order = sorted(found.items(), key=lambda one: (one[0][:3], one[1]))
+    return [(KINDS[kind], start, end, depth, value) for (start, kind, end, value), depth in order]
 
 
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
