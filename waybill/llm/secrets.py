@@ -1,22 +1,30 @@
 """Secrets in texts and in what the texts wrap.
 
-A worklist starts with the text itself. Of every layer the secrets are noted,
-and what it wraps becomes further layers: URL escapes, Unicode escapes, base64,
-and compressed data inside base64. A layer that equals one it came from is not
-opened again. Every character of a layer knows which part of the original text
-it comes from, so a find in any depth has a span there.
+A search starts with the text itself. Of every layer the secrets are noted, and
+what it wraps becomes further layers: the layer with its URL escapes decoded, the
+layer with its Unicode escapes decoded, base64 (also over several lines), and
+compressed data inside base64. What cannot be decoded stays as it is beside what
+can. A layer that equals one it came from is not opened again, nor is one that
+was reached with the same spans before. Every character of a layer knows which
+part of the original text it comes from, so a find in any depth has a span there.
+
+Compressed data is unfolded and searched in pieces, whatever its size. Pieces end
+where no secret and no wrapped layer of any depth can go on; only a stretch of
+over `MOST_HELD` bytes without such a place is cut inside.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,35 +43,53 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _SHORTEST_VALUE = 6
 
-_URL = re.compile(r"%[0-9A-Fa-f]{2}")
-_URL_RUN = re.compile(r"[!-~]*%[0-9A-Fa-f]{2}[!-~]*")
-_URL_BYTES = re.compile(rb"%[0-9A-Fa-f]{2}")
+_URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-
-# Compressed data that unfolds to more bytes than this is not opened (a guard against bombs).
-MOST_UNFOLDED = 64 << 20
+# Base64 goes on over line ends, which may themselves be written as escapes.
+_LINE_END = r"[\t\x20]*+(?:\r?\n|\r|(?:\\r)?\\n)[\t\x20]*+"
+_LINE_ENDS = re.compile(_LINE_END)
+_MORE_LINES = re.compile(rf"(?:{_LINE_END}[A-Za-z0-9+/_-]++)++")
+_PADDING = re.compile(r"={0,2}")
+# Every find has at least so many of these characters on end, and what wraps it is no shorter.
+_PLAIN = re.compile(rb"[\t-\r\x20-\x7e]{12}")
+# Behind these a piece may end: characters that neither a secret nor a wrapping contains, lines that
+# do not end like base64, empty lines, and blanks between words whose letters end no escape.
+_SAFE = re.compile(rb"[^\t-\r\x20\x22\x23\x25-\x27+\x2d-;=A-Z\\_a-z]|[.\x22':=][\t\x20]*\r?\n|\n[\t\x20]*\r?\n"
+                   rb"|[g-mo-qs-zG-Z]\x20(?=[A-Za-z0-9])")
+
+# Compressed data is searched in pieces of about so many bytes, and of this many at most.
+PIECE, MOST_HELD = 8 << 20, 64 << 20
+_FED = 1 << 16
 
 SCHEMA = "array<struct<kind:string,start:bigint,end:bigint,depth:int,value:string>>"
 
 
 @dataclass
 class Layer:
-    """A text, the original span of each of its characters, and the texts it came from."""
+    """A text, the original span of each of its characters, and the texts it
+    came from. All of an unfolded layer has the one span `whole`. Spans ascend."""
 
     text: str
-    starts: range | list[int]
-    ends: range | list[int]
+    starts: Sequence[int] = ()
+    ends: Sequence[int] = ()
     above: tuple[str, ...] = ()
+    whole: tuple[int, int] | None = None
 
     @property
     def depth(self) -> int:
         return len(self.above)
 
     def span(self, low: int, high: int) -> tuple[int, int]:
-        if self.depth == 0:
-            return low, high
-        return min(self.starts[low:high]), max(self.ends[low:high])
+        return self.whole or (self.starts[low], self.ends[high - 1])
+
+    def mark(self) -> bytes:
+        """Equal for layers of the same text and spans."""
+        known = hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16)
+        known.update(repr(self.whole).encode())
+        if self.whole is None:
+            known.update(array("q", self.starts).tobytes() + array("q", self.ends).tobytes())
+        return known.digest()
 
 
 def plain_finds(text: str) -> list[tuple[str, int, int]]:
@@ -79,45 +105,52 @@ def plain_finds(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _inner(layer: Layer, text: str, starts: list[int], ends: list[int]) -> Layer | None:
+def _inner(layer: Layer, text: str, starts: Sequence[int], ends: Sequence[int]) -> Layer | None:
     if not text or text == layer.text or text in layer.above:
         return None
-    return Layer(text, starts, ends, (*layer.above, layer.text))
+    return Layer(text, starts, ends, (*layer.above, layer.text), layer.whole)
 
 
-def _readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text.translate({9: None, 10: None, 13: None}).isprintable() else None
+def _replaced(layer: Layer, found: Iterator[tuple[int, int, str]]) -> Layer | None:
+    """The layer with other characters at some places, each given by its low and high end."""
+    parts, starts, ends, at = [], array("q"), array("q"), 0
+    for low, high, character in found:
+        parts += (layer.text[at:low], character)
+        if layer.whole is None:
+            starts.extend(layer.starts[at:low])
+            ends.extend(layer.ends[at:low])
+            starts.append(layer.starts[low])
+            ends.append(layer.ends[high - 1])
+        at = high
+    parts.append(layer.text[at:])
+    if layer.whole is None:
+        starts.extend(layer.starts[at:])
+        ends.extend(layer.ends[at:])
+    return _inner(layer, "".join(parts), starts, ends)
+
+
+def _decoded(raw: bytes) -> str:
+    """Bytes that are no UTF-8 become single surrogates, which no secret and no wrapping contains."""
+    return raw.decode("utf-8", "surrogateescape")
+
 
+def _width(character: str) -> int:
+    return len(character.encode("utf-8", "surrogateescape"))
 
-def _by_character(text: str, places: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
-    """From spans per byte to spans per character."""
-    starts, ends, at = [], [], 0
-    for character in text:
-        width = len(character.encode())
-        starts.append(places[at][0])
-        ends.append(places[at + width - 1][1])
-        at += width
-    return starts, ends
+
+def _url_characters(text: str) -> Iterator[tuple[int, int, str]]:
+    for run in _URL.finditer(text):
+        at = run.start()
+        for character in _decoded(bytes.fromhex(run.group().replace("%", ""))):
+            high = at + 3 * _width(character)
+            if not 0xDC80 <= ord(character) < 0xDD00:
+                yield at, high, character
+            at = high
 
 
 def _from_url(layer: Layer) -> Iterator[Layer | None]:
-    if "%" not in layer.text or not _URL.search(layer.text):
-        return
-    for run in _URL_RUN.finditer(layer.text):
-        raw, places = bytearray(), []
-        coded, at = run.group().encode(), 0
-        while at < len(coded):
-            width = 3 if _URL_BYTES.match(coded, at) else 1
-            raw.append(int(coded[at + 1:at + 3], 16) if width == 3 else coded[at])
-            places.append(layer.span(run.start() + at, run.start() + at + width))
-            at += width
-        text = _readable(bytes(raw))
-        if text is not None:
-            yield _inner(layer, text, *_by_character(text, places))
+    if "%" in layer.text and _URL.search(layer.text):
+        yield _replaced(layer, _url_characters(layer.text))
 
 
 def _character(escape: str) -> str:
@@ -130,60 +163,126 @@ def _character(escape: str) -> str:
 
 
 def _from_escapes(layer: Layer) -> Iterator[Layer | None]:
-    """Runs of escapes with the unbroken text around them."""
-    if ("\\" not in layer.text and "&#" not in layer.text) or not _ESCAPE.search(layer.text):
-        return
-    for run in re.finditer(r"\S+", layer.text):
-        if not _ESCAPE.search(run.group()):
-            continue
-        parts, starts, ends, at = [], [], [], run.start()
-        while at < run.end():
-            escape = _ESCAPE.match(layer.text, at, run.end())
-            parts.append(_character(escape.group()) if escape else layer.text[at])
-            low, high = layer.span(at, escape.end() if escape else at + 1)
-            starts.append(low)
-            ends.append(high)
-            at = escape.end() if escape else at + 1
-        yield _inner(layer, "".join(parts), starts, ends)
-
-
-def _unfolded(raw: bytes) -> bytes | None:
-    """Compressed data unfolded; None if it is none of the known kinds, broken or too large."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and int.from_bytes(raw[:2], "big") % 31 == 0):
-            unfolder = zlib.decompressobj(wbits=47)
-        elif raw[:3] == b"BZh":
-            unfolder = bz2.BZ2Decompressor()
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            unfolder = lzma.LZMADecompressor()
-        else:
-            return None
-        opened = unfolder.decompress(raw, MOST_UNFOLDED + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    return opened if len(opened) <= MOST_UNFOLDED else None
+    if ("\\" in layer.text or "&#" in layer.text) and _ESCAPE.search(layer.text):
+        yield _replaced(layer, ((m.start(), m.end(), _character(m.group())) for m in _ESCAPE.finditer(layer.text)))
 
 
-def _from_base64(layer: Layer) -> Iterator[Layer | None]:
+def _unfolder(raw: bytes):
+    if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and int.from_bytes(raw[:2], "big") % 31 == 0):
+        return zlib.decompressobj(wbits=47)
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _unfolded(raw: bytes) -> Iterator[bytes]:
+    """Compressed data unfolded bit by bit, one stream after the other, as far as
+    it is whole; nothing if it is none of the known kinds."""
+    while (unfolder := _unfolder(raw)) is not None:
+        at, data = 0, b""
+        try:
+            while not unfolder.eof:
+                if not data and getattr(unfolder, "needs_input", True):
+                    data, at = raw[at:at + _FED], at + _FED
+                    if not data:
+                        return
+                yield unfolder.decompress(data, PIECE)
+                data = getattr(unfolder, "unconsumed_tail", b"")
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            return
+        raw = unfolder.unused_data + raw[at:]
+        # Padding between streams.
+        raw = raw.lstrip(b"\0")
+
+
+def _safe_end(held: bytearray) -> int:
+    """The last place where a piece may end, 0 if there is none."""
+    reach = 1 << 12
+    while True:
+        low, last = max(len(held) - reach, 0), None
+        for last in _SAFE.finditer(held, low):
+            pass
+        if last or low == 0:
+            return last.end() if last else 0
+        reach *= 8
+
+
+def _pieces(parts: Iterator[bytes]) -> Iterator[bytes]:
+    held, enough = bytearray(), PIECE
+    for part in parts:
+        held += part
+        if len(held) < enough:
+            continue
+        high = _safe_end(held) or (len(held) if len(held) >= MOST_HELD else 0)
+        if high:
+            yield bytes(held[:high])
+            del held[:high]
+        enough = PIECE if high else 2 * len(held)
+    if held:
+        yield bytes(held)
+
+
+def _coded(layer: Layer) -> Iterator[tuple[str, Sequence[int], int]]:
+    """What may be base64, where its characters stand, and its end with the
+    padding: unbroken runs, and runs over several lines. Of the latter the lines of equal length with the
+    shorter last one, with and without the line before, and all together."""
+    done = 0
     for run in _BASE64.finditer(layer.text):
         coded = run.group().rstrip("=")
-        if len(coded) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(coded.translate({45: 43, 95: 47}) + "=" * (-len(coded) % 4))
-        except binascii.Error:
+        low, at = run.start(), run.start() + len(coded)
+        if len(coded) % 4 != 1:
+            yield coded, range(low, at), run.end()
+        if low < done or not (more := _MORE_LINES.match(layer.text, at)):
             continue
-        text = _readable(raw)
-        if text is not None:
-            places = [layer.span(run.start() + byte // 3 * 4, min(run.start() + byte // 3 * 4 + 4, run.end()))
-                      for byte in range(len(raw))]
-            yield _inner(layer, text, *_by_character(text, places))
+        done, borders = more.end(), []
+        for end in _LINE_ENDS.finditer(layer.text, at, done):
+            borders.append((low, end.start()))
+            low = end.end()
+        borders.append((low, done))
+        padded = _PADDING.match(layer.text, done).end()
+        widths = [high - low for low, high in borders]
+        groups, first = {(0, len(borders))}, 0
+        while first < len(borders):
+            last = first
+            while last + 1 < len(borders) and widths[last + 1] == widths[first]:
+                last += 1
+            beyond = last + 2 if last + 1 < len(borders) and widths[last + 1] < widths[first] else last + 1
+            groups |= {(first, beyond), (max(first - 1, 0), beyond)}
+            first = last + 1
+        for low, high in sorted(groups):
+            if high - low > 1:
+                places = array("q")
+                for line in borders[low:high]:
+                    places.extend(range(*line))
+                yield ("".join(layer.text[a:b] for a, b in borders[low:high]), places,
+                       padded if high == len(borders) else borders[high - 1][1])
+
+
+def _from_base64(layer: Layer) -> Iterator[Layer | None]:
+    for coded, at, end in _coded(layer):
+        if len(coded) % 4 == 1:  # of joined lines, the last of which may be no base64; this character has no byte
+            coded = coded[:-1]
+        raw = base64.b64decode(coded.translate({45: 43, 95: 47}) + "=" * (-len(coded) % 4))
+        if _unfolder(raw) is not None:
+            whole = layer.span(at[0], end)
+            for piece in _pieces(_unfolded(raw)):
+                text = _decoded(piece) if _PLAIN.search(piece) else ""
+                if text and text not in layer.above:
+                    yield Layer(text, above=(*layer.above, layer.text), whole=whole)
+        if not _PLAIN.search(raw):
             continue
-        opened = _unfolded(raw)
-        text = _readable(opened) if opened else None
-        if text is not None:
-            low, high = layer.span(run.start(), run.end())
-            yield _inner(layer, text, [low] * len(text), [high] * len(text))
+        text, starts, ends = _decoded(raw), array("q"), array("q")
+        if layer.whole is None:
+            byte, last = 0, len(at)
+            for character in text:
+                low = byte // 3 * 4
+                byte += 1 if character < "\x80" else _width(character)
+                starts.append(layer.starts[at[low]])
+                high = (byte - 1) // 3 * 4 + 3
+                ends.append(layer.ends[at[high] if high < last else end - 1])
+        yield _inner(layer, text, starts, ends)
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int, int, str]]:
@@ -192,13 +291,25 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int, str]]:
     at one span are different secrets; a value found there at a lesser depth is
     not listed again."""
     found: dict[tuple[int, int, int, str], int] = {}
-    work = [Layer(text, range(0), range(0))]
-    for layer in work:  # grows meanwhile; lesser depths come first
+    seen: dict[bytes, int] = {}  # layers, with the least depth so far
+    work = [iter([Layer(text, range(len(text)), range(1, len(text) + 1))])]
+    while work:  # one layer of each depth at a time, as there may be very many
+        layer = next(work[-1], work)
+        if layer is work:
+            work.pop()
+            continue
+        if layer is None:
+            continue
+        if layer.depth:
+            mark = layer.mark()
+            if seen.get(mark, layer.depth + 1) <= layer.depth:
+                continue
+            seen[mark] = layer.depth
         for kind, low, high in plain_finds(layer.text):
             start, end = layer.span(low, high)
-            found.setdefault((start, KINDS.index(kind), end, layer.text[low:high]), layer.depth)
-        for unwrap in (_from_url, _from_escapes, _from_base64):
-            work += [inner for inner in unwrap(layer) if inner is not None]
+            key = (start, KINDS.index(kind), end, layer.text[low:high])
+            found[key] = min(found.get(key, layer.depth), layer.depth)
+        work.append(chain(_from_base64(layer), _from_url(layer), _from_escapes(layer)))
     # Equal depths stay in the order of their layers.
     order = sorted(found.items(), key=lambda one: (one[0][:3], one[1]))
     return [(KINDS[kind], start, end, depth, value) for (start, kind, end, value), depth in order]
