@@ -79,3 +79,26 @@ def test_the_sample_is_bounded(documents, spark, monkeypatch):
     learn(docs, labels, F.lit(True), rows=20)
     learn(docs, labels, F.lit(True), rows=20, size=1700)
     assert seen == [20, 3]
+
+
+def test_a_long_text_shuts_out_no_other(documents, spark, monkeypatch):
+    """Whatever stands first in the order of the sample."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda texts, labels: seen.append((texts, labels)))
+    for long in (range(30), range(0, 30, 3)):
+        docs = documents([(i, f"{i:04d}" + "word " * (40_000 if i in long else 20) + "the end") for i in range(30)])
+        learn(docs, labels, F.lit(True), rows=30, size=600_000)
+        texts, kinds = seen.pop()
+        assert len(texts) == 30 and sum(map(len, texts)) <= 600_000
+        assert {(int(text[:4]), int(kind)) for text, kind in zip(texts, kinds)} == {(i, i % 2) for i in range(30)}
+        assert all(text.endswith(b"the end") and len(text) >= (quality.ROW_BYTES - quality.PIECE if i in long else 111)
+                   for text in texts for i in [int(text[:4])])
+
+
+def test_the_level_of_a_sample():
+    row = quality.ROW_BYTES
+    assert quality.level([], 9) == 0 and quality.level([5, 70], 100) == 70
+    assert quality.level([row * 9, 10, row * 2], row * 6 + 10) == row * 4
+    assert quality.level([1 << 40] + [10] * 2999, quality.SAMPLE_BYTES) == quality.SAMPLE_BYTES - 29990
+    assert quality.level([1 << 40] * 3000, quality.SAMPLE_BYTES) == row

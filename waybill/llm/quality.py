@@ -8,7 +8,10 @@ from the first byte to the last.
 
 The network is trained with Adam on a bounded sample of labelled rows, of at
 most `SAMPLE_ROWS` rows and `SAMPLE_BYTES` bytes of text, taken by a hash of the
-id; all documents are scored. Nothing but the bytes of the text enters a score.
+id. If their texts have more bytes than that, the longest are levelled to one
+size, each to pieces from its begin to its end, so that no row is shut out by
+long texts. All documents are scored, whole. Nothing but the bytes of the text
+enters a score.
 """
 
 from __future__ import annotations
@@ -27,6 +30,9 @@ from waybill.llm.tasks import over_batches, with_made
 
 SAMPLE_ROWS = 3000
 SAMPLE_BYTES = 24 << 20
+# A text of the sample is never cut to fewer bytes, and cut ones are made up of pieces of whole chunks.
+ROW_BYTES = SAMPLE_BYTES // SAMPLE_ROWS
+PIECE = 1024
 WIDTH, STRIDE = 8, 4  # bytes; a window is two strides
 FILTERS, HIDDEN = 24, 24
 HALF = 16  # windows in half a chunk
@@ -184,6 +190,27 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS) -> Netwo
     return network
 
 
+def level(sizes: list[int], size: int) -> int:
+    """The bytes to which longer texts are cut so that all together have at most `size`, but at least `ROW_BYTES`."""
+    left, most = size, 0
+    for done, one in enumerate(sorted(sizes)):
+        most = left // (len(sizes) - done)
+        if one > most:
+            return max(most, ROW_BYTES)
+        left -= one
+    return max(sizes, default=0)
+
+
+def _pieces(most: int) -> Column:
+    """The bytes of `text`, or evenly spread pieces of them, `most` bytes at most."""
+    raw, width = F.col("text").cast("binary"), min(PIECE, most)
+    number = max(most // max(width, 1), 1)
+    step = (F.octet_length("text") - width) / max(number - 1, 1)
+    spread = F.transform(F.sequence(F.lit(0), F.lit(number - 1)),
+                         lambda i: F.substring(raw, (F.floor(i * step) + 1).cast("int"), F.lit(width)))
+    return F.when(F.octet_length("text") <= most, F.array(raw)).otherwise(spread)
+
+
 def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, rows: int = SAMPLE_ROWS,
           size: int = SAMPLE_BYTES) -> Network:
     """Train on a sample of the rows of `labels` (`doc_id`, `quality`) for which
@@ -192,15 +219,17 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, rows: int = SAM
     picked = (labels.filter(may_learn & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
               .select("doc_id", F.col("quality").cast("double").alias("quality"))
               .orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED)), "doc_id", "quality").limit(rows))
-    # At most `rows` rows from here on.
-    order = Window.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED)), "doc_id", "quality", "_key")
+    keys = (F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED)), "doc_id", "quality", "_key")
     joined = (docs.filter("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("_key"),
                                                      F.octet_length("text").alias("_size"))
               .join(F.broadcast(picked), "doc_id"))
-    chosen = (joined.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED)), "doc_id", "quality", "_key")
-              .limit(rows).withColumn("_sum", F.sum("_size").over(order)).filter(F.col("_sum") <= size)
-              .select("text", "quality").collect())
-    return train([row["text"].encode() for row in chosen], np.array([row["quality"] for row in chosen], np.float32))
+    # At most `rows` rows; sizes first, so that long texts are cut where they are read.
+    most = level([row["_size"] for row in joined.drop("text").orderBy(*keys).limit(rows).collect()], size)
+    chosen = (joined.withColumn("_pieces", _pieces(most)).withColumn("_size", F.least("_size", F.lit(most)))
+              .drop("text").orderBy(*keys).limit(rows)
+              .withColumn("_sum", F.sum("_size").over(Window.orderBy(*keys))).filter(F.col("_sum") <= size)
+              .select("_pieces", "quality").collect())
+    return train([b"".join(row["_pieces"]) for row in chosen], np.array([row["quality"] for row in chosen], np.float32))
 
 
 def rate(docs: DataFrame, network: Network, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
