@@ -227,6 +227,49 @@ def test_a_foreign_status_does_not_end_the_refresh(spark, topic, lake):
     assert Versions(spark, lake.marts).current()["left_out"] == 1
 
 
+def foreign(spark, lake, batch, *rows):
+    (spark.createDataFrame([(key, scan, datetime(2024, 1, 1), latency) for key, scan, latency in rows], schemas.TELEMETRY)
+     .write.parquet(f"{lake.bronze}/source=foreign/batch_id={batch}"))
+
+
+def both_silvers(spark, lake):
+    return [sorted(map(str, df.select("tracking_number", "latest_status", F.round("avg_latency", 9)).collect()))
+            for df in (medallion.read_silver(spark, lake), status_summary(bronze(spark, lake)))]
+
+
+def test_foreign_statuses_count(spark, topic, lake):
+    topic.send(*GOOD)
+    drain(topic.stream(spark), bronze_sink(lake.messages), lake.checkpoint)
+    foreign(spark, lake, 0, ("TRK-1", "LOST", 5.0), ("TRK-1", "ZZZ", -1.0), ("TRK-8", "RETURNED", 2.0),
+            *[("TRK-2", "DELIVERED", 1.0)] * 9)
+    medallion.refresh(spark, lake)
+    found, whole = both_silvers(spark, lake)
+    assert found == whole and len(found) == 3
+    topic.send(message("TRK-8", "TRANSIT", "2024-01-02T10:00:00", 4.0))
+    medallion.run(spark, topic.stream(spark), lake)
+    foreign(spark, lake, 1, ("TRK-1", "SEIZED", 5.0), ("TRK-8", "ABSENT", 5.0))
+    medallion.refresh(spark, lake)
+    found, whole = both_silvers(spark, lake)
+    assert found == whole and any("SEIZED" in row for row in found)
+    assert Versions(spark, lake.marts).current()["left_out"] == 5
+    foreign(spark, lake, 2, *[("TRK-9", "LOST", 99999.0)] * 20)
+    with pytest.raises(QualityGateError):
+        medallion.refresh(spark, lake)
+
+
+def test_a_version_that_left_statuses_out_is_rebuilt(spark, topic, lake):
+    topic.send(*GOOD)
+    drain(topic.stream(spark), bronze_sink(lake.messages), lake.checkpoint)
+    foreign(spark, lake, 0, ("TRK-1", "LOST", 5.0), ("TRK-8", "RETURNED", 2.0))
+    medallion.refresh(spark, lake)
+    versions = Versions(spark, lake.marts)
+    facts = versions.current()
+    versions.publish(facts["folders"], batches=facts["batches"], left_out=2)
+    medallion.refresh(spark, lake)
+    found, whole = both_silvers(spark, lake)
+    assert found == whole and versions.current()["left_out"] == 2 and versions.current()["others"]
+
+
 def test_a_table_is_replaced_on_success_only(spark, tmp_path):
     ensure_database(spark, "replaced", f"{tmp_path}/o'ne")
     assert write_table(spark.range(3), "replaced.it", f"{tmp_path}/v'1").count() == 3

@@ -5,6 +5,10 @@ per parcel holds what the three need, and its counters add up: a refresh reads
 only the batches that are new, adds their summary to the stored one, and makes
 gate, silver and gold from the result. All of them are written to a new version,
 which is published as a whole; until then the last one stays.
+
+Statuses outside the contract, which only a foreign writer can have put into
+bronze, count like any other. Their text maximum per parcel stands in a table of
+its own, which is there only if there are any: a summary keeps fixed width.
 """
 
 from __future__ import annotations
@@ -12,14 +16,14 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
 from waybill import schemas
 from waybill.operators.milestones import delivered, first_time, last_time
 from waybill.operators.quality import bronze_suite, enforce, expectation_counts, report
-from waybill.operators.status import rank_status, status_rank
+from waybill.operators.status import clean_events, rank_status, status_rank
 from waybill.plans.gold import sla_mart
 from waybill.session import remove
 from waybill.sinks.files import ACCEPTED, REJECTED, outcome_path
@@ -69,13 +73,18 @@ class Lake:
         return f"{self.database}.sla_mart"
 
 
+def known_status() -> Column:
+    return F.col("scan_type").isNull() | F.col("scan_type").isin(*STATUSES)
+
+
 def parcel_summary(events: DataFrame) -> DataFrame:
-    """One row per tracking number with all that gate, silver and gold need."""
+    """One row per tracking number with all that gate, silver and gold need but
+    the names of statuses outside the contract."""
     clean = F.col("ping_latency_ms") > 0
     return events.groupBy("tracking_number").agg(
         *expectation_counts(bronze_suite()),
         F.count_if(clean).alias("clean_rows"),
-        F.max(F.when(clean, status_rank(STATUSES))).alias("status_rank"),
+        F.max(F.when(clean & known_status(), status_rank(STATUSES))).alias("status_rank"),
         F.coalesce(F.sum(F.when(clean, F.col("ping_latency_ms"))), F.lit(0.0)).alias("latency_sum"),
         first_time(schemas.PICKUP).alias("pickup_time"),
         last_time(schemas.DELIVERED).alias("delivery_time"),
@@ -89,6 +98,18 @@ def add_summaries(summaries: DataFrame) -> DataFrame:
         *[how.get(name, F.sum)(name).alias(name) for name in summaries.columns if name != "tracking_number"])
 
 
+def other_statuses(events: DataFrame) -> DataFrame:
+    """The alphabetically last clean status outside the contract, per parcel that has one."""
+    return (clean_events(events).filter(~known_status()).groupBy("tracking_number")
+            .agg(F.max("scan_type").alias("other_status")))
+
+
+def with_others(parcels: DataFrame, others: DataFrame) -> DataFrame:
+    """The summaries with `other_status`; a null tracking number is a parcel too."""
+    other = others.withColumnRenamed("tracking_number", "_other")
+    return parcels.join(other, F.col("tracking_number").eqNullSafe(F.col("_other")), "left").drop("_other")
+
+
 def gate_of(parcels: DataFrame) -> DataFrame:
     suite = bronze_suite()
     names = [f"{kind}_{i}" for i in range(len(suite)) for kind in ("evaluated", "unexpected")]
@@ -96,8 +117,11 @@ def gate_of(parcels: DataFrame) -> DataFrame:
 
 
 def silver_of(parcels: DataFrame) -> DataFrame:
+    status = rank_status(F.col("status_rank"), STATUSES)
+    if "other_status" in parcels.columns:
+        status = F.greatest(status, F.col("other_status"))
     return parcels.filter(F.col("clean_rows") > 0).select(
-        "tracking_number", rank_status(F.col("status_rank"), STATUSES).alias("latest_status"),
+        "tracking_number", status.alias("latest_status"),
         (F.col("latency_sum") / F.col("clean_rows")).alias("avg_latency"))
 
 
@@ -119,32 +143,42 @@ def refresh(spark: SparkSession, lake: Lake) -> DataFrame | None:
 
     Nothing happens without bronze. A gate that fails raises, and like any other
     failure leaves the published silver and gold as they are. Records whose
-    status is none of the contract's, which only a foreign writer can have put
-    there, are left out and counted in the version's facts.
+    status is none of the contract's count like all others; the version's facts
+    have their number under `left_out`. A version that still left them out of
+    its summary is rebuilt from all of bronze.
     """
     versions = Versions(spark, lake.marts)
-    before = versions.current()
+    published = versions.current()
+    before = None if published and published["left_out"] and "others" not in published else published
     done = before["batches"] if before else {}
     new = new_events(spark, lake, done)
-    known = F.col("scan_type").isNull() | F.col("scan_type").isin(*STATUSES)
-    batches = new.groupBy("source").agg(F.max("batch_id"), F.count_if(~known)).collect()  # one row per query
+    batches = new.groupBy("source").agg(F.max("batch_id"), F.count_if(~known_status())).collect()  # one row per query
     if not batches:
-        return read_gold(spark, lake) if before else None
+        return read_gold(spark, lake) if published else None
+    outside = sum(row[2] for row in batches)
+    had_others = bool(before and before.get("others"))
     folder = versions.fresh()
     try:
-        summary = parcel_summary(new.filter(known))
+        summary = parcel_summary(new)
         if before:
             summary = add_summaries(spark.read.parquet(f"{before['folders'][0]}/parcels").unionByName(summary))
         summary.write.parquet(f"{folder}/parcels")
         parcels = spark.read.parquet(f"{folder}/parcels")
         enforce(gate_of(parcels))
+        if outside or had_others:
+            others = other_statuses(new)
+            if had_others:
+                others = (spark.read.parquet(f"{before['folders'][0]}/others").unionByName(others)
+                          .groupBy("tracking_number").agg(F.max("other_status").alias("other_status")))
+            others.write.parquet(f"{folder}/others")
+            parcels = with_others(parcels, spark.read.parquet(f"{folder}/others"))
         silver_of(parcels).write.parquet(f"{folder}/silver")
         gold_of(parcels).write.parquet(f"{folder}/gold")
     except BaseException:
         remove(spark, folder)
         raise
-    left_out = (before["left_out"] if before else 0) + sum(row[2] for row in batches)
-    versions.publish([folder], batches={**done, **{row[0]: row[1] for row in batches}}, left_out=left_out)
+    versions.publish([folder], batches={**done, **{row[0]: row[1] for row in batches}},
+                     left_out=(before["left_out"] if before else 0) + outside, others=bool(outside or had_others))
     ensure_database(spark, lake.database, f"{lake.root}/database")
     gold = read_gold(spark, lake)
     point_table(spark, lake.gold, f"{folder}/gold", gold.schema.toDDL())
