@@ -114,6 +114,23 @@ def test_against_brute_force(documents):
     assert sorted(map(tuple, found)) == sorted(expected)
 
 
+def test_forms_of_dates(documents):
+    forms = [("12/25/1990", "%m/%d/%Y"), ("04/07/1990", "%d/%m/%Y"), ("4/7/1990", "%d/%m/%Y"), ("4/27/1990", "%m/%d/%Y"),
+             ("04/7/1990", "%d/%m/%Y"), ("7.4.1990", "%d.%m.%Y"), ("1990-4-7", "%Y-%m-%d"), ("7 April 1990", "%d %B %Y"),
+             ("17 Apr 1990", "%d %b %Y"), ("April 7, 1990", "%B %d, %Y"), ("dec 31, 1990", "%b %d, %Y"),
+             ("FEBRUARY 28 1990", "%B %d %Y")]
+    stay = ["2/30/1990", "13/13/1990", "February 30, 1990", "1990-13-1", "1/2/90", "May 1990", "11/2/1990/5", "Mayor 5 1990"]
+    found = {row.doc_id: row for row in pseudonymize(documents(
+        [(i, f"born {text}, ok") for i, text in enumerate([one for one, _ in forms] + stay)]), KEY).collect()}
+    for i, (text, form) in enumerate(forms):
+        out = brute_date(text, form)
+        if not re.match(r"\d\d/\d\d/", text):  # one digit where one is enough
+            out = re.sub(r"\b0", "", out)
+        assert (found[i].text, found[i].n_date) == (f"born {out}, ok", 1)
+    for i, text in enumerate(stay, len(forms)):
+        assert (found[i].text, found[i].n_date) == (f"born {text}, ok", 0)
+
+
 def test_permutations(spark):
     """Every value of a small domain is hit once."""
     pairs = spark.range(35).select((F.col("id") % 5).alias("a"), F.expr("id div 5").alias("b"))

@@ -7,6 +7,11 @@ and their check digit rule, social security numbers their ranges, addresses
 their four octets, dates the calendar, phone numbers their prefix and layout.
 Mail addresses are no numbers; they become a keyed digest in address form.
 
+Dates may have the year, the day, or between slashes the month first, days and
+months of one digit, or English names of months. Where day and month could
+change places the day comes first: 04/07/1990 is the 4th of July, 12/25/1990 can
+only be month first. A pseudonym is written in the form its date was read in.
+
 The permutation is a Feistel network over two halves of sizes `a` and `b`, whose
 product is the number of valid values: rounds add a keyed hash of one half to
 the other, modulo its size, in turn. That is a bijection on exactly these
@@ -28,9 +33,11 @@ KINDS = ("mail", "date", "card", "social", "address", "phone")
 
 # The formats.
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-DATE = (r"(?<![0-9A-Za-z./-])(?:(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])"
-        r"|(?:0[1-9]|[12]\d|3[01])/(?:0[1-9]|1[0-2])/(?:19|20)\d\d"
-        r"|(?:0[1-9]|[12]\d|3[01])\.(?:0[1-9]|1[0-2])\.(?:19|20)\d\d)(?![0-9A-Za-z]|[./-]\d)")
+DAY, MONTH, YEAR = r"(?:0?[1-9]|[12]\d|3[01])", r"(?:0?[1-9]|1[0-2])", r"(?:19|20)\d\d"
+NAME = (r"(?i:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?"
+        r"|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
+DATE = (rf"(?<![0-9A-Za-z./-])(?:{YEAR}-{MONTH}-{DAY}|{DAY}/{MONTH}/{YEAR}|{MONTH}/{DAY}/{YEAR}|{DAY}\.{MONTH}\.{YEAR}"
+        rf"|{DAY} {NAME} {YEAR}|{NAME} {DAY},? {YEAR})(?![0-9A-Za-z]|[./-]\d)")
 CARD = (r"(?<![0-9A-Za-z+])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![0-9A-Za-z])")
 SOCIAL = r"(?<![0-9A-Za-z-])\d{3}-\d{2}-\d{4}(?![0-9A-Za-z]|-\d)"
 ADDRESS = (r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -43,7 +50,14 @@ MAYBE = "[0-9@]"
 # 1900-01-01 to 2099-12-31 are 73,049 days, 17 times 4,297.
 FIRST_DAY = "1900-01-01"
 DAY_SIZES = (17, 4297)
-DATE_FORMS = (("-", "yyyy-MM-dd"), ("/", "dd/MM/yyyy"), (".", "dd.MM.yyyy"))
+# What a date looks like and its form; the first one that gives a valid date counts.
+DATE_FORMS = (
+    ("^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"), ("^[0-9]{4}-", "yyyy-M-d"),
+    ("^[0-9]{2}/[0-9]{2}/", "dd/MM/yyyy"), ("^[0-9]{2}/[0-9]{2}/", "MM/dd/yyyy"), ("/", "d/M/yyyy"), ("/", "M/d/yyyy"),
+    ("^[0-9]{2}[.][0-9]{2}[.]", "dd.MM.yyyy"), ("[.]", "d.M.yyyy"),
+    ("^[0-9]+ [A-Za-z]", "d MMMM yyyy"), ("^[0-9]+ [A-Za-z]", "d MMM yyyy"),
+    ("^[A-Za-z].*,", "MMMM d, yyyy"), ("^[A-Za-z].*,", "MMM d, yyyy"),
+    ("^[A-Za-z][^,]*$", "MMMM d yyyy"), ("^[A-Za-z][^,]*$", "MMM d yyyy"))
 # Areas 001 to 899 without 666; groups 01 to 99 with serials 0001 to 9999.
 SOCIAL_SIZES = (898, 99 * 9999)
 PHONE_DIGITS = 10
@@ -133,7 +147,7 @@ def _address(found: Column, key: str) -> Column:
 
 def _day(found: Column) -> Column:
     """The date a match stands for; null if the calendar has none."""
-    return F.coalesce(*[F.when(found.contains(mark), F.try_to_date(found, form)) for mark, form in DATE_FORMS])
+    return F.coalesce(*[F.when(found.rlike(look), F.try_to_date(found, form)) for look, form in DATE_FORMS])
 
 
 def _date(found: Column, key: str) -> Column:
@@ -141,7 +155,9 @@ def _date(found: Column, key: str) -> Column:
     days = _whole(F.datediff(_day(found), first))
     moved = feistel(_quotient(days, b), days % b, _whole(F.lit(a)), _whole(F.lit(b)), f"date {key}")
     day = _using(moved, lambda pair: F.date_add(first, (pair["l"] * b + pair["r"]).cast("int")))
-    return F.coalesce(*[F.when(found.contains(mark), F.date_format(day, form)) for mark, form in DATE_FORMS])
+    return _using(day, lambda day: F.coalesce(*[
+        F.when(found.rlike(look) & F.try_to_date(found, form).isNotNull(), F.date_format(day, form))
+        for look, form in DATE_FORMS]))
 
 
 def _with_digits(found: Column, digits: Column) -> Column:
