@@ -1,0 +1,95 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from waybill.llm import token_counts
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PARTS = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'", "'r", "'l", "'v", "'S", " ", "  ", "\n", "\t", "\x1c", "\x85",
+         " ", "　", "re", "l", "s", "e", "ing", "é", "ж", "日", "1", "٣", "Ⅷ", "!", "?!", "...", "_", "👩‍👩‍👧",
+         "<|endoftext|>", "<|endof", "\r\n", "\x00"]
+
+
+@pytest.fixture(scope="module")
+def own():
+    with open(PATH, "rb") as file:
+        return token_counts.TokenCounter(file.read(), states=2000, words=50)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def expected(library, texts):
+    return [len(one.ids) for one in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_like_the_library(own, library):
+    draw = random.Random(12)
+    texts = ["".join(draw.choice(PARTS) for _ in range(draw.randint(0, 14))) for _ in range(6000)]
+    want = expected(library, texts)
+    assert own.count_all(texts).tolist() == want
+    for piece in (1, 2, 3):
+        assert [own.count_long(text, piece) for text in texts[:1500]] == want[:1500]
+
+
+@settings(max_examples=150, deadline=None, derandomize=True)
+@given(text=st.text(max_size=60))
+def test_random_texts(own, library, text):
+    assert own.count_all([text, text]).tolist() == expected(library, [text, text])
+
+
+def test_every_character_has_its_class(own, library):
+    """Letters, numbers, white space and others as the library tells them apart, in every plane."""
+    codes = [code for code in range(0x20000) if not 0xD800 <= code <= 0xDFFF]
+    texts = ["".join(before + chr(code) + "\n\n" for code in codes[low:low + 2000])
+             for low in range(0, len(codes), 2000) for before in "é1!"]
+    assert own.count_all(texts).tolist() == expected(library, texts)
+
+
+def test_state_maps_compose(own):
+    draw = np.random.default_rng(3)
+    classes = draw.integers(0, token_counts.EDGE, 1000).astype(np.uint8)
+    plain, state = [], 5
+    for kind in classes:
+        plain.append(state)
+        state = int(token_counts._NEXT[state, kind])
+    for chunk in (1, 7, 256, 5000):
+        before, end = token_counts.word_states(classes, 5, chunk)
+        assert before.tolist() == plain and end == state
+
+
+@pytest.mark.parametrize("text", ["a" * 3_000_000, "ab" * 1_200_000 + " x", " " * 2_500_000 + "x", "the cat's hat. " * 150_000],
+                         ids=["a", "ab", "space", "prose"])
+def test_long_texts(own, library, text):
+    assert own.count_long(text) == expected(library, [text])[0]
+
+
+def test_long_word_without_repeats(own, library):
+    draw = random.Random(4)
+    text = "".join(chr(draw.randrange(97, 123)) for _ in range(200_000))
+    assert own.count_long(text, 10_000) == expected(library, [text])[0]
+    assert len(own.tokens._states) <= 2000 + token_counts.BLOCK + 1
+
+
+def test_documents(spark, documents, library):
+    texts = [row.text for row in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows = list(enumerate([*texts, None, "", " ", "x" * 1_500_000])) + [(None, "again"), (3, "again"), (3, "again")]
+    found = token_counts.token_counts(documents(rows), token_counts.read_tokenizer(spark, PATH)).collect()
+    counts = expected(library, [text or "" for _, text in rows])
+    want = [(i, len((text or "").encode()), n, n > 1024) for (i, text), n in zip(rows, counts)]
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+
+
+def test_empty_and_clashing(spark, documents, clashing):
+    tokenizer = token_counts.read_tokenizer(spark, PATH)
+    assert token_counts.token_counts(documents([]), tokenizer).count() == 0
+    docs = clashing(documents([(1, "one two three")]), "n_tokens", "Over_limit")
+    row = token_counts.token_counts(docs, tokenizer, tuple(docs.columns), limit=2).first()
+    assert (row["n_tokens"], row["n_tokens_"], row["Over_limit"], row["over_limit_"]) == ("own n_tokens", 3, "own Over_limit", True)

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, language, mixing, near_dedup, pseudonyms, quality, scoring, secrets, sketch, topk
+from waybill.llm import (bpe, language, mixing, near_dedup, pseudonyms, quality, scoring, secrets, sketch, token_counts,
+                         topk)
 
 
 # A deployment passes a key of its own that it keeps secret.
@@ -78,6 +79,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(_table(spark, sf_dir, "documents"), seed=MIXING_SEED)
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = token_counts.read_tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokenizer)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -89,4 +95,5 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_topk_search": op9_topk_search,
     "op10_source_mixing": op10_source_mixing,
+    "op12_token_counts": op12_token_counts,
 }
