@@ -1,0 +1,108 @@
+import random
+import re
+from itertools import permutations
+
+import pytest
+
+from waybill.llm import filter_audit
+
+CLEAN = " ".join(f"word{i}" for i in range(60))
+
+
+def brute_flags(rows):
+    """(doc_id, text, source) -> the set of failed filters, by the definition."""
+    made = []
+    for i, text, _ in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        smaller = any(j is not None and i is not None and j < i and (other or "") == text for j, other, _ in rows)
+        fails = [len(words) < 50, 100 * len(set(words)) < 65 * len(words),
+                 100 * len(re.findall("[A-Z]", text)) > 5 * len(text), bool(re.search("[#$%&*|]", text)), smaller]
+        made.append("".join(letter for letter, failed in zip("ABCDE", fails) if failed))
+    return made
+
+
+def brute(rows, labels):
+    flags = brute_flags(rows)
+    good = {i for i, quality, _ in labels if quality == 1}
+    toxic = {i for i, _, bad in labels if bad == 1}
+    found = []
+    for part in {source or "" for _, _, source in rows}:
+        own = [(i, fails) for (i, _, source), fails in zip(rows, flags) if (source or "") == part]
+        report = []
+        for order in permutations("ABCDE"):
+            left = own
+            for step, letter in enumerate(order, 1):
+                removed = [one for one in left if letter in one[1]]
+                redundant = sum(letter in fails for _, fails in own) - len(removed)
+                left = [one for one in left if letter not in one[1]]
+                report.append((part, "".join(order), step, len(left), len(removed), redundant,
+                               sum(fails == letter for _, fails in own), sum(i in good for i, _ in removed),
+                               sum(i in toxic for i, _ in removed)))
+        for row in report:
+            letter = row[1][row[2] - 1]
+            found.append((*row, sum(other[4] for other in report if other[1][other[2] - 1] == letter)))
+    return sorted(found)
+
+
+NAMES = ("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw = random.Random(13)
+    texts = [CLEAN, CLEAN + " $", "the cat " * 40, CLEAN.upper(), "", None, " \t\n", "é" * 20, "Ab cd", CLEAN + "\x1cx\x85y",
+             "x" * 300, "same same " * 3 + CLEAN]
+    return [(i if i % 17 else None, draw.choice(texts), draw.choice(["s1", "s2", None, ""])) for i in range(120)] + [
+        (5, CLEAN, "s1"), (5, CLEAN, "s1")]
+
+
+def make(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+
+
+@pytest.mark.parametrize("sizes", [{}, {"shard_bytes": 700, "row_bytes": 64}])
+def test_against_brute_force(spark, rows, sizes):
+    labels = [(i, i % 2, i % 3 == 0) for i in range(0, 100)] + [(4, 1, True), (8, None, None)]
+    table = spark.createDataFrame([(i, q, None if t is None else int(t)) for i, q, t in labels],
+                                  "doc_id bigint, quality int, toxic int")
+    best = {}
+    for i, quality, toxic in labels:
+        old = best.get(i, (0, 0))
+        best[i] = (max(old[0], quality or 0), max(old[1], int(toxic or 0)))
+    flags = filter_audit.document_flags(make(spark, rows), **sizes)
+    found = sorted(tuple(row[name] for name in NAMES) for row in filter_audit.interactions(flags, table).collect())
+    assert found == brute(rows, [(i, *both) for i, both in best.items()])
+
+
+def test_flags_do_not_depend_on_shards(spark, rows):
+    want = sorted(zip(map(str, (row[0] for row in rows)), brute_flags(rows)))
+    for sizes in ({"shard_bytes": 1, "row_bytes": 1}, {"shard_bytes": 500, "row_bytes": 100}, {}):
+        found = filter_audit.document_flags(make(spark, rows).repartition(3), **sizes).collect()
+        assert sorted((str(row.doc_id), "".join(letter for letter in "ABCDE" if row[f"fails_{letter.lower()}"]))
+                      for row in found) == want
+
+
+def test_very_long_text(spark):
+    text = "".join(f"w{i % 300_000} " for i in range(900_000)) + "x" * 5_000_000
+    row = filter_audit.document_flags(make(spark, [(1, text, "a"), (2, text, "a"), (3, "b", None)])).orderBy("doc_id").collect()
+    assert [(one.n_words, one.n_distinct, one.n_chars) for one in row] == [(900_001, 300_001, len(text))] * 2 + [(1, 1, 1)]
+    assert [one.fails_e for one in row] == [False, True, False] and row[0].fails_b
+
+
+def test_pieces_cut_no_word():
+    draw = random.Random(2)
+    for _ in range(200):
+        raw = "".join(draw.choice("ab é\t\n") for _ in range(draw.randint(0, 40))).encode()
+        cut = list(filter_audit.pieces(raw, 5))
+        assert b"".join(cut) == raw and [word for piece in cut for word in piece.split()] == raw.split()
+
+
+def test_empty_and_clashing(spark, documents, clashing):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert filter_audit.interactions(filter_audit.document_flags(documents([])), labels).count() == 0
+    docs = clashing(documents([(1, "a b", "en", "s"), (2, "a b", "en", "s")]), "part", "digest", "n_words", "columns", "step")
+    report = filter_audit.interactions(filter_audit.document_flags(docs), labels)
+    row = report.filter("filter_order = 'EABCD' AND step = 1").first()
+    assert report.count() == 600 and (row.kept, row.removed, row.shapley) == (1, 1, 60)
+

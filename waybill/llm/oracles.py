@@ -74,8 +74,51 @@ SELECT d.*, copy::INTEGER AS copy
 FROM documents d JOIN counted USING (doc_id), unnest(range(0, copies)) AS numbers(copy)
 """
 
+OP13 = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), flags AS (
+    SELECT doc_id, part,
+           len(words) < 50 AS a,
+           100 * len(list_distinct(words)) < 65 * len(words) AS b,
+           100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS c,
+           regexp_matches(t, '[#$%&*|]') AS d,
+           coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+    FROM texts
+), known AS (
+    SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+), sets AS (
+    SELECT part, a::INT + b::INT * 2 + c::INT * 4 + d::INT * 8 + e::INT * 16 AS failed, count(*) AS documents,
+           count(*) FILTER (WHERE quality = 1) AS good, count(*) FILTER (WHERE toxic = 1) AS toxic
+    FROM flags LEFT JOIN known USING (doc_id) GROUP BY ALL
+), letters AS (
+    SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS letters(letter, bit)
+), orders AS (
+    SELECT p.letter || q.letter || r.letter || s.letter || t.letter AS filter_order
+    FROM letters p, letters q, letters r, letters s, letters t
+    WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31 AND len(list_distinct([p.bit, q.bit, r.bit, s.bit, t.bit])) = 5
+), steps AS (
+    SELECT filter_order, step::INTEGER AS step, letter, bit,
+           (SELECT coalesce(sum(bit), 0) FROM letters l WHERE instr(filter_order, l.letter) < step)::INT AS before
+    FROM orders, unnest(range(1, 6)) AS steps(step) JOIN letters ON letter = substr(filter_order, step, 1)
+), figures AS (
+    SELECT part, filter_order, step, letter,
+           coalesce(sum(documents) FILTER (WHERE failed & (before | bit) = 0), 0)::BIGINT AS kept,
+           coalesce(sum(documents) FILTER (WHERE failed & before = 0 AND failed & bit > 0), 0)::BIGINT AS removed,
+           coalesce(sum(documents) FILTER (WHERE failed & before > 0 AND failed & bit > 0), 0)::BIGINT AS redundant,
+           coalesce(sum(documents) FILTER (WHERE failed = bit), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (WHERE failed & before = 0 AND failed & bit > 0), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (WHERE failed & before = 0 AND failed & bit > 0), 0)::BIGINT AS toxic_lost
+    FROM sets, steps GROUP BY ALL
+)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM figures
+"""
+
 ORACLES = {
     "op4_near_dedup": OP4,
     "op9_topk_search": OP9,
     "op10_source_mixing": OP10,
+    "op13_filter_audit": OP13,
 }

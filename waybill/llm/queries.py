@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import (bpe, language, mixing, near_dedup, pseudonyms, quality, scoring, secrets, sketch, token_counts,
-                         topk)
+from waybill.llm import (bpe, filter_audit, language, mixing, near_dedup, pseudonyms, quality, scoring, secrets, sketch,
+                         token_counts, topk)
 
 
 # A deployment passes a key of its own that it keeps secret.
@@ -84,6 +84,11 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = filter_audit.document_flags(_table(spark, sf_dir, "documents"))
+    return filter_audit.interactions(flags, _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -96,4 +101,5 @@ QUERIES = {
     "op9_topk_search": op9_topk_search,
     "op10_source_mixing": op10_source_mixing,
     "op12_token_counts": op12_token_counts,
+    "op13_filter_audit": op13_filter_audit,
 }
