@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm import (bpe, filter_audit, language, mixing, near_dedup, pseudonyms, quality, scoring, secrets, sketch,
-                         token_counts, topk)
+                         token_counts, topk, turn_repair)
 
 
 # A deployment passes a key of its own that it keeps secret.
@@ -79,6 +79,20 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(_table(spark, sf_dir, "documents"), seed=MIXING_SEED)
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    repair = turn_repair.Repair(turn_repair.damaged(conversations))
+    digests = turn_repair.text_digests(repair.rows())
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    found = conversations.select("conv_id").distinct()
+    for more in (repair.summaries(), digests):
+        more = more.withColumnRenamed("conv_id", "_conv_id")
+        found = found.join(more, F.col("conv_id").eqNullSafe(F.col("_conv_id")), "left").drop("_conv_id")
+    return found.select("conv_id", *[F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in counts],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = token_counts.read_tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokenizer)
@@ -100,6 +114,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_topk_search": op9_topk_search,
     "op10_source_mixing": op10_source_mixing,
+    "op11_turn_repair": op11_turn_repair,
     "op12_token_counts": op12_token_counts,
     "op13_filter_audit": op13_filter_audit,
 }
