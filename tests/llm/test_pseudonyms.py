@@ -148,3 +148,29 @@ def test_empty_and_clashing(documents, clashing):
     docs = clashing(documents([(1, "64.149.193.29")]), "N_mail", "_cut", "a b")
     row = pseudonymize(docs, KEY).first()
     assert (row["N_mail"], row["n_mail_"], row["n_address"], row["_cut"], row["a b"]) == ("own N_mail", 0, 1, "own _cut", "own a b")
+
+
+OLD_MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+
+
+def test_mail_pattern_gives_nothing_back():
+    """The pattern without steps back finds what the plain one finds."""
+    rng = random.Random(1)
+    parts = ["a", "b1", "com", "c", ".", ".", "@", "-", "1", " ", "x@", "x@a.", "x@b.com"]
+    for _ in range(60_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 12)))
+        assert [m.span() for m in re.finditer(OLD_MAIL, text)] == [m.span() for m in re.finditer(pseudonyms.MAIL, text)], text
+
+
+def test_long_runs(documents):
+    """A megabyte of what each pattern repeats, and mail addresses of that size."""
+    rows = [(i, part * (1_000_000 // len(part)) + " end") for i, part in enumerate(
+        ["a.", "1.", "1 ", "+1-", "@a", "a@", "1-", "a@b.", "a-", "12 ", "123-", "1/", "May ", "(1)", "a%"])]
+    mail = "x@" + "a." * 500_000 + "com"
+    rows += [(100, f"to {mail} now"), (101, "x@" + "a1.b2." * 150_000), (102, "a" * 500_000 + "@b.de"), (103, "x@" + "ab." * 300_000 + "c")]
+    found = {row.doc_id: row for row in pseudonymize(documents(rows), KEY).collect()}
+    assert found[100].text == f"to {brute_mail(mail)} now" and found[102].text == brute_mail(rows[-2][1])
+    assert found[103].text == brute_mail("x@" + "ab." * 299_999 + "ab") + ".c"
+    for i, text in rows:
+        if i not in (100, 102, 103):
+            assert (found[i].text, [found[i][f"n_{kind}"] for kind in pseudonyms.KINDS]) == (text, [0] * 6), text[:20]

@@ -32,7 +32,12 @@ ROUNDS = 8
 KINDS = ("mail", "date", "card", "social", "address", "phone")
 
 # The formats.
-MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# A domain goes on to the last label that begins with two letters. Labels are taken for good (`++`, `*+`), as the JVM
+# calls itself once for every round of a group that it may give back.
+_LABEL, _NO_NAME = r"[A-Za-z0-9-]++", r"(?:\.(?![A-Za-z]{2})[A-Za-z0-9-]++)*+"
+DOMAIN = (rf"{_LABEL}{_NO_NAME}\.(?:[A-Za-z]{{2}}[A-Za-z0-9-]*+(?={_NO_NAME}\.[A-Za-z]{{2}}){_NO_NAME}\.)*+"
+          r"[A-Za-z]{2,}")
+MAIL = rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@{DOMAIN}"
 DAY, MONTH, YEAR = r"(?:0?[1-9]|[12]\d|3[01])", r"(?:0?[1-9]|1[0-2])", r"(?:19|20)\d\d"
 NAME = (r"(?i:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?"
         r"|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
