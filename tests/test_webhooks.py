@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from waybill.operators import latest
 from waybill.operators.latest import drop_duplicates_stream, duplicate_flag, last_write_wins
-from waybill.sinks.files import REJECTED, outcome_path
+from waybill.sinks.batches import BatchSet, Marks
+from waybill.sinks.files import ACCEPTED, REJECTED, outcome_path
 from waybill.sinks.versions import Versions
 from waybill.sinks.webhooks import compact, current_events, upsert_events
 from waybill.sources.bronze import read_rejects
@@ -42,7 +43,7 @@ def test_a_repeated_key_replaces_the_event(spark, tmp_path):
     assert stored(current_events(spark, path)) == want
 
 
-def test_merged_dates_are_read_instead_of_their_batches(spark, tmp_path):
+def test_merged_batches_are_read_from_their_runs(spark, tmp_path):
     path = f"{tmp_path}/events"
     compact(spark, path)
     far = datetime(9999, 1, 1)
@@ -50,17 +51,102 @@ def test_merged_dates_are_read_instead_of_their_batches(spark, tmp_path):
                                          event("G1", when=datetime(2024, 5, 1))], SCHEMA), path, 0)
     compact(spark, path)
     first = Versions(spark, path).current()
-    assert sorted(first["dates"]) == ["2024-01-02", "2024-05-01", "none"] and first["batches"] == {"batch": 0}
-    assert sum(spark.read.parquet(folder).count() for folder in first["folders"]) == 3
+    assert first["merged"] == [["batch", [[0, 0]]]] and [run["tier"] for run in first["runs"]] == [0]
+    run = spark.read.parquet(first["folders"][0])
+    assert run.count() == 3 and run.select("event_date").distinct().count() == 3
     upsert_events(spark.createDataFrame([event("E3", arrival=3), event("F0", when=far, arrival=0)], SCHEMA), path, 1)
     want = {"TRK-1_2024-01-02T12:00:00.000000": "E3", "TRK-1_9999-01-01T00:00:00.000000": "F1",
             "TRK-1_2024-05-01T00:00:00.000000": "G1"}
     assert stored(current_events(spark, path)) == want
     compact(spark, path)
     second = Versions(spark, path).current()
-    assert second["dates"]["2024-05-01"] == first["dates"]["2024-05-01"] != second["dates"]["2024-01-02"]
+    assert second["merged"] == [["batch", [[0, 1]]]] and second["runs"][0] == first["runs"][0]
     assert stored(current_events(spark, path)) == want
     assert stored(current_events(spark, path, F.col("event_date").isNull())) == {"TRK-1_9999-01-01T00:00:00.000000": "F1"}
+    compact(spark, path)
+    assert Versions(spark, path).current() == second
+
+
+def test_batches_may_come_in_any_order(spark, tmp_path):
+    """Merged in between or not, the last arrival under a key is what is read; none is lost or merged twice."""
+    path = f"{tmp_path}/events"
+
+    def put(number, *events, source="batch"):
+        upsert_events(spark.createDataFrame(list(events), SCHEMA), path, number, source)
+
+    put(5, event("E5", arrival=5), event("X5", "TRK-X", arrival=50))
+    compact(spark, path)
+    put(3, event("E3", "TRK-3", arrival=3), event("X3", "TRK-X", arrival=30))
+    noon = "_2024-01-02T12:00:00.000000"
+    want = {f"TRK-1{noon}": "E5", f"TRK-X{noon}": "X5", f"TRK-3{noon}": "E3"}
+    assert stored(current_events(spark, path)) == want
+    compact(spark, path)
+    assert Versions(spark, path).current()["merged"] == [["batch", [[3, 3], [5, 5]]]]
+    put(4, event("E4", "TRK-4", arrival=4))
+    put(3, event("E3", "TRK-3", arrival=3), event("X3", "TRK-X", arrival=30))
+    put(3, event("O3", "TRK-O", arrival=1), source="other/stream @1")
+    want |= {f"TRK-4{noon}": "E4", f"TRK-O{noon}": "O3"}
+    assert stored(current_events(spark, path)) == want
+    compact(spark, path)
+    assert Versions(spark, path).current()["merged"] == [["batch", [[3, 5]]], ["other/stream @1", [[3, 3]]]]
+    assert stored(current_events(spark, path)) == want
+    assert Marks(spark, path).all() == []
+
+
+def test_a_batch_that_is_not_complete_is_read_but_not_merged(spark, tmp_path):
+    path = f"{tmp_path}/events"
+    upsert_events(spark.createDataFrame([event("E1", arrival=1)], SCHEMA), path, 0)
+    upsert_events(spark.createDataFrame([event("E2", "TRK-2", arrival=2)], SCHEMA), path, 1)
+    Marks(spark, path).remove([("batch", 1)])
+    compact(spark, path)
+    assert Versions(spark, path).current()["merged"] == [["batch", [[0, 0]]]]
+    assert sorted(stored(current_events(spark, path)).values()) == ["E1", "E2"]
+
+
+def test_events_without_a_source_are_read(spark, tmp_path):
+    path = f"{tmp_path}/events"
+    upsert_events(spark.createDataFrame([event("E1", arrival=1)], SCHEMA), path, 0)
+    compact(spark, path)
+    folder = f"{outcome_path(path, ACCEPTED)}/event_date=2024-01-02"
+    row = spark.createDataFrame([event("E2", "TRK-2", arrival=2)], SCHEMA).withColumn("event_key", F.lit("TRK-2_x"))
+    row.write.parquet(f"{folder}/source=__HIVE_DEFAULT_PARTITION__/batch_id=0")
+    assert sorted(stored(current_events(spark, path)).values()) == ["E1", "E2"]
+
+
+def test_runs_stay_few(spark, tmp_path):
+    """After 50 merges a read scans the batches and the runs once each, and shuffles once."""
+    path = f"{tmp_path}/events"
+    for number in range(50):
+        upsert_events(spark.createDataFrame([event(f"E{number}", f"TRK-{number % 7}", arrival=number)], SCHEMA), path, number)
+        compact(spark, path)
+    current = Versions(spark, path).current()
+    assert current["merged"] == [["batch", [[0, 49]]]] and len(current["runs"]) <= 9
+    assert len(list((tmp_path / "events" / "data").iterdir())) <= 9 + 8
+    found = current_events(spark, path)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 2 and plan.count("Exchange") == 1 and "WindowGroupLimit" in plan
+    assert sorted(stored(found).values()) == sorted(f"E{number}" for number in range(43, 50))
+
+
+def test_a_merge_that_fails_leaves_no_run(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/events"
+    upsert_events(spark.createDataFrame([event("E1", arrival=1)], SCHEMA), path, 0)
+    monkeypatch.setattr(Versions, "publish", lambda *args, **facts: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        compact(spark, path)
+    assert list((tmp_path / "events" / "data").iterdir()) == []
+    monkeypatch.undo()
+    compact(spark, path)
+    assert list(stored(current_events(spark, path)).values()) == ["E1"]
+
+
+def test_sets_of_batches():
+    held = BatchSet.of([("a", 1), ("a", 3), ("b", 0), (None, 7)])
+    assert held.facts() == [[None, [[7, 7]]], ["a", [[1, 1], [3, 3]]], ["b", [[0, 0]]]]
+    held = BatchSet.from_facts(held.facts()).plus([("a", 2), ("a", 3), ("a", 5)])
+    assert held.facts()[1] == ["a", [[1, 3], [5, 5]]]
+    assert ("a", 2) in held and ("a", 4) not in held and ("c", 0) not in held and (None, 7) in held
+    assert not BatchSet() and held
 
 
 def test_a_store_without_events_can_be_read(spark, tmp_path):

@@ -7,7 +7,7 @@ adaptive skew handling where a key is crowded.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Copies of one row that are written out together.
@@ -17,13 +17,11 @@ COPIES = 100_000
 def last_write_wins(df: DataFrame, key: str, arrival: str) -> DataFrame:
     """The row that arrived last under each key. Of different rows that arrived
     at the same moment the one with the greatest hash counts; a NULL arrival is
-    before all others."""
-    latest = df.groupBy(F.col(key).alias("_key")).agg(F.max(arrival).alias("_latest"))
-    same_key = F.col(key).eqNullSafe(F.col("_key"))
-    last = (df.join(latest, same_key & F.col(arrival).eqNullSafe(F.col("_latest")), "left_semi")
-            .withColumn("_hash", F.xxhash64(*[F.col(name) for name in df.columns])).distinct())
-    chosen = last.groupBy(F.col(key).alias("_key")).agg(F.max("_hash").alias("_chosen"))
-    return last.join(chosen, same_key & (F.col("_hash") == F.col("_chosen")), "left_semi").select(*df.columns)
+    before all others. The limit to one row per key also works before the
+    shuffle, so a crowded key sends one row per task."""
+    last = Window.partitionBy(key).orderBy(F.desc_nulls_last(arrival), F.desc("_hash"))
+    return (df.withColumn("_hash", F.xxhash64(*[F.col(name) for name in df.columns]))
+            .withColumn("_place", F.row_number().over(last)).filter("_place = 1").select(*df.columns))
 
 
 def duplicate_flag(df: DataFrame, key: str, *order: str, output: str = "is_duplicate") -> DataFrame:

@@ -1,19 +1,30 @@
 """The webhook store: an event is kept under its key, a repeat replaces it.
 
 A batch writes its accepted events by event date and its rejects next to them,
-in one job; a batch that is repeated after a failure replaces its own rows.
-Reading resolves repeats. `compact` resolves the dates that new batches touched
-and publishes them as a version, from which reading then goes on.
+in one job, and is marked as complete; a batch that is repeated after a failure
+replaces its own rows. Reading resolves repeats with one shuffle.
+
+`compact` merges complete batches into a run: one event per key, by date. Which
+batches are in runs is a set, so one that comes after a later one was merged is
+neither lost nor merged twice. Runs have tiers. Once a tier would hold more than
+`FAN` runs, they go into one run of the next tier together with what is new, so the number
+of runs grows with the logarithm of the number of merges, and an event is
+written again only once per tier. Other readers go by the version published last.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from waybill import schemas
 from waybill.functions.text import event_key
 from waybill.operators.latest import last_write_wins
+from waybill.session import remove
+from waybill.sinks.batches import BatchSet, Marks
 from waybill.sinks.files import ACCEPTED, outcome_path, write_batch
 from waybill.sinks.versions import Versions
 from waybill.sources.bronze import read_accepted
@@ -21,13 +32,17 @@ from waybill.sources.bronze import read_accepted
 COLUMNS = tuple(name for name in schemas.WEBHOOK_EVENT.names if name not in ("event_date", "source", "batch_id"))
 # Event times are the sender's. Dates outside this span share one partition, so their number has a bound.
 FIRST_DATE, LAST_DATE = "2000-01-01", "2099-12-31"
-NO_DATE = "none"
+# So many runs of a tier become one of the next.
+FAN = 4
+
+RUN = StructType([field for field in schemas.WEBHOOK_EVENT if field.name not in ("source", "batch_id")])
 
 
 def write_webhooks(checked: DataFrame, batch_id: int, path: str, source: str = "batch") -> None:
     """Store accepted and rejected requests of one checked batch."""
     keyed = checked.withColumn("event_key", event_key(F.col("tracking_number"), F.col("timestamp")))
     write_batch(keyed, list(COLUMNS), batch_id, path, source, event_date=_event_date())
+    Marks(checked.sparkSession, path).add(source, batch_id)
 
 
 def upsert_events(events: DataFrame, path: str, batch_id: int, source: str = "batch") -> None:
@@ -41,51 +56,56 @@ def _event_date() -> Column:
     return F.when(date.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), date)
 
 
+def _published(versions: Versions) -> tuple[BatchSet, list[dict]]:
+    """The batches that are merged, and the runs they are in."""
+    facts = versions.current() or {"merged": [], "runs": []}
+    return BatchSet.from_facts(facts["merged"]), facts["runs"]
+
+
 def current_events(spark: SparkSession, path: str, dates: Column | None = None) -> DataFrame:
     """The stored events, one per key. `dates`, a condition on `event_date`,
     limits the read to those partitions; a key never leaves its date. A store
     without events has no rows."""
-    published = Versions(spark, path).current() or {"batches": {}, "dates": {}}
-    parts = [_new_events(spark, path, published)]
-    for folder in sorted(set(published["dates"].values())):
-        names = [date for date, own in published["dates"].items() if own == folder]
-        merged = read_accepted(spark, folder, schemas.WEBHOOK_EVENT)
-        parts.append(merged.filter(_among(names)))
-    stored = parts[0]
-    for part in parts[1:]:
-        stored = stored.unionByName(part)
+    merged, runs = _published(Versions(spark, path))
+    stored = _batches(spark, path).filter(~merged.condition()).select(*RUN.names)
+    if runs:
+        stored = stored.unionByName(_read_runs(spark, path, runs))
     if dates is not None:
         stored = stored.filter(dates)
     return last_write_wins(stored.select(*COLUMNS), "event_key", "arrival")
 
 
-def _new_events(spark: SparkSession, path: str, published: dict) -> DataFrame:
-    """Events of batches that no version has merged yet."""
-    found = read_accepted(spark, outcome_path(path, ACCEPTED), schemas.WEBHOOK_EVENT)
-    for source, last in published["batches"].items():
-        found = found.filter((F.col("source") != source) | (F.col("batch_id") > last))
-    return found
+def _batches(spark: SparkSession, path: str) -> DataFrame:
+    return read_accepted(spark, outcome_path(path, ACCEPTED), schemas.WEBHOOK_EVENT)
 
 
-def _among(names: list[str]) -> Column:
-    dated = F.col("event_date").isin(*[F.lit(name).cast("date") for name in names if name != NO_DATE])
-    return F.coalesce(dated, F.lit(False)) | F.col("event_date").isNull() if NO_DATE in names else dated
+def _read_runs(spark: SparkSession, path: str, runs: list[dict]) -> DataFrame:
+    """All runs in one scan."""
+    schema = StructType([*RUN]).add("run", StringType())
+    found = spark.read.schema(schema).option("basePath", f"{path.rstrip('/')}/data").parquet(*[run["folder"] for run in runs])
+    return found.select(*RUN.names)
 
 
 def compact(spark: SparkSession, path: str) -> None:
-    """Merge the dates that new batches touched into a new version and publish it; other dates stay where they are."""
-    versions = Versions(spark, path)
-    published = versions.current() or {"batches": {}, "dates": {}}
-    new = _new_events(spark, path, published)
-    batches = new.groupBy("source").agg(F.max("batch_id")).collect()  # one row per source
-    if not batches:
-        return
-    # One row per date of a bounded span.
-    touched = [NO_DATE if row[0] is None else str(row[0]) for row in new.select("event_date").distinct().collect()]
-    folder = versions.fresh()
-    merged = current_events(spark, path, _among(touched)).withColumns(
-        {"event_date": _event_date(), "source": F.lit("merged"), "batch_id": F.lit(0)})
-    merged.hint("rebalance", "event_date").write.partitionBy("event_date").parquet(folder)
-    dates = {**published["dates"], **dict.fromkeys(touched, folder)}
-    versions.publish(sorted(set(dates.values())), dates=dates,
-                     batches={**published["batches"], **{row[0]: row[1] for row in batches}})
+    """Merge the batches that are complete and in no run yet, with as many runs as their tiers ask for, and publish."""
+    versions, marks = Versions(spark, path), Marks(spark, path)
+    merged, runs = _published(versions)
+    complete = marks.all()
+    new = [batch for batch in complete if batch not in merged]
+    if new:
+        tier, taken = 0, []
+        while len(full := [run for run in runs if run["tier"] == tier]) >= FAN - 1:
+            taken, tier = taken + full, tier + 1
+        events = _batches(spark, path).filter(BatchSet.of(new).condition()).select(*RUN.names)
+        if taken:
+            events = events.unionByName(_read_runs(spark, path, taken))
+        folder = f"{path.rstrip('/')}/data/run={uuid.uuid4().hex}"
+        try:
+            (last_write_wins(events.select(*COLUMNS), "event_key", "arrival").withColumn("event_date", _event_date())
+             .hint("rebalance", "event_date").write.partitionBy("event_date").parquet(folder))
+            kept = [run for run in runs if run not in taken] + [{"folder": folder, "tier": tier}]
+            versions.publish([run["folder"] for run in kept], runs=kept, merged=merged.plus(new).facts())
+        except BaseException:
+            remove(spark, folder)
+            raise
+    marks.remove(complete)
