@@ -256,6 +256,7 @@ SELECT {REJECT} AS reject_key, {REASON}, value AS payload FROM checked WHERE rea
 SELECT 4::BIGINT AS batches, count(*) AS "rows", count(*) FILTER (WHERE reasons = '') AS valid FROM checked""",
     "stream_duplicates": "SELECT event_id FROM events",
     "stream_webhooks": WEBHOOK_STORE,
+    "gold_incremental": f"WITH {CHECKED},{parcels('valid')}{MART_ROWS}",
     "medallion_gold": f"WITH {CHECKED},{parcels('valid')}{MART_ROWS}",
     "medallion_silver": f"WITH {CHECKED}{silver('valid')}",
 }

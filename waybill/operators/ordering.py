@@ -31,11 +31,27 @@ def in_order(df: DataFrame, *order: str, label: str) -> DataFrame:
     )
 
 
-def before_range(ordered: DataFrame, **totals: Column) -> DataFrame:
-    """Per range, the totals over all earlier ranges. One row per range."""
+def before_range(ordered: DataFrame, how=F.sum, **totals: Column) -> DataFrame:
+    """Per range, the totals over all earlier ranges, added up by `how`. One row per range."""
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sums = ordered.groupBy("_range").agg(*[total.alias(name) for name, total in totals.items()])
-    return sums.select("_range", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in totals])
+    return sums.select("_range", *[F.coalesce(how(name).over(earlier), F.lit(0)).alias(name) for name in totals])
+
+
+def as_of(points: DataFrame, marks: DataFrame, order: tuple[str, ...], number: str) -> DataFrame:
+    """The points with the `number` of the last mark at or before each, by `order`.
+
+    `marks` has the columns of `order` and `number`, which is positive and rises along the order, and one mark comes before all points. The
+    two are sorted as one, and the greatest number so far goes along, so neither side is broadcast.
+    """
+    both = points.withColumn(number, F.lit(None).cast("bigint")).withColumn("_point", F.lit(True)).unionByName(
+        marks.withColumn(number, F.col(number).cast("bigint")).withColumn("_point", F.lit(False)), allowMissingColumns=True)
+    ordered = in_order(both, *order, "_point", label="as-of")
+    # As many rows as there are ranges, which is at most the shuffle partitions.
+    before = F.broadcast(before_range(ordered, F.max, _earlier=F.max(number)))
+    so_far = Window.partitionBy("_range").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
+    return (ordered.join(before, "_range").withColumn(number, F.greatest("_earlier", F.max(number).over(so_far)))
+            .filter("_point").select(*points.columns, number))
 
 
 def running_totals(df: DataFrame, order: str, *values: str, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -18,13 +18,15 @@ BLOCK_ROWS = 250_000
 
 
 def rolling_rows(df: DataFrame, value: str, order: tuple[str, ...], output: str,
-                 rows: int = schemas.ROLLING_DELIVERIES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 rows: int = schemas.ROLLING_DELIVERIES, block_rows: int = BLOCK_ROWS,
+                 index: str | None = None) -> DataFrame:
     """Average of `value` over the current and the `rows - 1` rows before it.
 
     Rows with a NULL value take a place in the frame and do not count in the
     average. `order` should be unique, or the frames are not determined. The
     order is cut into blocks of equal size; the last rows of each block are also
-    sent to the next one, where they only fill frames.
+    sent to the next one, where they only fill frames. `index` names a column
+    for the place of each row in the whole order, from 0.
     """
     halo = rows - 1
     if block_rows < max(halo, 1):
@@ -32,8 +34,8 @@ def rolling_rows(df: DataFrame, value: str, order: tuple[str, ...], output: str,
     ordered = in_order(df, *order, label="rolling")
     # As many rows as there are ranges, which is at most the shuffle partitions.
     before = F.broadcast(before_range(ordered, _before=F.count(F.lit(1))))
-    index = F.col("_before") + F.col("_position")
-    numbered = ordered.join(before, "_range").select(*df.columns, index.alias("_index"))
+    place = F.col("_before") + F.col("_position")
+    numbered = ordered.join(before, "_range").select(*df.columns, place.alias("_index"))
     home = F.expr(f"_index div {block_rows}")
     is_tail = F.col("_index") % block_rows >= block_rows - halo
     blocks = F.when(is_tail, F.array(home, home + 1)).otherwise(F.array(home))
@@ -42,7 +44,7 @@ def rolling_rows(df: DataFrame, value: str, order: tuple[str, ...], output: str,
         numbered.withColumn("_block", F.explode(blocks))
         .withColumn(output, F.avg(value).over(frame))
         .filter(F.col("_block") == home)
-        .select(*df.columns, output)
+        .select(*df.columns, output, *([F.col("_index").alias(index)] if index else []))
     )
 
 

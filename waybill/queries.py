@@ -11,9 +11,10 @@ from waybill import schemas
 from waybill.functions.text import batch_label, telemetry_json
 from waybill.operators import contracts, latest, milestones, quality, rolling, status
 from waybill.plans import gold, medallion
+from waybill.plans.incremental import IncrementalMart
 from waybill.query_data import read_events, stream_events, telemetry, telemetry_messages, webhook_requests
 from waybill.session import scratch_path, store
-from waybill.sinks.files import write_bronze
+from waybill.sinks.files import ACCEPTED, outcome_path, write_bronze
 from waybill.sinks.tables import ensure_database, write_table
 from waybill.sinks.webhooks import compact, current_events, upsert_events
 from waybill.sources.bronze import read_accepted, read_bronze, read_rejects
@@ -285,6 +286,29 @@ def medallion_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(medallion.read_silver(spark, _medallion(spark, sf_dir)), "avg_latency")
 
 
+# Blocks of the mart for the small test tables.
+BLOCK_ROWS = 500
+
+
+def _waves(events: DataFrame) -> DataFrame:
+    """The events with the `wave` they come in: the first half, the second half, and some of all times that are late."""
+    half = events.agg(F.timestamp_add("MICROSECOND", F.expr("timestampdiff(MICROSECOND, min(ts), max(ts)) div 2"),
+                                      F.min("ts")).alias("_half"))
+    wave = F.when(F.col("event_id") % 97 == 0, 2).when(F.col("ts") < F.lit(half.first()[0]), 0).otherwise(1)
+    return events.withColumn("wave", wave)
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart after three refreshes, the last one with deliveries of all times; batches are numbered out of order."""
+    root = scratch_path(spark, "incremental")
+    mart, waves = IncrementalMart(spark, f"{root}/mart", BLOCK_ROWS), store(_waves(read_events(spark, sf_dir)), "waves")
+    sink = bronze_sink(f"{root}/messages")
+    for wave, number in enumerate((5, 3, 4)):
+        sink(telemetry_messages(waves.filter(F.col("wave") == wave)), number)
+        mart.refresh(outcome_path(f"{root}/messages", ACCEPTED))
+    return _mart(mart.read())
+
+
 QUERIES = {
     "gold_sla": gold_sla,
     "milestones": milestone_times,
@@ -316,6 +340,7 @@ QUERIES = {
     "stream_counts": stream_counts,
     "stream_duplicates": stream_duplicates,
     "stream_webhooks": stream_webhooks,
+    "gold_incremental": gold_incremental,
     "medallion_gold": medallion_gold,
     "medallion_silver": medallion_silver,
 }

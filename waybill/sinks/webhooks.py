@@ -6,10 +6,8 @@ replaces its own rows. Reading resolves repeats with one shuffle.
 
 `compact` merges complete batches into a run: one event per key, by date. Which
 batches are in runs is a set, so one that comes after a later one was merged is
-neither lost nor merged twice. Runs have tiers. Once a tier would hold more than
-`FAN` runs, they go into one run of the next tier together with what is new, so the number
-of runs grows with the logarithm of the number of merges, and an event is
-written again only once per tier. Other readers go by the version published last.
+neither lost nor merged twice. Runs are merged in tiers, so their number grows
+with the logarithm of the number of merges. Readers go by the version published last.
 """
 
 from __future__ import annotations
@@ -26,14 +24,13 @@ from waybill.operators.latest import last_write_wins
 from waybill.session import remove
 from waybill.sinks.batches import BatchSet, Marks
 from waybill.sinks.files import ACCEPTED, outcome_path, write_batch
+from waybill.sinks.runs import due
 from waybill.sinks.versions import Versions
 from waybill.sources.bronze import read_accepted
 
 COLUMNS = tuple(name for name in schemas.WEBHOOK_EVENT.names if name not in ("event_date", "source", "batch_id"))
 # Event times are the sender's. Dates outside this span share one partition, so their number has a bound.
 FIRST_DATE, LAST_DATE = "2000-01-01", "2099-12-31"
-# So many runs of a tier become one of the next.
-FAN = 4
 
 RUN = StructType([field for field in schemas.WEBHOOK_EVENT if field.name not in ("source", "batch_id")])
 
@@ -93,9 +90,7 @@ def compact(spark: SparkSession, path: str) -> None:
     complete = marks.all()
     new = [batch for batch in complete if batch not in merged]
     if new:
-        tier, taken = 0, []
-        while len(full := [run for run in runs if run["tier"] == tier]) >= FAN - 1:
-            taken, tier = taken + full, tier + 1
+        taken, tier = due(runs)
         events = _batches(spark, path).filter(BatchSet.of(new).condition()).select(*RUN.names)
         if taken:
             events = events.unionByName(_read_runs(spark, path, taken))
