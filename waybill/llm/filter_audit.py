@@ -9,9 +9,9 @@ Five filters look at whole texts; each says which documents fail it:
 Words are runs of characters other than space and 0x09-0x0D. Documents are
 gathered into shards of the matrix in compressed sparse rows: per document the
 columns of its words and their counts. A shard is first written with columns of
-its own. Distinct words of all shards get global numbers, and every shard is
-given the global number of each of its own, so words travel once per shard and
-not once per document. Row sums and the numbers of nonzeros decide A and B.
+its own. Their words are ranked in buckets over all shards, which gives each
+word one global number, and every shard is given the numbers of its own, so
+words travel once per shard and not once per document. Row sums and the numbers of nonzeros decide A and B.
 
 A very long text is cut into rows of several shards. Its nonzeros are counted
 by the global numbers, which are the same in all of them.
@@ -25,14 +25,14 @@ figure is a difference of two such sums.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import permutations
+from itertools import count, permutations
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -43,8 +43,10 @@ from waybill.llm.tasks import over_batches
 FILTERS = "ABCDE"
 LEAST_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT = 50, 65, 5
 # Text that one shard holds, and what one of its rows holds at most if there is white space to cut at.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 32 << 20
 ROW_BYTES = 4 << 20
+# Words are numbered in so many buckets per shuffle partition.
+BUCKETS_PER_PARTITION = 8
 
 _CAPITALS = bytes(range(65, 91))
 _MARKS = b"#$%&*|"
@@ -64,11 +66,20 @@ def pieces(raw: bytes, size: int = ROW_BYTES) -> Iterator[bytes]:
     yield raw[low:]
 
 
+def planes(values: np.ndarray) -> bytes:
+    """32-bit numbers with their first bytes, second bytes and so on together, which compresses well."""
+    return values.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 class _Shard:
     """Rows of the matrix with columns of their own."""
 
     def __init__(self) -> None:
-        self.columns: dict[bytes, int] = {}
+        self.columns: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.indices: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.rows: list[tuple] = []
@@ -76,8 +87,7 @@ class _Shard:
 
     def add(self, row: tuple, piece: bytes) -> None:
         counted = Counter(piece.split())  # splits at the same six bytes
-        columns = self.columns
-        self.indices.append(np.fromiter((columns.setdefault(word, len(columns)) for word in counted), np.int32, len(counted)))
+        self.indices.append(np.fromiter(map(self.columns.__getitem__, counted), np.int32, len(counted)))
         self.counts.append(np.fromiter(counted.values(), np.int32, len(counted)))
         self.rows.append(row)
         self.size += len(piece)
@@ -93,7 +103,7 @@ def _shards(batches: Iterator[pa.RecordBatch], schema: pa.Schema, shard_bytes: i
     def flush() -> pa.RecordBatch:
         starts = np.cumsum([0, *map(len, held.indices)], dtype=np.int64)
         columns = [[base + shards], [list(held.columns)], [starts.tobytes()],
-                   [np.concatenate(held.indices).tobytes()], [np.concatenate(held.counts).tobytes()],
+                   [planes(np.concatenate(held.indices))], [planes(np.concatenate(held.counts))],
                    [[dict(zip(names, row)) for row in held.rows]]]
         return pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(columns, schema)],
                                           schema=schema)
@@ -151,8 +161,8 @@ def _rows_of(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[p
         for shard in batch.to_pylist():
             starts = np.frombuffer(shard["starts"], np.int64)
             numbers = np.frombuffer(shard["numbers"] or b"", np.int64)
-            columns = numbers[np.frombuffer(shard["indices"], np.int32)]
-            sums = np.concatenate([[0], np.cumsum(np.frombuffer(shard["counts"], np.int32), dtype=np.int64)])
+            columns = numbers[from_planes(shard["indices"])]
+            sums = np.concatenate([[0], np.cumsum(from_planes(shard["counts"]), dtype=np.int64)])
             made = [{**row, "n_words": int(sums[high] - sums[low]), "n_distinct": int(high - low),
                      "columns": None if row["whole"] else columns[low:high]}
                     for row, low, high in zip(shard["rows"], starts[:-1], starts[1:])]
@@ -174,17 +184,18 @@ def word_counts(docs: DataFrame, shard_bytes: int = SHARD_BYTES, row_bytes: int
     local = scratch.store(over_batches(kept, lambda batches: _shards(batches, arrow, shard_bytes, row_bytes), schema),
                           "shards")
     own = local.select("shard", F.posexplode("words").alias("place", "word"))
-    # Stored before it is read, so a word has one number for good.
-    dictionary = scratch.store(own.select("word").distinct().withColumn("number", F.monotonically_increasing_id()),
-                               "dictionary")
-    numbered = (own.join(dictionary, "word").select("shard", "place", "number")
+    # A word's number is its bucket and its rank there, which come out the same whenever they are made again.
+    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = own.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word"))
+    numbered = (ranked.select("shard", "place", (rank * F.lit(buckets).cast("bigint") + F.col("bucket")).alias("number"))
                 .repartition("shard").sortWithinPartitions("shard", "place"))
     numbers = over_batches(numbered, _pack, "shard bigint, numbers binary")
     made = StructType([*row, *StructType.fromDDL("n_words bigint, n_distinct bigint, columns array<bigint>")])
     made_arrow = _arrow(made)
     matrix = local.drop("words").join(numbers, "shard", "left")
     rows = scratch.store(over_batches(matrix, lambda batches: _rows_of(batches, made_arrow), made), "rows")
-    scratch.drop(local, dictionary)
+    scratch.drop(local)
     names = [name for name in made.names if name not in ("whole", "columns")]
     parts = rows.filter(~F.col("whole"))
     distinct = (parts.select("document", F.explode("columns").alias("column")).distinct()
