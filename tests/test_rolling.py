@@ -79,13 +79,32 @@ def test_other_frame_lengths(spark):
         same(result(rolled, "avg"), expected_rows(rows, frame))
 
 
+@pytest.mark.parametrize("hot_rows", [0, 100, rolling.HOT_ROWS])
 @pytest.mark.parametrize("size, hot_share", [(0, 0), (1, 0), (400, 0), (600, 0.4)])
-def test_day_frames(spark, size, hot_share):
+def test_day_frames(spark, size, hot_share, hot_rows):
     df, rows = parcels(spark, size, seed=size, hot_share=hot_share)
-    rolled = rolling.rolling_days(df, "micros", "delivery_time", "avg")
+    rolled = rolling.rolling_days(df, "micros", "delivery_time", "avg", hot_rows=hot_rows)
     same(result(rolled, "avg"), expected_days(rows))
 
 
+@pytest.mark.parametrize("hot_rows", [3, rolling.HOT_ROWS])
+def test_day_frames_of_odd_times(spark, hot_rows):
+    """Before 1970, many in one minute and over its border, and rows without a time."""
+    rng = random.Random(6)
+    rows = [(f"T{i}", datetime(1969, 12, 31, 23, 58) + timedelta(microseconds=rng.randrange(200_000_000))
+             + timedelta(days=rng.choice([0, 0, 7])), None, rng.randrange(100)) for i in range(300)]
+    df = spark.createDataFrame(rows + [("none", None, None, 5)], SCHEMA)
+    rolled = rolling.rolling_days(df, "micros", "delivery_time", "avg", hot_rows=hot_rows)
+    assert rolled.columns == [*df.columns, "avg"]
+    same(result(rolled, "avg"), {**expected_days(rows), "none": None})
+
+
+def test_day_frames_move_rows_once(spark):
+    df, _ = parcels(spark, 200)
+    plan = rolling.rolling_days(df, "micros", "delivery_time", "avg")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_minute") <= 2 and "rangepartitioning" not in plan
+
+
 def test_day_frame_includes_its_edge(spark):
     rows = [("a", START, 1.0, 10), ("b", START + timedelta(days=7), 1.0, 20),
             ("c", START + timedelta(days=7, microseconds=1), 1.0, 30)]
