@@ -191,6 +191,25 @@ UNION ALL
 SELECT event_id, tracking_number, scan_type, "timestamp" FROM events_in""",
     "silver_clean_events": f"WITH {SCANS} SELECT * FROM scans WHERE ping_latency_ms > 0",
     "silver_status": SILVER,
+    "silver_exact": f"""WITH {SCANS},
+clean AS (
+  SELECT tracking_number, scan_type, floor(ping_latency_ms) AS whole,
+         (ping_latency_ms - floor(ping_latency_ms)) * 1125899906842624::DOUBLE AS rest
+  FROM scans WHERE ping_latency_ms > 0),
+sums AS (
+  SELECT tracking_number, max(scan_type) AS latest_status, count(*) AS n, sum(whole::HUGEINT) AS whole,
+         sum(floor(rest)::HUGEINT) AS upper,
+         sum(floor((rest - floor(rest)) * 1125899906842624::DOUBLE)::HUGEINT) AS lower
+  FROM clean GROUP BY tracking_number),
+carried AS (
+  SELECT tracking_number, latest_status, n, whole, upper + lower // 1125899906842624 AS upper,
+         lower % 1125899906842624 AS lower
+  FROM sums)
+SELECT tracking_number, latest_status,
+       ((whole + upper // 1125899906842624)::DOUBLE
+        + ((upper % 1125899906842624)::DOUBLE + lower::DOUBLE / 1125899906842624::DOUBLE) / 1125899906842624::DOUBLE)
+       / n::DOUBLE AS avg_latency
+FROM carried""",
     "silver_latest_scan": f"""WITH {SCANS}
 SELECT tracking_number, arg_max(scan_type, ("timestamp", scan_type)) AS latest_status,
        max("timestamp") AS latest_time

@@ -3,7 +3,8 @@
 Gate, silver and gold all group by tracking number or not at all, so one summary
 per parcel holds what the three need, and its counters add up: a refresh reads
 only the batches that are new, adds their summary to the stored one, and makes
-gate, silver and gold from the result. All of them are written to a new version,
+gate, silver and gold from the result. Sums of latencies are exact, so silver is
+the same to the last bit however the events came in. All of them are written to a new version,
 which is published as a whole; until then the last one stays.
 
 Statuses outside the contract, which only a foreign writer can have put into
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
 from waybill import schemas
+from waybill.functions.exact import exact_mean, exact_sum
 from waybill.operators.milestones import delivered, first_time, last_time
 from waybill.operators.quality import bronze_suite, enforce, expectation_counts, report
 from waybill.operators.status import clean_events, rank_status, status_rank
@@ -85,7 +87,7 @@ def parcel_summary(events: DataFrame) -> DataFrame:
         *expectation_counts(bronze_suite()),
         F.count_if(clean).alias("clean_rows"),
         F.max(F.when(clean & known_status(), status_rank(STATUSES))).alias("status_rank"),
-        F.coalesce(F.sum(F.when(clean, F.col("ping_latency_ms"))), F.lit(0.0)).alias("latency_sum"),
+        *exact_sum(F.when(clean, F.col("ping_latency_ms")), "latency"),
         first_time(schemas.PICKUP).alias("pickup_time"),
         last_time(schemas.DELIVERED).alias("delivery_time"),
     )
@@ -93,9 +95,10 @@ def parcel_summary(events: DataFrame) -> DataFrame:
 
 def add_summaries(summaries: DataFrame) -> DataFrame:
     """Several summaries, stacked, as one."""
-    how = {"status_rank": F.max, "pickup_time": F.min, "delivery_time": F.max}
+    how = {"status_rank": F.max, "pickup_time": F.min, "delivery_time": F.max, "latency_beyond": F.max}
     return summaries.groupBy("tracking_number").agg(
-        *[how.get(name, F.sum)(name).alias(name) for name in summaries.columns if name != "tracking_number"])
+        *[how.get(name, F.sum)(name).cast(summaries.schema[name].dataType).alias(name)
+          for name in summaries.columns if name != "tracking_number"])
 
 
 def other_statuses(events: DataFrame) -> DataFrame:
@@ -122,7 +125,7 @@ def silver_of(parcels: DataFrame) -> DataFrame:
         status = F.greatest(status, F.col("other_status"))
     return parcels.filter(F.col("clean_rows") > 0).select(
         "tracking_number", status.alias("latest_status"),
-        (F.col("latency_sum") / F.col("clean_rows")).alias("avg_latency"))
+        exact_mean("latency", F.col("clean_rows")).alias("avg_latency"))
 
 
 def gold_of(parcels: DataFrame) -> DataFrame:
