@@ -275,6 +275,36 @@ SELECT {REJECT} AS reject_key, {REASON}, value AS payload FROM checked WHERE rea
 SELECT 4::BIGINT AS batches, count(*) AS "rows", count(*) FILTER (WHERE reasons = '') AS valid FROM checked""",
     "stream_duplicates": "SELECT event_id FROM events",
     "stream_webhooks": WEBHOOK_STORE,
+    "stream_duplicate_flag": """
+SELECT event_id, 0 AS part, false AS is_duplicate FROM events
+UNION ALL SELECT event_id, 1, true FROM events WHERE event_id % 5 = 0
+UNION ALL SELECT event_id, 2, true FROM events WHERE event_id % 3 = 0 AND event_id % 4 < 3""",
+    "ingest_audit": """WITH kept AS (
+  SELECT event_id, (event_id % 3)::INTEGER AS p, event_id // 3 AS o FROM events
+  WHERE NOT (event_id // 3 BETWEEN 100 AND 140 AND event_id % 3 = 1) AND event_id % 977 <> 5),
+counted AS (
+  SELECT p, o, count(*) AS copies FROM (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE event_id BETWEEN 300 AND 420)
+  GROUP BY p, o),
+gaps AS (SELECT p, lag(o) OVER (PARTITION BY p ORDER BY o) + 1 AS low, o - 1 AS high FROM counted),
+doubled AS (
+  SELECT p, o, o - row_number() OVER (PARTITION BY p ORDER BY o) AS run FROM counted WHERE copies > 1)
+SELECT 'scans' AS topic, p AS "partition", 'missing' AS kind, low AS first_offset, high AS last_offset,
+       high - low + 1 AS offsets FROM gaps WHERE high >= low
+UNION ALL
+SELECT 'scans', p, 'doubled', min(o), max(o), max(o) - min(o) + 1 FROM doubled GROUP BY p, run""",
+    "rejects_replayed": f"""WITH {CHECKED}
+SELECT {TELEMETRY_COLUMNS}, 0 AS attempt FROM valid
+UNION ALL SELECT tracking_number, 'TRANSIT', "timestamp", 1.5, 1 FROM scans WHERE event_id % 20 = 2
+UNION ALL SELECT tracking_number, scan_type, TIMESTAMP '2024-01-01', 1.5, 3 FROM scans WHERE event_id % 20 = 4""",
+    "bronze_arrays": f"""WITH {SCANS}
+SELECT event_id // 200 AS batch, {TELEMETRY_COLUMNS}, false AS damaged FROM scans WHERE event_id // 200 % 10 <> 3
+UNION ALL SELECT DISTINCT event_id // 200, NULL, NULL, NULL, NULL, true FROM scans WHERE event_id // 200 % 10 = 3""",
+    "bronze_inferred": f"""WITH {SCANS}
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN floor(abs(ping_latency_ms)) ELSE ping_latency_ms END AS latency,
+       CASE WHEN event_id % 2 = 0 THEN (event_id % 7)::VARCHAR ELSE scan_type END AS code,
+       CASE WHEN event_id % 2 = 1 AND event_id % 3 = 0 THEN 'late' END AS note,
+       CASE WHEN event_id % 2 = 0 THEN true END AS seen
+FROM scans""",
     "gold_incremental": f"WITH {CHECKED},{parcels('valid')}{MART_ROWS}",
     "medallion_gold": f"WITH {CHECKED},{parcels('valid')}{MART_ROWS}",
     "medallion_silver": f"WITH {CHECKED}{silver('valid')}",

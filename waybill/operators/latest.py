@@ -28,24 +28,25 @@ def duplicate_flag(df: DataFrame, key: str, *order: str, output: str = "is_dupli
     """Flag every row that is not the first of its key.
 
     The first is the least by `order`, NULLs last, then by the other columns; of
-    equal rows one is the first. Rows whose key occurs once are passed on as they
-    are. Of the others, equal rows are counted before the shuffle and written
-    out again, one of them as the first.
+    equal rows one is the first. Every key's first place and number of rows are
+    found before the shuffle and joined back once. Only rows that stand in the
+    first place of a key with several can be equal to others there; these are
+    counted and written out again, one of them as the first.
     """
     columns = list(df.columns)
-    repeated = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
-    same = F.col(key).eqNullSafe(F.col("_key"))
-    single = df.join(repeated, same, "left_anti").withColumn(output, F.lit(False))
-    several = (df.join(repeated, same, "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")))
     others = [name for name in columns if name != key and name not in order]
     place = F.struct(*[part for name in (*order, *others) for part in (F.col(name).isNull(), F.col(name))])
-    first = several.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first"))
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / COPIES)))
+    firsts = df.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    known = df.join(firsts, F.col(key).eqNullSafe(F.col("_key")))
+    later = F.coalesce(place > F.col("_first"), F.lit(False))
+    plain = known.filter(later | (F.col("_rows") == 1)).select(*columns, later.alias(output))
+    equal = (known.filter(~later & (F.col("_rows") > 1)).groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")))
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / COPIES)))
     within = F.explode(F.sequence(F.col("_part") * COPIES,
                                   F.least((F.col("_part") + 1) * COPIES, F.col("_copies")) - 1))
-    written = (several.join(first, same).withColumn("_part", copies).withColumn("_copy", within)
-               .select(*columns, ((place > F.col("_first")) | (F.col("_copy") > 0)).alias(output)))
-    return single.unionAll(written)
+    written = (equal.withColumn("_part", parts).withColumn("_copy", within)
+               .select(*columns, (F.col("_copy") > 0).alias(output)))
+    return plain.unionAll(written)
 
 
 def drop_duplicates_stream(stream: DataFrame, key: str, time: str, delay: str, salts: int = 16) -> DataFrame:

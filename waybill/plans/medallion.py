@@ -28,6 +28,7 @@ from waybill.operators.quality import bronze_suite, enforce, expectation_counts,
 from waybill.operators.status import clean_events, rank_status, status_rank
 from waybill.plans.gold import sla_mart
 from waybill.session import remove
+from waybill.sinks.batches import BatchSet
 from waybill.sinks.files import ACCEPTED, REJECTED, outcome_path
 from waybill.sinks.tables import ensure_database, point_table
 from waybill.sinks.versions import Versions
@@ -132,13 +133,10 @@ def gold_of(parcels: DataFrame) -> DataFrame:
     return sla_mart(delivered(parcels).select("tracking_number", "pickup_time", "delivery_time"))
 
 
-def new_events(spark: SparkSession, lake: Lake, done: dict[str, int]) -> DataFrame:
-    """Bronze of the batches after those in `done`, the last batch per query.
-    Only the partitions of new batches are read."""
-    found = read_accepted(spark, lake.bronze, BRONZE)
-    for source, last in done.items():
-        found = found.filter((F.col("source") != source) | (F.col("batch_id") > last))
-    return found
+def new_events(spark: SparkSession, lake: Lake, done: list) -> DataFrame:
+    """Bronze of the batches that are not in `done`, the facts of a set of
+    batches. Only the partitions of new batches are read."""
+    return read_accepted(spark, lake.bronze, BRONZE).filter(~BatchSet.from_facts(done).condition())
 
 
 def refresh(spark: SparkSession, lake: Lake) -> DataFrame | None:
@@ -148,14 +146,16 @@ def refresh(spark: SparkSession, lake: Lake) -> DataFrame | None:
     failure leaves the published silver and gold as they are. Records whose
     status is none of the contract's count like all others; the version's facts
     have their number under `left_out`. A version that still left them out of
-    its summary is rebuilt from all of bronze.
+    its summary, or has sums that depend on the order, is rebuilt from all of bronze.
     """
     versions = Versions(spark, lake.marts)
     published = versions.current()
-    before = None if published and published["left_out"] and "others" not in published else published
-    done = before["batches"] if before else {}
+    # A version without exact sums cannot be added to.
+    rebuilt = published and ("exact" not in published or published["left_out"] and "others" not in published)
+    before = None if rebuilt else published
+    done = before["batches"] if before else []
     new = new_events(spark, lake, done)
-    batches = new.groupBy("source").agg(F.max("batch_id"), F.count_if(~known_status())).collect()  # one row per query
+    batches = new.groupBy("source", "batch_id").agg(F.count_if(~known_status())).collect()  # one row per new batch
     if not batches:
         return read_gold(spark, lake) if published else None
     outside = sum(row[2] for row in batches)
@@ -180,8 +180,9 @@ def refresh(spark: SparkSession, lake: Lake) -> DataFrame | None:
     except BaseException:
         remove(spark, folder)
         raise
-    versions.publish([folder], batches={**done, **{row[0]: row[1] for row in batches}},
-                     left_out=(before["left_out"] if before else 0) + outside, others=bool(outside or had_others))
+    merged = BatchSet.from_facts(done).plus((row[0], row[1]) for row in batches)
+    versions.publish([folder], batches=merged.facts(),
+                     left_out=(before["left_out"] if before else 0) + outside, others=bool(outside or had_others), exact=True)
     ensure_database(spark, lake.database, f"{lake.root}/database")
     gold = read_gold(spark, lake)
     point_table(spark, lake.gold, f"{folder}/gold", gold.schema.toDDL())

@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from waybill import schemas
-from waybill.functions.text import batch_label, telemetry_json
+from waybill.functions.text import batch_label, record_json, telemetry_json
 from waybill.operators import contracts, latest, milestones, quality, rolling, status
+from waybill.operators.audit import offset_audit
 from waybill.plans import gold, medallion
 from waybill.plans.incremental import IncrementalMart
 from waybill.query_data import read_events, stream_events, telemetry, telemetry_messages, webhook_requests
 from waybill.session import scratch_path, store
-from waybill.sinks.files import ACCEPTED, outcome_path, write_bronze
+from waybill.sinks.files import ACCEPTED, PLACE, REJECTED, outcome_path, write_batch, write_bronze
+from waybill.sinks.replay import replay_rejects
 from waybill.sinks.tables import ensure_database, write_table
 from waybill.sinks.webhooks import compact, current_events, upsert_events
 from waybill.sources.bronze import read_accepted, read_bronze, read_rejects
 from waybill.sources.samples import register, stacked, staged_scans
+from waybill.sources.variants import damaged_files, elements, field_kinds, inferred, merged_kinds, read_documents, telemetry_of
 from waybill.sources.webhook import read_webhooks
+from waybill.streaming.flags import flag_sink, read_flags
 from waybill.streaming.ingest import BatchSink, bronze_sink, drain, webhook_sink
 
 # Doubles are compared after rounding: the last bits depend on summation order.
@@ -294,6 +299,98 @@ def medallion_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(medallion.read_silver(spark, _medallion(spark, sf_dir)), "avg_latency")
 
 
+def stream_duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in four batches, the second one twice; some come again in their batch and some in the next one."""
+    root, schema = scratch_path(spark, "flags"), "event_id bigint, part int, at timestamp_ntz"
+    events = read_events(spark, sf_dir).withColumn("batch", (F.col("event_id") % BATCHES).cast("int"))
+    copies = F.array(F.struct(F.lit(0).alias("part"), F.lit(0).alias("later"), F.col("ts").alias("at")),
+                     F.struct(F.when(F.col("event_id") % 5 == 0, 1).alias("part"), F.lit(0).alias("later"),
+                              (F.col("ts") + F.expr("INTERVAL '1' HOUR")).alias("at")),
+                     F.struct(F.when(F.col("event_id") % 3 == 0, 2).alias("part"), F.lit(1).alias("later"),
+                              F.col("ts").alias("at")))
+    sent = store(events.select("event_id", "batch", F.inline(copies)).filter("part IS NOT NULL")
+                 .withColumn("batch", F.col("batch") + F.col("later")), "sent")
+    for batch in range(BATCHES):  # one file a batch, in their order
+        (sent.filter(F.col("batch") == batch).select("event_id", "part", "at").coalesce(1)
+         .write.mode("append").parquet(f"{root}/events"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    drain(stream, _with_a_replay(flag_sink(f"{root}/out", "event_id", "at", "at", "part", days=400)), f"{root}/checkpoint")
+    return read_flags(spark, f"{root}/out", StructType.fromDDL("event_id bigint, part int, is_duplicate boolean"))
+
+
+def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of three topic partitions in a lake that lost some offsets and took some twice."""
+    root = scratch_path(spark, "audited")
+    placed = telemetry_messages(read_events(spark, sf_dir)).withColumns(
+        {"topic": F.lit("scans"), "partition": (F.col("event_id") % 3).cast("int"), "offset": F.expr("event_id div 3")})
+    lost = (F.col("offset").between(100, 140) & (F.col("partition") == 1)) | (F.col("event_id") % 977 == 5)
+    kept = placed.filter(~lost)
+    names = [*contracts.TELEMETRY.names, *PLACE]
+    for source, messages in (("one", kept), ("other", kept.filter(F.col("event_id").between(300, 420)))):
+        write_batch(contracts.validate(messages, contracts.TELEMETRY), names, 0, root, source)
+    schema = StructType.fromDDL("topic string, partition int, offset bigint")
+    arrived = [read_accepted(spark, outcome_path(root, outcome), schema) for outcome in (ACCEPTED, REJECTED)]
+    return offset_audit(arrived[0].unionByName(arrived[1]))
+
+
+def rejects_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected messages sent again three times: with their scan types put right, once more, and with their times too."""
+    root = scratch_path(spark, "replayed")
+    bronze_sink(root)(telemetry_messages(read_events(spark, sf_dir)), 0)
+
+    def scans(payload):
+        return F.replace(payload, F.lit('"LOST"'), F.lit('"TRANSIT"'))
+
+    def scans_and_times(payload):
+        return F.replace(scans(payload), F.lit('"nope"'), F.lit('"2024-01-01T00:00:00"'))
+
+    for attempt, fix in enumerate((scans, scans, scans_and_times), 1):
+        replay_rejects(spark, root, contracts.TELEMETRY, fix, attempt)
+    attempt = F.when(F.col("source") == "replay", F.col("batch_id")).otherwise(0)
+    return read_accepted(spark, outcome_path(root, ACCEPTED), medallion.BRONZE).select(
+        *contracts.TELEMETRY.names, attempt.alias("attempt"))
+
+
+def _array_files(records: DataFrame, path: str, text: Column | None = None) -> None:
+    """Records (`batch`, `event_id`, `record`) as one file a batch, an array over several lines."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "record"))), lambda one: one["record"])
+    arrays = records.groupBy("batch").agg(F.concat(F.lit("[\n  "), F.array_join(listed, ",\n  "), F.lit("\n]")).alias("text"))
+    arrays.select("batch", (F.col("text") if text is None else text).alias("value")).write.partitionBy("batch").text(path)
+
+
+ARRAY_RECORDS = 200
+
+
+def bronze_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of arrays over several lines; every tenth one was cut off and is told by its batch."""
+    path = scratch_path(spark, "arrays")
+    records = _scans(spark, sf_dir).select(F.expr(f"event_id div {ARRAY_RECORDS}").alias("batch"), "event_id",
+                                           telemetry_json().alias("record"))
+    cut = F.when(F.col("batch") % 10 == 3, F.expr("left(text, length(text) - 20)")).otherwise(F.col("text"))
+    _array_files(records, path, cut)
+    documents = read_documents(spark, path)
+    batch = F.regexp_extract("file", "batch=([0-9]+)", 1).cast("bigint").alias("batch")
+    good = telemetry_of(elements(documents), batch).withColumn("damaged", F.lit(False))
+    return good.unionByName(damaged_files(documents).select(batch, F.lit(True).alias("damaged")), allowMissingColumns=True)
+
+
+def bronze_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of records with other types in the second one, read by the fields of both."""
+    scans = _scans(spark, sf_dir)
+    whole, even = F.floor(F.abs("ping_latency_ms")).cast("bigint"), F.col("event_id") % 2 == 0
+    first = record_json(event_id=F.col("event_id"), latency=whole, code=F.col("event_id") % 7, seen=even)
+    second = record_json(event_id=F.col("event_id"), latency=F.col("ping_latency_ms"), code=F.col("scan_type"), note=F.when(
+        F.col("event_id") % 3 == 0, "late"))
+    files, kinds = [], []
+    for number, (record, chosen) in enumerate(((first, even), (second, ~even))):
+        path = scratch_path(spark, f"inferred-{number}")
+        _array_files(scans.filter(chosen).select(F.expr(f"event_id div {ARRAY_RECORDS}").alias("batch"), "event_id",
+                                                 record.alias("record")), path)
+        files.append(elements(read_documents(spark, path)))
+        kinds.append(field_kinds(files[-1]))
+    return inferred(files[0].unionByName(files[1]), merged_kinds(*kinds))
+
+
 # Blocks of the mart for the small test tables.
 BLOCK_ROWS = 500
 
@@ -349,6 +446,11 @@ QUERIES = {
     "stream_counts": stream_counts,
     "stream_duplicates": stream_duplicates,
     "stream_webhooks": stream_webhooks,
+    "stream_duplicate_flag": stream_duplicate_flag,
+    "ingest_audit": ingest_audit,
+    "rejects_replayed": rejects_replayed,
+    "bronze_arrays": bronze_arrays,
+    "bronze_inferred": bronze_inferred,
     "gold_incremental": gold_incremental,
     "medallion_gold": medallion_gold,
     "medallion_silver": medallion_silver,

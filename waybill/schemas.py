@@ -47,6 +47,7 @@ REJECTS = T.StructType([
     T.StructField("offset", T.LongType()),
     T.StructField("arrival", T.LongType()),
     T.StructField("request_id", T.StringType()),
+    T.StructField("origin", T.StringType()),
     T.StructField("source", T.StringType()),
     T.StructField("batch_id", T.IntegerType()),
 ])

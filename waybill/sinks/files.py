@@ -15,8 +15,10 @@ from waybill.operators.contracts import first_reason, is_accepted, reason_list
 
 ACCEPTED = "accepted"
 REJECTED = "rejected"
-# Where a message came from, if its source says so, and its bytes if they are no text.
-ORIGIN = ("topic", "partition", "offset", "arrival", "request_id", "payload_base64")
+# Where a message came from, if its source says so, its bytes if they are no text, and what it was sent again for.
+ORIGIN = ("topic", "partition", "offset", "arrival", "request_id", "payload_base64", "origin")
+# What an accepted message keeps of it.
+PLACE = ("topic", "partition", "offset")
 
 
 def outcome_path(path: str, outcome: str) -> str:
@@ -47,7 +49,7 @@ def write_batch(checked: DataFrame, names: list[str], batch_id: int, path: str,
         F.lit(source).alias("source"), F.lit(batch_id).alias("batch_id"))
     if partitions:
         rows = rows.hint("rebalance", "outcome", *partitions)
-    _replacing(rows, "outcome", *partitions, "source", "batch_id").parquet(path)
+    replacing(rows, "outcome", *partitions, "source", "batch_id").parquet(path)
 
 
 def write_bronze(valid: DataFrame, batch_id: int, path: str, source: str = "batch") -> None:
@@ -60,8 +62,8 @@ def write_bronze(valid: DataFrame, batch_id: int, path: str, source: str = "batc
         F.lit(source).alias("source"),
         F.lit(batch_id).alias("batch_id"),
     )
-    _replacing(records, "source", "batch_id").option("ignoreNullFields", "false").json(path)
+    replacing(records, "source", "batch_id").option("ignoreNullFields", "false").json(path)
 
 
-def _replacing(df: DataFrame, *partitions: str) -> DataFrameWriter:
+def replacing(df: DataFrame, *partitions: str) -> DataFrameWriter:
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)

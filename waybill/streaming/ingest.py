@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery
 
 from waybill.operators.contracts import TELEMETRY, WEBHOOK, validate
-from waybill.sinks.files import write_batch
+from waybill.sinks.files import PLACE, write_batch
 from waybill.sinks.webhooks import write_webhooks
 from waybill.sources.webhook import read_webhooks
 
@@ -30,7 +30,8 @@ def bronze_sink(path: str, on_counts: OnCounts | None = None) -> BatchSink:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = Observation()
-        write_batch(validate(batch, TELEMETRY, counts=counts), TELEMETRY.names, batch_id, path, query_of(batch))
+        names = [*TELEMETRY.names, *[name for name in PLACE if name in batch.columns]]
+        write_batch(validate(batch, TELEMETRY, counts=counts), names, batch_id, path, query_of(batch))
         if on_counts is not None:
             on_counts(batch_id, counts.get)
 
