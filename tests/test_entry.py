@@ -32,3 +32,9 @@ def test_without_text_operators():
 def test_other_import_errors_are_raised():
     names, error = names_without("waybill.operators.latest")
     assert not names and "ImportError" in error
+
+
+def test_without_a_package_that_the_text_operators_need():
+    from waybill.queries import QUERIES
+    names, error = names_without("public_tokenizers")
+    assert names == list(QUERIES) and "public_tokenizers" in error

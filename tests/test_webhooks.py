@@ -166,6 +166,10 @@ def test_arrival_comes_from_the_request_or_its_source(spark):
     assert arrival(", arrival int, offset bigint", 4, 9) == 4
     assert arrival(", offset bigint, timestamp timestamp", 9, NOON) == 9
     assert arrival(", timestamp timestamp_ntz", NOON) == 1704196800000000
+    placed = ", partition int, offset bigint, timestamp timestamp"
+    order = [arrival(placed, *one) for one in [(1, 900, NOON), (1, 901, NOON), (0, 5, datetime(2024, 1, 2, 12, 0, 1)),
+                                               (3, 10 ** 14, datetime(2240, 1, 1))]]
+    assert order == sorted(set(order)) and order[0] == (1704196800000 << 20) + 900
     assert arrival("") > 1704196800000000
 
 

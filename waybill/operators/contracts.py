@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 from dataclasses import dataclass
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -110,17 +111,22 @@ def validate(df: DataFrame, contract: Contract, value: str = "value",
     return observe_counts(checked, counts, contract.name)
 
 
+_setting = RLock()
+
+
 @contextmanager
 def _last_key_counts(spark: SparkSession):
     """Of a repeated JSON key the last one counts, whatever the session says;
-    the setting is read when an expression is analysed."""
+    the setting is read when an expression is analysed. One thread at a time
+    changes it, so each finds what the session had."""
     key = "spark.sql.variant.allowDuplicateKeys"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _setting:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "true")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def observe_payloads(parsed: DataFrame, name: str = "record") -> DataFrame:
