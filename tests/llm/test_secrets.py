@@ -164,3 +164,34 @@ def test_empty_and_clashing(documents, clashing):
     docs = clashing(documents([(1, PLAIN)]), "Secrets")
     row = secrets.scan(docs, ("doc_id", "Secrets")).first()
     assert row["Secrets"] == "own Secrets" and row["secrets_"][0].value == PLAIN
+
+
+@pytest.mark.parametrize("cascade", ["%{}41", "%{}41 token%3Dabcdef99"])
+@pytest.mark.parametrize("rounds", [1, 2, 15, 16, 17, 40, 300_000])
+def test_escapes_of_the_escape_sign(cascade, rounds):
+    """However often it was escaped, what is behind it is found at its place."""
+    text = "password%" + "25" * rounds + "3Dhunter22 " + cascade.format("25" * rounds)
+    found = [(kind, text[start:end]) for kind, start, end, _, value in secrets.find_secrets(text) if value == "password=hunter22"]
+    assert found == [("assign", text.split(" ")[0])]
+    tokens = {value for *_, value in secrets.find_secrets(text) if value.startswith("token")}
+    assert tokens == ({"token=abcdef99"} if "token" in cascade else set())
+
+
+@pytest.mark.parametrize("sign, again, last", [("\\u005c", "u005C", "u003d"), ("\\x5C", "x5c", "x3d"), ("&#38;", "#38;", "#61;"),
+                                               ("&#x26;", "#X26;", "#x3d;"), ("\\U0000005c", "U0000005c", "U0000003d")])
+@pytest.mark.parametrize("rounds", [0, 5, 100_000])
+def test_other_escapes_of_the_escape_sign(sign, again, last, rounds):
+    text = "é passwd" + sign + again * rounds + last + "hunter22!"
+    found = [(start, end) for kind, start, end, _, value in secrets.find_secrets(text) if value == "passwd=hunter22"]
+    assert found == [(2, len(text) - 1)]
+
+
+def test_depth_costs_no_memory():
+    import tracemalloc
+    text = "x"
+    for i in range(700):
+        text = ("%25" if i % 2 else "\\u005c") + text.replace("%", "%25").replace("\\", "\\u005c")[-3000:]
+    tracemalloc.start()
+    secrets.find_secrets(text * 3)
+    assert tracemalloc.get_traced_memory()[1] < 20_000_000
+    tracemalloc.stop()

@@ -7,6 +7,10 @@ compressed data inside base64. What cannot be decoded stays as it is beside what
 can. A layer that equals one it came from is not opened again, nor is one that
 was reached with the same spans before. Every character of a layer knows which
 part of the original text it comes from, so a find in any depth has a span there.
+Layers are told apart by digests, and a layer is dropped once the last one it
+wraps is made, so depth costs no memory. An escape of the escape sign itself that
+is escaped over and over (`%252525…`) is shortened to `CASCADE` rounds at once:
+the layers in between differ in nothing but its length.
 
 Compressed data is unfolded and searched in pieces, whatever its size. Pieces end
 where no secret and no wrapped layer of any depth can go on; only a stretch of
@@ -24,7 +28,6 @@ import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,6 +48,11 @@ _SHORTEST_VALUE = 6
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+# What follows an escape of the escape sign that was escaped again, by the escape.
+_ROUNDS = {"%25": re.compile(r"(?:25)++"), "\\u005c": re.compile(r"(?:u005[cC])++"), "\\x5c": re.compile(r"(?:x5[cC])++"),
+           "\\U0000005c": re.compile(r"(?:U0000005[cC])++"), "&#38;": re.compile(r"(?:#38;)++"),
+           "&#x26;": re.compile(r"(?:#[xX]26;)++")}
+CASCADE = 16
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # Base64 goes on over line ends, which may themselves be written as escapes.
 _LINE_END = r"[\t\x20]*+(?:\r?\n|\r|(?:\\r)?\\n)[\t\x20]*+"
@@ -67,31 +75,31 @@ SCHEMA = "array<struct<kind:string,start:bigint,end:bigint,depth:int,value:strin
 
 @dataclass
 class Layer:
-    """A text, the original span of each of its characters, and the texts it
-    came from. All of an unfolded layer has the one span `whole`. Spans ascend."""
+    """A text and the original span of each of its characters. All of an
+    unfolded layer has the one span `whole`. Spans ascend."""
 
     text: str
     starts: Sequence[int] = ()
     ends: Sequence[int] = ()
-    above: tuple[str, ...] = ()
+    depth: int = 0
     whole: tuple[int, int] | None = None
 
-    @property
-    def depth(self) -> int:
-        return len(self.above)
-
     def span(self, low: int, high: int) -> tuple[int, int]:
         return self.whole or (self.starts[low], self.ends[high - 1])
 
     def mark(self) -> bytes:
         """Equal for layers of the same text and spans."""
-        known = hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16)
+        known = hashlib.blake2b(_digest(self.text), digest_size=16)
         known.update(repr(self.whole).encode())
         if self.whole is None:
             known.update(array("q", self.starts).tobytes() + array("q", self.ends).tobytes())
         return known.digest()
 
 
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def plain_finds(text: str) -> list[tuple[str, int, int]]:
     """The secrets that stand in a text as they are: kind, start, end."""
     found, lowered = [], text.lower()
@@ -105,13 +113,24 @@ def plain_finds(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _inner(layer: Layer, text: str, starts: Sequence[int], ends: Sequence[int]) -> Layer | None:
-    if not text or text == layer.text or text in layer.above:
+def _inner(layer: Layer, path: set[bytes], text: str, starts: Sequence[int], ends: Sequence[int]) -> Layer | None:
+    """What a layer wraps, unless the layer or one above it has the same text; `path` has their digests."""
+    if not text or _digest(text) in path:
         return None
-    return Layer(text, starts, ends, (*layer.above, layer.text), layer.whole)
+    return Layer(text, starts, ends, layer.depth + 1, layer.whole)
+
 
+def _shortened(text: str, escape: str, high: int) -> int:
+    """Where an escape of the escape sign ends, with the rounds beyond `CASCADE` that follow it."""
+    rounds = _ROUNDS.get(escape.lower() if escape[1] != "U" else "\\U" + escape[2:].lower())
+    more = rounds.match(text, high) if rounds else None
+    if more is None:
+        return high
+    width = len(escape) - 1
+    return high + max((more.end() - high) // width - CASCADE, 0) * width
 
-def _replaced(layer: Layer, found: Iterator[tuple[int, int, str]]) -> Layer | None:
+
+def _replaced(layer: Layer, path: set[bytes], found: Iterator[tuple[int, int, str]]) -> Layer | None:
     """The layer with other characters at some places, each given by its low and high end."""
     parts, starts, ends, at = [], array("q"), array("q"), 0
     for low, high, character in found:
@@ -126,7 +145,7 @@ def _replaced(layer: Layer, found: Iterator[tuple[int, int, str]]) -> Layer | No
     if layer.whole is None:
         starts.extend(layer.starts[at:])
         ends.extend(layer.ends[at:])
-    return _inner(layer, "".join(parts), starts, ends)
+    return _inner(layer, path, "".join(parts), starts, ends)
 
 
 def _decoded(raw: bytes) -> str:
@@ -144,13 +163,12 @@ def _url_characters(text: str) -> Iterator[tuple[int, int, str]]:
         for character in _decoded(bytes.fromhex(run.group().replace("%", ""))):
             high = at + 3 * _width(character)
             if not 0xDC80 <= ord(character) < 0xDD00:
-                yield at, high, character
+                yield at, _shortened(text, "%25", high) if character == "%" else high, character
             at = high
 
 
-def _from_url(layer: Layer) -> Iterator[Layer | None]:
-    if "%" in layer.text and _URL.search(layer.text):
-        yield _replaced(layer, _url_characters(layer.text))
+def _from_url(layer: Layer, path: set[bytes]) -> Layer | None:
+    return _replaced(layer, path, _url_characters(layer.text))
 
 
 def _character(escape: str) -> str:
@@ -162,9 +180,9 @@ def _character(escape: str) -> str:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
 
 
-def _from_escapes(layer: Layer) -> Iterator[Layer | None]:
-    if ("\\" in layer.text or "&#" in layer.text) and _ESCAPE.search(layer.text):
-        yield _replaced(layer, ((m.start(), m.end(), _character(m.group())) for m in _ESCAPE.finditer(layer.text)))
+def _from_escapes(layer: Layer, path: set[bytes]) -> Layer | None:
+    return _replaced(layer, path, ((m.start(), _shortened(layer.text, m.group(), m.end()), _character(m.group()))
+                                   for m in _ESCAPE.finditer(layer.text)))
 
 
 def _unfolder(raw: bytes):
@@ -260,7 +278,7 @@ def _coded(layer: Layer) -> Iterator[tuple[str, Sequence[int], int]]:
                        padded if high == len(borders) else borders[high - 1][1])
 
 
-def _from_base64(layer: Layer) -> Iterator[Layer | None]:
+def _from_base64(layer: Layer, path: set[bytes]) -> Iterator[Layer | None]:
     for coded, at, end in _coded(layer):
         if len(coded) % 4 == 1:  # of joined lines, the last of which may be no base64; this character has no byte
             coded = coded[:-1]
@@ -269,8 +287,8 @@ def _from_base64(layer: Layer) -> Iterator[Layer | None]:
             whole = layer.span(at[0], end)
             for piece in _pieces(_unfolded(raw)):
                 text = _decoded(piece) if _PLAIN.search(piece) else ""
-                if text and text not in layer.above:
-                    yield Layer(text, above=(*layer.above, layer.text), whole=whole)
+                if text and _digest(text) not in path:
+                    yield Layer(text, depth=layer.depth + 1, whole=whole)
         if not _PLAIN.search(raw):
             continue
         text, starts, ends = _decoded(raw), array("q"), array("q")
@@ -282,7 +300,20 @@ def _from_base64(layer: Layer) -> Iterator[Layer | None]:
                 starts.append(layer.starts[at[low]])
                 high = (byte - 1) // 3 * 4 + 3
                 ends.append(layer.ends[at[high] if high < last else end - 1])
-        yield _inner(layer, text, starts, ends)
+        yield _inner(layer, path, text, starts, ends)
+
+
+def _inside(layer: Layer, path: set[bytes]) -> Iterator[Layer | None]:
+    """What a layer wraps, one after the other. Nothing here holds the layer any more when the last one is given."""
+    yield from _from_base64(layer, path)
+    url = "%" in layer.text and _URL.search(layer.text) is not None
+    escapes = ("\\" in layer.text or "&#" in layer.text) and _ESCAPE.search(layer.text) is not None
+    if url and escapes:
+        yield _from_url(layer, path)
+    if url or escapes:
+        last = [_from_escapes(layer, path) if escapes else _from_url(layer, path)]
+        del layer
+        yield last.pop()
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int, int, str]]:
@@ -292,11 +323,12 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int, str]]:
     not listed again."""
     found: dict[tuple[int, int, int, str], int] = {}
     seen: dict[bytes, int] = {}  # layers, with the least depth so far
-    work = [iter([Layer(text, range(len(text)), range(1, len(text) + 1))])]
+    path: set[bytes] = set()  # of the layers whose insides are being looked at
+    work = [(iter([Layer(text, range(len(text)), range(1, len(text) + 1))]), b"")]
     while work:  # one layer of each depth at a time, as there may be very many
-        layer = next(work[-1], work)
+        layer = next(work[-1][0], work)
         if layer is work:
-            work.pop()
+            path.discard(work.pop()[1])
             continue
         if layer is None:
             continue
@@ -309,7 +341,9 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int, str]]:
             start, end = layer.span(low, high)
             key = (start, KINDS.index(kind), end, layer.text[low:high])
             found[key] = min(found.get(key, layer.depth), layer.depth)
-        work.append(chain(_from_base64(layer), _from_url(layer), _from_escapes(layer)))
+        digest = _digest(layer.text)
+        path.add(digest)
+        work.append((_inside(layer, path), digest))
     # Equal depths stay in the order of their layers.
     order = sorted(found.items(), key=lambda one: (one[0][:3], one[1]))
     return [(KINDS[kind], start, end, depth, value) for (start, kind, end, value), depth in order]
