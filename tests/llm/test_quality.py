@@ -42,6 +42,24 @@ def test_a_score_depends_on_the_text_alone():
     assert np.allclose(network.probabilities(*together(texts[::-1])), alone[::-1], atol=1e-6)
 
 
+def test_long_texts_in_parts():
+    """A text gets its score whatever part of it is looked at at a time, in little memory."""
+    import tracemalloc
+    random = np.random.default_rng(4)
+    network = train([b"plain words " * 30, b"LOUD!! " * 40] * 8, np.array([1.0, 0.0] * 8, np.float32), epochs=20)
+    for size in (1, 63, 64, 100, 1000, 5000):
+        text = bytes(random.choice(list(b"ab cd LOUD!! xyxyxy\n"), size).astype(np.uint8))
+        data, offsets = np.frombuffer(text, np.uint8), np.array([0, size])
+        whole = network.probabilities(data, offsets, 1 << 20)[0]
+        for part in (64, 128, 300, 999):
+            assert np.isclose(network.probabilities(data, offsets, part)[0], whole, atol=1e-6), (size, part)
+    data = np.frombuffer(b"plain words and more of them \n" * 600_000, np.uint8)
+    tracemalloc.start()
+    network.probabilities(data, np.array([0, len(data)]))
+    assert tracemalloc.get_traced_memory()[1] < 200_000_000
+    tracemalloc.stop()
+
+
 def test_the_end_of_a_long_text_counts():
     network = train([b"plain words and more of them " * 30, b"LOUD!! NOISE!! " * 40] * 20,
                     np.array([1.0, 0.0] * 20, np.float32), epochs=60)
@@ -59,6 +77,16 @@ def test_held_out_accuracy(spark):
     assert right > 0.96
 
 
+def test_held_out_accuracy_of_a_small_table(spark):
+    """The smaller the sample, the more often it is gone through."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    held = rate(docs, learn(docs, labels, fold != 0)).join(labels, "doc_id").filter(fold == 0)
+    wrong = held.filter((F.col("score") >= 0.3).cast("int") != F.col("quality")).count()
+    assert wrong <= 1 and held.count() > 40
+
+
 def test_edge_rows(spark, documents, clashing):
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, None), (None, 1), (4, 1), (9, 0)], "doc_id bigint, quality int")
     docs = documents([(1, "plain words"), (2, "LOUD!!"), (3, "x"), (4, None), (None, ""), (2, "LOUD!!")])

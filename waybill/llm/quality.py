@@ -39,7 +39,8 @@ HALF = 16  # windows in half a chunk
 HALF_BYTES = HALF * STRIDE
 # A byte is an echo if it and the next three stood here at most so many bytes before.
 ECHO = 28
-EPOCHS, BATCH, RATE = 8, 48, 4e-3
+# Small samples are gone through more often, so that all have as many steps.
+STEPS, BATCH, RATE = 504, 48, 4e-3
 SEED = 11
 SLICE = 1 << 19
 
@@ -103,10 +104,10 @@ class Network:
                      random.normal(0, 0.3, shape) if i == 4 else np.zeros(shape)).astype(np.float32)
                     for i, shape in enumerate(shapes)])
 
-    def _forward(self, out: np.ndarray, borders: np.ndarray) -> dict:
+    def _forward(self, out: np.ndarray, borders: np.ndarray, seen: np.ndarray | None = None) -> dict:
         filters, bias, hidden, hidden_bias, last, last_bias = self.parameters
         # A window is a block of `STRIDE` bytes and the next one, so each block is multiplied once by both halves.
-        blocks = channels(out).reshape(-1, filters.shape[0] // 2)
+        blocks = (channels(out) if seen is None else seen).reshape(-1, filters.shape[0] // 2)
         both = blocks @ np.concatenate(np.split(filters, 2), axis=1)
         active = both[:-1, :FILTERS] + both[1:, FILTERS:]
         active += bias
@@ -125,8 +126,27 @@ class Network:
                 "spread": spread, "summary": summary, "response": response, "strongest": strongest,
                 "logit": strongest @ last + last_bias[0]}
 
-    def probabilities(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        logit = self._forward(*padded(data, offsets))["logit"].astype(np.float64)
+    def _long(self, data: np.ndarray, part: int) -> np.ndarray:
+        """The logit of one text, in runs of halves of which only the strongest responses are held."""
+        size = max(-(-(len(data) + ECHO) // HALF_BYTES), 2)
+        out = np.zeros(size * HALF_BYTES + STRIDE, np.uint8)
+        out[STRIDE:STRIDE + len(data)] = data
+        strongest = np.zeros(HIDDEN, np.float32)
+        for low in range(0, size - 1, part):
+            high = min(low + part + 1, size)
+            # What may be an echo needs the bytes before, and a window and a byte's next three what follows.
+            begin, end = max(low * HALF_BYTES - ECHO, 0), high * HALF_BYTES + STRIDE
+            near = out[begin:end + 3]
+            seen = channels(near)[low * HALF_BYTES - begin:end - begin]
+            strongest = np.maximum(strongest, self._forward(near, np.array([0, high - low]), seen)["strongest"][0])
+        return strongest[None, :] @ self.parameters[4] + self.parameters[5][0]
+
+    def probabilities(self, data: np.ndarray, offsets: np.ndarray, part: int = SLICE) -> np.ndarray:
+        """Of a text longer than `part` bytes about so many are looked at at a time."""
+        if len(offsets) == 2 and len(data) > part:
+            logit = self._long(data, max(part // HALF_BYTES, 1)).astype(np.float64)
+        else:
+            logit = self._forward(*padded(data, offsets))["logit"].astype(np.float64)
         return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
     def gradients(self, data: np.ndarray, offsets: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
@@ -161,12 +181,15 @@ class Network:
                 seen["summary"].T @ back, back.sum(axis=0), error @ seen["strongest"], np.array([error.sum()], np.float32)]
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS) -> Network:
-    """The network for labels 0 and 1; without any text it says 1/2 to all."""
+def train(texts: list[bytes], labels: np.ndarray, epochs: int | None = None) -> Network:
+    """The network for labels 0 and 1; without any text it says 1/2 to all. Goes
+    through the texts as often as `STEPS` steps ask for, or `epochs` times."""
     network = Network.fresh()
     if not texts:
         network.parameters[4][:] = 0
         return network
+    if epochs is None:
+        epochs = max(round(STEPS / -(-len(texts) // BATCH)), 1)
     share = float(np.clip(labels.mean(), 0.02, 0.98))
     network.parameters[5][:] = np.log(share / (1 - share))
     random = np.random.default_rng(SEED + 1)
