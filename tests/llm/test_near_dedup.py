@@ -64,6 +64,42 @@ def test_large_family_in_blocks(documents, monkeypatch):
     assert results(documents(numbered)) == brute(numbered)
 
 
+def moved_within(documents, monkeypatch, rows):
+    """The result, and how many sets were sent to be compared within families."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    sent, over_batches = [], near_dedup.over_batches
+
+    def counting(df, function, schema):
+        if function is near_dedup._within:
+            sent.append(df.count())
+        return over_batches(df, function, schema)
+
+    monkeypatch.setattr(near_dedup, "over_batches", counting)
+    numbered = list(enumerate(rows))
+    assert results(documents(numbered)) == brute(numbered)
+    return sent
+
+
+def test_a_large_family_moves_in_proportion(documents, monkeypatch):
+    """Copies that all are like one are sent once, and what ties them together once per block."""
+    rng = random.Random(6)
+    text = text_of(rng, 100)
+    rows = [text, *(variants(rng, text, 1) for _ in range(160))]
+    sent = moved_within(documents, monkeypatch, rows)
+    assert sum(sent) <= 1.3 * len(rows)
+
+
+def test_what_is_apart_in_a_large_family(documents, monkeypatch):
+    """Two crowds that are tied by few: some are compared again, though not all with all."""
+    rng = random.Random(9)
+    text = text_of(rng, 100)
+    other = variants(rng, text, 4)
+    rows = [variants(rng, text, 1) for _ in range(90)] + [variants(rng, other, 2) for _ in range(25)]
+    rows += [variants(rng, rows[0], n) for n in (5, 6, 7, 8)]
+    sent = moved_within(documents, monkeypatch, rows)
+    assert sum(sent) < len(rows) * 16
+
+
 def test_threshold_is_exact(documents):
     """Sets of sizes 20 and 15 with 15 in common lie on the border; with one less in common they are apart."""
     words = [f"w{i}" for i in range(24)]

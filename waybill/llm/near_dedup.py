@@ -13,9 +13,14 @@ No list emits all its pairs. Each ties its members to the one that agrees best
 with the others, which is the original in a group of copies; what hangs together
 by such ties is a family. Pairs within a family are compared where its sets lie
 together, and only links that join what was apart are passed on. What is left
-are pairs of different families in one list. Large families and lists are worked
-on in pairs of blocks, so no task holds more than two blocks and no pair is left
-out.
+are pairs of different families in one list. Large lists are worked on in pairs
+of blocks, so no task holds more than two blocks and no pair is left out.
+
+A large family is first compared within its blocks, and in each also with the
+member that has the most ties. Mostly that links all of it. Where it does not,
+what hangs together by then is a core, and members of the largest core are
+compared with those of other cores only: their blocks are not paired with each
+other, so what moves grows with the family and with what is apart in it.
 """
 
 from __future__ import annotations
@@ -41,8 +46,8 @@ MATCHES = 72
 SIMILARITY_PERCENT = 75
 BLOCK = 2048
 BLOCK_SHINGLES = 1 << 20
-# Keys of candidate texts are broadcast up to this number (8 bytes each), beyond it texts are shuffled.
-BROADCAST_KEYS = 2_000_000
+# Keys of candidate texts are broadcast up to this number, some 100 bytes each once hashed; beyond it texts are shuffled.
+BROADCAST_KEYS = 1_000_000
 
 _random = np.random.Generator(np.random.PCG64(75))
 _FACTOR = _random.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -170,7 +175,8 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat = lists.flatten().to_numpy().view(np.uint64)
             cuts = cuts - cuts[0]
             first, last = part.column("low")[0].as_py(), part.column("high")[0].as_py()
-            root = np.arange(high - low)
+            # What is linked already has one root.
+            root = np.unique(part.column("core").to_numpy(), return_inverse=True)[1]
             typical = int((signatures == _consensus(signatures)).sum(axis=1).argmax())
             order = [typical, *range(typical), *range(typical + 1, high - low)]
             done = np.zeros(high - low, bool)
@@ -238,6 +244,47 @@ def _in_block_pairs(members: DataFrame, *group: str) -> DataFrame:
     return paired.repartition(*keys).sortWithinPartitions(*keys)
 
 
+def _inner_links(member: DataFrame, degree: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links that connect what is linked within each family. `member`: `family`, `blocks`, `block`, `node` with its
+    set and signature; `degree`: the number of ties of each node, as `ties`."""
+    columns = ["family", "block", "node", "n_shingles", "signature", "shingles"]
+    alone = F.xxhash64("node").alias("core")
+    crowded = member.filter("blocks > 1")
+    large = not crowded.select("family").isEmpty()
+    first = member.select(*columns, alone)
+    if large:
+        most = (crowded.select("family", "node").join(degree, "node").groupBy("family")
+                .agg(F.max_by("node", F.struct("ties", "node")).alias("_hub")))
+        hubs = (crowded.join(most, "family").filter(F.col("node") == F.col("_hub"))
+                .withColumn("_own", F.col("block"))
+                .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+                .filter("block != _own").select(*columns, alone))
+        first = first.unionByName(hubs)
+    keys = ("family", "low", "high")
+    within = (first.withColumn("low", F.col("block")).withColumn("high", F.col("block"))
+              .repartition(*keys).sortWithinPartitions(*keys))
+    links = scratch.store(over_batches(within, _within, _PAIRS), "links")
+    if not large:
+        return links
+    ours = links.join(crowded.select(F.col("node").alias("a")), "a", "left_semi")
+    labels = connected(ours, scratch).select("node", F.xxhash64("label").alias("_core"))
+    cored = (crowded.join(labels, "node", "left").withColumn("core", F.coalesce("_core", F.xxhash64("node"))).drop("_core"))
+    cores = cored.groupBy("family", "core").agg(F.count(F.lit(1)).alias("_members"))
+    largest = (cores.groupBy("family").agg(F.count(F.lit(1)).alias("_cores"), F.sum("_members").alias("_all"),
+                                           F.max(F.struct("_members", "core")).alias("_most"))
+               .filter("_cores > 1"))
+    # Members of the largest core keep their blocks; the others' blocks are numbered after these.
+    apart = F.col("core") != F.col("_most.core")
+    others = F.ceil((F.col("_all") - F.col("_most._members")) * F.col("blocks") / F.col("_all")).cast("bigint")
+    divided = (cored.join(largest, "family").withColumn("_others", others).withColumn("block", F.when(
+        apart, F.col("blocks") + F.pmod(F.xxhash64("node"), F.col("_others"))).otherwise(F.col("block"))))
+    first_other = F.when(apart, F.lit(0)).otherwise(F.col("blocks")).cast("bigint")
+    paired = (divided.withColumn("_other", F.explode(F.sequence(first_other, F.col("blocks") + F.col("_others") - 1)))
+              .select(*columns, "core", F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high"))
+              .repartition(*keys).sortWithinPartitions(*keys))
+    return links.unionAll(scratch.store(over_batches(paired, _within, _PAIRS), "links"))
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
     """The full shingle sets of the nodes `wanted`, each from one of its texts."""
     keyed = docs.filter("text IS NOT NULL").select("text", F.xxhash64("text").alias("_key"))
@@ -287,7 +334,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None) -> DataFram
         .alias("blocks"))
     member = (families.join(extent, "family").join(described, "node").join(sets, "node")
               .withColumn("block", F.pmod(F.xxhash64("node"), "blocks")))
-    inner = scratch.store(over_batches(_in_block_pairs(member, "family"), _within, _PAIRS), "links")
+    ends = ties.select(F.explode(F.array("a", "b")).alias("node"))
+    inner = _inner_links(member, ends.groupBy("node").agg(F.count(F.lit(1)).alias("ties")), scratch)
 
     # A node without a tie is a family of its own.
     placed = postings.join(families, "node", "left").withColumn("family", F.coalesce("family", F.xxhash64("node")))
