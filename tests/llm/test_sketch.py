@@ -87,3 +87,14 @@ def test_an_edit_is_seen():
     one = build(digests_of(text))
     assert 0.4 < likeness(one, build(digests_of(edited(text, other)))) < 0.8
     assert likeness(one, build(digests_of(other))) < 0.1
+
+
+def test_long_texts_in_little_memory():
+    import tracemalloc
+    rng = random.Random(8)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(600_000))
+    tracemalloc.start()
+    one, other = (sketch.build(sketch.digests_of(part)) for part in (text, text[:-9] + "new end", ))
+    assert tracemalloc.get_traced_memory()[1] < 150_000_000
+    tracemalloc.stop()
+    assert 0.999 < sketch.likeness(one, other) < 1

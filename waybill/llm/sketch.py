@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from waybill.llm.arrow import text_slices
 from waybill.llm.tasks import over_batches
-from waybill.llm.tokens import mix, raw_hashes, word_borders
+from waybill.llm.tokens import hashes_at, mix, word_borders
 
 HASHES = 3
 LEAST_WIDTH = 4
@@ -203,13 +203,13 @@ def digests_of(text: str) -> list[int]:
     starts, ends = word_borders(data, offsets)
     cuts = np.flatnonzero(data == 10) + 1
     if len(starts):
-        hashes = raw_hashes(data, starts, ends)
+        hashes = hashes_at(data, starts, ends)
         chosen = hashes % np.uint64(PIECE_WORDS) == 0
         chosen[:FINE_WORDS] |= hashes[:FINE_WORDS] % np.uint64(FINE_PIECE) == 0
         cuts = np.concatenate([cuts, np.append(starts[1:], len(data))[chosen]])
     cuts = np.concatenate([[0], np.sort(cuts), [len(data)]])
     cuts = cuts[np.concatenate([[True], cuts[1:] != cuts[:-1]])]
-    pieces = np.sort(raw_hashes(data, cuts[:-1], cuts[1:]))
+    pieces = np.sort(hashes_at(data, cuts[:-1], cuts[1:]))
     firsts = np.flatnonzero(np.concatenate([[True], pieces[1:] != pieces[:-1]]))
     number = np.arange(len(pieces)) - np.repeat(firsts, np.diff(np.append(firsts, len(pieces))))
     return mix(pieces + number.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)).tolist()

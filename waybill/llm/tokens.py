@@ -73,11 +73,6 @@ def _hash_window(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * _power_table(_INVERSE, len(data) + 1)[starts])
 
 
-def raw_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of given ranges of bytes, ascending and apart, as they are."""
-    return _hash_window(data, starts, ends)
-
-
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, and where each text's words begin and end."""
     data = LOWER[data]
@@ -86,7 +81,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def hashes_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hashes of words at given places of lower-cased bytes."""
+    """The hashes of given ranges of bytes, ascending and apart, as they are; about `_WINDOW` bytes are worked on at a
+    time, whatever the text's size."""
     hashes = np.empty(len(starts), np.uint64)
     low = 0
     while low < len(starts):
