@@ -75,8 +75,8 @@ def test_word_probabilities_of_a_bucket_are_proper():
     keys, counts, _ = grouped(codes[order], np.repeat([4, 3, 2, 6], np.diff(places))[order])
     spelling = Spelling(keys, counts, np.random.default_rng(1))
     base = np.exp(spelling.log_words(spelled, borders))
-    customers = np.zeros(scoring.CONTEXTS, np.int64)
-    tables = np.zeros(scoring.CONTEXTS, np.int64)
+    customers = np.zeros(256, np.int64)
+    tables = np.zeros(256, np.int64)
     context, c, t = np.array([0, 1, 1, 2]), np.array([5, 3, 4, 9]), np.array([2, 1, 2, 3])
     np.add.at(customers, context, c)
     np.add.at(tables, context, t)
@@ -127,3 +127,16 @@ def test_edge_rows(documents):
         (-1, 2, 0, 0, 0.0), (None, 1, 0, 0, 0.0), (0, 1, 0, 0, 0.0)}
     only = score(documents([(1, None), (2, None), (-3, "new")]), learn).collect()
     assert {(r.doc_id, r.n_known, r.train_tokens) for r in only} == {(1, 1, 2), (2, 1, 2), (-3, 1, 2)}
+
+
+def test_contexts_grow_with_the_corpus():
+    assert [scoring.context_bits(size) for size in (0, 1 << 16, 1 << 24, 1 << 30, 1 << 40, 1 << 47)] == [8, 8, 12, 15, 20, 20]
+
+
+def test_blocks_of_arrays():
+    random = np.random.default_rng(3)
+    hashes = np.sort(random.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    others = random.integers(0, 1 << 30, 77).astype(np.uint32), random.random(9).astype(np.float32), np.zeros(0, np.uint8)
+    found = scoring._spread(scoring._squeeze(scoring._steps(hashes), *others), "<u8", "<u4", "<f4", "u1")
+    assert (scoring._from_steps(found[0]) == hashes).all()
+    assert all((one == other).all() and len(one) == len(other) for one, other in zip(found[1:], others))

@@ -1,8 +1,9 @@
 """Scoring texts with a hierarchical Pitman-Yor language model of the corpus.
 
 A token is served by the restaurant of its context, which is the class of the
-word before (by its last three bytes; the start of a text is a class too). The
-restaurants of all contexts share one parent, the restaurant of words, whose
+word before (by a hash of its last seven bytes; the start of a text is a class
+too). There are about as many classes as the square root of the bytes of the
+texts, so contexts become finer as the corpus grows. The restaurants of all contexts share one parent, the restaurant of words, whose
 parents are the restaurants of spelling in `pitman_yor`. What was never learned
 is one further word, as in the base score: it has what the spelling model leaves
 to all unlearned words together.
@@ -21,6 +22,7 @@ model has a fixed bound.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,8 +43,10 @@ from waybill.llm.tokens import LOWER, distinct_counts, hashes_at, mix, word_bord
 PACK_BYTES = 6 << 20
 # Bytes of text for each bucket of words, and the least number of buckets.
 BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 12
-# Classes of contexts; class 0 is the start of a text.
-CONTEXTS = 256
+# Bytes of the word before that make a context, and bits of the least and greatest number of classes; class 0 is the
+# start of a text. Totals per context go to all executors: 24 MB for the greatest number, which a terabyte has.
+TAIL = 7
+LEAST_BITS, MOST_BITS = 8, 20
 # Pairs of word and context a bucket collects before it adds them up.
 HELD_PAIRS = 1 << 21
 BURN_IN = 1
@@ -53,10 +57,12 @@ END_HASH = np.uint64(0x5A17E0D1C3B2A495)
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed block, each with its length before it."""
+    """Arrays as one compressed block, each with its length before it; of numbers all first bytes stand together, then
+    all second ones and so on."""
     parts = []
     for array in arrays:
-        raw = np.ascontiguousarray(array).tobytes()
+        array = np.ascontiguousarray(array)
+        raw = array.view(np.uint8).reshape(-1, array.itemsize).T.tobytes() if array.size else b""
         parts += [len(raw).to_bytes(8, "little"), raw]
     return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
@@ -64,12 +70,27 @@ def _squeeze(*arrays: np.ndarray) -> bytes:
 def _spread(block: bytes, *types: str) -> list[np.ndarray]:
     raw, at, arrays = zstandard.ZstdDecompressor().decompress(block), 0, []
     for kind in types:
-        size = int.from_bytes(raw[at:at + 8], "little")
-        arrays.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at + 8))
+        size, width = int.from_bytes(raw[at:at + 8], "little"), np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, size, at + 8).reshape(width, -1)
+        arrays.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
         at += 8 + size
     return arrays
 
 
+def _steps(hashes: np.ndarray) -> np.ndarray:
+    """Ascending numbers by how far each is from the one before."""
+    return np.diff(hashes, prepend=np.uint64(0))
+
+
+def _from_steps(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+def context_bits(size: int) -> int:
+    """Bits of the number of classes of contexts for so many bytes of text."""
+    return min(max(round(math.log2(max(size, 1)) / 2), LEAST_BITS), MOST_BITS)
+
+
 def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets are ranges of hashes, so words in order of hash are in order of bucket."""
     return ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -81,24 +102,33 @@ def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
 
 
-def _classes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The class of a word as a context, 1 to CONTEXTS - 1, from its last three bytes."""
+def _classes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits: int) -> np.ndarray:
+    """The class of a word as a context, from 1 on, from its last bytes."""
     tail = np.zeros(len(starts), np.uint64)
-    for back in range(1, 4):
+    for back in range(1, TAIL + 1):
         at = ends - back
         tail = tail << np.uint64(8) | np.where(at >= starts, data[np.maximum(at, 0)], 0).astype(np.uint64)
-    return (mix(tail) % np.uint64(CONTEXTS - 1)).astype(np.int64) + 1
+    return (mix(tail) % np.uint64((1 << bits) - 1)).astype(np.int64) + 1
+
+
+def _key(word: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """A pair of word and context as one number."""
+    return word.astype(np.int64) << MOST_BITS | context.astype(np.int64)
+
+
+def _context(key: np.ndarray) -> np.ndarray:
+    return (key & ((1 << MOST_BITS) - 1)).astype(np.uint32)
 
 
 _PACKS = ("pack bigint, bucket int, pairs binary, facts binary, doc_ids array<bigint>, learned array<boolean>, "
           "uses binary")
-# Words and contexts of a pack: hashes, numbers of contexts, contexts. Facts: counts of the pairs in what is
+# Words and contexts of a pack: steps of hashes, numbers of contexts, contexts. Facts: counts of the pairs in what is
 # learned from, and sizes and bytes of the words that are.
-_PAIRS = ("<u8", "<u4", "u1")
+_PAIRS = ("<u8", "<u4", "<u4")
 _FACTS = ("<u4", "<u4", "u1")
 
 
-def _pack(buckets: int):
+def _pack(buckets: int, bits: int):
     """Per pack: a row for each bucket with its words, and one with the uses of words by texts."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -110,7 +140,7 @@ def _pack(buckets: int):
             text_of = np.searchsorted(offsets, starts, side="right") - 1
             owner = np.concatenate([text_of, np.arange(texts)])
             hashes = np.concatenate([hashes_at(data, starts, ends), np.full(texts, END_HASH)])
-            kinds = _classes(data, starts, ends)
+            kinds = _classes(data, starts, ends, bits)
             context = np.zeros(words + texts, np.int64)
             context[1:words] = np.where(text_of[1:] == text_of[:-1], kinds[:-1], 0)
             last = np.searchsorted(text_of, np.arange(texts), side="right") - 1
@@ -123,13 +153,13 @@ def _pack(buckets: int):
             word = np.empty(len(hashes), np.int64)
             word[order] = np.cumsum(fresh) - 1
             distinct, first = hashes[order][fresh], order[fresh]
-            key = word * CONTEXTS + context
+            key = _key(word, context)
             order = np.argsort(key)
             fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
             pair = np.empty(len(key), np.int64)
             pair[order] = np.cumsum(fresh) - 1
             pairs = key[order][fresh]
-            pair_word, pair_context = pairs // CONTEXTS, (pairs % CONTEXTS).astype(np.uint8)
+            pair_word, pair_context = pairs >> MOST_BITS, _context(pairs)
             learned = np.array(part.column("learned").to_pylist(), bool)
             counts = np.bincount(pair[learned[owner]], minlength=len(pairs)).astype(np.uint32)
 
@@ -148,7 +178,7 @@ def _pack(buckets: int):
                 own = slice(*np.searchsorted(pair_word, [low, high]))
                 numbers = np.bincount(pair_word[own] - low, minlength=high - low).astype(np.uint32)
                 known = np.bincount(pair_word[own] - low, counts[own], high - low) > 0
-                rows.append((bucket, _squeeze(distinct[low:high], numbers, pair_context[own]),
+                rows.append((bucket, _squeeze(_steps(distinct[low:high]), numbers, pair_context[own]),
                              _squeeze(counts[own], np.where(known, size[low:high], 0).astype(np.uint32),
                                       _gather(data, at[low:high][known], size[low:high][known])), None, None, None))
             rows.append((-1, None, None, part.column("doc_id").to_pylist(), learned.tolist(),
@@ -163,7 +193,8 @@ def _pack(buckets: int):
 
 def _trained(pairs: bytes, facts: bytes) -> list[np.ndarray]:
     """The words of a pack that are learned from: hashes, numbers of contexts, contexts, counts, sizes, bytes."""
-    hashes, numbers, context = _spread(pairs, *_PAIRS)
+    steps, numbers, context = _spread(pairs, *_PAIRS)
+    hashes = _from_steps(steps)
     counts, sizes, spelled = _spread(facts, *_FACTS)
     keep = counts > 0
     numbers = np.bincount(np.repeat(np.arange(len(hashes)), numbers)[keep], minlength=len(hashes)).astype(np.uint32)
@@ -171,10 +202,10 @@ def _trained(pairs: bytes, facts: bytes) -> list[np.ndarray]:
     return [hashes[some], numbers[some], context[keep], counts[keep], sizes[some], spelled]
 
 
-# The state of a bucket. Per word: hash, number of contexts, size; bytes; tables in the restaurant of words;
+# The state of a bucket. Per word: step of the hash, number of contexts, size; bytes; tables in the restaurant of words;
 # predictive probabilities there, a row per sample. Per context of a word: class, customers, tables, summed tables.
-_STATE_TYPES = ("<u8", "<u4", "<u4", "u1", "<u4", "<f4", "u1", "<u4", "<u4", "<u4")
-_STATE = ("bucket int, state binary, customers array<bigint>, tables array<bigint>, words bigint, word_tables bigint, "
+_STATE_TYPES = ("<u8", "<u4", "<u4", "u1", "<u4", "<f4", "<u4", "<u4", "<u4", "<u4")
+_STATE = ("bucket int, state binary, contexts array<int>, customers array<bigint>, tables array<bigint>, words bigint, word_tables bigint, "
           "learnable double, ones bigint, twos bigint, word_ones bigint, word_twos bigint")
 
 
@@ -196,6 +227,7 @@ class Words:
     @classmethod
     def from_block(cls, block: bytes) -> Words:
         arrays = _spread(block, *_STATE_TYPES)
+        arrays[0] = _from_steps(arrays[0])
         arrays[5] = arrays[5].reshape(SAMPLES, -1)
         return cls(*arrays)
 
@@ -209,18 +241,19 @@ class Words:
         return np.add.reduceat(values.astype(np.int64), np.cumsum(self.numbers, dtype=np.int64) - self.numbers)
 
     def row(self, bucket: int, learnable: float) -> tuple:
-        block = _squeeze(self.hashes, self.numbers.astype("<u4"), self.sizes.astype("<u4"), self.spelled,
-                         self.word_tables.astype("<u4"), self.chances.astype("<f4"), self.context,
+        block = _squeeze(_steps(self.hashes), self.numbers.astype("<u4"), self.sizes.astype("<u4"), self.spelled,
+                         self.word_tables.astype("<u4"), self.chances.astype("<f4"), self.context.astype("<u4"),
                          self.counts.astype("<u4"), self.tables.astype("<u4"), self.table_sums.astype("<u4"))
         served = self.per_word(self.tables)
-        totals = [np.bincount(self.context, values, CONTEXTS).astype(np.int64).tolist()
-                  for values in (self.counts, self.tables)]
+        contexts, place = np.unique(self.context, return_inverse=True)
+        totals = [contexts.tolist(), *(np.bincount(place, values, len(contexts)).astype(np.int64).tolist()
+                                       for values in (self.counts, self.tables))]
         return (bucket, block, *totals, len(self.hashes), int(self.word_tables.sum()), learnable,
                 *(int((values == k).sum()) for values in (self.counts, served) for k in (1, 2)))
 
 
 def _state_batch(row: tuple) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.float64(),
+    kinds = (pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.float64(),
              *[pa.int64()] * 4)
     return pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(row, kinds)],
                                       [column.split(" ")[0] for column in _STATE.split(", ")])
@@ -235,11 +268,11 @@ def _joined(pieces: list[list[np.ndarray]]) -> list[np.ndarray]:
     word[order] = np.cumsum(fresh) - 1
     firsts = order[fresh]
     starts = np.cumsum(sizes, dtype=np.int64) - sizes
-    key = np.repeat(word, numbers) * CONTEXTS + context
+    key = _key(np.repeat(word, numbers), context)
     order = np.argsort(key, kind="stable")
     key, counts, _ = grouped(key[order], counts[order].astype(np.uint64))
-    numbers = np.bincount(key // CONTEXTS, minlength=len(firsts)).astype(np.uint32)
-    return [hashes[firsts], numbers, (key % CONTEXTS).astype(np.uint8), counts, sizes[firsts],
+    numbers = np.bincount(key >> MOST_BITS, minlength=len(firsts)).astype(np.uint32)
+    return [hashes[firsts], numbers, _context(key), counts, sizes[firsts],
             _gather(spelled, starts[firsts], sizes[firsts].astype(np.int64))]
 
 
@@ -376,9 +409,9 @@ class Averages:
         known = words.hashes[at] == hashes
         totals = np.where(known, words.per_word(words.counts)[at], 0)
         word, found = np.repeat(at, numbers), np.repeat(known, numbers)
-        keys = words.owner * CONTEXTS + words.context
-        pair = np.minimum(np.searchsorted(keys, word * CONTEXTS + context), len(keys) - 1)
-        seated = keys[pair] == word * CONTEXTS + context
+        keys, wanted = _key(words.owner, words.context), _key(word, context)
+        pair = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        seated = keys[pair] == wanted
         own = np.where(seated, words.counts[pair] - self.rebate * words.table_sums[pair] / SAMPLES, 0.0)
         parent = (self.weights[:, context] * words.chances[:, word]).sum(axis=0) / SAMPLES
         logs = np.where(found, np.log10((own + parent) / (STRENGTH + self.customers[context])), self.unknown[context])
@@ -395,7 +428,8 @@ def _answers(shared):
                 if row["state"] is not None:
                     bucket, words = row["bucket"], Words.from_block(row["state"])
                     continue
-                hashes, numbers, context = _spread(row["pairs"], *_PAIRS)
+                steps, numbers, context = _spread(row["pairs"], *_PAIRS)
+                hashes = _from_steps(steps)
                 if row["bucket"] == bucket:
                     found = shared.value.logs(words, hashes, numbers, context)
                 else:  # nothing in this bucket is learned
@@ -444,11 +478,13 @@ def _rebate(ones: int, twos: int) -> float:
     return min(max(ones / (ones + 2 * twos), 0.05), 0.95) if ones and twos else 0.5
 
 
-def _per_context(states: DataFrame, name: str) -> np.ndarray:
-    """Totals of an array column over all buckets."""
-    totals = np.zeros(CONTEXTS, np.int64)
-    for row in states.select(F.posexplode(name)).groupBy("pos").agg(F.sum("col").alias("total")).collect():
-        totals[row["pos"]] = row["total"]
+def _per_context(states: DataFrame, name: str, bits: int) -> np.ndarray:
+    """Totals of an array column over all buckets, for every context."""
+    totals = np.zeros(1 << bits, np.int64)
+    pairs = states.select(F.inline(F.arrays_zip("contexts", F.col(name).alias("number"))))
+    # One row per context.
+    for context, total in pairs.groupBy("contexts").agg(F.sum("number")).collect():
+        totals[context] = total
     return totals
 
 
@@ -467,18 +503,19 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
                          F.coalesce(learn, F.lit(False)).alias("learned"))
     size = chosen.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     buckets = max(size // BUCKET_BYTES, LEAST_BUCKETS)
-    packs = scratch.store(over_batches(chosen, _pack(buckets), _PACKS), "packs")
+    bits = context_bits(size)
+    packs = scratch.store(over_batches(chosen, _pack(buckets, bits), _PACKS), "packs")
     filled = packs.filter("bucket >= 0")
     states = scratch.store(
         over_batches(filled.select("bucket", "pairs", "facts").repartition(buckets, "bucket")
                      .sortWithinPartitions("bucket"), _vocabulary, _STATE), "states")
     names = ("words", "word_tables", "learnable", "ones", "twos", "word_ones", "word_twos")
-    customers = _per_context(states, "customers")
+    customers = _per_context(states, "customers", bits)
     tokens, types = int(customers.sum()), states.agg(F.sum("words")).first()[0] or 0
     spelling, rebate, weights, unknown = None, 0.5, [], []
     for number in range(1, BURN_IN + SAMPLES + 1) if tokens else ():
         sums = states.agg(*[F.sum(name).alias(name) for name in names]).first()
-        tables = _per_context(states, "tables")
+        tables = _per_context(states, "tables", bits)
         spelling = _spelling(states, spelling, number)
         rebate = _rebate(sums["ones"], sums["twos"])
         sweep = Sweep(number, spelling, customers, tables, int(tables.sum()), sums["word_tables"], rebate,
@@ -492,7 +529,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
             weights.append(sweep.weights)
             unknown.append(sweep.weights * sweep.word_chances(0, 0, left) / (STRENGTH + customers))
     averages = Averages(customers, np.array(weights), rebate,
-                        np.log10(np.mean(unknown, axis=0)) if unknown else np.zeros(CONTEXTS))
+                        np.log10(np.mean(unknown, axis=0)) if unknown else np.zeros(1 << bits))
     nothing = F.lit(None)
     asked = filled.select("bucket", nothing.cast("binary").alias("state"), "pack", "pairs")
     known = states.select("bucket", "state", nothing.cast("bigint").alias("pack"), nothing.cast("binary").alias("pairs"))
