@@ -238,6 +238,23 @@ report AS (
   UNION ALL
   SELECT 'ping_latency_ms between 0 and 50', m, outside, m = 0 OR (m - outside) / m >= 0.85 FROM counts)
 SELECT *, (SELECT NOT bool_and(success) FROM report) AS halted FROM report""",
+    "gate_no_rows": """
+SELECT 'tracking_number is not null' AS expectation, count(*) AS evaluated, count(*) AS unexpected, true AS success
+FROM events WHERE event_type = 'returned'
+UNION ALL
+SELECT 'ping_latency_ms between 0 and 10000', count(*), count(*), true FROM events WHERE event_type = 'returned'""",
+    "message_text": """
+SELECT event_id, CASE WHEN event_id % 13 > 1 THEN 'é ' || event_type END AS value,
+       CASE WHEN event_id % 13 = 0 THEN base64(encode('é ' || event_type) || '\\xFF\\xFE'::BLOB) END AS payload_base64
+FROM events""",
+    "iso_times": """
+SELECT event_id, CASE event_id % 9
+  WHEN 3 THEN ts - INTERVAL 2 HOUR
+  WHEN 4 THEN date_trunc('minute', ts) + INTERVAL 90 MINUTE
+  WHEN 5 THEN date_trunc('day', ts)
+  WHEN 6 THEN NULL WHEN 7 THEN NULL
+  ELSE ts END AS "timestamp"
+FROM events""",
     "contract_valid": f"WITH {CHECKED} SELECT * FROM valid",
     "contract_rejects": f"""WITH {CHECKED}
 SELECT event_id, {REJECT} AS tracking_number, {REASON} FROM checked WHERE reasons <> ''""",

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from waybill import schemas
 from waybill.functions.text import batch_label, record_json, telemetry_json
+from waybill.functions.time import iso_text, iso_to_timestamp
 from waybill.operators import contracts, latest, milestones, quality, rolling, status
 from waybill.operators.audit import offset_audit
 from waybill.plans import gold, medallion
@@ -21,6 +22,7 @@ from waybill.sinks.replay import replay_rejects
 from waybill.sinks.tables import ensure_database, write_table
 from waybill.sinks.webhooks import compact, current_events, upsert_events
 from waybill.sources.bronze import read_accepted, read_bronze, read_rejects
+from waybill.sources.topic import messages
 from waybill.sources.samples import register, stacked, staged_scans
 from waybill.sources.variants import damaged_files, elements, field_kinds, inferred, merged_kinds, read_documents, telemetry_of
 from waybill.sources.webhook import read_webhooks
@@ -149,6 +151,11 @@ def gate_halt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("halted", F.lit(halted))
 
 
+def gate_no_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over scans of a type that none has: no rows pass."""
+    return quality.run_gate(_scans(spark, sf_dir).filter(F.col("scan_type") == "RETURNED"))
+
+
 # Contracts.
 
 def _checked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +216,26 @@ def duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Bronze and streams.
 
+def message_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as bytes, some of which are no text."""
+    raw = F.encode(F.concat(F.lit("é "), F.col("event_type")), "UTF-8")
+    broken = F.concat(raw, F.unhex(F.lit("FFFE")))
+    value = F.when(F.col("event_id") % 13 == 0, broken).when(F.col("event_id") % 13 == 1, F.lit(None)).otherwise(raw)
+    return messages(read_events(spark, sf_dir).select("event_id", value.alias("value")))
+
+
+def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of several shapes as timestamps: with a blank, with a zone, without seconds, a date, and no time at all."""
+    text = iso_text(F.col("timestamp"))
+    date, minute = F.substring(text, 1, 10), F.substring(text, 12, 5)
+    shapes = {1: F.replace(text, F.lit("T"), F.lit(" ")), 2: F.concat(text, F.lit("Z")), 3: F.concat(text, F.lit("+02:00")),
+              4: F.concat(date, F.lit("T"), minute, F.lit("-0130")), 5: date, 6: F.concat(date, F.lit(" 25:00")), 7: F.lit("")}
+    given = text
+    for remainder, shape in shapes.items():
+        given = F.when(F.col("event_id") % 9 == remainder, shape).otherwise(given)
+    return _scans(spark, sf_dir).select("event_id", iso_to_timestamp(given).alias("timestamp"))
+
+
 def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scans(spark, sf_dir).select("event_id", telemetry_json().alias("record"))
 
@@ -432,6 +459,7 @@ QUERIES = {
     "gate_report": gate_report,
     "gate_violations": gate_violations,
     "gate_halt": gate_halt,
+    "gate_no_rows": gate_no_rows,
     "contract_valid": contract_valid,
     "contract_rejects": contract_rejects,
     "batch_counts": batch_counts,
@@ -440,6 +468,8 @@ QUERIES = {
     "webhook_upsert": webhook_upsert,
     "duplicate_flag": duplicate_flag,
     "json_encode": json_encode,
+    "message_text": message_text,
+    "iso_times": iso_times,
     "bronze_roundtrip": bronze_roundtrip,
     "stream_bronze": stream_bronze,
     "stream_rejects": stream_rejects,
