@@ -98,3 +98,17 @@ def test_long_texts_in_little_memory():
     assert tracemalloc.get_traced_memory()[1] < 150_000_000
     tracemalloc.stop()
     assert 0.999 < sketch.likeness(one, other) < 1
+
+
+def test_repeated_and_missing_ids_in_ranges(documents, monkeypatch):
+    """Rows of one id, or of none, fall into several ranges by their texts; equal rows stay together."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(sketch, "RANGE_ROWS", 5)
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 7, 7, 7, 8, -1]), f"text {rng.randrange(40)}\nof {rng.randrange(3)}") for _ in range(150)]
+    rows += [(7, "the same")] * 12
+    docs = documents(rows).withColumn("key", F.xxhash64("text"))
+    ordered = [(row.doc_id, row.text) for row in docs.orderBy(F.col("doc_id").asc_nulls_last(), "key").collect()]
+    ranges = sketch._borders(docs.select("doc_id", "key"))
+    assert len(ranges) >= len(rows) // 5 - 12 and len({place[1] for place in ranges}) < len(ranges) / 4
+    assert found(docs) == sorted(brute(ordered), key=str)

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from waybill.llm.arrow import text_slices
 from waybill.llm.tasks import over_batches
 from waybill.llm.tokens import hashes_at, mix, word_borders
+from waybill.operators.ordering import before_range, in_order
 
 HASHES = 3
 LEAST_WIDTH = 4
@@ -221,47 +222,51 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - changed] + following[:changed]
 
 
-def _first_ids(docs: DataFrame) -> tuple[list[int], list[int | None]]:
-    """Upper borders of the ranges of ids, ascending, and the smallest id of each range (None without one)."""
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    rows = ids.count()
-    ranges = min(max(rows // RANGE_ROWS, 1), MOST_RANGES)
-    shares = [i / ranges for i in range(1, ranges)]
-    found = ids.select(F.percentile_approx("doc_id", shares, 20 * ranges)).first()[0] if shares else []
-    borders = sorted({int(border) for border in found or []})
-    shared = docs.sparkSession.sparkContext.broadcast(np.array(borders, np.int64))
+# A place in the order of documents: whether the id is null, the id, a hash of the text.
+Place = tuple[bool, int | None, int]
+
+
+def _borders(keyed: DataFrame) -> list[Place]:
+    """The first places of the ranges, ascending: of every so many rows the first. Rows of one id fall apart by their
+    texts."""
+    ordered = in_order(keyed.select(F.col("doc_id").isNull().alias("none"), "doc_id", "key"), "none", "doc_id", "key",
+                       label="places")
+    # As many rows as there are ranges of the sort, which is at most the shuffle partitions.
+    before = F.broadcast(before_range(ordered, _before=F.count(F.lit(1))))
+    size = max(RANGE_ROWS, -(-ordered.count() // MOST_RANGES))
+    firsts = (ordered.join(before, "_range").filter((F.col("_before") + F.col("_position")) % size == 0)
+              .select("none", "doc_id", "key").distinct().collect())
+    return sorted((tuple(row) for row in firsts), key=lambda place: (place[0], place[1] or 0, place[2]))
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(0).drop_null()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.searchsorted(shared.value, column.to_numpy(), side="left")), column], ["range", "doc_id"])
 
-    least = over_batches(ids, place, "range bigint, doc_id bigint").groupBy("range").agg(F.min("doc_id")).collect()
-    firsts: list[int | None] = [None] * (len(borders) + 1)
-    for number, first in least:
-        firsts[number] = first
-    return borders, firsts
+def _ranges(borders: list[Place], ids: list[int | None], keys: list[int]) -> list[int]:
+    """The range of each row: that of the last border at or before its place."""
+    known = [place for place in borders if not place[0]]
+    edges, texts = np.array([place[1] for place in known], np.int64), np.array([place[2] for place in known], np.int64)
+    rest = np.array([place[2] for place in borders[len(known):]], np.int64)
+    plain = np.array([0 if one is None else one for one in ids], np.int64)
+    low, high = np.searchsorted(edges, plain, "left"), np.searchsorted(edges, plain, "right")
+    found = low - 1
+    for i in np.flatnonzero(high > low):  # rows with the id of a border
+        found[i] = low[i] + np.searchsorted(texts[low[i]:high[i]], keys[i], "right") - 1
+    for i, one in enumerate(ids):
+        if one is None:
+            found[i] = len(known) + np.searchsorted(rest, keys[i], "right") - 1
+    return found.tolist()
 
 
-def _deal(borders: list[int], firsts: list[int | None]):
-    """Rows with their range, the text packed. The first row of a range also goes to the filled one before it."""
-    filled = [number for number, first in enumerate(firsts) if first is not None] or [0]
-    before = {firsts[number]: filled[i - 1] for i, number in enumerate(filled)}
-    edges = np.array(borders, np.int64)
+def _deal(borders: list[Place]):
+    """Rows with their range, the text packed. The first row of a range also goes to the one before it."""
+    before = {place[1:]: (i - 1) % len(borders) for i, place in enumerate(borders)}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for part in text_slices(batches):
-            ids = part.column("doc_id").to_pylist()
-            known = np.array([0 if one is None else one for one in ids], np.int64)
-            ranges = np.searchsorted(edges, known, side="left")
-            # Rows without an id come after all others.
-            ranges = [filled[-1] if one is None else int(at) for one, at in zip(ids, ranges)]
+            ids, keys = part.column("doc_id").to_pylist(), part.column("key").to_pylist()
             texts = [pack((text or "").encode()) for text in part.column("text").to_pylist()]
-            keys = part.column("key").to_pylist()
-            rows = [(at, False, one, key, text) for at, one, key, text in zip(ranges, ids, keys, texts)]
-            rows += [(before[one], True, one, key, text) for one, key, text in zip(ids, keys, texts) if one in before]
+            rows = [(at, False, one, key, text) for at, one, key, text in zip(_ranges(borders, ids, keys), ids, keys, texts)]
+            rows += [(before[one, key], True, one, key, text) for one, key, text in zip(ids, keys, texts)
+                     if (one, key) in before]
             kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)],
@@ -283,7 +288,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for at, halo, name, packed in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4))):
             if halo and (waiting is None or waiting[0] != at):
-                continue  # rows that share the first id
+                continue  # rows that equal the first of the next range
             text = unpack(packed).decode()
             sketch = build(digests_of(text))
             if waiting is not None and waiting[0] == at:
@@ -305,15 +310,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     A null text counts as empty. Rows with the same id follow each other by a
     hash of their texts; rows without an id come after all others. A single row
-    is its own next. An empty table gives an empty result. Ids are dealt to
-    ranges of about `RANGE_ROWS` rows, and a task holds two texts at a time.
+    is its own next. An empty table gives an empty result. Rows are dealt to
+    ranges of `RANGE_ROWS` rows or more by id and text, so neither a repeated nor a
+    missing id makes a large one, and a task holds two texts at a time.
     """
     if docs.schema["doc_id"].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
         raise TypeError("doc_id must be a whole number")
-    borders, firsts = _first_ids(docs)
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = over_batches(keyed.withColumn("key", F.xxhash64("text")), _deal(borders, firsts),
-                         "range bigint, halo boolean, doc_id bigint, key bigint, packed binary")
-    sorted_rows = dealt.repartition(len(borders) + 1, "range").sortWithinPartitions(
+    keyed = keyed.withColumn("key", F.xxhash64("text"))
+    borders = _borders(keyed)
+    dealt = over_batches(keyed, _deal(borders), "range bigint, halo boolean, doc_id bigint, key bigint, packed binary")
+    sorted_rows = dealt.repartition(max(len(borders), 1), "range").sortWithinPartitions(
         "range", "halo", F.col("doc_id").asc_nulls_last(), "key")
     return over_batches(sorted_rows, _compare, _RESULT)
