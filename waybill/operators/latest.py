@@ -28,19 +28,25 @@ def duplicate_flag(df: DataFrame, key: str, *order: str, output: str = "is_dupli
     """Flag every row that is not the first of its key.
 
     The first is the least by `order`, NULLs last, then by the other columns; of
-    equal rows one is the first. Every key's first place and number of rows are
-    found before the shuffle and joined back once. Only rows that stand in the
+    equal rows one is the first. The first place of every key with several rows
+    is found, combined before the shuffle, and joined back. Only rows that stand in the
     first place of a key with several can be equal to others there; these are
     counted and written out again, one of them as the first.
     """
     columns = list(df.columns)
-    others = [name for name in columns if name != key and name not in order]
-    place = F.struct(*[part for name in (*order, *others) for part in (F.col(name).isNull(), F.col(name))])
-    firsts = df.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    known = df.join(firsts, F.col(key).eqNullSafe(F.col("_key")))
-    later = F.coalesce(place > F.col("_first"), F.lit(False))
-    plain = known.filter(later | (F.col("_rows") == 1)).select(*columns, later.alias(output))
-    equal = (known.filter(~later & (F.col("_rows") > 1)).groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")))
+    places = [*order, *[name for name in columns if name != key and name not in order]]
+    if len(places) == 1:  # a single column is compared as it is, which keeps the aggregate in fixed-width buffers
+        place, first = F.col(places[0]), F.col("_first")
+        after = (place > first) | (place.isNull() & first.isNotNull())
+    else:
+        place = F.struct(*[part for name in places for part in (F.col(name).isNull(), F.col(name))])
+        after = place > F.col("_first")
+    firsts = (df.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+              .filter("_rows > 1"))
+    known = df.join(firsts, F.col(key).eqNullSafe(F.col("_key")), "left")
+    later = F.col("_rows").isNotNull() & F.coalesce(after, F.lit(False))
+    plain = known.filter(later | F.col("_rows").isNull()).select(*columns, later.alias(output))
+    equal = known.filter(~later & F.col("_rows").isNotNull()).groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / COPIES)))
     within = F.explode(F.sequence(F.col("_part") * COPIES,
                                   F.least((F.col("_part") + 1) * COPIES, F.col("_copies")) - 1))
