@@ -411,7 +411,7 @@ def bronze_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, kinds = [], []
     for number, (record, chosen) in enumerate(((first, even), (second, ~even))):
         path = scratch_path(spark, f"inferred-{number}")
-        _array_files(scans.filter(chosen).select(F.expr(f"event_id div {ARRAY_RECORDS}").alias("batch"), "event_id",
+        _array_files(scans.filter(chosen).select(F.expr(f"event_id div {10 * ARRAY_RECORDS}").alias("batch"), "event_id",
                                                  record.alias("record")), path)
         files.append(elements(read_documents(spark, path)))
         kinds.append(field_kinds(files[-1]))
