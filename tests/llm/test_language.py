@@ -71,6 +71,25 @@ def test_models_have_a_bound(documents):
     assert identify(docs, small).filter("lang_pred = 'en'").count() == 40
 
 
+def test_beyond_the_bound_all_ngrams_count(documents):
+    """Models that do not go to all executors are tables, which give the same results."""
+    random = np.random.default_rng(2)
+    alphabets = {"de": "abcdeß", "en": "abcdef", "zh": [chr(0x4E00 + i) for i in range(50)]}
+    rows = [(i, " ".join("".join(random.choice(list(alphabets[lang]), random.integers(1, 7))) for _ in range(30)), lang, "s")
+            for i, lang in enumerate([*alphabets] * 20)]
+    rows += [(90, "", "de", "s"), (91, None, "en", "s"), (92, "12 !?", None, "s"), (0, "abc 12x zz щ", None, "s"), (0, "abc", "fr", "s")]
+    docs, fold = documents(rows), (F.col("doc_id") % 3 == 0).cast("int")
+    whole, small = learn(docs, fold), learn(docs, fold, entries=50)
+    assert whole.tables is None and small.tables is not None and whole.spread.keys() == small.spread.keys()
+    for lang, values in whole.spread.items():
+        assert np.allclose(values, small.spread[lang], rtol=1e-9)
+    keep = ("doc_id", "text")
+    found = [sorted(identify(docs, one, keep).collect(), key=lambda row: (row.doc_id, row.text or "")) for one in (whole, small)]
+    assert [(*row[:3], row.rejected) for row in found[0]] == [(*row[:3], row.rejected) for row in found[1]]
+    assert np.allclose(*[[(row.score, row.cross_entropy) for row in one] for one in found], rtol=1e-9)
+    assert accepted(docs, small).count() == accepted(docs, whole).count()
+
+
 def kneser_ney(counts):
     """Interpolated Kneser-Ney by its formula; n-grams are tuples, the predicted class last."""
     levels = {4: counts}

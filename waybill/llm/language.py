@@ -13,10 +13,10 @@ Interpolated Kneser-Ney: the longest context uses counts, shorter ones count the
 distinct characters seen before them. Numbers of n-grams stand in sorted arrays
 next to their log probabilities and are found by binary search.
 
-N-grams of all texts are counted, in ranges of a hash. Models go to all
-executors, so they have a bound: all of them together have at most `ENTRIES`
-n-grams of full length. Of a language with more than its share those stay
-that occur at least 2, 4, 8, … times, whichever is the least that fits; the others are left to shorter contexts.
+N-grams of all texts are counted, in ranges of a hash. Models of at most
+`ENTRIES` n-grams of full length together go to all executors. Beyond that the
+same models are tables with a row per n-gram: the distinct n-grams of the texts
+are joined with them, and what was found is added up per text.
 
 The language with the lowest cross-entropy per predicted class is chosen. How
 high it may be is calibrated per language and text length on a fold of the
@@ -38,16 +38,17 @@ from pyspark.sql import functions as F
 
 from waybill.llm.arrow import text_slices
 from waybill.llm.codes import grouped, merged
-from waybill.llm.columns import quoted, with_text
+from waybill.llm.columns import free_name, quoted, with_text
 from waybill.llm.scratch import Scratch
 from waybill.llm.tasks import over_batches, with_made
 from waybill.llm.tokens import distinct_counts, mix
+from waybill.session import remove
 
 ORDER = 4
 BITS = 16
 CLASSES = 1 << BITS
 UNKNOWN = "und"
-# N-grams of full length in all models together, and the ranges in which a language's are counted.
+# N-grams of full length in models that go to all executors, and the ranges in which a language's are counted.
 ENTRIES = 1 << 24
 PARTS = 64
 # N-grams a task holds before it passes their counts on.
@@ -324,34 +325,173 @@ def entropies(column: pa.Array, models: dict[str, Model]) -> tuple[np.ndarray, n
     return bits / np.maximum(sizes, 1)[:, None], sizes
 
 
+Spread = dict[str, tuple[float, float, float]]
+
+
+def _decided(bits: np.ndarray, sizes: np.ndarray, langs: list[str],
+             spread: Spread) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Languages, scores, cross-entropies and whether each text is rejected, from its bits per predicted
+    character in every language and the number of predictions."""
+    best = bits.argmin(axis=1)
+    least = bits[np.arange(len(bits)), best]
+    # How sure the choice is, by at most as many predictions as a short sentence has.
+    weight = np.exp2(-(bits - least[:, None]) * np.minimum(sizes, 40)[:, None]).sum(axis=1)
+    mean, single, between = np.array([spread.get(lang, (np.inf, 0.0, 0.0)) for lang in langs])[best].T
+    above = DEVIATIONS * np.sqrt(single / np.maximum(sizes, 1) + between)
+    limit = mean + np.maximum(above, LEAST_WAY * (RANDOM_BITS - np.minimum(mean, RANDOM_BITS)))
+    empty = sizes == 0
+    names = [UNKNOWN if none else langs[i] for i, none in zip(best, empty)]
+    return names, np.where(empty, 0.0, 1 / weight), np.where(empty, 0.0, least), empty | (least > limit)
+
+
+@dataclass
+class Tables:
+    """The models of all languages as tables, by order: `lang, key, log` of
+    n-grams, and `lang, context, weight`."""
+
+    langs: list[str]
+    grams: list[DataFrame]
+    contexts: list[DataFrame]
+    scratch: Scratch
+
+
 @dataclass
 class Identifier:
     """Models per language and, per language, mean, variance of a single
-    prediction and variance between texts of the cross-entropy."""
+    prediction and variance between texts of the cross-entropy.
+
+    With `tables`, which have all n-grams, texts are scored by these, and
+    `models` has only the most frequent n-grams, as many as one machine holds.
+    """
 
     models: dict[str, Model]
-    spread: dict[str, tuple[float, float, float]]
+    spread: Spread
+    tables: Tables | None = None
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Languages, scores, cross-entropies and whether each text is rejected."""
         rows = len(column)
         if not self.models:
             return [UNKNOWN] * rows, np.zeros(rows), np.zeros(rows), np.ones(rows, bool)
-        bits, sizes = entropies(column, self.models)
-        langs = list(self.models)
-        best = bits.argmin(axis=1)
-        least = bits[np.arange(rows), best]
-        # How sure the choice is, by at most as many predictions as a short sentence has.
-        weight = np.exp2(-(bits - least[:, None]) * np.minimum(sizes, 40)[:, None]).sum(axis=1)
-        mean, single, between = np.array([self.spread.get(lang, (np.inf, 0.0, 0.0)) for lang in langs])[best].T
-        above = DEVIATIONS * np.sqrt(single / np.maximum(sizes, 1) + between)
-        limit = mean + np.maximum(above, LEAST_WAY * (RANDOM_BITS - np.minimum(mean, RANDOM_BITS)))
-        empty = sizes == 0
-        names = [UNKNOWN if none else langs[i] for i, none in zip(best, empty)]
-        return names, np.where(empty, 0.0, 1 / weight), np.where(empty, 0.0, least), empty | (least > limit)
-
-
-def _scored(docs: DataFrame, identifier, keep: tuple[str, ...]) -> DataFrame:
+        return _decided(*entropies(column, self.models), list(self.models), self.spread)
+
+
+def _part(key: str, order: int) -> Column:
+    """The last `order` characters of an n-gram."""
+    return F.col(key).bitwiseAND(F.lit((1 << BITS * order) - 1)) if order < ORDER else F.col(key)
+
+
+def _context(key: Column) -> Column:
+    return F.shiftrightunsigned(key, BITS)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            codes, counts = _read(row)
+            for low in range(0, len(codes), SLICE):
+                keys = pa.array(codes[low:low + SLICE].view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array([row["lang"]] * len(keys), pa.string()), keys,
+                                                  pa.array(counts[low:low + SLICE].astype(np.int64))], ["lang", "key", "value"])
+
+
+def tabled(counted: DataFrame, folds: tuple[int, ...], langs: list[str], scratch: Scratch) -> Tables:
+    """What `fit` computes, for all languages and in tables, from the packed counts of n-grams."""
+    rows = over_batches(counted.filter(F.col("fold").isin(*folds)), _unpacked, "lang string, key bigint, value bigint")
+    values = {ORDER: scratch.store(rows.groupBy("lang", "key").agg(F.sum("value").alias("value")), "values")}
+    for order in range(ORDER - 1, 0, -1):
+        shorter = values[order + 1].groupBy("lang", _part("key", order).alias("key")).agg(F.count(F.lit(1)).alias("value"))
+        values[order] = scratch.store(shorter, "values")
+    made = Tables(langs, [], [], scratch)
+    for order in range(1, ORDER + 1):
+        # One row per language.
+        seldom = values[order].groupBy("lang").agg(F.count_if(F.col("value") == 1), F.count_if(F.col("value") == 2)).collect()
+        discount = F.lit(0.5)
+        for lang, ones, twos in seldom:
+            if ones and twos:
+                discount = F.when(F.col("lang") == lang, ones / (ones + 2 * twos)).otherwise(discount)
+        totals = (values[order].groupBy("lang", _context(F.col("key")).alias("context"))
+                  .agg(F.sum("value").alias("_total"), F.count(F.lit(1)).alias("_kinds"))
+                  .withColumn("_left", discount * F.col("_kinds") / F.col("_total")))
+        grams = values[order].withColumn("context", _context(F.col("key"))).join(totals, ["lang", "context"])
+        if order == 1:
+            grams = grams.withColumn("_shorter", F.lit(1.0 / CLASSES))
+        else:
+            below = made.grams[-1].select("lang", F.col("key").alias("_below"), F.pow(F.lit(2.0), "log").alias("_shorter"))
+            grams = grams.withColumn("_below", _part("key", order - 1)).join(below, ["lang", "_below"])
+        chance = (F.col("value") - discount) / F.col("_total") + F.col("_left") * F.col("_shorter")
+        made.contexts.append(scratch.store(totals.select("lang", "context", F.log2("_left").alias("weight")), "contexts"))
+        made.grams.append(scratch.store(grams.select("lang", "key", F.log2(chance).alias("log")), "grams"))
+    scratch.drop(*values.values())
+    return made
+
+
+def _logs(codes: DataFrame, tables: Tables) -> DataFrame:
+    """`code, logs`: the log probabilities of n-grams in each language, unseen ones by shorter contexts, as `Model.log2`."""
+    asked = codes.withColumn("lang", F.explode(F.array(*[F.lit(lang) for lang in tables.langs])))
+    scale, found = F.lit(0.0), []
+    for order in range(ORDER, 0, -1):
+        grams = tables.grams[order - 1].select("lang", F.col("key").alias("_key"), F.col("log").alias(f"_log{order}"))
+        contexts = tables.contexts[order - 1].select("lang", F.col("context").alias("_key"),
+                                                     F.col("weight").alias(f"_weight{order}"))
+        # Those of single characters have a bound.
+        grams, contexts = (F.broadcast(grams) if order == 1 else grams), (F.broadcast(contexts) if order <= 2 else contexts)
+        asked = asked.withColumn("_key", _part("code", order)).join(grams, ["lang", "_key"], "left").drop("_key")
+        asked = (asked.withColumn("_key", _context(_part("code", order))).join(contexts, ["lang", "_key"], "left")
+                 .drop("_key"))
+        found.append(scale + F.col(f"_log{order}"))
+        scale = scale + F.coalesce(f"_weight{order}", F.lit(0.0))
+    log = F.coalesce(*found, scale - float(np.log2(CLASSES)))
+    return asked.select("code", "lang", log.alias("log")).groupBy("code").agg(
+        *[F.max(F.when(F.col("lang") == lang, F.col("log"))).alias(f"_l{number}") for number, lang in enumerate(tables.langs)])
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of every text, and how often it has them."""
+    for part in text_slices(batches, limit=SLICE):
+        codes, borders = text_codes(part.column("text"))
+        for row, low, high in zip(part.column("row").to_pylist(), borders[:-1], borders[1:]):
+            keys, counts = distinct_counts(codes[low:high])
+            if len(keys):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(keys), row, np.int64)), pa.array(keys.astype(np.uint64).view(np.int64)),
+                     pa.array(counts.astype(np.int64))], ["row", "code", "number"])
+
+
+def _scored_by_tables(docs: DataFrame, identifier: Identifier, keep: tuple[str, ...]) -> DataFrame:
+    tables, spread = identifier.tables, identifier.spread
+    langs, schema = list(tables.langs), with_made(docs, keep, MADE)
+    kept = with_text(docs, keep)
+    row = free_name(kept, "_row")
+    # Written first, so that the numbers of rows never change.
+    numbered = tables.scratch.store(kept.withColumn(row, F.monotonically_increasing_id()), "rows")
+    pieces = tables.scratch.store(over_batches(numbered.select(F.col(row).alias("row"), "text"), _distinct,
+                                               "row bigint, code bigint, number bigint"), "pieces")
+    logs = tables.scratch.store(_logs(pieces.select("code").distinct(), tables), "logs")
+    names = [f"_l{number}" for number in range(len(langs))]
+    sums = pieces.join(logs, "code").groupBy(F.col("row").alias("_of")).agg(
+        F.sum("number").alias("_size"), *[F.sum(F.col("number") * F.col(name)).alias(name) for name in names])
+    # The names of the sums are told apart from kept ones by a struct.
+    sums = sums.select("_of", F.struct("_size", *names).alias("_sums"))
+    made = free_name(kept, "_sums")
+    joined = (numbered.join(sums, F.col(quoted(row)) == F.col("_of"), "left")
+              .select(*[numbered[quoted(name)] for name in keep], sums["_sums"].alias(made)))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sums or {} for sums in batch.column(made).to_pylist()]
+            sizes = np.array([one.get("_size") or 0 for one in found], np.int64)
+            total = np.array([[one.get(name) or 0.0 for name in names] for one in found]).reshape(len(found), len(names))
+            decided = _decided(-total / np.maximum(sizes, 1)[:, None], sizes, langs, spread)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in keep), *(pa.array(values) for values in decided)], schema.names)
+
+    return over_batches(joined, score, schema)
+
+
+def _scored(docs: DataFrame, identifier: Identifier, keep: tuple[str, ...]) -> DataFrame:
+    if identifier.tables is not None:
+        return _scored_by_tables(docs, identifier, keep)
     shared = docs.sparkSession.sparkContext.broadcast(identifier)
     schema = with_made(docs, keep, MADE)
     columns = schema.names
@@ -394,7 +534,7 @@ def learn(docs: DataFrame, fold: Column, entries: int = ENTRIES) -> Identifier:
     Limits of rejection come from texts of fold 1 under models of fold 0; the
     models returned are learned from both. Rows with a null text, language or
     fold are not learned from. Without any there are no models, and every text
-    is unknown.
+    is unknown. If the texts have more than `entries` n-grams, models are tables.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "language")
@@ -408,13 +548,24 @@ def learn(docs: DataFrame, fold: Column, entries: int = ENTRIES) -> Identifier:
     for row in over_batches(stored, _counted_levels, _LEVELS).groupBy("lang", "fold", "level").agg(
             F.sum("number").alias("number")).collect():
         levels.setdefault((row["lang"], row["fold"]), {})[row["level"]] = row["number"]
-    least = least_counts(levels, entries)
+    whole = sum(sum(numbers.values()) for numbers in levels.values()) <= entries
+    least = dict.fromkeys(levels, 1) if whole else least_counts(levels, entries)
     rows = over_batches(stored, lambda batches: _kept(batches, least), _COUNTS).collect()
-    scratch.drop(stored)
-    first = Identifier(_models(rows, (0,)), {})
-    checked = _scored(chosen.filter("fold = 1").withColumn("_letters", F.length("text")), first,
+
+    def identifier(folds: tuple[int, ...], place: Scratch) -> Identifier:
+        langs = sorted({lang for lang, own in levels if own in folds})
+        return Identifier(_models(rows, folds), {}, None if whole or not langs else tabled(stored, folds, langs, place))
+
+    trial = Scratch(spark, "language-trial")
+    checked = _scored(chosen.filter("fold = 1").withColumn("_letters", F.length("text")), identifier((0,), trial),
                       ("lang", "_letters"))
-    return Identifier(_models(rows, (0, 1)), _calibrated(checked))
+    spread = _calibrated(checked)
+    if not whole:
+        remove(spark, trial.root)
+    found = identifier((0, 1), scratch)
+    found.spread = spread
+    scratch.drop(stored)
+    return found
 
 
 def identify(docs: DataFrame, identifier: Identifier, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
