@@ -1,0 +1,45 @@
+"""The streams of the registered queries on tables of more than one file a batch."""
+
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from waybill import queries, query_data
+
+
+@pytest.fixture
+def table(spark, tmp_path, monkeypatch):
+    """A folder of 1,000 events, and the paths of what is written to scratch, by label."""
+    monkeypatch.setattr(query_data, "FILE_ROWS", 50)
+    paths, plain = {}, queries.scratch_path
+
+    def noted(session, label):
+        paths.setdefault(label, []).append(plain(session, label))
+        return paths[label][-1]
+
+    monkeypatch.setattr(queries, "scratch_path", noted)
+    events = spark.range(1000).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id)").alias("ts"),
+        (F.col("id") % 90).alias("user_id"), F.expr("element_at(array('signup', 'purchase', 'error', 'view'), int(id % 4) + 1)")
+        .alias("event_type"), (F.col("id") % 50 + 1).cast("double").alias("value"), F.lit("{}").alias("props"))
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path), paths
+
+
+def test_a_batch_has_several_files(spark, table):
+    folder, paths = table
+    assert queries.stream_counts(spark, folder).collect() == [(4, 1000, 550)]
+    assert len(glob.glob(f"{paths['events'][0]}/*.parquet")) == 20
+    assert queries.stream_bronze(spark, folder).count() == 550
+    assert queries.stream_rejects(spark, folder).count() == 450
+    once = queries.contracts.accepted(queries._checked_webhooks(spark, folder), queries.contracts.WEBHOOK)
+    hooks = queries.stream_webhooks(spark, folder)
+    assert hooks.count() == once.select("tracking_number", "timestamp").distinct().count()
+
+
+def test_many_events_with_one_id_still_make_four_batches(spark, table):
+    folder, _ = table
+    same = spark.read.parquet(f"{folder}/events.parquet").withColumn("event_id", F.lit(7).cast("bigint"))
+    same.write.parquet(f"{folder}/same/events.parquet")
+    assert queries.stream_counts(spark, f"{folder}/same").first().batches == 4

@@ -15,7 +15,7 @@ from waybill.operators import contracts, latest, milestones, quality, rolling, s
 from waybill.operators.audit import offset_audit
 from waybill.plans import gold, medallion
 from waybill.plans.incremental import IncrementalMart
-from waybill.query_data import read_events, stream_events, telemetry, telemetry_messages, webhook_requests
+from waybill.query_data import file_count, read_events, stream_events, telemetry, telemetry_messages, webhook_requests
 from waybill.session import scratch_path, store
 from waybill.sinks.files import ACCEPTED, PLACE, REJECTED, outcome_path, write_batch, write_bronze
 from waybill.sinks.replay import replay_rejects
@@ -250,11 +250,14 @@ BATCHES = 4
 
 
 def _event_stream(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
-    """The events in several files, one per batch."""
-    folder = scratch_path(spark, "events")
+    """The events in as many files for each batch."""
+    folder, events = scratch_path(spark, "events"), read_events(spark, sf_dir)
+    files = file_count(events, BATCHES)
+    # Many events with one id would leave files out if the ranges went by it alone.
+    order = ["event_id"] if files == 1 else ["event_id", "ts", "user_id"]
     for _ in range(copies):
-        read_events(spark, sf_dir).repartitionByRange(BATCHES, "event_id").write.mode("append").parquet(folder)
-    return stream_events(spark, folder)
+        events.repartitionByRange(BATCHES * files, *order).write.mode("append").parquet(folder)
+    return stream_events(spark, folder, files)
 
 
 def _with_a_replay(sink: BatchSink) -> BatchSink:

@@ -15,6 +15,8 @@ from waybill.functions.time import iso_text
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 SENSOR_ERROR = -99.0
+# A small Parquet file is read by one task, whatever it holds.
+FILE_ROWS = 100_000
 # Event type -> scan type; every other type is TRANSIT.
 SCAN_OF_TYPE = {"signup": "PICKUP", "purchase": "DELIVERED", "error": "UNKNOWN_ERROR"}
 
@@ -23,9 +25,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The files of a folder of events as a stream, one file a batch."""
-    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
+def file_count(events: DataFrame, batches: int = 1) -> int:
+    """Into how many files the events of each of `batches` batches go. The tasks that read a batch are about as many."""
+    return max(1, -(-events.count() // (batches * FILE_ROWS)))
+
+
+def stream_events(spark: SparkSession, folder: str, files: int = 1) -> DataFrame:
+    """The files of a folder of events as a stream, so many files a batch."""
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def telemetry(events: DataFrame, scans: tuple[str, ...] | None = None) -> DataFrame:
