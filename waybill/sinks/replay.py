@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
@@ -46,19 +46,26 @@ def replay_rejects(spark: SparkSession, path: str, contract: Contract, fix: Call
     rejected, accepted = read_attempts(spark, path), _accepted_origins(spark, path)
     own = (F.col("source") == SOURCE) & (F.col("batch_id") == attempt)
     earlier = rejected.filter(~F.coalesce(own, F.lit(False)))
-    tried = earlier.select(F.col("origin").alias("_tried"), F.sha2("payload", 256).alias("_digest"))
-    done = accepted.filter(~F.coalesce(own, F.lit(False))).select(F.col("origin").alias("_done"))
-    # A record that was rejected several times is put right from its first payload.
+    tried = earlier.select(F.col("origin").alias("_origin"), _digest("payload").alias("_digest"))
+    done = accepted.filter(~F.coalesce(own, F.lit(False))).select(F.col("origin").alias("_origin"),
+                                                                  F.lit(None).cast("binary").alias("_digest"))
+    # A record that was rejected several times is put right from its first payload. One that is as it was is among those tried.
     first = earlier.filter(~F.coalesce(F.col("source") == SOURCE, F.lit(False)))
-    sent = (first.withColumn("value", fix(F.col("payload"))).filter(F.col("value").isNotNull())
-            .join(done, F.col("origin") == F.col("_done"), "left_anti")
-            .join(tried, (F.col("origin") == F.col("_tried")) & (F.sha2("value", 256) == F.col("_digest")), "left_anti")
-            .select("value", "origin", *PLACE))
-    checked = validate(sent, contract)
-    counted = sent.count()
-    if counted:
-        write_batch(checked, [*contract.names, "origin", *PLACE], attempt, path, SOURCE)
-    return counted
+    again = (first.withColumn("value", fix(F.col("payload")))
+             .filter(F.col("value").isNotNull() & ~F.col("value").eqNullSafe(F.col("payload")))
+             .select("value", "origin", *PLACE))
+    # One join by origin, so that the payloads travel once.
+    settled = tried.filter("_digest IS NOT NULL").unionByName(done).distinct()
+    same = F.col("_digest").isNull() | (F.col("_digest") == _digest("value"))
+    sent = again.join(settled, (F.col("origin") == F.col("_origin")) & same, "left_anti")
+    counts = Observation()
+    # Without a record to send nothing is written, as there is no partition to replace.
+    write_batch(validate(sent, contract, counts=counts), [*contract.names, "origin", *PLACE], attempt, path, SOURCE)
+    return counts.get["rows"]
+
+
+def _digest(payload: str) -> Column:
+    return F.unhex(F.sha2(payload, 256))
 
 
 def _accepted_origins(spark: SparkSession, path: str) -> DataFrame:
