@@ -312,12 +312,17 @@ def stream_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("event_id bigint").parquet(f"{root}/out")
 
 
+# Files of a batch of messages, of `FILE_ROWS` events each.
+MESSAGE_FILES = 100
+
+
 def _medallion(spark: SparkSession, sf_dir: str) -> medallion.Lake:
     """Three runs, each with the messages that came since the last one, broken ones among them."""
     lake, folder = medallion.Lake(scratch_path(spark, "lake")), scratch_path(spark, "messages")
     for part in range(3):
-        read_events(spark, sf_dir).filter(F.col("event_id") % 3 == part).write.mode("append").parquet(folder)
-        medallion.run(spark, telemetry_messages(stream_events(spark, folder)), lake)
+        sent = events.filter(F.col("event_id") % 3 == part)
+        sent.repartition(files, "event_id").write.mode("append").parquet(folder)
+        medallion.run(spark, telemetry_messages(stream_events(spark, folder, MESSAGE_FILES)), lake)
     return lake
 
 
