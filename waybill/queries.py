@@ -396,6 +396,8 @@ def _array_files(records: DataFrame, path: str, text: Column | None = None) -> N
 ARRAY_RECORDS = 200
 
 
+# Files without a meaning of their own are larger: listing, opening and committing one takes longer than its records.
+INFERRED_RECORDS = 20_000
 def bronze_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of arrays over several lines; every tenth one was cut off and is told by its batch."""
     path = scratch_path(spark, "arrays")
@@ -419,7 +421,7 @@ def bronze_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, kinds = [], []
     for number, (record, chosen) in enumerate(((first, even), (second, ~even))):
         path = scratch_path(spark, f"inferred-{number}")
-        _array_files(scans.filter(chosen).select(F.expr(f"event_id div {10 * ARRAY_RECORDS}").alias("batch"), "event_id",
+        _array_files(scans.filter(chosen).select(F.expr(f"event_id div {INFERRED_RECORDS}").alias("batch"), "event_id",
                                                  record.alias("record")), path)
         files.append(elements(read_documents(spark, path)))
         kinds.append(field_kinds(files[-1]))
