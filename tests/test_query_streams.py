@@ -6,6 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill import queries, query_data
+from waybill.sinks import replay
+from waybill.streaming.flags import flag_sink
+from waybill.streaming.ingest import bronze_sink
 
 
 @pytest.fixture
@@ -43,3 +46,61 @@ def test_many_events_with_one_id_still_make_four_batches(spark, table):
     same = spark.read.parquet(f"{folder}/events.parquet").withColumn("event_id", F.lit(7).cast("bigint"))
     same.write.parquet(f"{folder}/same/events.parquet")
     assert queries.stream_counts(spark, f"{folder}/same").first().batches == 4
+
+
+def test_runs_of_the_medallion_read_all_their_files_at_once(spark, table):
+    folder, paths = table
+    assert queries.medallion_silver(spark, folder).count() > 0
+    assert len(glob.glob(f"{paths['messages'][0]}/*.parquet")) == 21
+    batches = glob.glob(f"{paths['lake'][0]}/messages/outcome=accepted/source=*/batch_id=*")
+    assert len(batches) == 3
+
+
+def test_flagged_batches_have_several_files(spark, table):
+    folder, paths = table
+    flags = queries.stream_duplicate_flag(spark, folder)
+    assert len(glob.glob(f"{paths['flags'][0]}/events/*.parquet")) > 4
+    assert sorted(path.rpartition("=")[2] for path in glob.glob(f"{paths['flags'][0]}/out/flags/source=*/batch_id=*")) == [*"0123"]
+    firsts = flags.filter("NOT is_duplicate").groupBy("event_id").count()
+    assert (firsts.count(), firsts.agg(F.max("count")).first()[0]) == (1000, 1)
+
+
+def test_keys_are_gathered_by_day(spark, tmp_path):
+    rows = spark.range(400, numPartitions=1).select(
+        "id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(int(id % 3))").alias("at"))
+    flag_sink(str(tmp_path), "id", "at", "at", days=9)(rows.repartition(8), 0)
+    assert len(glob.glob(f"{tmp_path}/keys/source=*/batch_id=*/day=*/*.parquet")) == 3
+
+
+def test_inferred_files_are_few(spark, table):
+    folder, paths = table
+    assert queries.bronze_inferred(spark, folder).count() == 1000
+    large = spark.range(30_000).join(spark.read.parquet(f"{folder}/events.parquet").limit(1).drop("event_id")).withColumnRenamed(
+        "id", "event_id")
+    large.select(*spark.read.parquet(f"{folder}/events.parquet").columns).write.parquet(f"{folder}/large/events.parquet")
+    assert queries.bronze_inferred(spark, f"{folder}/large").count() == 30_000
+    for label in ("inferred-0", "inferred-1"):
+        assert len(glob.glob(f"{paths[label][-1]}/batch=*/*.txt")) == 2
+
+
+def test_payloads_sent_again_travel_once(spark, tmp_path):
+    """What is to be sent is found with one join and in the job that writes it, and unchanged payloads do not take part."""
+    path = str(tmp_path)
+    rows = spark.range(60).select(F.when(F.col("id") % 3 == 0, "{bad").otherwise(F.concat(
+        F.lit('{"tracking_number": "'), "id", F.lit('", "scan_type": "LOST", "timestamp": "2024-01-01"}'))).alias("value"))
+    bronze_sink(path)(rows, 0)
+    fixed, joins = [], []
+    plain = replay.write_batch
+
+    def noted(checked, *others):
+        joins.append(checked._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        plain(checked, *others)
+
+    def fix(payload):
+        fixed.append(payload)
+        return F.replace(payload, F.lit("LOST"), F.lit("TRANSIT"))
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(replay, "write_batch", noted)
+        sent = [replay.replay_rejects(spark, path, queries.contracts.TELEMETRY, fix, attempt) for attempt in (1, 2, 1)]
+    assert (sent, joins) == ([40, 0, 40], [1, 1, 1])

@@ -319,6 +319,8 @@ MESSAGE_FILES = 100
 def _medallion(spark: SparkSession, sf_dir: str) -> medallion.Lake:
     """Three runs, each with the messages that came since the last one, broken ones among them."""
     lake, folder = medallion.Lake(scratch_path(spark, "lake")), scratch_path(spark, "messages")
+    events = read_events(spark, sf_dir)
+    files = file_count(events, 3)
     for part in range(3):
         sent = events.filter(F.col("event_id") % 3 == part)
         sent.repartition(files, "event_id").write.mode("append").parquet(folder)
@@ -345,11 +347,11 @@ def stream_duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.col("ts").alias("at")))
     sent = store(events.select("event_id", "batch", F.inline(copies)).filter("part IS NOT NULL")
                  .withColumn("batch", F.col("batch") + F.col("later")), "sent")
-    for batch in range(BATCHES):  # one file a batch, in their order
-        (sent.filter(F.col("batch") == batch).select("event_id", "part", "at").coalesce(1)
+    files, sink = file_count(sent, BATCHES), _with_a_replay(flag_sink(f"{root}/out", "event_id", "at", "at", "part", days=400))
+    for batch in range(BATCHES):  # what has come since the last batch is one batch
+        (sent.filter(F.col("batch") == batch).select("event_id", "part", "at").repartition(files)
          .write.mode("append").parquet(f"{root}/events"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
-    drain(stream, _with_a_replay(flag_sink(f"{root}/out", "event_id", "at", "at", "part", days=400)), f"{root}/checkpoint")
+        drain(spark.readStream.schema(schema).parquet(f"{root}/events"), sink, f"{root}/checkpoint")
     return read_flags(spark, f"{root}/out", StructType.fromDDL("event_id bigint, part int, is_duplicate boolean"))
 
 
@@ -394,10 +396,10 @@ def _array_files(records: DataFrame, path: str, text: Column | None = None) -> N
 
 
 ARRAY_RECORDS = 200
-
-
 # Files without a meaning of their own are larger: listing, opening and committing one takes longer than its records.
 INFERRED_RECORDS = 20_000
+
+
 def bronze_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of arrays over several lines; every tenth one was cut off and is told by its batch."""
     path = scratch_path(spark, "arrays")

@@ -53,7 +53,9 @@ def flag_sink(path: str, key: str, time: str, *order: str, days: int, output: st
                 *batch.columns, (F.col("_again") | F.coalesce("_known", F.lit(False))).alias(output))
             batched = {"source": F.lit(source), "batch_id": F.lit(batch_id)}
             replacing(marked.withColumns(batched), "source", "batch_id").parquet(f"{path}/{FLAGS}")
-            replacing(new.withColumns(batched), "source", "batch_id", "day").parquet(f"{path}/{KEYS}")
+            # Gathered by day, or every task would write a file for each of the days.
+            gathered = new.withColumns(batched).hint("rebalance", "day")
+            replacing(gathered, "source", "batch_id", "day").parquet(f"{path}/{KEYS}")
         finally:
             flagged.unpersist()
 
